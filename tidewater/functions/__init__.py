@@ -17,6 +17,7 @@ from tidewater.functions.text import (
 )
 from tidewater.functions.time import (
     date_part_of,
+    day_after,
     day_before,
     day_bounds_ms,
     day_bounds_ts,
@@ -32,7 +33,7 @@ from tidewater.functions.time import (
 __all__ = [
     "age_band", "age_years", "int_div", "remainder_percent", "truncated_percent",
     "all_tokens_match", "doc_id", "json_field", "mask_phone", "token_list", "tokens",
-    "date_part_of", "day_before", "day_bounds_ms", "day_bounds_ts", "epoch_ms",
+    "date_part_of", "day_after", "day_before", "day_bounds_ms", "day_bounds_ts", "epoch_ms",
     "format_datetime", "hour_part_of", "log_date", "log_hour", "minute_key",
     "ms_to_timestamp",
 ]

@@ -57,6 +57,10 @@ def day_before(date_str: str) -> str:
     return (_dt.date.fromisoformat(date_str) - _dt.timedelta(days=1)).isoformat()
 
 
+def day_after(date_str: str) -> str:
+    return (_dt.date.fromisoformat(date_str) + _dt.timedelta(days=1)).isoformat()
+
+
 def day_bounds_ms(date_str: str) -> tuple[int, int]:
     """Epoch-ms half-open range ``[start, end)`` of a UTC day.
 

@@ -14,9 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions import day_before, day_bounds_ts
+from tidewater.functions import day_after, day_before, day_bounds_ts
 from tidewater.operators import dau as dau_ops
 from tidewater.operators import gmv as gmv_ops
+from tidewater.operators import ingest
+from tidewater.operators import serving
+from tidewater.session import scratch_path
+from tidewater.sinks import files as file_sinks
 from tidewater.plans.oracle import with_views
 from tidewater.sources import fixtures as fx
 from tidewater.sources.tables import Tables
@@ -135,6 +139,111 @@ def q_gmv_by_province(spark, sf_dir):
     return out.withColumn("order_amount", F.round("order_amount", 2))
 
 
+# --- intake and change records -----------------------------------------------------
+
+@register("log_route", with_views("v_log_routed") + "select log_id, topic, value from v_log_routed")
+def q_log_route(spark, sf_dir):
+    raw = fx.v_raw_log(Tables(spark, sf_dir))
+    return ingest.route_logs(raw).select("log_id", "topic", "value")
+
+
+@register("cdc_route", with_views("v_cdc_routed") + 'select "table", seq, topic, value from v_cdc_routed')
+def q_cdc_route(spark, sf_dir):
+    return ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir))).select("table", "seq", "topic", "value")
+
+
+@register("json_decode_cast", with_views("v_cdc_routed") + """
+    select seq, json_extract_string(value, '$.id') as id, json_extract_string(value, '$.user_id') as user_id,
+           cast(json_extract_string(value, '$.total_amount') as double) as total_amount,
+           json_extract_string(value, '$.order_status') as order_status,
+           json_extract_string(value, '$.consignee_tel') as consignee_tel,
+           json_extract_string(value, '$.create_time') as create_time
+    from v_cdc_routed where topic = 'GMALL_ORDER_INFO'""")
+def q_json_decode_cast(spark, sf_dir):
+    routed = ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir)))
+    orders = routed.where(F.col("topic") == ingest.TOPIC_ORDER_INFO).select("seq", "value")
+    return ingest.decode_orders(orders)
+
+
+def _user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir)))
+    users = ingest.decode_users(routed.where(F.col("topic") == ingest.TOPIC_USER_INFO).select("seq", "value"))
+    return ingest.latest_per_key(users, ["id"], "seq").select("id", "login_name", "user_level", "gender", "seq")
+
+
+@register("user_dim_latest", with_views("v_user_latest") + "select * from v_user_latest")
+def q_user_dim_latest(spark, sf_dir):
+    return _user_dim(spark, sf_dir)
+
+
+@register("raw_log_archive", with_views("v_log_routed") + """
+    select strftime(make_timestamp(received_ms * 1000), '%Y-%m-%d') as day, value from v_log_routed""")
+def q_raw_log_archive(spark, sf_dir):
+    routed = ingest.route_logs(fx.v_raw_log(Tables(spark, sf_dir)))
+    path = scratch_path(spark, "raw-log-archive")
+    file_sinks.archive_lines(routed, path)
+    return file_sinks.read_archive(spark, path).select("day", "value")
+
+
+# --- dashboard answers -------------------------------------------------------------
+
+@register("realtime_total", with_views("v_dau", "v_order_enriched") + f"""
+    select 'dau' as id, '{serving.CARD_DAU[1]}' as name,
+           cast((select count(*) from v_dau where logdate = '{DAU_DATE}') as double) as value
+    union all
+    select 'new_mid', '{serving.CARD_NEW_MID[1]}',
+           cast((select count(*) from (select mid, min(logdate) as d from v_dau group by mid)
+                 where d = '{DAU_DATE}') as double)
+    union all
+    select 'order_amount', '{serving.CARD_ORDER_AMOUNT[1]}',
+           round((select sum(total_amount) from v_order_enriched where create_date = '{GMV_DATE}'), 2)""")
+def q_realtime_total(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    lo, hi = day_bounds_ts(DAU_DATE)
+    dau_day = dau_ops.first_start_per_day(fx.v_startup(t, lo, hi))
+    history = dau_ops.first_start_per_day(fx.v_startup(t, None, hi))
+    orders = gmv_ops.enrich_orders(fx.v_order(t, GMV_DATE, day_after(GMV_DATE)))
+    return serving.metric_cards(
+        dau_ops.dau_total(dau_day, DAU_DATE),
+        dau_ops.new_devices_on(history, DAU_DATE),
+        gmv_ops.gmv_total(orders, GMV_DATE).select(F.round("sum_amount", 2)),
+    )
+
+
+_HOURS_SQL = "(select lpad(cast(h as varchar), 2, '0') as hour from range(24) t(h))"
+
+
+@register("realtime_hours_dau", with_views("v_dau") + f"""
+    select x.hour, coalesce(a.today, 0) as today, coalesce(a.yesterday, 0) as yesterday
+    from {_HOURS_SQL} x left join
+         (select loghour as hour, count(*) filter (where logdate = '{DAU_DATE}') as today,
+                 count(*) filter (where logdate = '{day_before(DAU_DATE)}') as yesterday
+          from v_dau where logdate in ('{DAU_DATE}', '{day_before(DAU_DATE)}') group by loghour) a
+    on x.hour = a.hour""")
+def q_realtime_hours_dau(spark, sf_dir):
+    lo, hi = day_bounds_ts(day_before(DAU_DATE), 2)
+    dau = dau_ops.first_start_per_day(fx.v_startup(Tables(spark, sf_dir), lo, hi))
+    per_hour = dau.groupBy("logdate", "loghour").agg(F.count(F.lit(1)).alias("ct"))
+    return serving.today_vs_yesterday(spark, per_hour, DAU_DATE, "logdate", "loghour", "ct")
+
+
+@register("realtime_hours_amount", with_views("v_order_enriched") + f"""
+    select x.hour, round(coalesce(a.today, 0), 2) as today, round(coalesce(a.yesterday, 0), 2) as yesterday
+    from {_HOURS_SQL} x left join
+         (select create_hour as hour,
+                 sum(total_amount) filter (where create_date = '{GMV_DATE}') as today,
+                 sum(total_amount) filter (where create_date = '{day_before(GMV_DATE)}') as yesterday
+          from v_order_enriched where create_date in ('{GMV_DATE}', '{day_before(GMV_DATE)}')
+          group by create_hour) a
+    on x.hour = a.hour""")
+def q_realtime_hours_amount(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    orders = gmv_ops.enrich_orders(fx.v_order(t, day_before(GMV_DATE), day_after(GMV_DATE)))
+    per_hour = orders.groupBy("create_date", "create_hour").agg(F.sum("total_amount").alias("amount"))
+    out = serving.today_vs_yesterday(spark, per_hour, GMV_DATE, "create_date", "create_hour", "amount")
+    return out.select("hour", F.round("today", 2).alias("today"), F.round("yesterday", 2).alias("yesterday"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.run for k, v in REGISTRY.items()}
 

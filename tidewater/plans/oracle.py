@@ -60,6 +60,79 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                date '1955-01-01' + cast((c_custkey * 37) % 18000 as integer) as birthday,
                c_mktsegment as user_level
         from customer where c_custkey % 7 <> 0"""),
+    "v_raw_log": (("v_log",), """
+        select log_id, ts as received_ms, type, mid, uid, area, evid, itemid,
+               '{' || concat_ws(',', '"type":' || to_json(type)::varchar, '"mid":' || to_json(mid)::varchar,
+                                '"uid":' || to_json(uid)::varchar, '"area":' || to_json(area)::varchar,
+                                '"evid":' || to_json(evid)::varchar, '"itemid":' || to_json(itemid)::varchar) || '}' as line
+        from v_log"""),
+    "v_log_routed": (("v_raw_log",), """
+        select log_id, received_ms,
+               case when coalesce(json_extract_string(line, '$.type') = 'startup', false)
+                    then 'GMALL_STARTUP' else 'GMALL_EVENT' end as topic,
+               '{' || concat_ws(',', '"type":' || to_json(type)::varchar, '"mid":' || to_json(mid)::varchar,
+                                '"uid":' || to_json(uid)::varchar, '"area":' || to_json(area)::varchar,
+                                '"evid":' || to_json(evid)::varchar, '"itemid":' || to_json(itemid)::varchar,
+                                '"ts":' || cast(received_ms as varchar)) || '}' as value
+        from v_raw_log"""),
+    "v_cdc": ((), """
+        select 'order_info' as "table",
+               case when o_orderkey % 17 = 0 then 'TRANSACTIONEND' else 'ROWDATA' end as entry_type,
+               case o_orderkey % 5 when 3 then 'UPDATE' when 4 then 'DELETE' else 'INSERT' end as event_type,
+               o_orderkey * 10 as seq,
+               map(['id', 'user_id', 'total_amount', 'order_status', 'consignee_tel', 'create_time'],
+                   [cast(o_orderkey as varchar), cast(o_custkey as varchar),
+                    cast(cast(o_totalprice as decimal(18, 2)) as varchar), o_orderstatus,
+                    '138' || lpad(cast(o_custkey as varchar), 8, '0'),
+                    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')]) as after
+        from orders
+        union all
+        select 'order_detail', case when (l_orderkey * 8 + l_linenumber) % 17 = 0 then 'TRANSACTIONEND' else 'ROWDATA' end,
+               case (l_orderkey * 8 + l_linenumber) % 5 when 3 then 'UPDATE' when 4 then 'DELETE' else 'INSERT' end,
+               (l_orderkey * 8 + l_linenumber) * 10,
+               map(['id', 'order_id', 'sku_id', 'order_price', 'sku_num'],
+                   [cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar), cast(l_orderkey as varchar),
+                    cast(l_partkey as varchar), cast(cast(l_extendedprice as decimal(18, 2)) as varchar),
+                    cast(cast(l_quantity as integer) as varchar)])
+        from lineitem
+        union all
+        select 'user_info', case when c_custkey % 17 = 0 then 'TRANSACTIONEND' else 'ROWDATA' end, 'INSERT',
+               c_custkey * 10,
+               map(['id', 'login_name', 'user_level', 'gender'],
+                   [cast(c_custkey as varchar), c_name, c_mktsegment,
+                    case c_custkey % 3 when 0 then 'F' when 1 then 'M' end])
+        from customer
+        union all
+        select 'user_info', 'ROWDATA', case when c_custkey % 3 = 2 then 'DELETE' else 'UPDATE' end,
+               c_custkey * 10 + 5,
+               map(['id', 'login_name', 'user_level', 'gender'],
+                   [cast(c_custkey as varchar), c_name, lower(c_mktsegment),
+                    case c_custkey % 3 when 0 then 'F' when 1 then 'M' end])
+        from customer where c_custkey % 4 = 1
+        union all
+        select 'base_province', 'ROWDATA', 'INSERT', n_nationkey * 10,
+               map(['id', 'name'], [cast(n_nationkey as varchar), n_name])
+        from nation"""),
+    "v_cdc_routed": (("v_cdc",), """
+        select "table", seq,
+               case when "table" = 'order_info' and event_type = 'INSERT' then 'GMALL_ORDER_INFO'
+                    when "table" = 'order_detail' and event_type = 'INSERT' then 'GMALL_ORDER_DETAIL'
+                    when "table" = 'user_info' and event_type in ('INSERT', 'UPDATE') then 'GMALL_USER_INFO'
+               end as topic,
+               to_json(after)::varchar as value
+        from v_cdc
+        where entry_type = 'ROWDATA'
+          and ((("table" = 'order_info' or "table" = 'order_detail') and event_type = 'INSERT')
+               or ("table" = 'user_info' and event_type in ('INSERT', 'UPDATE')))"""),
+    "v_user_latest": (("v_cdc_routed",), """
+        select id, login_name, user_level, gender, seq
+        from (select json_extract_string(value, '$.id') as id,
+                     json_extract_string(value, '$.login_name') as login_name,
+                     json_extract_string(value, '$.user_level') as user_level,
+                     json_extract_string(value, '$.gender') as gender, seq,
+                     row_number() over (partition by json_extract_string(value, '$.id') order by seq desc) as rn
+              from v_cdc_routed where topic = 'GMALL_USER_INFO')
+        where rn = 1"""),
 }
 
 

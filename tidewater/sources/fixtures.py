@@ -11,10 +11,12 @@ mappings in DuckDB's dialect.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions import date_part_of, epoch_ms, format_datetime, hour_part_of
+from tidewater.functions import date_part_of, day_bounds_ts, epoch_ms, format_datetime, hour_part_of
 from tidewater.sources.tables import Tables
 
 # Fixed values of the fixture mapping (shared with the oracle SQL).
@@ -69,9 +71,29 @@ def v_event(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
     return v_log(t, ts_from, ts_to).where(F.col("type") != "startup")
 
 
-def v_order(t: Tables) -> DataFrame:
-    """Order records with a create time, masked-phone source and province."""
+def v_raw_log(t: Tables) -> DataFrame:
+    """Raw log lines as the collector receives them: JSON text without ``ts``
+    (the intake adds it) and the time the line was received."""
+    logs = v_log(t)
+    line = F.to_json(F.struct("type", "mid", "uid", "area", "evid", "itemid"))
+    return logs.select("log_id", line.alias("line"), F.col("ts").alias("received_ms"))
+
+
+def v_order(t: Tables, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """Order records with a create time, masked-phone source and province.
+
+    ``date_from``/``date_to`` (``yyyy-MM-dd``, half-open on ``create_date``)
+    restrict the scan: the create time lies within a day after the order
+    date, so ``o_orderdate`` in ``(date_from - 1 day, date_to)`` is a safe
+    predicate that the parquet reader can use.
+    """
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    if date_from is not None:
+        lo, _ = day_bounds_ts(date_from)
+        o = o.where(F.col("o_orderdate") > F.lit(lo - _dt.timedelta(days=1)))
+    if date_to is not None:
+        hi, _ = day_bounds_ts(date_to)
+        o = o.where(F.col("o_orderdate") < F.lit(hi))
     c = t.customer.select("c_custkey", "c_nationkey")
     create_ts = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), ((F.col("o_orderkey") * ORDER_SECOND_MULT) % 86400).cast("decimal(18,6)")
