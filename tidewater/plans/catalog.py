@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from tidewater.functions import day_after, day_before, day_bounds_ts
 from tidewater.operators import dau as dau_ops
 from tidewater.operators import gmv as gmv_ops
+from tidewater.operators import alerts as alert_ops
 from tidewater.operators import ingest
+from tidewater.operators import joins as join_ops
+from tidewater.operators import sales as sale_ops
+from tidewater.operators import search as search_ops
 from tidewater.operators import serving
 from tidewater.session import scratch_path
 from tidewater.sinks import files as file_sinks
@@ -244,6 +248,232 @@ def q_realtime_hours_amount(spark, sf_dir):
     return out.select("hour", F.round("today", 2).alias("today"), F.round("yesterday", 2).alias("yesterday"))
 
 
+# --- coupon alerts -------------------------------------------------------------------
+
+_WINDOW_MS = 6 * 3600 * 1000
+_SLIDE_MS = 3600 * 1000
+_ALERTS_SQL = with_views("v_event") + f"""
+    , w as (select mid, uid, evid, itemid, (ts // {_SLIDE_MS}) * {_SLIDE_MS} - k * {_SLIDE_MS} as wstart
+            from v_event cross join range(0, {_WINDOW_MS // _SLIDE_MS}) r(k))
+    , g as (select wstart, mid,
+                   count(distinct uid) filter (where evid = 'coupon') as n_uids,
+                   string_agg(distinct uid, ',' order by uid) filter (where evid = 'coupon') as uids,
+                   string_agg(distinct itemid, ',' order by itemid) filter (where evid = 'coupon') as item_ids,
+                   coalesce(bool_or(evid = 'clickItem'), false) as clicked
+            from w group by wstart, mid)
+    , e as (select wstart, mid, string_agg(evid || ':' || cast(n as varchar), ','
+                                           order by evid || ':' || cast(n as varchar)) as events
+            from (select wstart, mid, evid, count(*) as n from w group by wstart, mid, evid)
+            group by wstart, mid)
+    , alerts as (
+        select g.mid, strftime(make_timestamp(g.wstart * 1000), '%Y-%m-%d %H:%M:%S') as window_start,
+               strftime(make_timestamp((g.wstart + {_WINDOW_MS}) * 1000), '%Y-%m-%d %H:%M:%S') as window_end,
+               g.uids, g.item_ids, e.events, g.wstart + {_WINDOW_MS} as ts
+        from g join e on g.wstart = e.wstart and g.mid = e.mid
+        where g.n_uids >= {alert_ops.MIN_ACCOUNTS} and not g.clicked)
+"""
+
+
+def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = fx.v_event(Tables(spark, sf_dir)).select("mid", "uid", "evid", "itemid", "ts")
+    return alert_ops.coupon_alerts(events, ALERT_WINDOW, ALERT_SLIDE)
+
+
+@register("coupon_alerts", _ALERTS_SQL + "select * from alerts")
+def q_coupon_alerts(spark, sf_dir):
+    return _alerts(spark, sf_dir)
+
+
+@register("coupon_alerts_latest", _ALERTS_SQL + """
+    select day, doc_id, mid, window_start, window_end, uids, item_ids, events, ts
+    from (select *, row_number() over (partition by day, doc_id order by ts desc) as rn
+          from (select *, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') as day,
+                       mid || '-' || strftime(make_timestamp(ts * 1000), '%H:%M') as doc_id
+                from alerts))
+    where rn = 1""")
+def q_coupon_alerts_latest(spark, sf_dir):
+    return alert_ops.latest_alert_per_doc(_alerts(spark, sf_dir))
+
+
+# --- sale detail ----------------------------------------------------------------------
+
+_SALE_VERSION = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
+_SALE_OUT = ("doc_id",) + sale_ops.SALE_COLUMNS
+
+
+def _order_and_details(spark: SparkSession, sf_dir: str):
+    t = Tables(spark, sf_dir)
+    orders = fx.v_order(t)
+    return orders, fx.v_detail(t, orders)
+
+
+def _sale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upserted sale-detail table: every line with its order, enriched,
+    one row per document id (newest version)."""
+    orders, details = _order_and_details(spark, sf_dir)
+    wide = sale_ops.inner_join(orders, details, extra=_SALE_VERSION)
+    enriched = sale_ops.enrich_with_users(wide, fx.v_user(Tables(spark, sf_dir)), AGE_ASOF)
+    latest = sale_ops.latest_per_doc(enriched, _SALE_VERSION + ("sku_price",))
+    return latest.select(*_SALE_OUT)
+
+
+@register("order_detail_interval_join", with_views("v_sale_interval") + "select * from v_sale_interval")
+def q_order_detail_interval_join(spark, sf_dir):
+    orders, details = _order_and_details(spark, sf_dir)
+    return sale_ops.interval_join(orders, details)
+
+
+@register("order_detail_full_outer", with_views("v_order", "v_detail") + """
+    select coalesce(o.id, d.order_id) as order_id, d.id as order_detail_id, o.order_status, o.create_time,
+           o.user_id, d.sku_id, cast(d.order_price as double) as sku_price, o.create_date as dt
+    from v_order o full outer join v_detail d on o.id = d.order_id""")
+def q_order_detail_full_outer(spark, sf_dir):
+    orders, details = _order_and_details(spark, sf_dir)
+    return sale_ops.full_outer_join(orders, details)
+
+
+@register("sale_detail_enriched", with_views("v_sale_interval", "v_user") + f"""
+    select s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
+           u.gender as user_gender,
+           coalesce(cast(date_diff('day', u.birthday, date '{AGE_ASOF}') // 365 as integer), 0) as user_age,
+           u.user_level, s.sku_price, s.sku_name, s.dt
+    from v_sale_interval s left join v_user u on s.user_id = u.id""")
+def q_sale_detail_enriched(spark, sf_dir):
+    orders, details = _order_and_details(spark, sf_dir)
+    joined = sale_ops.interval_join(orders, details)
+    return sale_ops.enrich_with_users(joined, fx.v_user(Tables(spark, sf_dir)), AGE_ASOF)
+
+
+@register("sale_detail_upsert", with_views("v_sale_table") + "select * from v_sale_table")
+def q_sale_detail_upsert(spark, sf_dir):
+    return _sale_table(spark, sf_dir)
+
+
+# --- search over the sale-detail table ----------------------------------------------------
+
+def _kw_list(keyword: str) -> str:
+    return "[" + ", ".join(f"'{t}'" for t in search_ops._keyword_tokens(keyword)) + "]"
+
+
+def _hits_sql(dt: str | None, keyword: str) -> str:
+    date_pred = f"dt = '{dt}' and " if dt else ""
+    return f"(select * from v_sale_tokens where {date_pred}list_has_all(toks, {_kw_list(keyword)}))"
+
+
+def _bm25_sql(dt: str | None, keyword: str) -> str:
+    k1, b = search_ops.BM25_K1, search_ops.BM25_B
+    return f"""
+    , stats as (select count(*) as n, avg(dl) as avgdl from v_sale_tokens)
+    , dfs as (select term, count(*) as df from (select unnest(toks) as term from v_sale_tokens)
+              where list_contains({_kw_list(keyword)}, term) group by term)
+    , q as (select unnest({_kw_list(keyword)}) as term)
+    , hits as {_hits_sql(dt, keyword)}
+    , scored as (
+        select h.doc_id, sum(ln(1 + (s.n - coalesce(d.df, 0) + 0.5) / (coalesce(d.df, 0) + 0.5))
+                             * tf * {k1 + 1.0} / (tf + {k1} * ({1.0 - b} + {b} * h.dl / s.avgdl))) as score
+        from (select h.*, q.term,
+                     len(list_filter(regexp_split_to_array(lower(h.sku_name), '[^\\p{{L}}\\p{{N}}]+'),
+                                     lambda x: x = q.term)) as tf
+              from hits h cross join q) h
+        cross join stats s left join dfs d on d.term = h.term
+        group by h.doc_id)
+"""
+
+
+def _search_hits(spark: SparkSession, sf_dir: str, dt: str | None, keyword: str):
+    table = _sale_table(spark, sf_dir)
+    found = table.where(search_ops.all_tokens_match("sku_name", keyword))
+    if dt is not None:
+        found = found.where(F.col("dt") == dt)
+    return table, found
+
+
+@register("search_total", with_views("v_sale_tokens") + f"""
+    select count(*) as total from {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}""")
+def q_search_total(spark, sf_dir):
+    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    return search_ops.total(found)
+
+
+@register("facet_age", with_views("v_sale_tokens") + f"""
+    select user_age, count(*) as cnt from {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}
+    group by user_age order by cnt desc, user_age limit {search_ops.AGE_FACET_SIZE}""")
+def q_facet_age(spark, sf_dir):
+    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    return search_ops.facet_age(found)
+
+
+@register("facet_gender", with_views("v_sale_tokens") + f"""
+    select user_gender, count(*) as cnt from {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}
+    where user_gender is not null
+    group by user_gender order by cnt desc, user_gender limit {search_ops.GENDER_FACET_SIZE}""")
+def q_facet_gender(spark, sf_dir):
+    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    return search_ops.facet_gender(found)
+
+
+@register("age_gender_ratio", with_views("v_sale_tokens") + f"""
+    , hits as {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}
+    , fa as (select user_age, count(*) as cnt from hits group by user_age
+             order by cnt desc, user_age limit {search_ops.AGE_FACET_SIZE})
+    , fg as (select user_gender, count(*) as cnt from hits where user_gender is not null
+             group by user_gender order by cnt desc, user_gender limit {search_ops.GENDER_FACET_SIZE})
+    , r as (select total,
+                   ((select coalesce(sum(cnt), 0) from fa where user_age < 20) * 1000 // total) / 10.0 as a,
+                   ((select coalesce(sum(cnt), 0) from fa where user_age >= 20 and user_age < 30) * 1000 // total) / 10.0 as b,
+                   ((select coalesce(sum(cnt), 0) from fg where user_gender = 'F') * 1000 // total) / 10.0 as f
+            from (select count(*) as total from hits) where total > 0)
+    select 1 as pos, '{search_ops.m.AGE_TITLE}' as title, '{search_ops.m.AGE_UNDER_20}' as name, a as value from r
+    union all select 2, '{search_ops.m.AGE_TITLE}', '{search_ops.m.AGE_20_TO_29}', b from r
+    union all select 3, '{search_ops.m.AGE_TITLE}', '{search_ops.m.AGE_30_PLUS}', 100.0 - a - b from r
+    union all select 4, '{search_ops.m.GENDER_TITLE}', '{search_ops.m.MALE}', 100.0 - f from r
+    union all select 5, '{search_ops.m.GENDER_TITLE}', '{search_ops.m.FEMALE}', f from r""")
+def q_age_gender_ratio(spark, sf_dir):
+    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    return search_ops.age_gender_shares(found)
+
+
+@register("sale_search_bm25", with_views("v_sale_tokens") + _bm25_sql(None, BM25_KEYWORD) + """
+    select doc_id, round(score, 6) as score from scored""")
+def q_sale_search_bm25(spark, sf_dir):
+    table, found = _search_hits(spark, sf_dir, None, BM25_KEYWORD)
+    scored = search_ops.bm25_scores(table, found, BM25_KEYWORD)
+    return scored.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@register("sale_search_page", with_views("v_sale_tokens") + _bm25_sql(SEARCH_DT, SEARCH_KEYWORD) + f"""
+    select t.doc_id, t.order_detail_id, t.order_id, t.order_status, t.create_time, t.user_id, t.sku_id,
+           t.user_gender, t.user_age, t.user_level, t.sku_price, t.sku_name, t.dt, round(s.score, 6) as score
+    from scored s join v_sale_tokens t on s.doc_id = t.doc_id
+    order by s.score desc, s.doc_id
+    limit {SEARCH_PAGE_SIZE} offset {(SEARCH_PAGE - 1) * SEARCH_PAGE_SIZE}""")
+def q_sale_search_page(spark, sf_dir):
+    table, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    scored = search_ops.bm25_scores(table, found, SEARCH_KEYWORD)
+    page = search_ops.ranked_page(scored, SEARCH_PAGE, SEARCH_PAGE_SIZE)
+    return page.withColumn("score", F.round("score", 6))
+
+
+# --- join demo ---------------------------------------------------------------------------
+
+_DOD_SQL = with_views("v_dau") + """
+    select coalesce(l.mid, r.mid) as mid, coalesce(l.logdate, r.next_day) as day,
+           l.uid as today_uid, r.uid as yesterday_uid
+    from v_dau l {how} join
+         (select mid, strftime(cast(logdate as date) + 1, '%Y-%m-%d') as next_day, uid from v_dau) r
+      on l.mid = r.mid and l.logdate = r.next_day"""
+
+
+def _register_join(kind: str, sql_kind: str) -> None:
+    @register(f"join_{kind}", _DOD_SQL.format(how=sql_kind))
+    def run(spark, sf_dir):
+        return join_ops.day_over_day(_dau_table(spark, sf_dir), kind)
+
+
+for _kind, _sql_kind in (("inner", "inner"), ("left", "left"), ("right", "right"), ("full", "full outer")):
+    _register_join(_kind, _sql_kind)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.run for k, v in REGISTRY.items()}
 

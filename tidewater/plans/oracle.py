@@ -133,6 +133,38 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                      row_number() over (partition by json_extract_string(value, '$.id') order by seq desc) as rn
               from v_cdc_routed where topic = 'GMALL_USER_INFO')
         where rn = 1"""),
+    "v_sale_inner": (("v_order", "v_detail"), """
+        select d.id as order_detail_id, o.id as order_id, o.order_status, o.create_time, o.user_id, d.sku_id,
+               d.sku_name, cast(d.order_price as double) as sku_price, o.create_date as dt,
+               d.l_shipdate, d.l_partkey, d.l_suppkey, d.l_quantity
+        from v_order o join v_detail d on o.id = d.order_id"""),
+    "v_sale_interval": (("v_order", "v_detail"), """
+        select d.id as order_detail_id, o.id as order_id, o.order_status, o.create_time, o.user_id, d.sku_id,
+               d.sku_name, cast(d.order_price as double) as sku_price, o.create_date as dt
+        from v_order o join v_detail d
+          on o.id = d.order_id
+         and d.arrival_ts between o.create_ts - interval 120 second and o.create_ts + interval 120 second"""),
+    "v_sale_enriched_all": (("v_sale_inner", "v_user"), """
+        select s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
+               u.gender as user_gender,
+               coalesce(cast(date_diff('day', u.birthday, date '2001-08-01') // 365 as integer), 0) as user_age,
+               u.user_level, s.sku_price, s.sku_name, s.dt, s.l_shipdate, s.l_partkey, s.l_suppkey, s.l_quantity
+        from v_sale_inner s left join v_user u on s.user_id = u.id"""),
+    "v_sale_table": (("v_sale_enriched_all",), """
+        select doc_id, order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender,
+               user_age, user_level, sku_price, sku_name, dt
+        from (select *, order_id || '_' || order_detail_id as doc_id,
+                     row_number() over (partition by order_id, order_detail_id
+                                        order by l_shipdate desc, l_partkey desc, l_suppkey desc,
+                                                 l_quantity desc, sku_price desc) as rn
+              from v_sale_enriched_all)
+        where rn = 1"""),
+    "v_sale_tokens": (("v_sale_table",), r"""
+        select *, list_distinct(list_filter(regexp_split_to_array(lower(sku_name), '[^\p{L}\p{N}]+'),
+                                            lambda t: t <> '')) as toks,
+                  len(list_filter(regexp_split_to_array(lower(sku_name), '[^\p{L}\p{N}]+'),
+                                  lambda t: t <> '')) as dl
+        from v_sale_table"""),
 }
 
 
