@@ -106,10 +106,12 @@ def decode_users(values: DataFrame, value_col: str = "value") -> DataFrame:
     return values.select(*keep, rec.alias("_r")).select(*keep, "_r.*")
 
 
-def latest_per_key(df: DataFrame, keys, version: str) -> DataFrame:
+def latest_per_key(df: DataFrame, keys, version: str, keep: str = "max") -> DataFrame:
     """Newest row per key by ``version`` (a grouped ``max_by``: partial
-    aggregation on the map side, no sort of the whole group)."""
+    aggregation on the map side, no sort of the whole group).  ``keep="min"``
+    keeps the oldest instead."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    out = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_last"))
+    pick = F.max_by if keep == "max" else F.min_by
+    out = df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(version)).alias("_last"))
     return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])

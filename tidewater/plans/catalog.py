@@ -25,6 +25,7 @@ from tidewater.operators import search as search_ops
 from tidewater.operators import serving
 from tidewater.session import scratch_path
 from tidewater.sinks import files as file_sinks
+from tidewater.streaming import jobs as stream_jobs
 from tidewater.plans.oracle import with_views
 from tidewater.sources import fixtures as fx
 from tidewater.sources.tables import Tables
@@ -474,6 +475,48 @@ for _kind, _sql_kind in (("inner", "inner"), ("left", "left"), ("right", "right"
     _register_join(_kind, _sql_kind)
 
 
+# --- streaming twins (same answers as the batch keys) ----------------------------------------
+#
+# Each key runs its streaming job over the driver's files with an
+# ``availableNow`` trigger (the backlog in micro-batches, then stop), with a
+# fresh checkpoint under the session's checkpoint root, and returns the table
+# the job wrote.
+
+_AVAILABLE_NOW = {"availableNow": True}
+
+
+@register("stream_dau_dedup", REGISTRY["startup_first_per_day"].sql)
+def q_stream_dau_dedup(spark, sf_dir):
+    _, run = stream_jobs.run_dau(spark, sf_dir, trigger=_AVAILABLE_NOW)
+    cols = q_startup_first_per_day(spark, sf_dir).columns
+    return stream_jobs.read_dau(spark, run).select(*cols)
+
+
+@register("stream_dau_by_hour", REGISTRY["dau_by_hour"].sql)
+def q_stream_dau_by_hour(spark, sf_dir):
+    _, run = stream_jobs.run_dau(spark, sf_dir, trigger=_AVAILABLE_NOW)
+    return dau_ops.dau_by_hour(stream_jobs.read_dau(spark, run), DAU_DATE)
+
+
+@register("stream_coupon_alerts", REGISTRY["coupon_alerts"].sql)
+def q_stream_coupon_alerts(spark, sf_dir):
+    _, run = stream_jobs.run_alert_counts(spark, sf_dir, ALERT_WINDOW, ALERT_SLIDE, trigger=_AVAILABLE_NOW)
+    return stream_jobs.read_alerts(spark, run)
+
+
+@register("stream_order_join", REGISTRY["order_detail_interval_join"].sql)
+def q_stream_order_join(spark, sf_dir):
+    _, run = stream_jobs.run_order_join(spark, sf_dir, trigger=_AVAILABLE_NOW)
+    cols = q_order_detail_interval_join(spark, sf_dir).columns
+    return spark.read.parquet(run.table).select(*cols)
+
+
+@register("stream_upsert", with_views("v_sale_stream_table") + "select * from v_sale_stream_table")
+def q_stream_upsert(spark, sf_dir):
+    _, run = stream_jobs.run_sale_upsert(spark, sf_dir, AGE_ASOF, trigger=_AVAILABLE_NOW)
+    return stream_jobs.read_sale_table(spark, run)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.run for k, v in REGISTRY.items()}
 

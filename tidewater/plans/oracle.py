@@ -165,6 +165,25 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                   len(list_filter(regexp_split_to_array(lower(sku_name), '[^\p{L}\p{N}]+'),
                                   lambda t: t <> '')) as dl
         from v_sale_table"""),
+    "v_sale_stream_table": (("v_order", "v_detail", "v_user"), """
+        select doc_id, order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender,
+               user_age, user_level, sku_price, sku_name, dt
+        from (select *, order_id || '_' || order_detail_id as doc_id,
+                     row_number() over (partition by order_id, order_detail_id
+                                        order by l_shipdate desc, l_partkey desc, l_suppkey desc,
+                                                 l_quantity desc, sku_price desc) as rn
+              from (select d.id as order_detail_id, o.id as order_id, o.order_status, o.create_time, o.user_id,
+                           d.sku_id, u.gender as user_gender,
+                           coalesce(cast(date_diff('day', u.birthday, date '2001-08-01') // 365 as integer), 0)
+                               as user_age,
+                           u.user_level, cast(d.order_price as double) as sku_price, d.sku_name, o.create_date as dt,
+                           d.l_shipdate, d.l_partkey, d.l_suppkey, d.l_quantity
+                    from v_order o
+                    join v_detail d
+                      on o.id = d.order_id
+                     and d.arrival_ts between o.create_ts - interval 120 second and o.create_ts + interval 120 second
+                    left join v_user u on o.user_id = u.id))
+        where rn = 1"""),
 }
 
 

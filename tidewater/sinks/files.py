@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import log_date
+from tidewater.sinks.upsert import balanced_for_write
 
 
 def archive_lines(lines: DataFrame, path: str, value_col: str = "value", ts_col: str = "received_ms") -> None:
     """Durable raw copy: one JSON text a line, one folder per UTC day.
 
     ``append`` adds new files next to earlier ones (the daily rolling file of
-    the reference); each task writes its own file, so no single writer holds
-    a whole day.
+    the reference).  Each day is written by one task, a hot day by as many
+    as its size needs.
     """
     out = lines.select(F.col(value_col).alias("value"), log_date(ts_col).alias("day"))
-    out.write.mode("append").partitionBy("day").text(path)
+    balanced_for_write(out, "day", F.xxhash64("value")).write.mode("append").partitionBy("day").text(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

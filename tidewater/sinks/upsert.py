@@ -13,15 +13,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tidewater.operators.ingest import latest_per_key
 
 # Bound on the partition values of one batch that are listed on the driver to
 # prune the read of the existing table (days of a micro-batch: a handful).
 MAX_TOUCHED_PARTITIONS = 10_000
+# Target size of one written file, in rows.
+ROWS_PER_FILE = 2_000_000
 
 
 def _any_null(keys: list[str]):
@@ -29,11 +30,31 @@ def _any_null(keys: list[str]):
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    """Whether a table folder exists (a file-system check, no read attempt)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
+def balanced_for_write(df: DataFrame, partition_col: str, salt_key: Column,
+                       rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Shuffle rows so each partition value is written by as few tasks as its
+    size needs: one task (one file) for a normal value, ``ceil(rows /
+    rows_per_file)`` tasks for a hot one (a value holding a third of the batch
+    is spread, not funnelled into one writer).
+
+    The per-value row counts are one small aggregate (one row per partition
+    value of the batch); only the hot values enter the salt map.
+    """
+    sizes = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.where(F.col("n") > rows_per_file).limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if not hot or len(hot) > MAX_TOUCHED_PARTITIONS:
+        return df.repartition(partition_col)
+    salts = F.create_map(*[x for r in hot for x in (F.lit(r[0]), F.lit(-(-r[1] // rows_per_file)))])
+    n_salts = F.coalesce(F.element_at(salts, F.col(partition_col)), F.lit(1))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_key), n_salts.cast("long")))
+    return salted.repartition(partition_col, "_salt").drop("_salt")
 
 
 def upsert(
@@ -43,16 +64,30 @@ def upsert(
     keys: list[str],
     version: str,
     partition_col: str,
+    keep: str = "max",
 ) -> None:
-    """Merge ``batch`` into the table at ``path``, newest ``version`` per key.
+    """Merge ``batch`` into the table at ``path``, newest ``version`` per key
+    (``keep="min"``: the oldest).
 
     Rows whose key is null are appended as they are (a document without id).
+    The batch is persisted for the two passes over it (touched partitions,
+    merge) so a micro-batch's input and state are not evaluated twice.
     """
+    batch = batch.persist()
+    try:
+        _merge(spark, batch, path, keys, version, partition_col, keep)
+    finally:
+        batch.unpersist()
+
+
+def _merge(spark, batch, path, keys, version, partition_col, keep):
+    touched_rows = batch.select(partition_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if not touched_rows:
+        return  # an empty micro-batch changes nothing
     with_key = batch.where(~_any_null(keys))
     no_key = batch.where(_any_null(keys))
     merged = with_key
     if _exists(spark, path):
-        touched_rows = batch.select(partition_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
         existing = spark.read.parquet(path).select(*batch.columns)
         if len(touched_rows) <= MAX_TOUCHED_PARTITIONS:
             touched = [r[0] for r in touched_rows]
@@ -63,10 +98,16 @@ def upsert(
         existing_nokey = existing.where(_any_null(keys))
         merged = existing_keyed.unionByName(with_key)
         no_key = existing_nokey.unionByName(no_key)
-    result = latest_per_key(merged, keys, version).select(*batch.columns).unionByName(no_key)
-    (
-        result.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+    result = latest_per_key(merged, keys, version, keep).select(*batch.columns).unionByName(no_key)
+    result = result.persist()
+    try:
+        salt_key = F.xxhash64(*[F.col(k) for k in keys])
+        (
+            balanced_for_write(result, partition_col, salt_key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_col)
+            .parquet(path)
+        )
+    finally:
+        result.unpersist()
