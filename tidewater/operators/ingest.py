@@ -50,18 +50,24 @@ def log_topic(line: Column) -> Column:
     return F.when(is_startup, F.lit(TOPIC_STARTUP)).otherwise(F.lit(TOPIC_EVENT))
 
 
-def stamp(line: Column, received_ms: Column) -> Column:
-    """Decode a log line, put the intake time into ``ts`` (replacing a client
-    value) and encode it again; unknown fields are dropped, null ones omitted."""
-    parsed = F.from_json(line, LOG_WIRE_SCHEMA)
-    return F.to_json(parsed.withField("ts", received_ms.cast("long")))
+def stamp(df: DataFrame, line_col: str, received_col: str, out_col: str = "value") -> DataFrame:
+    """Decode each log line once, put the intake time into ``ts`` (replacing
+    a client value) and encode it again; unknown fields are dropped, null
+    ones omitted.
+
+    The parsed record is a column of its own and the output struct is built
+    from its fields: updating the parsed struct in place (``withField``)
+    expands into one JSON parse per field.
+    """
+    fields = [f.name for f in LOG_WIRE_SCHEMA.fields if f.name != "ts"]
+    parsed = df.withColumn("_rec", F.from_json(F.col(line_col), LOG_WIRE_SCHEMA))
+    rebuilt = F.struct(*[F.col("_rec")[f].alias(f) for f in fields], F.col(received_col).cast("long").alias("ts"))
+    return parsed.withColumn(out_col, F.when(F.col("_rec").isNotNull(), F.to_json(rebuilt))).drop("_rec")
 
 
 def route_logs(raw: DataFrame, line_col: str = "line", received_col: str = "received_ms") -> DataFrame:
     """Raw log lines -> ``(topic, value)`` with the intake stamp applied."""
-    return raw.withColumn("topic", log_topic(F.col(line_col))).withColumn(
-        "value", stamp(F.col(line_col), F.col(received_col))
-    )
+    return stamp(raw.withColumn("topic", log_topic(F.col(line_col))), line_col, received_col)
 
 
 def cdc_topic(table: Column, event_type: Column) -> Column:

@@ -124,14 +124,17 @@ def v_detail(t: Tables, orders: DataFrame | None = None) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     p = t.part.select("p_partkey", "p_name")
+    # Joined on the string order id, the key the sale-detail join uses as
+    # well: the lines come out of this join already hash-partitioned by it,
+    # so the later order/line join does not shuffle the largest table again.
     o = (orders if orders is not None else v_order(t)).select(
-        F.col("o_orderkey").alias("_ok"), F.col("id").alias("order_id"), F.col("create_ts").alias("_cts")
+        F.col("id").alias("order_id"), F.col("create_ts").alias("_cts")
     )
     offset = (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 97) % LINE_OFFSET_MOD - LINE_OFFSET_SHIFT
     arrival = F.col("_cts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), offset.cast("decimal(18,6)"))
     return (
         li.join(p, li.l_partkey == p.p_partkey, "inner")
-        .join(o, F.col("l_orderkey") == F.col("_ok"), "inner")
+        .join(o, F.col("l_orderkey").cast("string") == F.col("order_id"), "inner")
         .select(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
             "order_id",
