@@ -28,6 +28,8 @@ from tidewater.functions.time import (
     log_hour,
     minute_key,
     ms_to_timestamp,
+    or_default,
+    today,
 )
 
 __all__ = [
@@ -35,5 +37,5 @@ __all__ = [
     "all_tokens_match", "doc_id", "json_field", "mask_phone", "token_list", "tokens",
     "date_part_of", "day_after", "day_before", "day_bounds_ms", "day_bounds_ts", "epoch_ms",
     "format_datetime", "hour_part_of", "log_date", "log_hour", "minute_key",
-    "ms_to_timestamp",
+    "ms_to_timestamp", "or_default", "today",
 ]

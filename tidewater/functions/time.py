@@ -76,3 +76,13 @@ def day_bounds_ts(date_str: str, days: int = 1) -> tuple[_dt.datetime, _dt.datet
     """Naive UTC datetimes ``[start, start + days)`` for TIMESTAMP_NTZ columns."""
     start = _dt.datetime.combine(_dt.date.fromisoformat(date_str), _dt.time())
     return start, start + _dt.timedelta(days=days)
+
+
+def today() -> Column:
+    """Today's date as ``yyyy-MM-dd`` (the query's start time, session zone)."""
+    return F.date_format(F.current_date(), "yyyy-MM-dd")
+
+
+def or_default(value, default) -> Column:
+    """An empty or missing request value falls back to ``default``."""
+    return F.coalesce(F.nullif(_col(value), F.lit("")), F.lit(default))

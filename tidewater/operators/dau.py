@@ -80,3 +80,16 @@ def new_devices_on(dau: DataFrame, date: str) -> DataFrame:
     """Number of devices first seen on ``date`` (one row, 0 if none)."""
     first_day = dau.groupBy("mid").agg(F.min("logdate").alias("first_day"))
     return first_day.where(F.col("first_day") == date).agg(F.count(F.lit(1)).alias("new_mid"))
+
+
+def count_stage(df: DataFrame, name: str) -> DataFrame:
+    """Count the rows passing a stage as a side metric of the same job
+    (``df.observe``), instead of a separate ``count()`` action."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
+def first_arrival_per_day(dated_logs: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """Streaming dedup that keeps the first *arrival* per ``(mid, logdate)``;
+    state older than the watermark is dropped (rows later than ``lateness``
+    are dropped too).  ``dated_logs`` needs an ``event_ts`` timestamp."""
+    return dated_logs.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(list(DAU_KEYS))

@@ -165,3 +165,31 @@ def ranked_page(scored: DataFrame, page: int, size: int) -> DataFrame:
     """Page ``page`` (1-based) of ``size`` hits by score, ties by doc id."""
     offset = (page - 1) * size
     return scored.orderBy(F.desc("score"), F.asc("doc_id")).offset(offset).limit(size)
+
+
+def sale_detail_answer(shares: DataFrame, page: DataFrame, found: DataFrame) -> DataFrame:
+    """The reference's JSON answer ``{"total", "stat": [{title, options:
+    [{name, value}]}], "detail": [...]}`` as one row; ``{}`` when nothing
+    was found.
+
+    Only bounded inputs are folded into the row: five share rows and one
+    page of hits; the total is a count.
+    """
+    stat = (
+        shares.groupBy("title").agg(
+            F.min("pos").alias("pos"),
+            F.array_sort(F.collect_list(F.struct("pos", "name", "value"))).alias("opts"),
+        )
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "title", "opts"))).alias("stat"))
+        .select(F.transform("stat", lambda s: F.struct(
+            s["title"].alias("title"),
+            F.transform(s["opts"], lambda o: F.struct(o["name"].alias("name"), o["value"].alias("value"))).alias("options"),
+        )).alias("stat"))
+    )
+    detail = page.agg(F.collect_list(F.struct(*[F.col(c) for c in page.columns])).alias("detail"))
+    n = total(found).scalar()
+    answer = stat.select(
+        F.when(n > 0, F.to_json(F.struct(n.alias("total"), F.col("stat"), detail.select("detail").scalar().alias("detail"))))
+        .otherwise(F.lit("{}")).alias("json")
+    )
+    return answer

@@ -18,12 +18,19 @@ CARD_ORDER_AMOUNT = ("order_amount", "新增交易额")
 HOURS = 24
 
 
-def metric_cards(dau_count: DataFrame, new_mid_count: DataFrame, order_amount: DataFrame) -> DataFrame:
-    """Three one-row aggregates -> rows ``(id, name, value)``.
+# Defaults of an empty request parameter.
+DEFAULT_DATE = "2019-03-04"
+DEFAULT_KEYWORD = ""
 
-    Each input is a one-column, one-row DataFrame; the union keeps them as
-    separate Spark jobs' worth of work only where they share no scan.
-    """
+
+def request_params(date: str | None, keyword: str | None) -> tuple[str, str]:
+    """Driver-side defaults for the dashboard's query parameters."""
+    return (date or DEFAULT_DATE, keyword if keyword else DEFAULT_KEYWORD)
+
+
+def metric_cards(dau_count: DataFrame, new_mid_count: DataFrame, order_amount: DataFrame) -> DataFrame:
+    """Three one-row aggregates -> rows ``(id, name, value)`` (a union of
+    one-row results; each input is a one-column, one-row DataFrame)."""
     def card(df: DataFrame, ident: tuple[str, str]) -> DataFrame:
         value = F.col(df.columns[0]).cast("double")
         return df.select(F.lit(ident[0]).alias("id"), F.lit(ident[1]).alias("name"), value.alias("value"))

@@ -28,3 +28,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 def show_rows(df: DataFrame, n: int = 100) -> None:
     """Console sink of the reference's debug output (up to ``n`` rows)."""
     df.show(n, truncate=False)
+
+
+def console_stream(df: DataFrame, checkpoint: str, n: int = 100, trigger: dict | None = None):
+    """Console sink of a stream (debug output of up to ``n`` rows a batch)."""
+    writer = df.writeStream.format("console").option("numRows", n).option("truncate", False)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()

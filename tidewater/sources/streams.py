@@ -61,3 +61,12 @@ class StreamTables:
                 return table_stream(self.spark, self.sf_dir, name, self.max_files)
             return getattr(self.static, name)
         raise AttributeError(name)
+
+
+def union_topics(*streams: DataFrame) -> DataFrame:
+    """One stream out of several subscriptions (columns matched by name;
+    a column missing in one input is null there)."""
+    out = streams[0]
+    for other in streams[1:]:
+        out = out.unionByName(other, allowMissingColumns=True)
+    return out
