@@ -15,15 +15,30 @@ from tidewater.session import prepare_session
 from tidewater.sources.tables import TABLES, table_path
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath)) and bool(fs.getFileStatus(hpath).isDirectory())
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the files of one table; the schema is taken from the files'
-    footers (a streaming source needs it up front)."""
+    """Stream the files of one table: ``sf_dir/name/`` when it is a folder of
+    files (each file a unit of arrival), else the single ``sf_dir/name.parquet``.
+    The schema is taken from the files' footers (a stream needs it up front)."""
     prepare_session(spark)
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    folder = f"{sf_dir.rstrip('/')}/{name}"
+    if _is_dir(spark, folder):
+        schema = spark.read.parquet(folder).schema
+        reader = spark.readStream.schema(schema)
+        src = folder
+    else:
+        schema = spark.read.parquet(table_path(sf_dir, name)).schema
+        reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        src = sf_dir
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    return reader.parquet(src)
 
 
 def json_lines_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -46,11 +61,12 @@ class StreamTables:
     dimension tables that streams join against."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, streamed=("events", "orders", "lineitem"),
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, stream_dir: str | None = None):
         from tidewater.sources.tables import Tables
 
         self.spark = prepare_session(spark)
         self.sf_dir = sf_dir
+        self.stream_dir = stream_dir or sf_dir
         self.streamed = set(streamed)
         self.max_files = max_files_per_trigger
         self.static = Tables(spark, sf_dir)
@@ -58,7 +74,7 @@ class StreamTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             if name in self.streamed:
-                return table_stream(self.spark, self.sf_dir, name, self.max_files)
+                return table_stream(self.spark, self.stream_dir, name, self.max_files)
             return getattr(self.static, name)
         raise AttributeError(name)
 

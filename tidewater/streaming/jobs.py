@@ -83,9 +83,10 @@ def dau_stream(startup_logs: DataFrame, lateness: str = DAU_LATENESS) -> DataFra
 
 
 def run_dau(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
-            max_files_per_trigger: int | None = None):
+            max_files_per_trigger: int | None = None, stream_dir: str | None = None):
     run = run or StreamRun.fresh(spark, "stream-dau")
-    t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger)
+    t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger,
+                     stream_dir=stream_dir)
     rows = dau_stream(fx.v_startup(t))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -99,16 +100,19 @@ def run_dau(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trig
 
 
 def read_dau(spark: SparkSession, run: StreamRun) -> DataFrame:
-    return spark.read.parquet(run.table).drop("_rank")
+    # A yyyy-MM-dd folder name is read back as a DATE; the column is a string.
+    table = spark.read.parquet(run.table)
+    return table.withColumn("logdate", F.col("logdate").cast("string")).drop("_rank")
 
 
 # --- coupon alerts ----------------------------------------------------------------------
 
 def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.WINDOW, slide: str = alert_ops.SLIDE,
                      run: StreamRun | None = None, trigger: dict | None = None, lateness: str = ALERT_LATENESS,
-                     max_files_per_trigger: int | None = None):
+                     max_files_per_trigger: int | None = None, stream_dir: str | None = None):
     run = run or StreamRun.fresh(spark, "stream-alerts")
-    t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger)
+    t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger,
+                     stream_dir=stream_dir)
     events = alert_ops.with_event_time(fx.v_event(t).select("mid", "uid", "evid", "itemid", "ts"))
     counts = alert_ops.window_evid_counts(events.withWatermark("event_ts", lateness), window, slide)
 
@@ -138,12 +142,14 @@ SALE_VERSION = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
 
 def order_line_stream(spark: SparkSession, sf_dir: str, wait_seconds: int = sale_ops.JOIN_WAIT_SECONDS,
                       lateness: str = JOIN_LATENESS, max_files_per_trigger: int | None = None,
-                      extra=()) -> DataFrame:
+                      extra=(), stream_dir: str | None = None) -> DataFrame:
     """Orders and lines as two streams joined within the wait bound."""
     static = Tables(spark, sf_dir)
-    orders = fx.v_order(StreamTables(spark, sf_dir, streamed=("orders",), max_files_per_trigger=max_files_per_trigger))
+    orders = fx.v_order(StreamTables(spark, sf_dir, streamed=("orders",), max_files_per_trigger=max_files_per_trigger,
+                                     stream_dir=stream_dir))
     details = fx.v_detail(
-        StreamTables(spark, sf_dir, streamed=("lineitem",), max_files_per_trigger=max_files_per_trigger),
+        StreamTables(spark, sf_dir, streamed=("lineitem",), max_files_per_trigger=max_files_per_trigger,
+                     stream_dir=stream_dir),
         orders=fx.v_order(static),
     )
     return sale_ops.interval_join(
@@ -153,18 +159,20 @@ def order_line_stream(spark: SparkSession, sf_dir: str, wait_seconds: int = sale
 
 
 def run_order_join(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
-                   max_files_per_trigger: int | None = None):
+                   max_files_per_trigger: int | None = None, stream_dir: str | None = None):
     run = run or StreamRun.fresh(spark, "stream-order-join")
-    joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger)
+    joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, stream_dir=stream_dir)
     q = _trigger(joined.writeStream.format("parquet").outputMode("append")
                  .option("checkpointLocation", run.checkpoint).option("path", run.table), trigger).start()
     return _finish(q, trigger), run
 
 
 def run_sale_upsert(spark: SparkSession, sf_dir: str, asof: str, run: StreamRun | None = None,
-                    trigger: dict | None = None, max_files_per_trigger: int | None = None):
+                    trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                    stream_dir: str | None = None):
     run = run or StreamRun.fresh(spark, "stream-sale-upsert")
-    joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, extra=SALE_VERSION)
+    joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, extra=SALE_VERSION,
+                               stream_dir=stream_dir)
     enriched = sale_ops.enrich_with_users(joined, fx.v_user(Tables(spark, sf_dir)), asof)
     docs = (
         sale_ops.with_doc_id(enriched)
@@ -184,7 +192,8 @@ def run_sale_upsert(spark: SparkSession, sf_dir: str, asof: str, run: StreamRun
 
 
 def read_sale_table(spark: SparkSession, run: StreamRun) -> DataFrame:
-    return spark.read.parquet(run.table).select("doc_id", *sale_ops.SALE_COLUMNS)
+    table = spark.read.parquet(run.table).withColumn("dt_month", F.col("dt_month").cast("string"))
+    return table.select("doc_id", *sale_ops.SALE_COLUMNS)
 
 
 # --- intake ---------------------------------------------------------------------------------
