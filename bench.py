@@ -37,7 +37,10 @@ def main() -> None:
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "1")))
     keys = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k] or list(REGISTRY)
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, app_name="tidewater-bench")
+    spark = build_session(
+        f"local[{cpus}]", shuffle_partitions=cpus * 2, app_name="tidewater-bench",
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+    )
     run_once(spark, REGISTRY["dau_by_hour"].run, sf_dir)  # warm-up
 
     times: dict[str, float] = {}

@@ -39,6 +39,28 @@ def _norm(v):
     return str(v)
 
 
+def spark_family(t) -> str:
+    name = t.simpleString()
+    if name in ("tinyint", "smallint", "int", "bigint"):
+        return "integer"
+    if name in ("float", "double") or name.startswith("decimal"):
+        return "number"
+    if name.startswith("timestamp"):
+        return "timestamp"
+    return name.split("<")[0].split("(")[0]
+
+
+def duck_family(t) -> str:
+    name = str(t).upper()
+    if name in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "integer"
+    if name in ("FLOAT", "DOUBLE") or name.startswith("DECIMAL"):
+        return "number"
+    if name.startswith("TIMESTAMP"):
+        return "timestamp"
+    return {"VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date"}.get(name, name.lower())
+
+
 def rows_of(columns, records):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
@@ -53,12 +75,17 @@ def compare(spark, spec, sf_dir, con=None):
     t1 = time.time()
     res = con.sql(spec.sql)
     d_cols = res.columns
+    s_types = {f.name: spark_family(f.dataType) for f in sdf.schema.fields}
+    d_types = {c: duck_family(t) for c, t in zip(res.columns, res.types)}
     d_rows = res.fetchall()
     out = {
         "key": spec.name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
         "cols_match": sorted(s_cols) == sorted(d_cols), "spark_sec": round(t1 - t0, 2),
     }
     if out["cols_match"]:
+        out["types_match"] = s_types == d_types
+        if not out["types_match"]:
+            out["type_diff"] = {c: (s_types[c], d_types[c]) for c in s_types if s_types[c] != d_types.get(c)}
         a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
         out["values_match"] = a == b
         if a != b:
@@ -91,6 +118,6 @@ if __name__ == "__main__":
             r = compare(spark, spec, sf_dir, con)
         except Exception as e:  # report and go on
             r = {"key": k, "error": repr(e)[:800]}
-        bad += not r.get("values_match")
+        bad += not (r.get("values_match") and r.get("types_match"))
         print(r, flush=True)
     print("mismatches:", bad)

@@ -22,6 +22,7 @@ def test_key_matches_oracle(spark, con, key):
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
+    assert r["types_match"], r
 
 
 def test_entry_smoke(spark):

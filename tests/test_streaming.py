@@ -82,3 +82,24 @@ def test_upsert_replay_of_a_stream_is_harmless(spark, split_dir):
     # same checkpoint: nothing new to read, table unchanged
     jobs.run_dau(spark, SF_SMALL, run=run, trigger=AVAILABLE_NOW, max_files_per_trigger=1, stream_dir=split_dir)
     assert rows(jobs.read_dau(spark, run)) == first
+
+
+def test_log_router_stream_routes_and_stamps(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import ingest
+    from tidewater.sources.streams import text_stream
+
+    base = scratch_path(spark, "router")
+    raw = fx.v_raw_log(Tables(spark, SF_SMALL))
+    raw.select("line").coalesce(2).write.text(f"{base}/in")
+    q = jobs.run_log_router(spark, text_stream(spark, f"{base}/in"), f"{base}/out", f"{base}/ckpt",
+                            received_ms=F.lit(1234), trigger=AVAILABLE_NOW)
+    out = spark.read.schema("value string, topic string").text(f"{base}/out")
+    counts = {r["topic"]: r["count"] for r in out.groupBy("topic").count().collect()}
+    expected = {r["topic"]: r["count"] for r in ingest.route_logs(raw).groupBy("topic").count().collect()}
+    assert counts == expected
+    sample = json.loads(out.where(F.col("topic") == ingest.TOPIC_STARTUP).first()["value"])
+    assert sample["type"] == "startup" and sample["ts"] == 1234

@@ -33,6 +33,23 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+HEAP_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def prepare_streaming(spark: SparkSession) -> SparkSession:
+    """Stream state goes to RocksDB (off-heap, spills to local disk, changelog
+    checkpoints) instead of the JVM heap, unless the session already chose a
+    provider of its own.  Applies to queries started afterwards; a restarted
+    query keeps the provider recorded in its checkpoint."""
+    prepare_session(spark)
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", HEAP_STATE_STORE)
+    if provider == HEAP_STATE_STORE:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE_STORE)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,

@@ -28,7 +28,7 @@ from tidewater.operators import alerts as alert_ops
 from tidewater.operators import dau as dau_ops
 from tidewater.operators import ingest
 from tidewater.operators import sales as sale_ops
-from tidewater.session import scratch_path
+from tidewater.session import prepare_streaming, scratch_path
 from tidewater.sinks.upsert import upsert
 from tidewater.sources import fixtures as fx
 from tidewater.sources.streams import StreamTables
@@ -50,6 +50,7 @@ class StreamRun:
 
     @classmethod
     def fresh(cls, spark: SparkSession, name: str) -> "StreamRun":
+        prepare_streaming(spark)
         base = scratch_path(spark, name)
         return cls(checkpoint=f"{base}/_checkpoint", table=f"{base}/table")
 
@@ -84,6 +85,7 @@ def dau_stream(startup_logs: DataFrame, lateness: str = DAU_LATENESS) -> DataFra
 
 def run_dau(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
             max_files_per_trigger: int | None = None, stream_dir: str | None = None):
+    prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-dau")
     t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger,
                      stream_dir=stream_dir)
@@ -110,6 +112,7 @@ def read_dau(spark: SparkSession, run: StreamRun) -> DataFrame:
 def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.WINDOW, slide: str = alert_ops.SLIDE,
                      run: StreamRun | None = None, trigger: dict | None = None, lateness: str = ALERT_LATENESS,
                      max_files_per_trigger: int | None = None, stream_dir: str | None = None):
+    prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-alerts")
     t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger,
                      stream_dir=stream_dir)
@@ -160,6 +163,7 @@ def order_line_stream(spark: SparkSession, sf_dir: str, wait_seconds: int = sale
 
 def run_order_join(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
                    max_files_per_trigger: int | None = None, stream_dir: str | None = None):
+    prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-order-join")
     joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, stream_dir=stream_dir)
     q = _trigger(joined.writeStream.format("parquet").outputMode("append")
@@ -170,6 +174,7 @@ def run_order_join(spark: SparkSession, sf_dir: str, run: StreamRun | None = Non
 def run_sale_upsert(spark: SparkSession, sf_dir: str, asof: str, run: StreamRun | None = None,
                     trigger: dict | None = None, max_files_per_trigger: int | None = None,
                     stream_dir: str | None = None):
+    prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-sale-upsert")
     joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, extra=SALE_VERSION,
                                stream_dir=stream_dir)
@@ -204,6 +209,7 @@ def run_log_router(spark: SparkSession, raw_lines: DataFrame, out_path: str, che
 
     ``received_ms`` defaults to the micro-batch's processing time.
     """
+    prepare_streaming(spark)
     stamped = raw_lines.withColumn(
         "received_ms", received_ms if received_ms is not None else F.unix_millis(F.current_timestamp())
     )
