@@ -110,8 +110,12 @@ def q_new_devices_by_day(spark, sf_dir):
 
 # --- GMV ------------------------------------------------------------------------
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gmv_ops.enrich_orders(fx.v_order(Tables(spark, sf_dir))).select(*gmv_ops.ORDER_COLUMNS)
+def _orders(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
+    """Enriched orders; with ``date`` only orders that can fall on that day
+    are read (the predicate reaches the parquet scan)."""
+    t = Tables(spark, sf_dir)
+    src = fx.v_order(t) if date is None else fx.v_order(t, date, day_after(date))
+    return gmv_ops.enrich_orders(src).select(*gmv_ops.ORDER_COLUMNS)
 
 
 @register("order_enriched", with_views("v_order_enriched") + "select * from v_order_enriched")
@@ -123,7 +127,7 @@ def q_order_enriched(spark, sf_dir):
     select round(cast(sum(total_amount) as double), 2) as sum_amount
     from v_order_enriched where create_date = '{GMV_DATE}'""")
 def q_gmv_total(spark, sf_dir):
-    out = gmv_ops.gmv_total(_orders(spark, sf_dir), GMV_DATE)
+    out = gmv_ops.gmv_total(_orders(spark, sf_dir, GMV_DATE), GMV_DATE)
     return out.select(F.round("sum_amount", 2).alias("sum_amount"))
 
 
@@ -131,7 +135,7 @@ def q_gmv_total(spark, sf_dir):
     select create_hour, round(cast(sum(total_amount) as double), 2) as sum_amount
     from v_order_enriched where create_date = '{GMV_DATE}' group by create_hour""")
 def q_gmv_by_hour(spark, sf_dir):
-    out = gmv_ops.gmv_by_hour(_orders(spark, sf_dir), GMV_DATE)
+    out = gmv_ops.gmv_by_hour(_orders(spark, sf_dir, GMV_DATE), GMV_DATE)
     return out.select("create_hour", F.round("sum_amount", 2).alias("sum_amount"))
 
 
@@ -302,16 +306,26 @@ _SALE_VERSION = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
 _SALE_OUT = ("doc_id",) + sale_ops.SALE_COLUMNS
 
 
-def _order_and_details(spark: SparkSession, sf_dir: str):
+def _order_and_details(spark: SparkSession, sf_dir: str, dt: str | None = None):
+    """Orders (optionally of one order day, pruned at the scan) and their lines."""
     t = Tables(spark, sf_dir)
-    orders = fx.v_order(t)
+    if dt is None:
+        orders = fx.v_order(t)
+    else:
+        orders = fx.v_order(t, dt, day_after(dt)).where(F.col("create_date") == dt)
     return orders, fx.v_detail(t, orders)
 
 
-def _sale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sale_table(spark: SparkSession, sf_dir: str, dt: str | None = None) -> DataFrame:
     """The upserted sale-detail table: every line with its order, enriched,
-    one row per document id (newest version)."""
-    orders, details = _order_and_details(spark, sf_dir)
+    one row per document id (newest version).
+
+    With ``dt`` only that order day is built: every version of a document
+    belongs to the same order, hence to the same day, so restricting the
+    orders before the dedup gives the same rows as filtering the table after
+    it (the role of the day-partitioned index).
+    """
+    orders, details = _order_and_details(spark, sf_dir, dt)
     wide = sale_ops.inner_join(orders, details, extra=_SALE_VERSION)
     enriched = sale_ops.enrich_with_users(wide, fx.v_user(Tables(spark, sf_dir)), AGE_ASOF)
     latest = sale_ops.latest_per_doc(enriched, _SALE_VERSION + ("sku_price",))
@@ -382,10 +396,12 @@ def _bm25_sql(dt: str | None, keyword: str) -> str:
 
 
 def _search_hits(spark: SparkSession, sf_dir: str, dt: str | None, keyword: str):
+    """The whole sale-detail table (the corpus) and the hits of the query:
+    the day filter is applied where the orders are read, the keyword after
+    the dedup (an older version of a line may name another product)."""
     table = _sale_table(spark, sf_dir)
-    found = table.where(search_ops.all_tokens_match("sku_name", keyword))
-    if dt is not None:
-        found = found.where(F.col("dt") == dt)
+    day = table if dt is None else _sale_table(spark, sf_dir, dt)
+    found = day.where(search_ops.all_tokens_match("sku_name", keyword))
     return table, found
 
 
