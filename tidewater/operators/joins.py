@@ -17,16 +17,33 @@ JOIN_KINDS = {"inner": "inner", "left": "left", "right": "right", "full": "full_
 
 def pair_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join ``(keys…, lv)`` with ``(keys…, rv)``; keys are coalesced so outer
-    rows keep their key from whichever side has it."""
+    rows keep their key from whichever side has it.
+
+    ``full`` is computed as ``left LEFT JOIN right`` plus the right rows whose
+    key the left side lacks (anti join against the left's distinct keys): the
+    same rows as a FULL OUTER JOIN, but a hot key can still be split by AQE's
+    skew handling, which does not apply to full outer joins.
+    """
     how = JOIN_KINDS.get(how, how)
     lk = left.select(*[F.col(k).alias(f"_l_{k}") for k in keys], "lv")
     rk = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "rv")
-    cond = None
-    for k in keys:
-        c = F.col(f"_l_{k}") == F.col(f"_r_{k}")
-        cond = c if cond is None else cond & c
-    joined = lk.join(rk, cond, how)
-    return joined.select(*[F.coalesce(f"_l_{k}", f"_r_{k}").alias(k) for k in keys], "lv", "rv")
+
+    def cond(a: DataFrame, a_prefix: str, b: DataFrame, b_prefix: str):
+        out = None
+        for k in keys:
+            c = a[f"{a_prefix}{k}"] == b[f"{b_prefix}{k}"]
+            out = c if out is None else out & c
+        return out
+
+    out_cols = [F.coalesce(f"_l_{k}", f"_r_{k}").alias(k) for k in keys]
+    if how != "full_outer":
+        return lk.join(rk, cond(lk, "_l_", rk, "_r_"), how).select(*out_cols, "lv", "rv")
+    matched = lk.join(rk, cond(lk, "_l_", rk, "_r_"), "left").select(*out_cols, "lv", "rv")
+    left_keys = lk.select(*[f"_l_{k}" for k in keys]).distinct()
+    lonely = rk.join(left_keys, cond(rk, "_r_", left_keys, "_l_"), "left_anti")
+    return matched.unionByName(
+        lonely.select(*[F.col(f"_r_{k}").alias(k) for k in keys], F.lit(None).cast(left.schema["lv"].dataType).alias("lv"), "rv")
+    )
 
 
 def day_over_day(dau: DataFrame, how: str) -> DataFrame:

@@ -5,7 +5,8 @@ Scale notes
 -----------
 * The order/line joins are equi-joins on the order id (the time bound is an
   extra condition on the joined pair), so they shuffle both sides once on the
-  key; AQE splits a skewed order id's partition on the line side.
+  key; AQE splits a skewed order id's partition on the line side.  The full
+  outer join is rewritten so that this splitting still applies.
 * The user dimension is broadcast only when its estimated size is proven
   small; otherwise it is a shuffled left join.
 * The upsert keeps the newest row per document id with a grouped ``max_by``
@@ -69,13 +70,26 @@ def inner_join(orders: DataFrame, details: DataFrame, extra=()) -> DataFrame:
 
 
 def full_outer_join(orders: DataFrame, details: DataFrame) -> DataFrame:
-    """Orders and lines matched on order id; unmatched rows of both sides kept."""
+    """Orders and lines matched on order id; unmatched rows of both sides kept.
+
+    Written as ``lines LEFT JOIN orders`` plus the orders that no line
+    names (anti join against the *distinct* order ids of the lines).  The
+    result equals a FULL OUTER JOIN, but AQE can split a hot order id of the
+    left join over several tasks (it cannot for a full outer join), and the
+    distinct ids are reduced map-side before the anti join's shuffle.
+    """
     o, d = _order_side(orders), _detail_side(details)
-    joined = o.join(d, o.o_id == d.d_order_id, "full_outer")
-    return joined.select(
-        F.coalesce("o_id", "d_order_id").alias("order_id"), "order_detail_id", "order_status", "create_time",
-        "user_id", "sku_id", "sku_price", "dt",
+    matched = d.join(o, d.d_order_id == o.o_id, "left")
+    line_ids = d.select(F.col("d_order_id").alias("_id")).distinct()
+    lonely = o.join(line_ids, o.o_id == line_ids._id, "left_anti")
+    cols = ["order_detail_id", "order_status", "create_time", "user_id", "sku_id", "sku_price", "dt"]
+    left_part = matched.select(F.coalesce("o_id", "d_order_id").alias("order_id"), *cols)
+    right_part = lonely.select(
+        F.col("o_id").alias("order_id"), F.lit(None).cast("string").alias("order_detail_id"), "order_status",
+        "create_time", "user_id", F.lit(None).cast("string").alias("sku_id"),
+        F.lit(None).cast("double").alias("sku_price"), "dt",
     )
+    return left_part.unionByName(right_part)
 
 
 def enrich_with_users(sales: DataFrame, users: DataFrame, asof: str) -> DataFrame:
