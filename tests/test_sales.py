@@ -84,3 +84,21 @@ def test_bm25_prefers_shorter_and_rarer(spark):
     assert scored["d1"] > scored["d2"] > 0
     page = search.ranked_page(search.bm25_scores(corpus, corpus, "red"), 1, 2).collect()
     assert [r["doc_id"] for r in page][0] in ("d1", "d4")
+
+
+def test_sale_detail_answer_shape(spark):
+    import json
+
+    found = spark.createDataFrame(
+        [("d1", "red ring", 25, "F"), ("d2", "red rod", 10, None), ("d3", "red gear", 40, "M")],
+        "doc_id string, sku_name string, user_age int, user_gender string")
+    shares = search.age_gender_shares(found)
+    page = search.ranked_page(search.bm25_scores(found, found, "red"), 1, 2).select("doc_id")
+    answer = json.loads(search.sale_detail_answer(shares, page, found).first()["json"])
+    assert answer["total"] == 3
+    assert [s["title"] for s in answer["stat"]] == ["用户年龄占比", "用户性别占比"]
+    assert [o["name"] for o in answer["stat"][1]["options"]] == ["男", "女"]
+    assert answer["stat"][1]["options"][1]["value"] == 33.3
+    assert len(answer["detail"]) == 2
+    empty = found.where("false")
+    assert search.sale_detail_answer(search.age_gender_shares(empty), page.where("false"), empty).first()["json"] == "{}"

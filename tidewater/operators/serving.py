@@ -73,9 +73,12 @@ def today_vs_yesterday(
 
 def hour_maps_json(series: DataFrame) -> DataFrame:
     """The reference's answer shape: one JSON text
-    ``{"yesterday": {hour: value}, "today": {hour: value}}`` (non-zero hours)."""
-    entries = series.agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("yesterday") != 0, F.struct("hour", "yesterday")))).alias("yesterday"),
-        F.map_from_entries(F.collect_list(F.when(F.col("today") != 0, F.struct("hour", "today")))).alias("today"),
+    ``{"yesterday": {hour: value}, "today": {hour: value}}`` with the hours
+    that have a value, in hour order (the input is the 24-row series)."""
+    def day_map(col: str):
+        entries = F.array_sort(F.collect_list(F.when(F.col(col) != 0, F.struct("hour", col))))
+        return F.map_from_entries(entries).alias(col)
+
+    return series.agg(day_map("yesterday"), day_map("today")).select(
+        F.to_json(F.struct("yesterday", "today")).alias("json")
     )
-    return entries.select(F.to_json(F.struct("yesterday", "today")).alias("json"))

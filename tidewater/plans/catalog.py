@@ -253,6 +253,20 @@ def q_realtime_hours_amount(spark, sf_dir):
     return out.select("hour", F.round("today", 2).alias("today"), F.round("yesterday", 2).alias("yesterday"))
 
 
+@register("realtime_hours_json", with_views("v_dau") + f"""
+    select '{{"yesterday":' || coalesce((select '{{' || string_agg('"' || loghour || '":' || cast(ct as varchar), ','
+                                                               order by loghour) || '}}'
+                                         from (select loghour, count(*) as ct from v_dau
+                                               where logdate = '{day_before(DAU_DATE)}' group by loghour)), '{{}}')
+           || ',"today":' || coalesce((select '{{' || string_agg('"' || loghour || '":' || cast(ct as varchar), ','
+                                                             order by loghour) || '}}'
+                                       from (select loghour, count(*) as ct from v_dau
+                                             where logdate = '{DAU_DATE}' group by loghour)), '{{}}')
+           || '}}' as json""")
+def q_realtime_hours_json(spark, sf_dir):
+    return serving.hour_maps_json(q_realtime_hours_dau(spark, sf_dir))
+
+
 # --- coupon alerts -------------------------------------------------------------------
 
 _WINDOW_MS = 6 * 3600 * 1000
