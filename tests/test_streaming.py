@@ -103,3 +103,20 @@ def test_log_router_stream_routes_and_stamps(spark):
     assert counts == expected
     sample = json.loads(out.where(F.col("topic") == ingest.TOPIC_STARTUP).first()["value"])
     assert sample["type"] == "startup" and sample["ts"] == 1234
+
+
+def test_cdc_router_stream_matches_batch(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import ingest
+    from tidewater.sources.streams import table_stream
+
+    base = scratch_path(spark, "cdc")
+    changes = fx.v_cdc(Tables(spark, SF_SMALL))
+    changes.repartition(3).write.parquet(f"{base}/in/changes")
+    stream = table_stream(spark, f"{base}/in", "changes", max_files_per_trigger=1)
+    q = jobs.run_cdc_router(spark, stream, f"{base}/out", f"{base}/ckpt", trigger=AVAILABLE_NOW)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 2
+    got = spark.read.schema("value string, topic string").text(f"{base}/out")
+    want = ingest.route_changes(changes).select("value", "topic")
+    assert rows(got) == rows(want)
