@@ -39,3 +39,20 @@ def test_suppression_keeps_later_alert_of_a_minute(spark):
     ))
     latest = alerts.latest_alert_per_doc(rows.drop("day", "doc_id")).collect()
     assert len(latest) == 1 and latest[0]["uids"] == "a,b,d"
+
+
+def test_panes_equal_direct_window_assignment(spark):
+    """Window assembly from panes equals Spark's own sliding windows, also
+    when the size is not a multiple of the slide."""
+    from pyspark.sql import functions as F
+
+    rows = [("m1", f"u{k % 5}", ["coupon", "addCart", "clickItem"][k % 3], f"i{k % 2}", T0 + k * 1700)
+            for k in range(60)]
+    df = alerts.with_event_time(ev(spark, rows))
+    for window, slide in (("30 seconds", "5 seconds"), ("7 seconds", "3 seconds")):
+        direct = df.groupBy(F.window("event_ts", window, slide).alias("w"), "mid", "evid").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array_sort(F.collect_set(F.when(F.col("evid") == "coupon", F.col("uid")))).alias("uids"))
+        panes = alerts.window_evid_counts(df, window, slide).select(
+            "w", "mid", "evid", "n", F.array_sort("uids").alias("uids"))
+        assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, panes.collect()))

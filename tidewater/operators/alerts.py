@@ -11,6 +11,11 @@ Scale notes
   accounts/items (partial aggregation on the map side), so a device that
   holds a third of all rows is reduced before the shuffle.  The second level
   per ``(window, mid)`` sees at most one row per event type.
+* Sliding windows are assembled from panes: each event is aggregated once
+  into a tumbling pane of width ``gcd(window, slide)``, and a window is the
+  union of its panes.  Stream state and shuffled rows shrink by the
+  window/slide factor compared with assigning every event to every window
+  it falls in (6 windows per event for 30 s / 5 s).
 * The event list of the reference (every event id, duplicates kept, in
   arrival order) is returned as its multiset: ``evid:count`` pairs sorted by
   event id.  It carries the same information, is deterministic, and its size
@@ -19,6 +24,8 @@ Scale notes
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,16 +48,68 @@ def _is(evid: str) -> Column:
     return F.col("evid") == F.lit(evid)
 
 
-def window_evid_counts(events: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
-    """First level: per ``(window, mid, evid)`` the count and distinct coupon
-    accounts/items.  Works on streams (one stateful aggregation)."""
-    return events.groupBy(F.window("event_ts", window, slide).alias("w"), "mid", "evid").agg(
+_UNIT_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000,
+            "week": 604_800_000}
+
+
+def duration_ms(text: str) -> int:
+    """``'30 seconds'``, ``'1 hour'``, ``'6 hours'`` -> milliseconds."""
+    amount, unit = text.strip().split()
+    unit = unit.lower().rstrip("s")
+    return int(float(amount) * _UNIT_MS[unit])
+
+
+def pane_ms(window: str, slide: str) -> int:
+    return math.gcd(duration_ms(window), duration_ms(slide))
+
+
+def pane_counts(events: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Per ``(pane, mid, evid)``: count and distinct coupon accounts/items.
+
+    One row in, one pane out (a tumbling window), so this is the stateful
+    aggregation a stream keeps; works on batch and streaming input.
+    """
+    pane = f"{pane_ms(window, slide)} milliseconds"
+    return events.groupBy(F.window("event_ts", pane).alias("p"), "mid", "evid").agg(
         F.count(F.lit(1)).alias("n"),
         F.collect_set(F.when(_is(COUPON), F.col("uid"))).alias("uids"),
         F.collect_set(F.when(_is(COUPON), F.col("itemid"))).alias("items"),
     )
 
 
+def window_evid_counts_from_panes(panes: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Per ``(window, mid, evid)`` from pane rows: each pane is copied to the
+    windows that contain it (window starts are multiples of the slide, as in
+    ``F.window``), then counts are summed and sets merged."""
+    size, step, width = duration_ms(window), duration_ms(slide), pane_ms(window, slide)
+    start_ms = F.unix_millis(F.col("p.start"))
+    # Window starts s (multiples of the slide) with s <= pane start < s + size.
+    first = start_ms - F.pmod(start_ms, F.lit(step))
+    back = F.sequence(F.lit(0), F.lit((size - width) // step))
+    w_start = F.explode(F.transform(back, lambda k: first - k * F.lit(step))).alias("w_start_ms")
+    placed = panes.select(w_start, start_ms.alias("p_start_ms"), "mid", "evid", "n", "uids", "items").where(
+        F.col("w_start_ms") + F.lit(size) > F.col("p_start_ms")  # only when size is not a multiple of slide
+    )
+    grouped = placed.groupBy("w_start_ms", "mid", "evid").agg(
+        F.sum("n").alias("n"),
+        F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+    )
+    return grouped.select(
+        F.struct(
+            F.timestamp_millis("w_start_ms").alias("start"),
+            F.timestamp_millis(F.col("w_start_ms") + F.lit(size)).alias("end"),
+        ).alias("w"),
+        "mid", "evid", "n", "uids", "items",
+    )
+
+
+def window_evid_counts(events: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Per ``(window, mid, evid)`` the count and distinct coupon accounts and
+    items (batch input; a stream keeps :func:`pane_counts` as its state)."""
+    return window_evid_counts_from_panes(pane_counts(events, window, slide), window, slide)
+
+
 def alerts_from_counts(counts: DataFrame, min_accounts: int = MIN_ACCOUNTS) -> DataFrame:
     """Second level: fold the per-event-type rows of a ``(window, mid)`` group
     and keep the groups that raise an alert."""

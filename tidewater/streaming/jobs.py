@@ -47,6 +47,8 @@ class StreamRun:
 
     checkpoint: str
     table: str
+    window: str | None = None
+    slide: str | None = None
 
     @classmethod
     def fresh(cls, spark: SparkSession, name: str) -> "StreamRun":
@@ -112,29 +114,33 @@ def read_dau(spark: SparkSession, run: StreamRun) -> DataFrame:
 def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.WINDOW, slide: str = alert_ops.SLIDE,
                      run: StreamRun | None = None, trigger: dict | None = None, lateness: str = ALERT_LATENESS,
                      max_files_per_trigger: int | None = None, stream_dir: str | None = None):
+    """Keep per-pane aggregates of the event stream in a table; windows and
+    the alert rule are assembled from it by :func:`read_alerts`."""
     prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-alerts")
     t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger,
                      stream_dir=stream_dir)
     events = alert_ops.with_event_time(fx.v_event(t).select("mid", "uid", "evid", "itemid", "ts"))
-    counts = alert_ops.window_evid_counts(events.withWatermark("event_ts", lateness), window, slide)
+    panes = alert_ops.pane_counts(events.withWatermark("event_ts", lateness), window, slide)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         keyed = (
-            batch.withColumn("w_start", F.col("w.start"))
-            .withColumn("day", F.date_format("w.start", "yyyy-MM-dd"))
+            batch.withColumn("p_start", F.col("p.start"))
+            .withColumn("day", F.date_format("p.start", "yyyy-MM-dd"))
             .withColumn("evid_key", F.coalesce("evid", F.lit("")))
             .withColumn("_batch", F.lit(batch_id).cast("long"))
         )
-        upsert(batch.sparkSession, keyed, run.table, ["w_start", "mid", "evid_key"], "_batch", "day")
+        upsert(batch.sparkSession, keyed, run.table, ["p_start", "mid", "evid_key"], "_batch", "day")
 
-    q = _trigger(counts.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
+    q = _trigger(panes.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
                  .foreachBatch(write), trigger).start()
+    run.window, run.slide = window, slide
     return _finish(q, trigger), run
 
 
 def read_alerts(spark: SparkSession, run: StreamRun, min_accounts: int = alert_ops.MIN_ACCOUNTS) -> DataFrame:
-    counts = spark.read.parquet(run.table).select("w", "mid", "evid", "n", "uids", "items")
+    panes = spark.read.parquet(run.table).select("p", "mid", "evid", "n", "uids", "items")
+    counts = alert_ops.window_evid_counts_from_panes(panes, run.window, run.slide)
     return alert_ops.alerts_from_counts(counts, min_accounts)
 
 
