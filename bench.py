@@ -3,7 +3,7 @@
 Environment:
   BENCH_SF_DIR   scale-factor directory (default /root/testdata/sf0.1)
   BENCH_CPUS     local[N] threads (default 8)
-  BENCH_REPEAT   timed runs per query, median reported (default 1)
+  BENCH_REPEAT   timed runs per query, median reported (default 3)
   BENCH_KEYS     comma-separated subset of keys (default: all)
 
 Each query is run to completion with the ``noop`` sink (the whole plan
@@ -34,7 +34,7 @@ def run_once(spark, fn, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "1")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     keys = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k] or list(REGISTRY)
 
     spark = build_session(
