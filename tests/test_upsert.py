@@ -19,3 +19,26 @@ def test_upsert_replaces_by_key_and_is_idempotent(spark):
     assert again == first
     # an untouched partition is left alone
     assert spark.read.parquet(path).where("day = 'd2'").count() == 1
+
+
+def test_versioned_appends_read_latest_and_compact(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.sinks.versioned import append_versions, compact, read_latest
+
+    path = scratch_path(spark, "test-versioned") + "/t"
+    cols = "doc_id string, v string, version long, day string"
+    append_versions(spark.createDataFrame([("a", "1", 1, "d1"), ("b", "1", 1, "d2")], cols), path, "day")
+    append_versions(spark.createDataFrame([("a", "2", 2, "d1"), ("a", "0", 0, "d1")], cols), path, "day")
+    append_versions(spark.createDataFrame([("a", "2", 2, "d1")], cols), path, "day")  # a replay
+
+    def latest():
+        return sorted((r["doc_id"], r["v"], str(r["day"])) for r in read_latest(spark, path, ["doc_id"], "version").collect())
+
+    before = latest()
+    assert before == [("a", "2", "d1"), ("b", "1", "d2")]
+    assert spark.read.parquet(path).count() == 5
+    compact(spark, path, ["doc_id"], "version", "day", partitions=["d1"])
+    assert latest() == before
+    assert spark.read.parquet(path).where(F.col("day").cast("string") == "d1").count() == 1
+    assert spark.read.parquet(path).count() == 2

@@ -7,14 +7,18 @@ and state (executor loss only re-runs tasks).  Results land in tables under
 the checkpoint root; readers query those tables.
 
 * DAU: a stateful aggregation per device and UTC day keeps the first start
-  (update mode, watermark bounds the state); a ``foreachBatch`` upsert keeps
-  the earliest row per ``(mid, logdate)`` in a table partitioned by day.
-* Alerts: the per ``(window, mid, evid)`` aggregation runs in the stream
-  (update mode, watermark); the upsert keeps the latest aggregate per key and
-  the alert rule (a second aggregation) runs over that table.
+  (update mode, watermark bounds the state); each batch appends its updated
+  rows to a table partitioned by day, and readers keep the earliest row per
+  ``(mid, logdate)`` (merge-on-read, :mod:`tidewater.sinks.versioned`).
+* Alerts: per-pane aggregates ``(pane, mid, evid)`` run in the stream (update
+  mode, watermark); readers take the latest aggregate per key and assemble
+  windows and the alert rule from them.
 * Sale detail: stream-stream inner join of orders and lines within the wait
-  bound (watermarks on both sides), stream-static left join to users, and a
-  doc-id upsert into a table partitioned by order month.
+  bound (watermarks on both sides), stream-static left join to users, and
+  versioned appends keyed by doc id into a table partitioned by order month.
+
+A micro-batch writes only its own rows (O(batch), one write job); folding
+versions (``versioned.compact``) is a separate, periodic job.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from tidewater.operators import dau as dau_ops
 from tidewater.operators import ingest
 from tidewater.operators import sales as sale_ops
 from tidewater.session import prepare_streaming, scratch_path
-from tidewater.sinks.upsert import upsert
+from tidewater.sinks.versioned import append_versions, read_latest
 from tidewater.sources import fixtures as fx
 from tidewater.sources.streams import StreamTables
 from tidewater.sources.tables import Tables
@@ -94,18 +98,18 @@ def run_dau(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trig
     rows = dau_stream(fx.v_startup(t))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Keep the earliest row per key by (ts, uid, log_id).
+        # Readers keep the earliest row per key by (ts, uid, log_id).
         ordered = batch.withColumn("_rank", F.struct(*[F.col(c) for c in dau_ops.FIRST_ORDER]))
-        upsert(batch.sparkSession, ordered, run.table, ["mid", "logdate"], "_rank", "logdate", keep="min")
+        append_versions(ordered, run.table, "logdate")
 
     q = _trigger(rows.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
                  .foreachBatch(write), trigger).start()
     return _finish(q, trigger), run
 
 
-def read_dau(spark: SparkSession, run: StreamRun) -> DataFrame:
+def read_dau(spark: SparkSession, run: StreamRun, where=None) -> DataFrame:
     # A yyyy-MM-dd folder name is read back as a DATE; the column is a string.
-    table = spark.read.parquet(run.table)
+    table = read_latest(spark, run.table, ["mid", "logdate"], "_rank", keep="min", where=where)
     return table.withColumn("logdate", F.col("logdate").cast("string")).drop("_rank")
 
 
@@ -130,7 +134,7 @@ def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.W
             .withColumn("evid_key", F.coalesce("evid", F.lit("")))
             .withColumn("_batch", F.lit(batch_id).cast("long"))
         )
-        upsert(batch.sparkSession, keyed, run.table, ["p_start", "mid", "evid_key"], "_batch", "day")
+        append_versions(keyed, run.table, "day")
 
     q = _trigger(panes.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
                  .foreachBatch(write), trigger).start()
@@ -139,7 +143,8 @@ def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.W
 
 
 def read_alerts(spark: SparkSession, run: StreamRun, min_accounts: int = alert_ops.MIN_ACCOUNTS) -> DataFrame:
-    panes = spark.read.parquet(run.table).select("p", "mid", "evid", "n", "uids", "items")
+    panes = read_latest(spark, run.table, ["p_start", "mid", "evid_key"], "_batch").select(
+        "p", "mid", "evid", "n", "uids", "items")
     counts = alert_ops.window_evid_counts_from_panes(panes, run.window, run.slide)
     return alert_ops.alerts_from_counts(counts, min_accounts)
 
@@ -195,15 +200,15 @@ def run_sale_upsert(spark: SparkSession, sf_dir: str, asof: str, run: StreamRun
         # Month folders (the order day never changes for a document, so its
         # month does not either); a day query prunes to one folder and then
         # skips row groups by the dt statistics.
-        upsert(batch.sparkSession, batch, run.table, ["doc_id"], "_version", "dt_month")
+        append_versions(batch, run.table, "dt_month")
 
     q = _trigger(docs.writeStream.outputMode("append").option("checkpointLocation", run.checkpoint)
                  .foreachBatch(write), trigger).start()
     return _finish(q, trigger), run
 
 
-def read_sale_table(spark: SparkSession, run: StreamRun) -> DataFrame:
-    table = spark.read.parquet(run.table).withColumn("dt_month", F.col("dt_month").cast("string"))
+def read_sale_table(spark: SparkSession, run: StreamRun, where=None) -> DataFrame:
+    table = read_latest(spark, run.table, ["doc_id"], "_version", where=where)
     return table.select("doc_id", *sale_ops.SALE_COLUMNS)
 
 
