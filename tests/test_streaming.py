@@ -120,3 +120,12 @@ def test_cdc_router_stream_matches_batch(spark):
     got = spark.read.schema("value string, topic string").text(f"{base}/out")
     want = ingest.route_changes(changes).select("value", "topic")
     assert rows(got) == rows(want)
+
+
+def test_seen_set_dau_stream_in_pieces_equals_batch(spark, split_dir):
+    q, run = jobs.run_dau_seen_set(spark, SF_SMALL, trigger=AVAILABLE_NOW, max_files_per_trigger=1,
+                                   stream_dir=split_dir)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 2
+    batch = dau.first_start_per_day(fx.v_startup(Tables(spark, SF_SMALL)))
+    # time-ordered arrival: the first arrival is the earliest start
+    assert rows(jobs.read_dau_seen_set(spark, run).select(*batch.columns)) == rows(batch)

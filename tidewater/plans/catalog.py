@@ -522,6 +522,13 @@ def q_stream_dau_dedup(spark, sf_dir):
     return stream_jobs.read_dau(spark, run).select(*cols)
 
 
+@register("stream_dau_seen_set", REGISTRY["startup_first_per_day"].sql)
+def q_stream_dau_seen_set(spark, sf_dir):
+    _, run = stream_jobs.run_dau_seen_set(spark, sf_dir, trigger=_AVAILABLE_NOW)
+    cols = q_startup_first_per_day(spark, sf_dir).columns
+    return stream_jobs.read_dau_seen_set(spark, run).select(*cols)
+
+
 @register("stream_dau_by_hour", REGISTRY["dau_by_hour"].sql)
 def q_stream_dau_by_hour(spark, sf_dir):
     _, run = stream_jobs.run_dau(spark, sf_dir, trigger=_AVAILABLE_NOW)

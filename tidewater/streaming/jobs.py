@@ -33,6 +33,7 @@ from tidewater.operators import dau as dau_ops
 from tidewater.operators import ingest
 from tidewater.operators import sales as sale_ops
 from tidewater.session import prepare_streaming, scratch_path
+from tidewater.sinks.upsert import _exists as _table_exists
 from tidewater.sinks.versioned import append_versions, read_latest
 from tidewater.sources import fixtures as fx
 from tidewater.sources.streams import StreamTables
@@ -43,6 +44,9 @@ BATCH_INTERVAL = "5 seconds"
 DAU_LATENESS = "1 day"
 ALERT_LATENESS = "10 minutes"
 JOIN_LATENESS = "2 minutes"
+# Bound on the distinct days of one micro-batch listed on the driver to prune
+# the seen-set read (beyond it the whole seen set is joined).
+MAX_BATCH_DAYS = 1000
 
 
 @dataclass
@@ -113,6 +117,45 @@ def read_dau(spark: SparkSession, run: StreamRun, where=None) -> DataFrame:
     return table.withColumn("logdate", F.col("logdate").cast("string")).drop("_rank")
 
 
+def run_dau_seen_set(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
+                     max_files_per_trigger: int | None = None, stream_dir: str | None = None):
+    """The reference's DAU design without a state store: per micro-batch,
+    the first start per device-day of the batch, anti-joined against the
+    seen set (the DAU table itself, re-read for the batch's days only), is
+    appended.  The first *arrival* of a device-day wins, as in the reference;
+    a batch that fails is replayed from its offsets and its rows are then
+    already seen, so replays append nothing twice."""
+    prepare_streaming(spark)
+    run = run or StreamRun.fresh(spark, "stream-dau-seen")
+    t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger,
+                     stream_dir=stream_dir)
+    logs = fx.v_startup(t)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        firsts = dau_ops.first_start_per_day(batch).persist()
+        try:
+            days = [r[0] for r in firsts.select("logdate").distinct().limit(MAX_BATCH_DAYS + 1).collect()]
+            if not days:
+                return
+            fresh = firsts
+            if _table_exists(batch.sparkSession, run.table):
+                seen = batch.sparkSession.read.parquet(run.table).select(
+                    "mid", F.col("logdate").cast("string").alias("logdate"))
+                if len(days) <= MAX_BATCH_DAYS:
+                    seen = seen.where(F.col("logdate").isin(days))
+                fresh = dau_ops.drop_seen(firsts, seen)
+            fresh.write.mode("append").partitionBy("logdate").parquet(run.table)
+        finally:
+            firsts.unpersist()
+
+    q = _trigger(logs.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger).start()
+    return _finish(q, trigger), run
+
+
+def read_dau_seen_set(spark: SparkSession, run: StreamRun) -> DataFrame:
+    return spark.read.parquet(run.table).withColumn("logdate", F.col("logdate").cast("string"))
+
+
 # --- coupon alerts ----------------------------------------------------------------------
 
 def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.WINDOW, slide: str = alert_ops.SLIDE,
