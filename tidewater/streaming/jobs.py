@@ -70,6 +70,24 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**trig)
 
 
+def _start(spark: SparkSession, writer, state_partitions: int | None = None):
+    """Start a stream with a deliberate number of state partitions.
+
+    A stateful stream fixes its partition count at its first start (it is
+    recorded in the checkpoint), taking it from ``spark.sql.shuffle.partitions``.
+    The default is one partition per core of the cluster; the session setting
+    is restored right after ``start()`` (the stream runs on a cloned session).
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def _finish(query, trigger: dict | None):
     """With ``availableNow`` the query stops by itself after the backlog."""
     if trigger and trigger.get("availableNow"):
@@ -106,8 +124,8 @@ def run_dau(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trig
         ordered = batch.withColumn("_rank", F.struct(*[F.col(c) for c in dau_ops.FIRST_ORDER]))
         append_versions(ordered, run.table, "logdate")
 
-    q = _trigger(rows.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
-                 .foreachBatch(write), trigger).start()
+    q = _start(spark, _trigger(rows.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
+                 .foreachBatch(write), trigger))
     return _finish(q, trigger), run
 
 
@@ -148,7 +166,7 @@ def run_dau_seen_set(spark: SparkSession, sf_dir: str, run: StreamRun | None = N
         finally:
             firsts.unpersist()
 
-    q = _trigger(logs.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger).start()
+    q = _start(spark, _trigger(logs.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
     return _finish(q, trigger), run
 
 
@@ -179,8 +197,8 @@ def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.W
         )
         append_versions(keyed, run.table, "day")
 
-    q = _trigger(panes.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
-                 .foreachBatch(write), trigger).start()
+    q = _start(spark, _trigger(panes.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
+                 .foreachBatch(write), trigger))
     run.window, run.slide = window, slide
     return _finish(q, trigger), run
 
@@ -220,8 +238,8 @@ def run_order_join(spark: SparkSession, sf_dir: str, run: StreamRun | None = Non
     prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-order-join")
     joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, stream_dir=stream_dir)
-    q = _trigger(joined.writeStream.format("parquet").outputMode("append")
-                 .option("checkpointLocation", run.checkpoint).option("path", run.table), trigger).start()
+    q = _start(spark, _trigger(joined.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", run.checkpoint).option("path", run.table), trigger))
     return _finish(q, trigger), run
 
 
@@ -245,8 +263,8 @@ def run_sale_upsert(spark: SparkSession, sf_dir: str, asof: str, run: StreamRun
         # skips row groups by the dt statistics.
         append_versions(batch, run.table, "dt_month")
 
-    q = _trigger(docs.writeStream.outputMode("append").option("checkpointLocation", run.checkpoint)
-                 .foreachBatch(write), trigger).start()
+    q = _start(spark, _trigger(docs.writeStream.outputMode("append").option("checkpointLocation", run.checkpoint)
+                 .foreachBatch(write), trigger))
     return _finish(q, trigger), run
 
 
@@ -268,8 +286,8 @@ def run_log_router(spark: SparkSession, raw_lines: DataFrame, out_path: str, che
         "received_ms", received_ms if received_ms is not None else F.unix_millis(F.current_timestamp())
     )
     routed = ingest.route_logs(stamped, line_col="value").select("topic", "value")
-    q = _trigger(routed.writeStream.format("text").partitionBy("topic").option("path", out_path)
-                 .option("checkpointLocation", checkpoint), trigger).start()
+    q = _start(spark, _trigger(routed.writeStream.format("text").partitionBy("topic").option("path", out_path)
+                 .option("checkpointLocation", checkpoint), trigger))
     return _finish(q, trigger)
 
 
@@ -281,6 +299,6 @@ def run_cdc_router(spark: SparkSession, changes: DataFrame, out_path: str, check
     bounds a batch like the reference's fetch size."""
     prepare_streaming(spark)
     routed = ingest.route_changes(changes).select("topic", "value")
-    q = _trigger(routed.writeStream.format("text").partitionBy("topic").option("path", out_path)
-                 .option("checkpointLocation", checkpoint), trigger).start()
+    q = _start(spark, _trigger(routed.writeStream.format("text").partitionBy("topic").option("path", out_path)
+                 .option("checkpointLocation", checkpoint), trigger))
     return _finish(q, trigger)
