@@ -24,7 +24,7 @@ from tidewater.operators import sales as sale_ops
 from tidewater.operators import search as search_ops
 from tidewater.operators import serving
 from tidewater.plans.oracle import with_views
-from tidewater.session import scratch_path
+from tidewater.session import checkpoint_root, scratch_path
 from tidewater.sinks import files as file_sinks
 from tidewater.sources import fixtures as fx
 from tidewater.sources.tables import Tables
@@ -467,7 +467,11 @@ def q_age_gender_ratio(spark, sf_dir):
 @register("sale_search_bm25", with_views("v_sale_tokens") + _bm25_sql(None, BM25_KEYWORD) + """
     select doc_id, round(score, 6) as score from scored""")
 def q_sale_search_bm25(spark, sf_dir):
-    table, found = _search_hits(spark, sf_dir, None, BM25_KEYWORD)
+    # Corpus statistics and hits come from the same table: build it once,
+    # written to the checkpoint folder (lineage cut), and read it twice.
+    checkpoint_root(spark)
+    table = _sale_table(spark, sf_dir).checkpoint(eager=True)
+    found = table.where(search_ops.all_tokens_match("sku_name", BM25_KEYWORD))
     scored = search_ops.bm25_scores(table, found, BM25_KEYWORD)
     return scored.select("doc_id", F.round("score", 6).alias("score"))
 
