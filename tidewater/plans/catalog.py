@@ -24,6 +24,7 @@ from tidewater.operators import sales as sale_ops
 from tidewater.operators import search as search_ops
 from tidewater.operators import serving
 from tidewater.plans.oracle import with_views
+from tidewater.plans.strategy import broadcast_if_few
 from tidewater.session import checkpoint_root, scratch_path
 from tidewater.sinks import files as file_sinks
 from tidewater.sources import fixtures as fx
@@ -320,13 +321,16 @@ _SALE_VERSION = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
 _SALE_OUT = ("doc_id",) + sale_ops.SALE_COLUMNS
 
 
-def _order_and_details(spark: SparkSession, sf_dir: str, dt: str | None = None):
+def _order_and_details(spark: SparkSession, sf_dir: str, dt: str | None = None, t: Tables | None = None):
     """Orders (optionally of one order day, pruned at the scan) and their lines."""
-    t = Tables(spark, sf_dir)
+    t = t or Tables(spark, sf_dir)
     if dt is None:
         orders = fx.v_order(t)
     else:
-        orders = fx.v_order(t, dt, day_after(dt)).where(F.col("create_date") == dt)
+        # The orders of one day are usually few: when a count proves it,
+        # they are broadcast and the lines are joined to them where they are
+        # read, so the line table is never shuffled for a one-day query.
+        orders = broadcast_if_few(fx.v_order(t, dt, day_after(dt)).where(F.col("create_date") == dt))
     return orders, fx.v_detail(t, orders)
 
 
@@ -339,9 +343,10 @@ def _sale_table(spark: SparkSession, sf_dir: str, dt: str | None = None) -> Data
     orders before the dedup gives the same rows as filtering the table after
     it (the role of the day-partitioned index).
     """
-    orders, details = _order_and_details(spark, sf_dir, dt)
+    t = Tables(spark, sf_dir)
+    orders, details = _order_and_details(spark, sf_dir, dt, t)
     wide = sale_ops.inner_join(orders, details, extra=_SALE_VERSION)
-    enriched = sale_ops.enrich_with_users(wide, fx.v_user(Tables(spark, sf_dir)), AGE_ASOF)
+    enriched = sale_ops.enrich_with_users(wide, fx.v_user(t), AGE_ASOF)
     latest = sale_ops.latest_per_doc(enriched, _SALE_VERSION + ("sku_price",))
     return latest.select(*_SALE_OUT)
 
@@ -409,20 +414,18 @@ def _bm25_sql(dt: str | None, keyword: str) -> str:
 """
 
 
-def _search_hits(spark: SparkSession, sf_dir: str, dt: str | None, keyword: str):
-    """The whole sale-detail table (the corpus) and the hits of the query:
-    the day filter is applied where the orders are read, the keyword after
-    the dedup (an older version of a line may name another product)."""
-    table = _sale_table(spark, sf_dir)
-    day = table if dt is None else _sale_table(spark, sf_dir, dt)
-    found = day.where(search_ops.all_tokens_match("sku_name", keyword))
-    return table, found
+def _search_hits(spark: SparkSession, sf_dir: str, dt: str | None, keyword: str) -> DataFrame:
+    """The hits of the query: the day filter is applied where the orders are
+    read, the keyword after the dedup (an older version of a line may name
+    another product).  Only relevance needs the whole table (the corpus)."""
+    day = _sale_table(spark, sf_dir, dt)
+    return day.where(search_ops.all_tokens_match("sku_name", keyword))
 
 
 @register("search_total", with_views("v_sale_tokens") + f"""
     select count(*) as total from {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}""")
 def q_search_total(spark, sf_dir):
-    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
     return search_ops.total(found)
 
 
@@ -430,7 +433,7 @@ def q_search_total(spark, sf_dir):
     select user_age, count(*) as cnt from {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}
     group by user_age order by cnt desc, user_age limit {search_ops.AGE_FACET_SIZE}""")
 def q_facet_age(spark, sf_dir):
-    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
     return search_ops.facet_age(found)
 
 
@@ -439,7 +442,7 @@ def q_facet_age(spark, sf_dir):
     where user_gender is not null
     group by user_gender order by cnt desc, user_gender limit {search_ops.GENDER_FACET_SIZE}""")
 def q_facet_gender(spark, sf_dir):
-    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
     return search_ops.facet_gender(found)
 
 
@@ -460,7 +463,7 @@ def q_facet_gender(spark, sf_dir):
     union all select 4, '{search_ops.m.GENDER_TITLE}', '{search_ops.m.MALE}', 100.0 - f from r
     union all select 5, '{search_ops.m.GENDER_TITLE}', '{search_ops.m.FEMALE}', f from r""")
 def q_age_gender_ratio(spark, sf_dir):
-    _, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
     return search_ops.age_gender_shares(found)
 
 
@@ -483,8 +486,8 @@ def q_sale_search_bm25(spark, sf_dir):
     order by s.score desc, s.doc_id
     limit {SEARCH_PAGE_SIZE} offset {(SEARCH_PAGE - 1) * SEARCH_PAGE_SIZE}""")
 def q_sale_search_page(spark, sf_dir):
-    table, found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
-    scored = search_ops.bm25_scores(table, found, SEARCH_KEYWORD)
+    found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
+    scored = search_ops.bm25_scores(_sale_table(spark, sf_dir), found, SEARCH_KEYWORD)
     page = search_ops.ranked_page(scored, SEARCH_PAGE, SEARCH_PAGE_SIZE)
     return page.withColumn("score", F.round("score", 6))
 

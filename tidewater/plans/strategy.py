@@ -32,3 +32,20 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     if size is not None and size * DECODE_INFLATION <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+# Rows a counted side may have to be broadcast (about 100 bytes a row).
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_few(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only if a count proves it has at most
+    ``max_rows`` rows.
+
+    For sides whose size Catalyst cannot bound (a selective filter without
+    column statistics is estimated at the size of the whole scan), e.g. the
+    orders of one day.  The count stops after ``max_rows + 1`` rows, so a
+    large side costs one bounded job and then takes the shuffled join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -28,8 +28,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare_session(spark)
         self.sf_dir = sf_dir
+        self._scans: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        # One scan per table and instance: the files are listed once for all
+        # the views of a query built from the same instance.
         if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
+            if name not in self._scans:
+                self._scans[name] = read_table(self.spark, self.sf_dir, name)
+            return self._scans[name]
         raise AttributeError(name)
