@@ -102,3 +102,14 @@ def test_sale_detail_answer_shape(spark):
     assert len(answer["detail"]) == 2
     empty = found.where("false")
     assert search.sale_detail_answer(search.age_gender_shares(empty), page.where("false"), empty).first()["json"] == "{}"
+
+
+def test_lean_corpus_equals_sale_table_names(spark):
+    from tests.conftest import SF_SMALL
+    from tidewater.plans import catalog
+
+    lean = catalog._sale_corpus(spark, SF_SMALL)
+    full = catalog._sale_table(spark, SF_SMALL).select("doc_id", "sku_name")
+    assert lean.count() == full.count()
+    assert lean.exceptAll(full).count() == 0
+    assert full.exceptAll(lean).count() == 0
