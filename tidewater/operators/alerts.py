@@ -10,7 +10,8 @@ Scale notes
   ``(window, mid, evid)`` and keeps only a count and the *distinct* coupon
   accounts/items (partial aggregation on the map side), so a device that
   holds a third of all rows is reduced before the shuffle.  The second level
-  per ``(window, mid)`` sees at most one row per event type.
+  per ``(window, mid)`` sees at most (panes per window) x (event types) rows;
+  panes are placed into windows and folded in one shuffle.
 * Sliding windows are assembled from panes: each event is aggregated once
   into a tumbling pane of width ``gcd(window, slide)``, and a window is the
   union of its panes.  Stream state and shuffled rows shrink by the
@@ -77,31 +78,36 @@ def pane_counts(events: DataFrame, window: str = WINDOW, slide: str = SLIDE) ->
     )
 
 
-def window_evid_counts_from_panes(panes: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
-    """Per ``(window, mid, evid)`` from pane rows: each pane is copied to the
-    windows that contain it (window starts are multiples of the slide, as in
-    ``F.window``), then counts are summed and sets merged."""
+def _placed_panes(panes: DataFrame, window: str, slide: str) -> DataFrame:
+    """Each pane row copied to the windows that contain it (window starts are
+    multiples of the slide, as in ``F.window``), keyed by ``w_start_ms``."""
     size, step, width = duration_ms(window), duration_ms(slide), pane_ms(window, slide)
     start_ms = F.unix_millis(F.col("p.start"))
     # Window starts s (multiples of the slide) with s <= pane start < s + size.
     first = start_ms - F.pmod(start_ms, F.lit(step))
     back = F.sequence(F.lit(0), F.lit((size - width) // step))
     w_start = F.explode(F.transform(back, lambda k: first - k * F.lit(step))).alias("w_start_ms")
-    placed = panes.select(w_start, start_ms.alias("p_start_ms"), "mid", "evid", "n", "uids", "items").where(
+    return panes.select(w_start, start_ms.alias("p_start_ms"), "mid", "evid", "n", "uids", "items").where(
         F.col("w_start_ms") + F.lit(size) > F.col("p_start_ms")  # only when size is not a multiple of slide
     )
-    grouped = placed.groupBy("w_start_ms", "mid", "evid").agg(
+
+
+def _window_struct(size_ms: int) -> Column:
+    return F.struct(
+        F.timestamp_millis("w_start_ms").alias("start"),
+        F.timestamp_millis(F.col("w_start_ms") + F.lit(size_ms)).alias("end"),
+    ).alias("w")
+
+
+def window_evid_counts_from_panes(panes: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Per ``(window, mid, evid)`` from pane rows: each pane is copied to the
+    windows that contain it, then counts are summed and sets merged."""
+    grouped = _placed_panes(panes, window, slide).groupBy("w_start_ms", "mid", "evid").agg(
         F.sum("n").alias("n"),
         F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
     )
-    return grouped.select(
-        F.struct(
-            F.timestamp_millis("w_start_ms").alias("start"),
-            F.timestamp_millis(F.col("w_start_ms") + F.lit(size)).alias("end"),
-        ).alias("w"),
-        "mid", "evid", "n", "uids", "items",
-    )
+    return grouped.select(_window_struct(duration_ms(window)), "mid", "evid", "n", "uids", "items")
 
 
 def window_evid_counts(events: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
@@ -120,6 +126,40 @@ def alerts_from_counts(counts: DataFrame, min_accounts: int = MIN_ACCOUNTS) -> D
         F.coalesce(F.bool_or(_is(CLICK_ITEM)), F.lit(False)).alias("clicked"),
     )
     fired = grouped.where((F.size("uids") >= min_accounts) & ~F.col("clicked"))
+    return _alert_rows(fired)
+
+
+def alerts_from_panes(panes: DataFrame, window: str = WINDOW, slide: str = SLIDE,
+                      min_accounts: int = MIN_ACCOUNTS) -> DataFrame:
+    """Alerts straight from pane rows with one grouping per ``(window, mid)``
+    (one shuffle instead of two: :func:`window_evid_counts_from_panes`
+    followed by :func:`alerts_from_counts` gives the same rows).
+
+    Per-event-type counts are summed inside the group from a list of
+    ``(evid, n)`` pairs; that list holds at most (panes per window) x (event
+    types) entries, whatever the device's traffic.
+    """
+    grouped = _placed_panes(panes, window, slide).groupBy("w_start_ms", "mid").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("uids")))).alias("uids"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.collect_list(F.struct("evid", "n")).alias("_ev"),
+        F.coalesce(F.bool_or(_is(CLICK_ITEM)), F.lit(False)).alias("clicked"),
+    )
+    fired = grouped.where((F.size("uids") >= min_accounts) & ~F.col("clicked"))
+
+    def evid_total(e: Column) -> Column:
+        same = F.filter("_ev", lambda x: x["evid"].eqNullSafe(e))
+        return F.aggregate(same, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+
+    events = F.array_sort(F.transform(
+        F.array_distinct(F.transform("_ev", lambda x: x["evid"])),
+        lambda e: F.concat_ws(":", e, evid_total(e).cast("string")),
+    ))
+    return _alert_rows(fired.select(_window_struct(duration_ms(window)), "mid", "uids", "items",
+                                    events.alias("events")))
+
+
+def _alert_rows(fired: DataFrame) -> DataFrame:
     return fired.select(
         "mid",
         F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
@@ -136,7 +176,7 @@ def coupon_alerts(
     events: DataFrame, window: str = WINDOW, slide: str = SLIDE, min_accounts: int = MIN_ACCOUNTS
 ) -> DataFrame:
     """Event logs (``mid, uid, evid, itemid, ts`` in ms) -> alert rows."""
-    return alerts_from_counts(window_evid_counts(with_event_time(events), window, slide), min_accounts)
+    return alerts_from_panes(pane_counts(with_event_time(events), window, slide), window, slide, min_accounts)
 
 
 def alert_doc_ids(alerts: DataFrame) -> DataFrame:

@@ -206,8 +206,7 @@ def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.W
 def read_alerts(spark: SparkSession, run: StreamRun, min_accounts: int = alert_ops.MIN_ACCOUNTS) -> DataFrame:
     panes = read_latest(spark, run.table, ["p_start", "mid", "evid_key"], "_batch").select(
         "p", "mid", "evid", "n", "uids", "items")
-    counts = alert_ops.window_evid_counts_from_panes(panes, run.window, run.slide)
-    return alert_ops.alerts_from_counts(counts, min_accounts)
+    return alert_ops.alerts_from_panes(panes, run.window, run.slide, min_accounts)
 
 
 # --- sale detail --------------------------------------------------------------------------
