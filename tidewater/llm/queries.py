@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, pii, quality_rules, sql
+from tidewater.llm import language_id, mixing, pii, quality_classifier, quality_rules, sql
 from tidewater.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,13 @@ def op3_mixing(spark, sf_dir):
 @query("op4_quality_rules", sql.QUALITY_RULES)
 def op4_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(read_table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark, sf_dir):
+    return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
