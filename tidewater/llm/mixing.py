@@ -6,7 +6,7 @@ the source plus the documents up to a cut in that order; the document on the cut
 gives only the words still missing, so a source's mix is its budget to the word.
 
 Distributed prefix sums: a source's documents are dealt into ranges of the key
-space of about ``ROWS_PER_RANGE`` rows (a hot source just has more ranges), each
+space, about as many as a range has rows (a hot source has more of both), each
 range is sorted and summed on its own, and the ranges' totals are summed over
 the source.  Only ids, sizes and keys are shuffled, never texts.
 
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import broadcast_if_counted, word_count, written
 
 MAX_EPOCHS = 3
-ROWS_PER_RANGE = 50_000
 # Fixed values of the contract: weights by order of the sources, repeating.
 WEIGHTS = (1, 2, 3)
 
@@ -84,7 +83,7 @@ def with_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     return sources.withColumn("target", F.when(fixed, cap.cast("double")).otherwise(share))
 
 
-def cuts(rows: DataFrame, targets: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source: whole epochs, and the key, words before and words of the place
     on the cut (null key: no place is cut, nothing beyond whole epochs)."""
     small = broadcast_if_counted(targets.select(
@@ -94,7 +93,7 @@ def cuts(rows: DataFrame, targets: DataFrame, rows_per_range: int = ROWS_PER_RAN
     part = F.col("budget") - F.col("epochs") * F.col("source_size")
     # Ranges of the key space: the first eight hex digits as a fraction of it.
     share = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    n_ranges = F.ceil(F.col("n_rows") / rows_per_range)
+    n_ranges = F.ceil(F.sqrt("n_rows"))
     dealt = (
         rows.alias("r").join(small.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
         .select(F.col("s.source").alias("source"), "epochs", part.alias("part"), "key", "size",
@@ -140,10 +139,9 @@ def take(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS,
-        rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, part_words and taken of
     every document of ``docs`` (doc_id, text, source; other columns ignored)."""
     rows = written(sized(docs, seed), "mix-sizes")
     targets = written(with_targets(written(source_sizes(rows), "mix-sources"), max_epochs), "mix-targets")
-    return take(rows, cuts(rows, targets, rows_per_range)).drop("key")
+    return take(rows, cuts(rows, targets)).drop("key")
