@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import language_id, mixing, pii, quality_classifier, quality_rules, sql
+from tidewater.llm import language_id, mixing, pii, quality_classifier, quality_rules, sql, warc
 from tidewater.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def op8_quality_classifier(spark, sf_dir):
     return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query("op9_warc", sql.WARC)
+def op9_warc(spark, sf_dir):
+    return warc.round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
     return language_id.identify(read_table(spark, sf_dir, "documents"))

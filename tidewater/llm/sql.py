@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import mixing, pii, quality_rules
+from tidewater.llm import mixing, pii, quality_rules, warc
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -128,4 +128,16 @@ def _quality_rules() -> str:
     from failed f join verdicts v on f.source is not distinct from v.source"""
 
 
-PII, MIXING, QUALITY_RULES = _pii(), _mixing(), _quality_rules()
+def _warc() -> str:
+    return f"""
+    with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+                      sha256(coalesce(html, '')) as payload_digest from pages),
+    f as (select payload_digest, min(page_id) as first_id from p where payload_bytes >= {warc.MIN_REVISIT_BYTES}
+          group by payload_digest)
+    select page_id, payload_bytes, p.payload_digest,
+           case when page_id > first_id then 'revisit' else 'response' end as record_type,
+           case when page_id > first_id then first_id end as refers_to
+    from p left join f on p.payload_digest = f.payload_digest"""
+
+
+PII, MIXING, QUALITY_RULES, WARC = _pii(), _mixing(), _quality_rules(), _warc()
