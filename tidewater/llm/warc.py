@@ -33,6 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import broadcast_if_counted
 from tidewater.session import scratch_path
 
 MIN_REVISIT_BYTES = 100
@@ -44,7 +45,7 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 FOOTER = struct.Struct("<IBI")
 
-PLAN_TYPE = ("page_id", "url", "payload", "digest", "record_type", "refers_to")
+PLAN = ("page_id", "url", "payload", "payload_bytes", "digest", "record_type", "refers_to")
 INDEX_SCHEMA = "page_id long, record_id string, bundle string, frame int, offset long, length long"
 
 
@@ -52,18 +53,18 @@ def record_id(page_id: int | None, digest: str, kind: str) -> str:
     return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id}/{digest}/{kind}')}"
 
 
-def record_bytes(page_id, url, payload: bytes, digest: str, kind: str, refers_to) -> bytes:
+def record_bytes(page_id, url, payload: bytes | None, payload_bytes: int, digest: str, kind: str, refers_to) -> bytes:
     """One WARC/1.1 record.  A revisit has no block: it names the response that
     has the same payload."""
     head = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id(page_id, digest, kind)}>",
-        f"WARC-Date: {WARC_DATE}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}",
+        f"WARC-Date: {WARC_DATE}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {payload_bytes}",
     ]
     if page_id is not None:
         head.append(f"X-Page-Id: {page_id}")
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%-._~')}")
-    block = payload
+    block = payload or b""
     if kind == "revisit":
         block = b""
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
@@ -143,12 +144,13 @@ def read_frame(bundle: bytes, frame: int) -> bytes:
 
 
 def plan_records(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, digest, record_type, refers_to per row of ``pages``
-    (page_id, url, html).
+    """``PLAN`` per row of ``pages`` (page_id, url, html).  A revisit needs no payload
+    from here on, so copies of a hot payload are shuffled as their headers.
 
     The first page of each payload is found by a grouped minimum of digests
     (partial sums before the shuffle, so a hot payload is one row per task);
-    only digests that occur on several pages are joined back.
+    only digests that occur on several pages are joined back, where a count
+    shows them few without a shuffle of the pages.
     """
     rows = pages.select(
         F.col("page_id"), F.col("url"), F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8").alias("payload"))
@@ -157,10 +159,11 @@ def plan_records(pages: DataFrame) -> DataFrame:
         rows.where(F.length("payload") >= MIN_REVISIT_BYTES).groupBy(F.col("digest").alias("first_digest"))
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    joined = rows.join(firsts, F.col("digest") == F.col("first_digest"), "left")
+    joined = rows.join(broadcast_if_counted(firsts), F.col("digest") == F.col("first_digest"), "left")
     revisit = F.coalesce(F.col("page_id") > F.col("first_id"), F.lit(False))
     return joined.select(
-        "page_id", "url", "payload", "digest",
+        "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"),
+        F.length("payload").alias("payload_bytes"), "digest",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("first_id")).alias("refers_to"))
 
@@ -190,7 +193,7 @@ def _write_bundles(uri: str):
                 if bundle is None:
                     key, size, bundle = row["bundle_key"], 0, Bundle()
                     name = f"bundle-{key:08d}-{part:04d}.warc.zst"
-                record = record_bytes(*(row[c] for c in PLAN_TYPE))
+                record = record_bytes(*(row[c] for c in PLAN))
                 frame, offset = bundle.add(record)
                 size += len(record)
                 rid = record_id(row["page_id"], row["digest"], row["record_type"])
@@ -228,7 +231,7 @@ def write_archives(pages: DataFrame, uri: str, bundle_bytes: int = BUNDLE_BYTES)
         rows.withColumn("bundle_key", key).repartition("bundle_key")
         .sortWithinPartitions("bundle_key", "page_id", "digest", "url")
     )
-    index = dealt.select("bundle_key", *PLAN_TYPE).mapInArrow(_write_bundles(f"{uri}/archives"), INDEX_SCHEMA)
+    index = dealt.select("bundle_key", *PLAN).mapInArrow(_write_bundles(f"{uri}/archives"), INDEX_SCHEMA)
     index.write.parquet(f"{uri}/index")
     return spark.read.schema(index.schema).parquet(f"{uri}/index")
 
