@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import language_id, mixing, pii, quality_classifier, quality_rules, sql, warc
+from tidewater.llm import (
+    decontamination, language_id, mixing, ngram_join, pii, quality_classifier, quality_rules, sql, warc,
+)
 from tidewater.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +29,11 @@ def op1_pii(spark, sf_dir):
     return pii.digest(read_table(spark, sf_dir, "documents"))
 
 
+@query("op2_ngram_join", sql.NGRAM_JOIN)
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.link_classes(read_table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 @query("op3_mixing", sql.MIXING)
 def op3_mixing(spark, sf_dir):
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -38,6 +45,11 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_decontamination", sql.DECONTAMINATION)
+def op5_decontamination(spark, sf_dir):
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_quality_classifier")
 def op8_quality_classifier(spark, sf_dir):
     return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -140,4 +140,40 @@ def _warc() -> str:
     from p left join f on p.payload_digest = f.payload_digest"""
 
 
+def _ngram_join(k: int = 3, percent: int = 90) -> str:
+    return f"""
+    with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as words from documents),
+    s as materialized (select distinct doc_id, array_to_string(words[i:i + {k - 1}], ' ') as token
+          from (select doc_id, words, unnest(range(1, greatest(len(words) - {k - 2}, 2))) as i from w where len(words) > 0)),
+    n as materialized (select doc_id, count(*) as n from s group by doc_id),
+    links as materialized (
+        select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as n_both
+                          from s x join s y on x.token = y.token and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id)
+        join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * n_both >= {percent} * (na.n + nb.n - n_both)),
+    reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reach r join links l on r.b = l.a)
+    select d.doc_id, coalesce(n.n, 0) as n_shingles, r.component_id
+    from documents d left join n on n.doc_id = d.doc_id
+         join (select a, min(b) as component_id from reach group by a) r on r.a = d.doc_id"""
+
+
+def _decontamination(k: int = 5, percent: int = 80) -> str:
+    def shingles(table: str, ident: str, size: str) -> str:
+        return f"""select distinct {ident}, width, array_to_string(words[i:i + width - 1], ' ') as token
+            from (select {ident}, words, width, unnest(range(1, greatest(len(words) - width + 2, 1))) as i
+                  from (select {ident}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') as words from {table}), {size})"""
+    return f"""
+    with item_words as (select item_id, len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as n from benchmark),
+    widths as (select distinct least({k}, n) as width from item_words where n > 0),
+    items as (select s.* from ({shingles('benchmark', 'item_id', 'widths')}) s
+              join item_words w on w.item_id = s.item_id and s.width = least({k}, w.n)),
+    docs as ({shingles('documents', 'doc_id', 'widths')}),
+    sizes as (select item_id, count(*) as item_shingles from items group by item_id)
+    select doc_id, h.item_id, item_shingles, shared_shingles
+    from (select d.doc_id, i.item_id, count(*) as shared_shingles
+          from docs d join items i on d.token = i.token and d.width = i.width group by d.doc_id, i.item_id) h
+    join sizes z on z.item_id = h.item_id where shared_shingles * 100 >= {percent} * item_shingles"""
+
+
 PII, MIXING, QUALITY_RULES, WARC = _pii(), _mixing(), _quality_rules(), _warc()
+NGRAM_JOIN, DECONTAMINATION = _ngram_join(), _decontamination()
