@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import (
-    decontamination, language_id, mixing, ngram_join, pii, quality_classifier, quality_rules, sql, warc,
+    bloom_lm, decontamination, language_id, line_dedup, mixing, ngram_join, pii, quality_classifier, quality_rules, sql, warc,
 )
 from tidewater.sources.tables import read_table
 
@@ -50,6 +50,16 @@ def op5_decontamination(spark, sf_dir):
     return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_bloom_lm")
+def op6_bloom_lm(spark, sf_dir):
+    return bloom_lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query("op7_line_dedup")
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
 @query("op8_quality_classifier")
 def op8_quality_classifier(spark, sf_dir):
     return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
