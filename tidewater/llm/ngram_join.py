@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import broadcast_if_counted, written
@@ -51,8 +51,9 @@ from tidewater.llm.hashing import U, mix, shingles, slices, text_shingles, words
 ORDERS = 3
 MIN_SKETCH_BITS, MAX_SKETCH_BITS = 12, 25
 # A sketch cell this many times as full as the average marks frequent tokens.
-FREQUENT = 8
+FREQUENT = 3
 CELLS_PER_BLOCK = 1 << 12
+SMALL_GROUP = 64
 GROUP_BLOCK = 512
 CLUSTER_BLOCK = 192
 MAX_ODD_BITS = 1 << 14
@@ -93,12 +94,12 @@ class Rarity:
 def token_rarity(docs: DataFrame, k: int) -> Rarity:
     """Counts the tokens of all documents in a sketch and marks its full cells.
 
-    The sketch has about one cell per 32 tokens; tasks send their cells as
+    The sketch has about one cell per 128 tokens; tasks send their cells as
     compressed blocks, which are summed block by block.
     """
     total = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6
-    bits = int(min(max(np.ceil(np.log2(max(total, 1) / 32)), MIN_SKETCH_BITS), MAX_SKETCH_BITS))
-    limit = max(16.0, FREQUENT * total / (1 << bits))
+    bits = int(min(max(np.ceil(np.log2(max(total, 1) / 128)), MIN_SKETCH_BITS), MAX_SKETCH_BITS))
+    limit = max(64.0, FREQUENT * total / (1 << bits))
     n_cells = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,13 +144,16 @@ def token_rarity(docs: DataFrame, k: int) -> Rarity:
     return Rarity(bits, bytes(frequent))
 
 
-def odd_bits(n: int) -> int:
-    """Width of a set's odd sketch: about half as many bits as tokens."""
-    return int(min(max(64, 1 << max(0, (n - 1).bit_length() - 1)), MAX_ODD_BITS))
+def odd_bits(n: int, percent: int) -> int:
+    """Width of a set's odd sketch.  Sketches of unlike sets differ in half their
+    bits, those of sets that link in 2 n (100 - percent) / (100 + percent) at most;
+    four times as many bits as that keep the two apart."""
+    enough = 8 * n * (100 - percent) / (100 + percent)
+    return int(min(max(64, 1 << max(0, int(np.ceil(np.log2(max(enough, 1)))))), MAX_ODD_BITS))
 
 
-def odd_sketch(tokens: np.ndarray) -> bytes:
-    width = odd_bits(len(tokens))
+def odd_sketch(tokens: np.ndarray, percent: int) -> bytes:
+    width = odd_bits(len(tokens), percent)
     at = (mix(tokens, 50) & U(width - 1)).astype(np.int64)
     parity = (np.bincount(at, minlength=width) & 1).astype(np.uint8)
     return np.packbits(parity, bitorder="little").tobytes()
@@ -171,7 +175,7 @@ def signatures(docs: DataFrame, rarity, k: int, percent: int) -> DataFrame:
                     f1.append(mix(tokens, 1).sum(dtype=U).astype(np.int64))
                     f2.append(np.bitwise_xor.reduce(mix(tokens, 2)).astype(np.int64) if len(tokens) else np.int64(0))
                     prefix.append(order.prefix(tokens, 0, percent).astype(np.int64))
-                    sketch.append(odd_sketch(tokens))
+                    sketch.append(odd_sketch(tokens, percent))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index("doc_id")), pa.array(n, pa.int32()), pa.array(f1, pa.int64()),
                      pa.array(f2, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
@@ -295,13 +299,20 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         "shingle-classes")
 
     # Tokens that stand in the prefixes of several representatives.
-    token_rows = classes.select(F.explode("prefix").alias("token"), F.col("rep").alias("doc_id"))
-    shared = token_rows.groupBy("token").agg(F.count(F.lit(1)).alias("n_reps")).where("n_reps > 1").drop("n_reps")
-    shared_rows = token_rows.join(shared, "token")
-    rows = shared_rows.join(classes.select(F.col("rep").alias("doc_id"), "n", "sketch"), "doc_id")
+    token_rows = classes.select(F.explode("prefix").alias("token"), F.col("rep").alias("doc_id"), "n")
+    groups = token_rows.groupBy(F.col("token").alias("shared")).agg(F.count(F.lit(1)).alias("n_reps")).where("n_reps > 1")
+    # In a small group, rows without a neighbour of a size that could link go.
+    by_size = Window.partitionBy("token").orderBy("n")
+    small = token_rows.join(groups.where(F.col("n_reps") <= SMALL_GROUP), F.col("token") == F.col("shared"))
+    close = (F.coalesce(F.lag("n").over(by_size) * 100 >= F.col("n") * percent, F.lit(False))
+             | F.coalesce(F.col("n") * 100 >= F.lead("n").over(by_size) * percent, F.lit(False)))
+    small = small.withColumn("_close", close).where("_close").select("token", "doc_id")
+    large = token_rows.join(groups.where(F.col("n_reps") > SMALL_GROUP), F.col("token") == F.col("shared")).select("token", "doc_id")
+    dealt = in_blocks(small.unionByName(large), "token", "doc_id", GROUP_BLOCK)
+    rows = dealt.join(classes.select(F.col("rep"), "n", "sketch"), F.col("doc_id") == F.col("rep"))
     links_schema = f"a {kind}, b {kind}"
     forest = per_block_pair(
-        in_blocks(rows, "token", "doc_id", GROUP_BLOCK).select("doc_id", "n", "sketch", "_group", "_i", "_j"),
+        rows.select("doc_id", "n", "sketch", "_group", "_i", "_j"),
         candidate_work(percent), links_schema)
     clusters = written(components(forest), "shingle-clusters")
 
