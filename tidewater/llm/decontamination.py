@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.hashing import U, mix, run_hashes, shingles
+from tidewater.llm.hashing import U, mix, run_hashes, shingles, slices
 
 PERMUTATIONS = 128
 ITEM_BLOCK = 20_000
@@ -103,41 +103,65 @@ class Index:
                 tables.append((least[sort], np.array(members)[sort]))
             self.groups[key] = tables
 
-    def search(self, h: np.ndarray) -> list[tuple[int, int]]:
-        """(item, shared shingles) of the contaminating items of one document."""
-        found: set[int] = set()
-        for width in {w for w, _ in self.groups}:
-            tokens = shingles(h, width)
-            if not len(tokens):
-                continue
-            for (w, u), tables in self.groups.items():
-                if w == width:
-                    self._windows(tokens, u, tables, found)
+    def search(self, docs: list[np.ndarray]) -> list[tuple[int, int, int]]:
+        """(document, item, shared shingles) of documents given by word hashes."""
+        found: set[tuple[int, int]] = set()
+        for width in sorted({w for w, _ in self.groups}):
+            parts = [shingles(h, width) for h in docs]
+            self._candidates(parts, {u: t for (w, u), t in self.groups.items() if w == width}, found)
         out = []
-        sets: dict[int, np.ndarray] = {}
-        for m in sorted(found):
+        own: dict[tuple[int, int], np.ndarray] = {}
+        for d, m in sorted(found):
             item = self.items[m]
-            if item.width not in sets:
-                sets[item.width] = np.unique(shingles(h, item.width))
-            own = sets[item.width]
-            at = np.searchsorted(own, item.tokens)
-            at[at == len(own)] = 0
-            both = int((own[at] == item.tokens).sum())
-            if both * 100 >= self.percent * len(item.tokens):
-                out.append((m, both))
+            if (d, item.width) not in own:
+                own = {(d, item.width): np.unique(shingles(docs[d], item.width))}
+            tokens = own[d, item.width]
+            at = np.searchsorted(tokens, item.tokens)
+            at[at == len(tokens)] = 0
+            n = int((tokens[at] == item.tokens).sum())
+            if n * 100 >= self.percent * len(item.tokens):
+                out.append((d, m, n))
         return out
 
-    def _windows(self, tokens: np.ndarray, u: int, tables, found: set[int]) -> None:
-        """Adds the items of one partition that share a MinHash with a window."""
-        starts = np.arange(0, len(tokens), u)
-        for i, (values, members) in enumerate(tables):
-            chunk = np.minimum.reduceat(permuted(tokens, i), starts)
-            window = np.minimum(chunk[:-1], chunk[1:]) if len(chunk) > 1 else chunk
-            at = np.searchsorted(values, window)
-            hit = np.flatnonzero(values[np.minimum(at, len(values) - 1)] == window)
-            for v in np.unique(window[hit]):
-                lo, hi = np.searchsorted(values, v), np.searchsorted(values, v, side="right")
-                found.update(members[lo:hi].tolist())
+    def _candidates(self, parts: list[np.ndarray], tables: dict, found: set[tuple[int, int]]) -> None:
+        """Adds (document, item) where a window and an item share a MinHash.
+
+        All documents' shingles are one array.  It is cut into chunks of the
+        smallest partition's size, never across documents; chunks of the next
+        partitions are pairs of chunks.
+        """
+        sizes = np.array([len(p) for p in parts], np.int64)
+        if not sizes.any():
+            return
+        tokens = np.concatenate(parts)
+        offsets = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        steps = []  # per partition: starts in the array before it, and documents
+        u, top = min(tables), max(tables)
+        lengths, starts = sizes, offsets
+        while u <= top:
+            step = u if not steps else 2
+            n = -(-lengths // step)
+            doc = np.repeat(np.arange(len(n)), n)
+            first = np.cumsum(n) - n
+            place = np.arange(int(n.sum())) - np.repeat(first, n)
+            steps.append((u, np.repeat(starts, n) + place * step, doc))
+            lengths, starts = n, first
+            u *= 2
+        for i in range(PERMUTATIONS):
+            chunk = permuted(tokens, i)
+            for u, at, doc in steps:
+                chunk = np.minimum.reduceat(chunk, at)
+                if u not in tables:
+                    continue
+                window = chunk.copy()
+                same = doc[1:] == doc[:-1]
+                window[:-1][same] = np.minimum(chunk[:-1], chunk[1:])[same]
+                values, members = tables[u][i]
+                where = np.searchsorted(values, window)
+                where[where == len(values)] = 0
+                for w in np.flatnonzero(values[where] == window).tolist():
+                    lo, hi = where[w], np.searchsorted(values, window[w], side="right")
+                    found.update((int(doc[w]), int(m)) for m in members[lo:hi])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80,
@@ -162,17 +186,16 @@ def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            docs, items, sizes, both = [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                for m, n in index.search(word_hashes(words(text.as_py()))):
-                    docs.append(i)
-                    items.append(index.items[m].item_id)
-                    sizes.append(len(index.items[m].tokens))
-                    both.append(n)
-            if docs:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(docs)), pa.array(items), pa.array(sizes, pa.int64()), pa.array(both, pa.int64())],
-                    names=["doc_id", "item_id", "item_shingles", "shared_shingles"])
+            for part in slices(batch):
+                hashes = [word_hashes(words(t)) for t in part.column(1).to_pylist()]
+                hits = index.search(hashes)
+                if hits:
+                    docs, items, shared_shingles = zip(*hits, strict=True)
+                    items = [index.items[m] for m in items]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(docs)), pa.array([x.item_id for x in items]),
+                         pa.array([len(x.tokens) for x in items], pa.int64()), pa.array(shared_shingles, pa.int64())],
+                        names=["doc_id", "item_id", "item_shingles", "shared_shingles"])
 
     return run
 
