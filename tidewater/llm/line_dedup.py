@@ -90,19 +90,32 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         names=["doc_id", "place", "h1", "h2", "sim"])
 
 
+# A byte's bits as eight bytes of 0 or 1.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(U).ravel()
+
+
 def simhash(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """64-bit SimHash of each run of words: a bit is set if it is set in more than
     half of the hashes of the run's words and word pairs."""
-    def votes(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        return np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-
-    total = votes(mix(hashes, 11), first)
+    # Runs are summed in parts of up to 255 words: eight counters of a byte each in
+    # one 64-bit sum per byte of the hashes.
+    parts = np.flatnonzero((np.arange(len(hashes)) - np.repeat(first, counts)) % 255 == 0)
+    run_parts = np.searchsorted(parts, first)
+
+    def votes(h: np.ndarray) -> np.ndarray:
+        columns = h.view(np.uint8).reshape(-1, 8)
+        sums = np.empty((len(parts), 64), np.uint8)
+        for b in range(8):
+            lanes = np.add.reduceat(_LANES[columns[:, b]], parts)
+            sums[:, 8 * b:8 * b + 8] = lanes.view(np.uint8).reshape(-1, 8)
+        return np.add.reduceat(sums.astype(np.int32), run_parts, axis=0)
+
+    total = votes(mix(hashes, 11))
     pairs = np.zeros_like(hashes)
     if len(hashes) > 1:
         pairs[:-1] = combine([hashes[:-1], hashes[1:]], 12)
     last = first + counts - 1
-    pair_votes = votes(pairs, first)
+    pair_votes = votes(pairs)
     # The last word's pair crosses into the next line: take its votes back.
     pair_votes -= np.unpackbits(pairs[last].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     total += pair_votes
