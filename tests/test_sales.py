@@ -113,3 +113,11 @@ def test_lean_corpus_equals_sale_table_names(spark):
     assert lean.count() == full.count()
     assert lean.exceptAll(full).count() == 0
     assert full.exceptAll(lean).count() == 0
+
+
+def test_shares_when_most_genders_are_null(spark):
+    from tidewater.operators.search import age_gender_shares
+
+    found = spark.createDataFrame([(25, None)] * 5 + [(18, "M")] * 3 + [(40, "F")] * 2, "user_age int, user_gender string")
+    shares = {r["pos"]: r["value"] for r in age_gender_shares(found).collect()}
+    assert shares == {1: 30.0, 2: 50.0, 3: 20.0, 4: 80.0, 5: 20.0}

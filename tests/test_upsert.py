@@ -9,13 +9,11 @@ def test_upsert_replaces_by_key_and_is_idempotent(spark):
     upsert(spark, b1, path, ["doc_id"], "version", "day")
     b2 = spark.createDataFrame([("a", "2", 2, "d1"), ("b", "0", 0, "d1"), (None, "x", 5, "d1")], cols)
     upsert(spark, b2, path, ["doc_id"], "version", "day")
-    first = sorted(tuple(r) for r in spark.read.parquet(path).select("doc_id", "v", "day").collect()
-                   if r[0] is not None)
-    assert first == [("a", "2", "d1"), ("b", "1", "d1"), ("c", "1", "d2")]
-    # replaying the same batch does not change keyed rows
+    first = sorted(tuple(r) for r in spark.read.parquet(path).fillna("none").select("doc_id", "v", "day").collect())
+    assert first == [("a", "2", "d1"), ("b", "1", "d1"), ("c", "1", "d2"), ("none", "x", "d1")]
+    # replaying the same batch changes nothing, rows without a key included
     upsert(spark, b2, path, ["doc_id"], "version", "day")
-    again = sorted(tuple(r) for r in spark.read.parquet(path).select("doc_id", "v", "day").collect()
-                   if r[0] is not None)
+    again = sorted(tuple(r) for r in spark.read.parquet(path).fillna("none").select("doc_id", "v", "day").collect())
     assert again == first
     # an untouched partition is left alone
     assert spark.read.parquet(path).where("day = 'd2'").count() == 1
@@ -42,3 +40,18 @@ def test_versioned_appends_read_latest_and_compact(spark):
     assert latest() == before
     assert spark.read.parquet(path).where(F.col("day").cast("string") == "d1").count() == 1
     assert spark.read.parquet(path).count() == 2
+
+
+def test_compacting_twice_keeps_rows_without_a_key_once(spark):
+    from tidewater.sinks.versioned import append_versions, compact, read_latest
+
+    path = scratch_path(spark, "test-compact") + "/t"
+    cols = "doc_id string, v string, version long, day string"
+    batch = spark.createDataFrame([("a", "1", 1, "d1"), (None, "x", 5, "d1"), (None, "y", 5, "d1")], cols)
+    append_versions(batch, path, "day")
+    append_versions(batch, path, "day")  # a replay
+    want = sorted((str(r["doc_id"]), r["v"]) for r in batch.collect())
+    for _ in range(3):
+        compact(spark, path, ["doc_id"], "version", "day")
+        assert sorted((str(r["doc_id"]), r["v"]) for r in spark.read.parquet(path).collect()) == want
+    assert read_latest(spark, path, ["doc_id"], "version").count() == 3

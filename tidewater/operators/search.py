@@ -10,7 +10,9 @@ ordered offset/limit (a per-partition top-k, never a global collect).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import (
@@ -59,32 +61,26 @@ def age_gender_shares(found: DataFrame) -> DataFrame:
     is the remainder, so a missing gender counts as male.  No rows when
     nothing was found.
 
-    One pass over the hits: they are first reduced to counts per
-    ``(age, gender)`` (bounded by distinct ages x genders); the facet ranks are
-    windows over that small frame and one aggregate folds it to a row.
+    The hits are first reduced to counts per ``(age, gender)`` (bounded by
+    distinct ages x genders); both facets are taken from these, a null gender
+    taking no place among the genders, and folded to one row.
     """
     cells = found.groupBy("user_age", "user_gender").agg(F.count(F.lit(1)).alias("cnt"))
-    everything = Window.partitionBy()
-    by_age = Window.partitionBy("user_age")
-    by_gender = Window.partitionBy("user_gender")
-    ranked = (
-        cells.withColumn("age_cnt", F.sum("cnt").over(by_age))
-        .withColumn("gender_cnt", F.sum("cnt").over(by_gender))
-        .withColumn("age_rank", F.dense_rank().over(everything.orderBy(F.desc("age_cnt"), F.asc("user_age"))))
-        .withColumn(
-            "gender_rank",
-            F.dense_rank().over(everything.orderBy(F.desc_nulls_last("gender_cnt"), F.asc_nulls_last("user_gender"))),
-        )
+    ages = cells.groupBy("user_age").agg(F.sum("cnt").alias("cnt")).orderBy(F.desc("cnt"), F.asc("user_age")).limit(AGE_FACET_SIZE)
+    genders = (
+        cells.where(F.col("user_gender").isNotNull()).groupBy("user_gender").agg(F.sum("cnt").alias("cnt"))
+        .orderBy(F.desc("cnt"), F.asc("user_gender")).limit(GENDER_FACET_SIZE)
+    )
+
+    def of(facet: DataFrame, test: Column) -> Column:
+        return F.coalesce(facet.agg(F.sum(F.when(test, F.col("cnt"))).alias("n")).scalar(), F.lit(0))
+
+    folded = cells.agg(F.sum("cnt").alias("total")).where(F.col("total") > 0).select(
+        "total",
+        of(ages, F.col("user_age") < 20).alias("under20"),
+        of(ages, (F.col("user_age") >= 20) & (F.col("user_age") < 30)).alias("from20"),
+        of(genders, F.col("user_gender") == "F").alias("female"),
     )
-    in_age_facet = F.col("age_rank") <= AGE_FACET_SIZE
-    in_gender_facet = F.col("user_gender").isNotNull() & (F.col("gender_rank") <= GENDER_FACET_SIZE)
-    folded = ranked.agg(
-        F.sum("cnt").alias("total"),
-        F.coalesce(F.sum(F.when(in_age_facet & (F.col("user_age") < 20), F.col("cnt"))), F.lit(0)).alias("under20"),
-        F.coalesce(F.sum(F.when(in_age_facet & (F.col("user_age") >= 20) & (F.col("user_age") < 30), F.col("cnt"))),
-                   F.lit(0)).alias("from20"),
-        F.coalesce(F.sum(F.when(in_gender_facet & (F.col("user_gender") == "F"), F.col("cnt"))), F.lit(0)).alias("female"),
-    ).where(F.col("total") > 0)
     shares = folded.select(
         truncated_percent("under20", "total").alias("a"),
         truncated_percent("from20", "total").alias("b"),
@@ -152,10 +148,8 @@ def _equals(term: str):
 
 
 def _keyword_tokens(keyword: str) -> list[str]:
-    import regex
-
     seen: list[str] = []
-    for t in regex.split(r"[^\p{L}\p{N}]+", keyword.lower()):
+    for t in re.split(r"[\W_]+", keyword.lower()):
         if t and t not in seen:
             seen.append(t)
     return seen

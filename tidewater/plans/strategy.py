@@ -44,8 +44,7 @@ def broadcast_if_few(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> D
 
     For sides whose size Catalyst cannot bound (a selective filter without
     column statistics is estimated at the size of the whole scan), e.g. the
-    orders of one day.  The count stops after ``max_rows + 1`` rows, so a
-    large side costs one bounded job and then takes the shuffled join.
+    orders of one day.  The count is a partial count per task; a large side
+    takes the shuffled join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import log_date
-from tidewater.sinks.upsert import balanced_for_write
 
 
 def archive_lines(lines: DataFrame, path: str, value_col: str = "value", ts_col: str = "received_ms") -> None:
@@ -17,7 +16,7 @@ def archive_lines(lines: DataFrame, path: str, value_col: str = "value", ts_col:
     as its size needs.
     """
     out = lines.select(F.col(value_col).alias("value"), log_date(ts_col).alias("day"))
-    balanced_for_write(out, "day", F.xxhash64("value")).write.mode("append").partitionBy("day").text(path)
+    out.hint("rebalance", F.col("day")).write.mode("append").partitionBy("day").text(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

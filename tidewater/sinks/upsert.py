@@ -13,17 +13,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.ingest import latest_per_key
-
-# Bound on the partition values of one batch that are listed on the driver to
-# prune the read of the existing table (days of a micro-batch: a handful).
-MAX_TOUCHED_PARTITIONS = 10_000
-# Target size of one written file, in rows.
-ROWS_PER_FILE = 2_000_000
-
+from tidewater.session import checkpoint_root
 
 def _any_null(keys: list[str]):
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -37,24 +31,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def balanced_for_write(df: DataFrame, partition_col: str, salt_key: Column,
-                       rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Shuffle rows so each partition value is written by as few tasks as its
-    size needs: one task (one file) for a normal value, ``ceil(rows /
-    rows_per_file)`` tasks for a hot one (a value holding a third of the batch
-    is spread, not funnelled into one writer).
-
-    The per-value row counts are one small aggregate (one row per partition
-    value of the batch); only the hot values enter the salt map.
-    """
-    sizes = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.where(F.col("n") > rows_per_file).limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if not hot or len(hot) > MAX_TOUCHED_PARTITIONS:
-        return df.repartition(partition_col)
-    salts = F.create_map(*[x for r in hot for x in (F.lit(r[0]), F.lit(-(-r[1] // rows_per_file)))])
-    n_salts = F.coalesce(F.element_at(salts, F.col(partition_col)), F.lit(1))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_key), n_salts.cast("long")))
-    return salted.repartition(partition_col, "_salt").drop("_salt")
+def write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+    """Replaces the partitions that ``df`` has rows of.  The REBALANCE hint brings a
+    partition value's rows together and splits large ones by bytes."""
+    (
+        df.hint("rebalance", F.col(partition_col)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    )
 
 
 def upsert(
@@ -69,7 +52,8 @@ def upsert(
     """Merge ``batch`` into the table at ``path``, newest ``version`` per key
     (``keep="min"``: the oldest).
 
-    Rows whose key is null are appended as they are (a document without id).
+    Rows whose key is null (documents without id) are kept beside; equal ones once,
+    so a replayed batch changes nothing.
     The batch is persisted for the two passes over it (touched partitions,
     merge) so a micro-batch's input and state are not evaluated twice.
     """
@@ -81,33 +65,17 @@ def upsert(
 
 
 def _merge(spark, batch, path, keys, version, partition_col, keep):
-    touched_rows = batch.select(partition_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if not touched_rows:
+    if batch.isEmpty():
         return  # an empty micro-batch changes nothing
-    with_key = batch.where(~_any_null(keys))
-    no_key = batch.where(_any_null(keys))
-    merged = with_key
+    merged = batch
     if _exists(spark, path):
+        # Only partitions that the batch touches are read: the semi join's small
+        # side prunes them when the query runs.
         existing = spark.read.parquet(path).select(*batch.columns)
-        if len(touched_rows) <= MAX_TOUCHED_PARTITIONS:
-            touched = [r[0] for r in touched_rows]
-            existing = existing.where(F.col(partition_col).isin(touched))
-        else:
-            existing = existing.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
-        existing_keyed = existing.where(~_any_null(keys))
-        existing_nokey = existing.where(_any_null(keys))
-        merged = existing_keyed.unionByName(with_key)
-        no_key = existing_nokey.unionByName(no_key)
-    result = latest_per_key(merged, keys, version, keep).select(*batch.columns).unionByName(no_key)
-    result = result.persist()
-    try:
-        salt_key = F.xxhash64(*[F.col(k) for k in keys])
-        (
-            balanced_for_write(result, partition_col, salt_key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col)
-            .parquet(path)
-        )
-    finally:
-        result.unpersist()
+        touched = batch.select(F.col(partition_col).alias("_touched")).distinct()
+        merged = existing.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi").unionByName(batch)
+    keyed = latest_per_key(merged.where(~_any_null(keys)), keys, version, keep).select(*batch.columns)
+    # Rows without a key have no identity: equal ones (a replay) are kept once.
+    result = keyed.unionByName(merged.where(_any_null(keys)).distinct())
+    checkpoint_root(spark)
+    write_partitions(result.checkpoint(eager=True), path, partition_col)

@@ -4,8 +4,7 @@ A micro-batch appends its rows, each carrying a version; nothing existing is
 read or rewritten, so a batch costs O(batch) however large the table grows.
 Readers resolve the newest row per key with a grouped ``max_by`` (partial
 aggregation after partition pruning).  ``compact`` folds a partition's
-versions into one row per key with the copy-on-write merge of
-:mod:`tidewater.sinks.upsert`, off the streaming path (e.g. for closed days).
+versions into one row per key with a copy-on-write rewrite, off the streaming path (e.g. for closed days).
 
 A replayed micro-batch appends rows with the same versions again; readers
 pick one of identical rows, so replays are harmless.
@@ -17,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.ingest import latest_per_key
-from tidewater.sinks.upsert import _any_null, _exists, upsert
+from tidewater.session import checkpoint_root
+from tidewater.sinks.upsert import _any_null, _exists, write_partitions
 
 
 def append_versions(batch: DataFrame, path: str, partition_col: str) -> None:
@@ -36,25 +36,33 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], version: str, k
     """The table as of now: newest (``keep="min"``: oldest) row per key.
 
     ``where`` (a Column on the partition column) prunes partitions before
-    the dedup.  Rows with a null key are all kept.
+    the dedup.  Rows with a null key are kept, equal ones once.
     """
     table = spark.read.parquet(path)
     if where is not None:
         table = table.where(where)
     keyed = table.where(~_any_null(keys))
     resolved = latest_per_key(keyed, keys, version, keep).select(*table.columns)
-    return resolved.unionByName(table.where(_any_null(keys)))
+    return resolved.unionByName(table.where(_any_null(keys)).distinct())
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], version: str, partition_col: str,
             keep: str = "max", partitions: list[str] | None = None) -> None:
-    """Rewrite partitions (all, or the listed ones) with one row per key."""
+    """Rewrite partitions (all, or the listed ones) with one row per key.
+
+    For closed partitions: files that a stream appends to a partition while it is
+    compacted would be replaced as well.
+    """
     if not _exists(spark, path):
         return
     table = spark.read.parquet(path)
     if partitions is not None:
         table = table.where(F.col(partition_col).cast("string").isin([str(p) for p in partitions]))
-    # Re-merging the partitions' own rows through the upsert keeps the newest
-    # version per key and rewrites only those partitions (dynamic overwrite).
+    # The resolved rows replace the partitions they come from (dynamic overwrite);
+    # nothing is merged with the existing files again.  Rows with a null key have no
+    # identity: equal ones (a replayed batch) are kept once.  The rows are persisted
+    # first: the write replaces the files that they are read from.
     resolved = latest_per_key(table.where(~_any_null(keys)), keys, version, keep).select(*table.columns)
-    upsert(spark, resolved.unionByName(table.where(_any_null(keys))), path, keys, version, partition_col, keep)
+    rows = resolved.unionByName(table.where(_any_null(keys)).distinct())
+    checkpoint_root(spark)
+    write_partitions(rows.checkpoint(eager=True), path, partition_col)

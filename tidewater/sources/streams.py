@@ -23,14 +23,15 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the files of one table: ``sf_dir/name/`` when it is a folder of
-    files (each file a unit of arrival), else the single ``sf_dir/name.parquet``.
-    The schema is taken from the files' footers (a stream needs it up front)."""
+    """Stream the files of one table: of the folder ``sf_dir/name/`` or
+    ``sf_dir/name.parquet/`` (each file a unit of arrival), else the single file
+    ``sf_dir/name.parquet``.  The schema is taken from the files' footers (a
+    stream needs it up front)."""
     prepare_session(spark)
-    folder = f"{sf_dir.rstrip('/')}/{name}"
-    if _is_dir(spark, folder):
-        schema = spark.read.parquet(folder).schema
-        reader = spark.readStream.schema(schema)
+    folders = [f"{sf_dir.rstrip('/')}/{name}", table_path(sf_dir, name)]
+    folder = next((f for f in folders if _is_dir(spark, f)), None)
+    if folder:
+        reader = spark.readStream.schema(spark.read.parquet(folder).schema)
         src = folder
     else:
         schema = spark.read.parquet(table_path(sf_dir, name)).schema
