@@ -300,10 +300,43 @@ def plain_distance(a, b):
 
 
 def test_edit_distance():
-    for a, b in [("", ""), ("", "abc"), ("kitten", "sitting"), ("abc" * 50, "abd" * 48), ("é" * 70 + "x", "e" + "é" * 69)]:
+    for a, b in [("", ""), ("", "abc"), ("kitten", "sitting"), ("abc" * 50, "abd" * 48), ("é" * 70 + "x", "e" + "é" * 69),
+                 ("aab", "ab"), ("abab", "ab"), ("xaby", "xby"), ("aaa", "aa")]:
         assert line_dedup.edit_distance(a, b) == plain_distance(a, b)
 
 
+@pytest.mark.parametrize("limits", [{}, {"part_rows": 50, "most": 40}, {"part_rows": 50, "block": 20}])
+def test_near_sims_against_all_pairs(spark, limits):
+    import random
+
+    rng = random.Random(5)
+    values = set()
+    for family in range(12):
+        start = rng.getrandbits(64)
+        for _ in range(3 if family else 90):
+            values.add(start ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 2))))
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+
+    def classes(links):
+        up = {v: v for v in values}
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in links:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+        return {v: root(v) for v in values}
+
+    near = [(a, b) for a, b in combinations(values, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= line_dedup.MAX_BITS]
+    sims = spark.createDataFrame([(v,) for v in values], "sim long").repartition(3)
+    got = [tuple(r) for r in line_dedup.near_sims(sims, len(values), **limits).collect()]
+    assert {tuple(sorted(r)) for r in got} <= {tuple(sorted(r)) for r in near}
+    assert classes(got) == classes(near)
+    assert line_dedup.near_sims(sims.limit(0), 0, **limits).count() == 0
+
+
 def test_lines_against_all_pairs(spark, odd, empty):
     import numpy as np
     import pyarrow as pa

@@ -8,8 +8,9 @@ part; shorter ones, and lines without words, are always kept.
 2. Each line has a 64-bit SimHash over its words and word pairs.  Two lines are near if
    their SimHashes differ in at most ``MAX_BITS`` (3) bits: of 5 blocks of bits at
    least 2 are then equal (pigeonhole), so SimHashes are joined on the 10 pairs of
-   blocks.  Only different SimHashes are joined, and each bucket gives a spanning
-   forest of its near pairs, not the pairs.
+   blocks.  Only different SimHashes are joined; they travel packed, many to a row, and
+   a bucket gives a spanning forest of its near pairs (a bucket of up to 16 its pairs).
+   Buckets and parts too large for a task are dealt again as pairs of blocks.
 3. Inside the components of that, near pairs are verified: edit similarity of the
    normal forms, 1 - distance / length of the longer, of at least ``percent``.
 4. Components of the verified links are the groups; with equal lines they make a
@@ -41,7 +42,14 @@ MIN_WORDS = 5
 MAX_BITS = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # first bit, bits
 PERCENT = 80
+KEYS = 10
+# SimHashes of a task's packed rows; a part of a key on average, and at most; a bucket's block.
+PACK_ROWS = 1_000_000
+PART_ROWS = 100_000
+PART_MOST = 4_000_000
 BUCKET_BLOCK = 1024
+# Buckets of up to this many rows are compared all at once.
+SMALL = 16
 GROUP_BLOCK = 128
 
 _BETWEEN = re.compile(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -130,42 +138,162 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield out
 
 
-def bucket_keys(sim) -> list:
-    """The ten pigeonhole keys of a SimHash: a pair of blocks and its number."""
-    def block(first: int, bits: int):
-        return F.shiftrightunsigned(sim, first).bitwiseAND(F.lit((1 << bits) - 1))
-
-    return [F.shiftleft(block(*a), 17) + F.shiftleft(block(*b), 4) + F.lit(i)
-            for i, (a, b) in enumerate(combinations(BLOCKS, 2))]
+def bucket(sims: np.ndarray, key: int) -> np.ndarray:
+    """Pigeonhole key ``key`` (of ten) of each SimHash: two blocks' bits and the number."""
+    (x, m), (y, n) = list(combinations(BLOCKS, 2))[key]
+    first, second = (sims >> U(x)) & U((1 << m) - 1), (sims >> U(y)) & U((1 << n) - 1)
+    return (first << U(17)) | (second << U(4)) | U(key)
+
+
+def _packed(parts: int):
+    """SimHashes by key and by the bucket's hash modulo ``parts``, packed as bytes."""
+    def pack(sims: np.ndarray) -> pa.RecordBatch:
+        rows: list[tuple[int, int, bytes]] = []
+        for key in range(KEYS):
+            part = mix(bucket(sims, key), 31) % U(parts)
+            order = np.argsort(part, kind="stable")
+            part, ordered = part[order], sims[order]
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            rows += [(int(part[at]), key, ordered[at:to].tobytes()) for at, to in zip(cuts, cuts[1:], strict=False)]
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["part", "key", "sims"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy().view(U))
+            n += len(held[-1])
+            if n >= PACK_ROWS:
+                yield pack(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield pack(np.concatenate(held))
+
+    return run
+
+
+def _links(a, b) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.nulls(len(a), pa.int64())], names=["a", "b", "bucket"])
 
 
-def near_work(table: pa.Table) -> pa.RecordBatch | None:
-    """Of a bucket: a spanning forest of the SimHashes within ``MAX_BITS`` bits."""
-    sims = np.unique(table.column("sim").to_numpy().view(U))
+def _left_over(sims: np.ndarray, key: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(sims.view(np.int64)), pa.nulls(len(sims), pa.int64()), pa.array(bucket(sims, key).view(np.int64))],
+        names=["a", "b", "bucket"])
+
+
+def near_in_part(sims: np.ndarray, key: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that connect the near SimHashes of every bucket of up to ``block``
+    rows; rows (a, null, bucket) of the larger buckets, left for dealing."""
+    buckets = bucket(sims, key)
+    order = np.lexsort((sims, buckets))
+    sims, buckets = sims[order], buckets[order]
+    first = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))
+    counts = np.diff(np.append(first, len(sims)))
+    # Small buckets: neighbours at each distance, all buckets at once.
+    small = np.flatnonzero(np.repeat((counts > 1) & (counts <= SMALL), counts))
+    for step in range(1, SMALL):
+        small = small[small + step < len(sims)]
+        small = small[buckets[small + step] == buckets[small]]
+        if not len(small):
+            break
+        near = small[np.bitwise_count(sims[small] ^ sims[small + step]) <= MAX_BITS]
+        if len(near):
+            yield _links(sims[near], sims[near + step])
+    for at, n in zip(first[counts > SMALL].tolist(), counts[counts > SMALL].tolist(), strict=True):
+        if n > block:
+            yield _left_over(sims[at:at + n], key)
+        else:
+            links = forest_links(sims[at:at + n])
+            if links is not None:
+                yield _links(*links)
+
+
+def forest_links(sims: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """A spanning forest of the SimHashes within ``MAX_BITS`` bits."""
     forest = Forest(len(sims))
     for x in range(len(sims) - 1):
         for y in np.flatnonzero(np.bitwise_count(sims[x + 1:] ^ sims[x]) <= MAX_BITS).tolist():
             forest.join(x, x + 1 + y)
     if not forest.links:
         return None
-    a, b = (sims[list(v)].view(np.int64) for v in zip(*forest.links, strict=True))
+    a, b = zip(*forest.links, strict=True)
+    return sims[list(a)], sims[list(b)]
+
+
+def near_sims(sims: DataFrame, n: int, part_rows: int = PART_ROWS, most: int = PART_MOST, block: int = BUCKET_BLOCK) -> DataFrame:
+    """Links (a, b) whose components are those of all near pairs of the distinct
+    SimHashes ``sims`` (column ``sim``, about ``n`` rows).
+
+    A SimHash goes, packed, to one part per key.  A part that turns out larger than
+    ``most`` and a bucket larger than ``block`` are not worked on where they are read:
+    their rows are dealt again, as pairs of blocks.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held, over, last = [], 0, False, None
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if held and over:
+                yield _left_over(np.concatenate(held), last[1])
+            elif held:
+                yield from near_in_part(np.concatenate(held), last[1], block)
+
+        for batch in batches:
+            for part, key, packed in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if (part, key) != last:
+                    yield from finish()
+                    held, n_held, over, last = [], 0, False, (part, key)
+                held.append(np.frombuffer(packed, U))
+                n_held += len(held[-1])
+                if n_held > most:
+                    over = True
+                    yield from finish()
+                    held, n_held = [], 0
+        yield from finish()
+
+    parts = max(1, -(-n // part_rows))
+    dealt = sims.select("sim").mapInArrow(_packed(parts), "part long, key int, sims binary")
+    found = written(
+        dealt.repartition("part", "key").sortWithinPartitions("part", "key").mapInArrow(work, "a long, b long, bucket long"), "near-sims")
+    left = found.where(F.col("bucket").isNotNull()).select(F.col("a").alias("sim"), "bucket")
+    rest = per_block_pair(
+        in_blocks(left, "bucket", "sim", block).select("sim", "_group", "_i", "_j"), near_work, "a long, b long")
+    return found.where(F.col("bucket").isNull()).select("a", "b").unionByName(rest)
+
+
+def near_work(table: pa.Table) -> pa.RecordBatch | None:
+    """Of a bucket's block pair: a spanning forest of the near SimHashes."""
+    links = forest_links(np.unique(table.column("sim").to_numpy().view(U)))
+    if links is None:
+        return None
+    a, b = (v.view(np.int64) for v in links)
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance by bit-parallel columns (Myers, Hyyro)."""
+    """Levenshtein distance by bit-parallel columns (Myers, Hyyro), without the
+    common start and end."""
     if len(a) > len(b):
         a, b = b, a
+    at, end = 0, len(a)
+    while at < end and a[at] == b[at]:
+        at += 1
+    shift = len(b) - end
+    while end > at and a[end - 1] == b[end + shift - 1]:
+        end -= 1
+    a, b = a[at:end], b[at:end + shift]
     if not a:
         return len(b)
     n = len(a)
     full, top = (1 << n) - 1, 1 << (n - 1)
-    at: dict[str, int] = {}
+    places: dict[str, int] = {}
     for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | (1 << i)
+        places[c] = places.get(c, 0) | (1 << i)
     plus, minus, score = full, 0, n
     for c in b:
-        eq = at.get(c, 0)
+        eq = places.get(c, 0)
         zero = (((eq & plus) + plus) ^ plus) | eq | minus
         up = minus | (full & ~(zero | plus))
         down = plus & zero
@@ -216,9 +344,7 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     # Components of near SimHashes; a SimHash of several forms is one as well.
     sims = forms.groupBy("sim").agg(F.count(F.lit(1)).alias("n_forms"))
-    buckets = sims.select("sim", F.explode(F.array(*bucket_keys(F.col("sim")))).alias("bucket"))
-    near = per_block_pair(
-        in_blocks(buckets, "bucket", "sim", BUCKET_BLOCK).select("sim", "_group", "_i", "_j"), near_work, "a long, b long")
+    near = near_sims(sims, forms.count())
     clusters = components(near)
     grouped = sims.join(clusters, F.col("sim") == F.col("node"), "left").where(
         F.col("component").isNotNull() | (F.col("n_forms") > 1)).select(
