@@ -381,7 +381,8 @@ def remove_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with repeated lines taken out of the texts, and the columns ``_lines``
     and ``_removed`` (counts)."""
     gone = written(repeated_lines(docs, percent), "repeated-lines").select(F.col("doc_id").alias("_id"), "places")
-    joined = docs.join(broadcast_if_counted(gone), F.col("doc_id") == F.col("_id"), "left")
+    # One plan at every size: most inputs have too many removals to broadcast.
+    joined = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
     parts = F.split("text", "\n")
     left = F.filter(parts, lambda x, i: ~F.array_contains(F.col("places"), i))
     return joined.withColumn("_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long")).withColumn(
