@@ -32,8 +32,7 @@ from tidewater.sources.tables import read_table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_classifier.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality_classifier.scored(docs, model)
-    return scored.where(F.col("quality_score") >= quality_classifier.THRESHOLD).select(*docs.columns)
+    return quality_classifier.passing(docs, model, docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,6 +178,18 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return rows.withColumn("quality_score", model.score(F.col("features"))).drop("features")
 
 
+def passing(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+    """``columns`` of the documents whose score is at least ``THRESHOLD``.
+
+    A plain filter on the score is pushed below the features, which are then
+    evaluated inside the condition, the words anew for each word; a filter on
+    generated rows stays above.
+    """
+    rows = scored(docs, model)
+    one = rows.select(*columns, F.explode_outer(F.array("quality_score")).alias("_score"))
+    return one.where(F.col("_score") >= THRESHOLD).select(*columns)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document (op8)."""
     model = train(docs, labels)
