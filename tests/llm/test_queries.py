@@ -44,3 +44,13 @@ def test_pipeline_on_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         rows = stage(spark, rows, SF_SMALL)
         assert rows.count() == 0
+
+
+def test_quality_stage_with_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    extra = docs.selectExpr("*", "1 as features", "2 as quality_score", "3 as _score", "4 as _words")
+    stage = corpus_pipeline.STAGES[0][1]
+    out = stage(spark, extra, SF_SMALL)
+    assert out.columns == extra.columns
+    plain = {r[0] for r in stage(spark, docs, SF_SMALL).select("doc_id").collect()}
+    assert {r["doc_id"] for r in out.where("features = 1 and _score = 3").collect()} == plain

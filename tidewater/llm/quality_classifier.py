@@ -183,11 +183,11 @@ def passing(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
 
     A plain filter on the score is pushed below the features, which are then
     evaluated inside the condition, the words anew for each word; a filter on
-    generated rows stays above.
+    generated rows stays above.  Columns travel as one, so their names may be any.
     """
-    rows = scored(docs, model)
-    one = rows.select(*columns, F.explode_outer(F.array("quality_score")).alias("_score"))
-    return one.where(F.col("_score") >= THRESHOLD).select(*columns)
+    rows = scored(docs.select(F.struct(*columns).alias("_row"), "text"), model)
+    one = rows.select("_row", F.explode_outer(F.array("quality_score")).alias("_score"))
+    return one.where(F.col("_score") >= THRESHOLD).select("_row.*")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
