@@ -35,3 +35,26 @@ def test_latest_per_key(spark):
     df = spark.createDataFrame([("1", "a", 10), ("1", "b", 15), ("2", "c", 1)], "id string, v string, seq long")
     out = {r["id"]: r["v"] for r in ingest.latest_per_key(df, ["id"], "seq").collect()}
     assert out == {"1": "b", "2": "c"}
+
+
+def test_unknown_fields_and_number_types_are_kept(spark):
+    line = '{"type":"event","pgid":7,"price":1.5,"extra":{"a":[1,null]},"gone":null,"ts":"old"}'
+    df = spark.createDataFrame([(line, 9)], "line string, received_ms long")
+    row = ingest.route_logs(df).collect()[0]
+    assert row["topic"] == ingest.TOPIC_EVENT
+    out = json.loads(row["value"])
+    assert out["pgid"] == 7 and out["price"] == 1.5 and out["extra"] == {"a": [1, None]}
+    assert out["ts"] == 9 and row["value"].count('"ts"') == 1
+
+
+def test_malformed_lines_go_to_quarantine_with_their_text(spark):
+    bad = ['{"type":"startup"', "not json", "[1]", "7", "", None]
+    df = spark.createDataFrame([(i, x, 1) for i, x in enumerate(bad)], "id long, line string, received_ms long")
+    out = {r["id"]: (r["topic"], r["value"]) for r in ingest.route_logs(df).collect()}
+    assert out == {i: (ingest.TOPIC_QUARANTINE, x) for i, x in enumerate(bad)}
+
+
+def test_the_last_value_of_a_repeated_field_counts(spark):
+    df = spark.createDataFrame([('{"type":"event","a":1,"a":2}', 1)], "line string, received_ms long")
+    row = ingest.route_logs(df).collect()[0]
+    assert row["topic"] == ingest.TOPIC_EVENT and row["value"] == '{"type":"event","a":2,"ts":1}'

@@ -11,22 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions import json_field
-
 # Fixed values that must equal the reference's: topic names.
 TOPIC_STARTUP = "GMALL_STARTUP"
 TOPIC_EVENT = "GMALL_EVENT"
 TOPIC_ORDER_INFO = "GMALL_ORDER_INFO"
 TOPIC_ORDER_DETAIL = "GMALL_ORDER_DETAIL"
 TOPIC_USER_INFO = "GMALL_USER_INFO"
-
-# Wire schema of a log line: union of the startup and event fields, all
-# strings except the intake timestamp.
-LOG_FIELDS = ("type", "mid", "uid", "appid", "area", "os", "ch", "vs",
-              "evid", "pgid", "npgid", "itemid")
-LOG_WIRE_SCHEMA = T.StructType(
-    [T.StructField(f, T.StringType()) for f in LOG_FIELDS] + [T.StructField("ts", T.LongType())]
-)
+# Our topic for lines that are no JSON object.
+TOPIC_QUARANTINE = "GMALL_QUARANTINE"
 
 # Change-record routing: (source table, accepted event types, topic).
 CDC_ROUTES = (
@@ -43,31 +35,28 @@ USER_WIRE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in (
     "id", "login_name", "user_level", "gender")])
 
 
-def log_topic(line: Column) -> Column:
-    """``startup`` logs go to the startup topic, everything else (also a null
-    or missing type) to the event topic."""
-    is_startup = F.coalesce(json_field(line, "$.type") == F.lit("startup"), F.lit(False))
-    return F.when(is_startup, F.lit(TOPIC_STARTUP)).otherwise(F.lit(TOPIC_EVENT))
-
-
-def stamp(df: DataFrame, line_col: str, received_col: str, out_col: str = "value") -> DataFrame:
-    """Decode each log line once, put the intake time into ``ts`` (replacing
-    a client value) and encode it again; unknown fields are dropped, null
-    ones omitted.
-
-    The parsed record is a column of its own and the output struct is built
-    from its fields: updating the parsed struct in place (``withField``)
-    expands into one JSON parse per field.
-    """
-    fields = [f.name for f in LOG_WIRE_SCHEMA.fields if f.name != "ts"]
-    parsed = df.withColumn("_rec", F.from_json(F.col(line_col), LOG_WIRE_SCHEMA))
-    rebuilt = F.struct(*[F.col("_rec")[f].alias(f) for f in fields], F.col(received_col).cast("long").alias("ts"))
-    return parsed.withColumn(out_col, F.when(F.col("_rec").isNotNull(), F.to_json(rebuilt))).drop("_rec")
-
-
 def route_logs(raw: DataFrame, line_col: str = "line", received_col: str = "received_ms") -> DataFrame:
-    """Raw log lines -> ``(topic, value)`` with the intake stamp applied."""
-    return stamp(raw.withColumn("topic", log_topic(F.col(line_col))), line_col, received_col)
+    """Raw log lines -> ``(topic, value)`` with the intake time put into ``ts``
+    (replacing a client value).
+
+    A line is parsed once, into a map of VARIANT values, so every other field
+    stays with its type, known or not.  ``startup`` logs go to the startup
+    topic, everything else (also a null or missing type) to the event topic.  Of a
+    repeated field the last value counts.
+    A line that is no JSON object, or null, goes to the quarantine topic with
+    its text as it came.
+    """
+    rec, fields = F.col("_rec"), F.col("_fields")
+    names = F.map_keys(rec)
+    last = F.filter(F.map_entries(rec), lambda e, i: (e["key"] != "ts") & ~F.array_contains(
+        F.slice(names, i + 2, F.size(names)), e["key"]))
+    is_startup = F.coalesce(F.try_variant_get(fields["type"], "$", "string") == "startup", F.lit(False))
+    topic = F.when(rec.isNull(), TOPIC_QUARANTINE).when(is_startup, TOPIC_STARTUP).otherwise(TOPIC_EVENT)
+    stamped = F.map_concat(fields, F.create_map(F.lit("ts"), F.col(received_col).cast("long").cast("variant")))
+    parsed = raw.withColumn("_rec", F.from_json(F.col(line_col), "map<string,variant>")).withColumn(
+        "_fields", F.map_from_entries(last))
+    return parsed.withColumn("topic", topic).withColumn(
+        "value", F.when(rec.isNull(), F.col(line_col)).otherwise(F.to_json(stamped))).drop("_rec", "_fields")
 
 
 def cdc_topic(table: Column, event_type: Column) -> Column:

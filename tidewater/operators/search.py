@@ -26,6 +26,7 @@ GENDER_FACET_SIZE = 2
 # Our relevance choice (the reference's analyzer and scorer are outside it).
 BM25_K1 = 1.2
 BM25_B = 0.75
+SCORE_DIGITS = 6
 
 
 def hits(sales: DataFrame, dt: str, keyword: str, text_col: str = "sku_name") -> DataFrame:
@@ -167,7 +168,7 @@ def sale_detail_answer(shares: DataFrame, page: DataFrame, found: DataFrame) ->
     was found.
 
     Only bounded inputs are folded into the row: five share rows and one
-    page of hits; the total is a count.
+    page of hits, in the page's order; the total is a count.
     """
     stat = (
         shares.groupBy("title").agg(
@@ -180,7 +181,10 @@ def sale_detail_answer(shares: DataFrame, page: DataFrame, found: DataFrame) ->
             F.transform(s["opts"], lambda o: F.struct(o["name"].alias("name"), o["value"].alias("value"))).alias("options"),
         )).alias("stat"))
     )
-    detail = page.agg(F.collect_list(F.struct(*[F.col(c) for c in page.columns])).alias("detail"))
+    # The page's order (score, then id) is restored from a key of its own.
+    row = F.struct(*[F.round(c, SCORE_DIGITS).alias(c) if c == "score" else F.col(c) for c in page.columns])
+    placed = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("place"), "doc_id", row.alias("row"))))
+    detail = page.agg(F.transform(placed, lambda x: x["row"]).alias("detail"))
     n = total(found).scalar()
     answer = stat.select(
         F.when(n > 0, F.to_json(F.struct(n.alias("total"), F.col("stat"), detail.select("detail").scalar().alias("detail"))))

@@ -49,12 +49,12 @@ def hour_axis(spark: SparkSession) -> DataFrame:
 
 def today_vs_yesterday(
     spark: SparkSession, by_day_hour: DataFrame, date: str,
-    day_col: str, hour_col: str, value_col: str,
+    day_col: str, hour_col: str, value_col: str, fill=0,
 ) -> DataFrame:
     """Align ``date`` and the day before by hour over the full 24-hour axis.
 
     ``by_day_hour`` holds one value per (day, hour) for at least the two
-    days; missing hours become 0.  The two days are folded into two columns
+    days; missing hours become ``fill``.  The two days are folded into two columns
     with conditional sums (one pass), then the 24-row axis is joined to the
     at most 24 aggregated rows (both sides bounded by 24: broadcast-safe).
     """
@@ -66,17 +66,18 @@ def today_vs_yesterday(
     )
     return hour_axis(spark).join(F.broadcast(folded), "hour", "left").select(
         "hour",
-        F.coalesce(F.col("today"), F.lit(0)).alias("today"),
-        F.coalesce(F.col("yesterday"), F.lit(0)).alias("yesterday"),
+        F.coalesce(F.col("today"), F.lit(fill)).alias("today"),
+        F.coalesce(F.col("yesterday"), F.lit(fill)).alias("yesterday"),
     )
 
 
 def hour_maps_json(series: DataFrame) -> DataFrame:
     """The reference's answer shape: one JSON text
     ``{"yesterday": {hour: value}, "today": {hour: value}}`` with the hours
-    that have a value, in hour order (the input is the 24-row series)."""
+    that have a value (0 is one), in hour order.  The input is the 24-row series with
+    null for hours without value (``fill=None``)."""
     def day_map(col: str):
-        entries = F.array_sort(F.collect_list(F.when(F.col(col) != 0, F.struct("hour", col))))
+        entries = F.array_sort(F.collect_list(F.when(F.col(col).isNotNull(), F.struct("hour", col))))
         return F.map_from_entries(entries).alias(col)
 
     return series.agg(day_map("yesterday"), day_map("today")).select(

@@ -27,6 +27,7 @@ from tidewater.plans.oracle import with_views
 from tidewater.plans.strategy import broadcast_if_few
 from tidewater.session import checkpoint_root, scratch_path
 from tidewater.sinks import files as file_sinks
+from tidewater.sinks.versioned import append_versions, compact, read_latest
 from tidewater.sources import fixtures as fx
 from tidewater.sources.tables import Tables
 from tidewater.streaming import jobs as stream_jobs
@@ -157,6 +158,19 @@ def q_log_route(spark, sf_dir):
     return ingest.route_logs(raw).select("log_id", "topic", "value")
 
 
+# Lines whose id this divides arrive broken in the quarantine query.
+BROKEN_EVERY = 50
+
+
+@register("log_quarantine", with_views("v_raw_log") + f"""
+    select log_id, '{ingest.TOPIC_QUARANTINE}' as topic, left(line, length(line) - 1) as value
+    from v_raw_log where log_id % {BROKEN_EVERY} = 0""")
+def q_log_quarantine(spark, sf_dir):
+    raw = fx.v_raw_log(Tables(spark, sf_dir), broken_every=BROKEN_EVERY)
+    routed = ingest.route_logs(raw)
+    return routed.where(F.col("topic") == ingest.TOPIC_QUARANTINE).select("log_id", "topic", "value")
+
+
 @register("cdc_route", with_views("v_cdc_routed") + 'select "table", seq, topic, value from v_cdc_routed')
 def q_cdc_route(spark, sf_dir):
     return ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir))).select("table", "seq", "topic", "value")
@@ -186,6 +200,31 @@ def q_user_dim_latest(spark, sf_dir):
     return _user_dim(spark, sf_dir)
 
 
+@register("upsert_compact", with_views("v_cdc_routed") + """
+    , u as (select json_extract_string(value, '$.id') as id0, json_extract_string(value, '$.user_level') as user_level,
+                   coalesce(json_extract_string(value, '$.gender'), 'none') as part, seq
+            from v_cdc_routed where topic = 'GMALL_USER_INFO')
+    select id0 as id, user_level, part, seq
+    from (select *, row_number() over (partition by id0 order by seq desc) as rn from u
+          where cast(id0 as bigint) % 11 <> 0)
+    where rn = 1
+    union all
+    select distinct null, user_level, part, seq from u where cast(id0 as bigint) % 11 = 0""")
+def q_upsert_compact(spark, sf_dir):
+    """User changes, some without an id, written, replayed and compacted twice."""
+    routed = ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir)))
+    users = ingest.decode_users(routed.where(F.col("topic") == ingest.TOPIC_USER_INFO).select("seq", "value"))
+    rows = users.select(
+        F.when(F.col("id").cast("long") % 11 != 0, F.col("id")).alias("id"), "user_level", "seq",
+        F.coalesce("gender", F.lit("none")).alias("part"))
+    path = f"{scratch_path(spark, 'upsert-compact')}/table"
+    for _ in range(2):
+        append_versions(rows, path, "part")
+    for _ in range(2):
+        compact(spark, path, ["id"], "seq", "part")
+    return read_latest(spark, path, ["id"], "seq", "max").select("id", "user_level", "part", "seq")
+
+
 @register("raw_log_archive", with_views("v_log_routed") + """
     select strftime(make_timestamp(received_ms * 1000), '%Y-%m-%d') as day, value from v_log_routed""")
 def q_raw_log_archive(spark, sf_dir):
@@ -231,10 +270,14 @@ _HOURS_SQL = "(select lpad(cast(h as varchar), 2, '0') as hour from range(24) t(
           from v_dau where logdate in ('{DAU_DATE}', '{day_before(DAU_DATE)}') group by loghour) a
     on x.hour = a.hour""")
 def q_realtime_hours_dau(spark, sf_dir):
+    return _hours_dau(spark, sf_dir)
+
+
+def _hours_dau(spark: SparkSession, sf_dir: str, fill=0) -> DataFrame:
     lo, hi = day_bounds_ts(day_before(DAU_DATE), 2)
     dau = dau_ops.first_start_per_day(fx.v_startup(Tables(spark, sf_dir), lo, hi))
     per_hour = dau.groupBy("logdate", "loghour").agg(F.count(F.lit(1)).alias("ct"))
-    return serving.today_vs_yesterday(spark, per_hour, DAU_DATE, "logdate", "loghour", "ct")
+    return serving.today_vs_yesterday(spark, per_hour, DAU_DATE, "logdate", "loghour", "ct", fill)
 
 
 @register("realtime_hours_amount", with_views("v_order_enriched") + f"""
@@ -247,11 +290,15 @@ def q_realtime_hours_dau(spark, sf_dir):
           group by create_hour) a
     on x.hour = a.hour""")
 def q_realtime_hours_amount(spark, sf_dir):
+    out = _hours_amount(spark, sf_dir)
+    return out.select("hour", F.round("today", 2).alias("today"), F.round("yesterday", 2).alias("yesterday"))
+
+
+def _hours_amount(spark: SparkSession, sf_dir: str, fill=0) -> DataFrame:
     t = Tables(spark, sf_dir)
     orders = gmv_ops.enrich_orders(fx.v_order(t, day_before(GMV_DATE), day_after(GMV_DATE)))
     per_hour = orders.groupBy("create_date", "create_hour").agg(F.sum("total_amount").alias("amount"))
-    out = serving.today_vs_yesterday(spark, per_hour, GMV_DATE, "create_date", "create_hour", "amount")
-    return out.select("hour", F.round("today", 2).alias("today"), F.round("yesterday", 2).alias("yesterday"))
+    return serving.today_vs_yesterday(spark, per_hour, GMV_DATE, "create_date", "create_hour", "amount", fill)
 
 
 @register("realtime_hours_json", with_views("v_dau") + f"""
@@ -265,7 +312,22 @@ def q_realtime_hours_amount(spark, sf_dir):
                                              where logdate = '{DAU_DATE}' group by loghour)), '{{}}')
            || '}}' as json""")
 def q_realtime_hours_json(spark, sf_dir):
-    return serving.hour_maps_json(q_realtime_hours_dau(spark, sf_dir))
+    return serving.hour_maps_json(_hours_dau(spark, sf_dir, fill=None))
+
+
+def _amount_map_sql(date: str) -> str:
+    return f"""coalesce((select '{{' || string_agg('"' || create_hour || '":' || cast(amount as varchar), ','
+                                                order by create_hour) || '}}'
+                         from (select create_hour, cast(round(sum(total_amount), 2) as decimal(18, 2)) as amount
+                               from v_order_enriched where create_date = '{date}' group by create_hour)), '{{}}')"""
+
+
+@register("realtime_hours_amount_json", with_views("v_order_enriched") + f"""
+    select '{{"yesterday":' || {_amount_map_sql(day_before(GMV_DATE))}
+           || ',"today":' || {_amount_map_sql(GMV_DATE)} || '}}' as json""")
+def q_realtime_hours_amount_json(spark, sf_dir):
+    return serving.hour_maps_json(_hours_amount(spark, sf_dir, fill=None).select(
+        "hour", *[F.round(c, 2).cast("decimal(18,2)").alias(c) for c in ("today", "yesterday")]))
 
 
 # --- coupon alerts -------------------------------------------------------------------
@@ -462,8 +524,7 @@ def q_facet_gender(spark, sf_dir):
     return search_ops.facet_gender(found)
 
 
-@register("age_gender_ratio", with_views("v_sale_tokens") + f"""
-    , hits as {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}
+_SHARES_SQL = f"""
     , fa as (select user_age, count(*) as cnt from hits group by user_age
              order by cnt desc, user_age limit {search_ops.AGE_FACET_SIZE})
     , fg as (select user_gender, count(*) as cnt from hits where user_gender is not null
@@ -473,11 +534,15 @@ def q_facet_gender(spark, sf_dir):
                    ((select coalesce(sum(cnt), 0) from fa where user_age >= 20 and user_age < 30) * 1000 // total) / 10.0 as b,
                    ((select coalesce(sum(cnt), 0) from fg where user_gender = 'F') * 1000 // total) / 10.0 as f
             from (select count(*) as total from hits) where total > 0)
-    select 1 as pos, '{search_ops.m.AGE_TITLE}' as title, '{search_ops.m.AGE_UNDER_20}' as name, a as value from r
+    , shares as (select 1 as pos, '{search_ops.m.AGE_TITLE}' as title, '{search_ops.m.AGE_UNDER_20}' as name, a as value from r
     union all select 2, '{search_ops.m.AGE_TITLE}', '{search_ops.m.AGE_20_TO_29}', b from r
     union all select 3, '{search_ops.m.AGE_TITLE}', '{search_ops.m.AGE_30_PLUS}', 100.0 - a - b from r
     union all select 4, '{search_ops.m.GENDER_TITLE}', '{search_ops.m.MALE}', 100.0 - f from r
-    union all select 5, '{search_ops.m.GENDER_TITLE}', '{search_ops.m.FEMALE}', f from r""")
+    union all select 5, '{search_ops.m.GENDER_TITLE}', '{search_ops.m.FEMALE}', f from r)"""
+
+
+@register("age_gender_ratio", with_views("v_sale_tokens") + f"""
+    , hits as {_hits_sql(SEARCH_DT, SEARCH_KEYWORD)}""" + _SHARES_SQL + "select * from shares")
 def q_age_gender_ratio(spark, sf_dir):
     found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD)
     return search_ops.age_gender_shares(found)
@@ -509,6 +574,31 @@ def q_sale_search_page(spark, sf_dir):
     return page.withColumn("score", F.round("score", 6))
 
 
+@register("sale_detail_json", with_views("v_sale_tokens") + _bm25_sql(SEARCH_DT, SEARCH_KEYWORD) + _SHARES_SQL + f"""
+    , opts as (select title, min(pos) as pos, list({{'name': name, 'value': value}} order by pos) as options
+               from shares group by title)
+    , page as (select t.doc_id, t.order_detail_id, t.order_id, t.order_status, t.create_time, t.user_id, t.sku_id,
+                      t.user_gender, t.user_age, t.user_level, t.sku_price, t.sku_name, t.dt,
+                      round(s.score, {search_ops.SCORE_DIGITS}) as score, s.score as place
+               from scored s join v_sale_tokens t on s.doc_id = t.doc_id
+               order by s.score desc, s.doc_id
+               limit {SEARCH_PAGE_SIZE} offset {(SEARCH_PAGE - 1) * SEARCH_PAGE_SIZE})
+    , detail as (select list(json_merge_patch('{{}}', to_json({{
+                     {", ".join(f"'{c}': {c}" for c in (*_SALE_OUT, "score"))}}})) order by place desc, doc_id) as rows
+                 from page)
+    select case when (select count(*) from hits) = 0 then '{{}}'
+           else cast(to_json({{'total': (select count(*) from hits),
+                               'stat': (select list({{'title': title, 'options': options}} order by pos) from opts),
+                               'detail': (select coalesce(rows, []) from detail)}}) as varchar) end as json""")
+def q_sale_detail_json(spark, sf_dir):
+    # The day's hits are read for the total, the shares and the page: written once.
+    checkpoint_root(spark)
+    found = _search_hits(spark, sf_dir, SEARCH_DT, SEARCH_KEYWORD).checkpoint(eager=True)
+    scored = search_ops.bm25_scores(_sale_corpus(spark, sf_dir), found, SEARCH_KEYWORD)
+    page = search_ops.ranked_page(scored, SEARCH_PAGE, SEARCH_PAGE_SIZE)
+    return search_ops.sale_detail_answer(search_ops.age_gender_shares(found), page, found)
+
+
 # --- join demo ---------------------------------------------------------------------------
 
 _DOD_SQL = with_views("v_dau") + """
@@ -559,6 +649,13 @@ def q_stream_dau_by_hour(spark, sf_dir):
     return dau_ops.dau_by_hour(stream_jobs.read_dau(spark, run), DAU_DATE)
 
 
+@register("stream_gmv_by_hour", REGISTRY["gmv_by_hour"].sql)
+def q_stream_gmv_by_hour(spark, sf_dir):
+    _, run = stream_jobs.run_gmv(spark, sf_dir, trigger=_AVAILABLE_NOW)
+    out = gmv_ops.gmv_by_hour(stream_jobs.read_orders(spark, run, GMV_DATE), GMV_DATE)
+    return out.select("create_hour", F.round("sum_amount", 2).alias("sum_amount"))
+
+
 @register("stream_coupon_alerts", REGISTRY["coupon_alerts"].sql)
 def q_stream_coupon_alerts(spark, sf_dir):
     _, run = stream_jobs.run_alert_counts(spark, sf_dir, ALERT_WINDOW, ALERT_SLIDE, trigger=_AVAILABLE_NOW)

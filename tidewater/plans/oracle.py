@@ -64,7 +64,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         select log_id, ts as received_ms, type, mid, uid, area, evid, itemid,
                '{' || concat_ws(',', '"type":' || to_json(type)::varchar, '"mid":' || to_json(mid)::varchar,
                                 '"uid":' || to_json(uid)::varchar, '"area":' || to_json(area)::varchar,
-                                '"evid":' || to_json(evid)::varchar, '"itemid":' || to_json(itemid)::varchar) || '}' as line
+                                '"evid":' || to_json(evid)::varchar, '"itemid":' || to_json(itemid)::varchar,
+                                '"seq":' || cast(log_id as varchar)) || '}' as line
         from v_log"""),
     "v_log_routed": (("v_raw_log",), """
         select log_id, received_ms,
@@ -73,7 +74,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                '{' || concat_ws(',', '"type":' || to_json(type)::varchar, '"mid":' || to_json(mid)::varchar,
                                 '"uid":' || to_json(uid)::varchar, '"area":' || to_json(area)::varchar,
                                 '"evid":' || to_json(evid)::varchar, '"itemid":' || to_json(itemid)::varchar,
-                                '"ts":' || cast(received_ms as varchar)) || '}' as value
+                                '"seq":' || cast(log_id as varchar), '"ts":' || cast(received_ms as varchar)) || '}' as value
         from v_raw_log"""),
     "v_cdc": ((), """
         select 'order_info' as "table",

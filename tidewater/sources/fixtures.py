@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import date_part_of, day_bounds_ts, epoch_ms, format_datetime, hour_part_of
@@ -39,10 +39,8 @@ def _evid(event_type: Column) -> Column:
     return out
 
 
-def v_log(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
-    """Decoded startup and event logs (one row per driver event).
-
-    ``ts_from``/``ts_to`` (naive UTC datetimes, half-open) restrict the scan of
+def _events(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
+    """The raw event rows.  ``ts_from``/``ts_to`` (naive UTC datetimes, half-open) restrict the scan of
     the raw table; the predicate reaches the parquet reader, which is how a
     query of one day skips the rest (the role of a date partition).
     """
@@ -51,6 +49,15 @@ def v_log(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
         ev = ev.where(F.col("ts") >= F.lit(ts_from))
     if ts_to is not None:
         ev = ev.where(F.col("ts") < F.lit(ts_to))
+    return ev
+
+
+def v_log(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
+    """Decoded startup and event logs (one row per driver event)."""
+    return _logs_of(_events(t, ts_from, ts_to))
+
+
+def _logs_of(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("log_id"),
         F.when(F.col("event_type") == "view", "startup").otherwise("event").alias("type"),
@@ -64,18 +71,23 @@ def v_log(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
 
 
 def v_startup(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
-    return v_log(t, ts_from, ts_to).where(F.col("type") == "startup")
+    # Filtered on the raw column, so the predicate reaches the parquet scan.
+    return _logs_of(_events(t, ts_from, ts_to).where(F.col("event_type") == "view"))
 
 
 def v_event(t: Tables, ts_from=None, ts_to=None) -> DataFrame:
-    return v_log(t, ts_from, ts_to).where(F.col("type") != "startup")
+    return _logs_of(_events(t, ts_from, ts_to).where(~F.col("event_type").eqNullSafe("view")))
 
 
-def v_raw_log(t: Tables) -> DataFrame:
+def v_raw_log(t: Tables, broken_every: int | None = None) -> DataFrame:
     """Raw log lines as the collector receives them: JSON text without ``ts``
-    (the intake adds it) and the time the line was received."""
+    (the intake adds it), with a number (``seq``), and the time the line was
+    received.  ``broken_every``: lines whose id it divides lose their last
+    character, so they are no JSON."""
     logs = v_log(t)
-    line = F.to_json(F.struct("type", "mid", "uid", "area", "evid", "itemid"))
+    line = F.to_json(F.struct("type", "mid", "uid", "area", "evid", "itemid", F.col("log_id").alias("seq")))
+    if broken_every:
+        line = F.when(F.col("log_id") % broken_every == 0, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
     return logs.select("log_id", line.alias("line"), F.col("ts").alias("received_ms"))
 
 
@@ -246,7 +258,3 @@ def v_cdc(t: Tables) -> DataFrame:
         F.create_map(F.lit("id"), _s(nk), F.lit("name"), F.col("n_name")).alias("after"),
     )
     return orders.unionByName(details).unionByName(users_insert).unionByName(users_change).unionByName(provinces)
-
-
-def load(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(spark, sf_dir)

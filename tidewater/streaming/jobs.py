@@ -10,6 +10,9 @@ the checkpoint root; readers query those tables.
   (update mode, watermark bounds the state); each batch appends its updated
   rows to a table partitioned by day, and readers keep the earliest row per
   ``(mid, logdate)`` (merge-on-read, :mod:`tidewater.sinks.versioned`).
+* GMV: orders are enriched (date, hour, masked phone) and appended to a table
+  partitioned by order date, keyed by order id; totals per day and hour are
+  queries over the table's newest rows.
 * Alerts: per-pane aggregates ``(pane, mid, evid)`` run in the stream (update
   mode, watermark); readers take the latest aggregate per key and assemble
   windows and the alert rule from them.
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import alerts as alert_ops
 from tidewater.operators import dau as dau_ops
+from tidewater.operators import gmv as gmv_ops
 from tidewater.operators import ingest
 from tidewater.operators import sales as sale_ops
 from tidewater.session import prepare_streaming, scratch_path
@@ -174,6 +178,33 @@ def read_dau_seen_set(spark: SparkSession, run: StreamRun) -> DataFrame:
     return spark.read.parquet(run.table).withColumn("logdate", F.col("logdate").cast("string"))
 
 
+# --- GMV ------------------------------------------------------------------------------
+
+def run_gmv(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
+            max_files_per_trigger: int | None = None, stream_dir: str | None = None):
+    """Enriched orders into a table by ``create_date``.  The job is stateless: no
+    watermark, so no late order is dropped; a repeated order keeps its newest row
+    when read (:func:`read_orders`)."""
+    prepare_streaming(spark)
+    run = run or StreamRun.fresh(spark, "stream-gmv")
+    t = StreamTables(spark, sf_dir, streamed=("orders",), max_files_per_trigger=max_files_per_trigger,
+                     stream_dir=stream_dir)
+    orders = gmv_ops.enrich_orders(fx.v_order(t)).select(*gmv_ops.ORDER_COLUMNS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_versions(batch.withColumn("_batch", F.lit(batch_id).cast("long")), run.table, "create_date")
+
+    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
+    return _finish(q, trigger), run
+
+
+def read_orders(spark: SparkSession, run: StreamRun, date: str | None = None) -> DataFrame:
+    """The newest row of every order, optionally of one day (its folder only)."""
+    where = None if date is None else F.col("create_date") == date
+    table = read_latest(spark, run.table, ["id"], "_batch", where=where)
+    return table.withColumn("create_date", F.col("create_date").cast("string")).select(*gmv_ops.ORDER_COLUMNS)
+
+
 # --- coupon alerts ----------------------------------------------------------------------
 
 def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.WINDOW, slide: str = alert_ops.SLIDE,
