@@ -129,3 +129,15 @@ def test_seen_set_dau_stream_in_pieces_equals_batch(spark, split_dir):
     batch = dau.first_start_per_day(fx.v_startup(Tables(spark, SF_SMALL)))
     # time-ordered arrival: the first arrival is the earliest start
     assert rows(jobs.read_dau_seen_set(spark, run).select(*batch.columns)) == rows(batch)
+
+
+def test_gmv_stream_in_small_batches_equals_batch(spark, tmp_path):
+    """Orders of several files, a file per batch, one file replayed as a copy."""
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    again = spark.read.parquet(f"{SF_SMALL}/orders.parquet").where("o_orderkey % 5 = 0")
+    again.coalesce(1).write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    _, run = jobs.run_gmv(spark, SF_SMALL, trigger=AVAILABLE_NOW, max_files_per_trigger=1, stream_dir=str(tmp_path))
+    want = catalog.REGISTRY["order_enriched"].run(spark, SF_SMALL)
+    got = jobs.read_orders(spark, run).select(*want.columns)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

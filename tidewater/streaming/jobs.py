@@ -11,7 +11,7 @@ the checkpoint root; readers query those tables.
   rows to a table partitioned by day, and readers keep the earliest row per
   ``(mid, logdate)`` (merge-on-read, :mod:`tidewater.sinks.versioned`).
 * GMV: orders are enriched (date, hour, masked phone) and appended to a table
-  partitioned by order date, keyed by order id; totals per day and hour are
+  partitioned by order month, keyed by order id; totals per day and hour are
   queries over the table's newest rows.
 * Alerts: per-pane aggregates ``(pane, mid, evid)`` run in the stream (update
   mode, watermark); readers take the latest aggregate per key and assemble
@@ -182,7 +182,8 @@ def read_dau_seen_set(spark: SparkSession, run: StreamRun) -> DataFrame:
 
 def run_gmv(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
             max_files_per_trigger: int | None = None, stream_dir: str | None = None):
-    """Enriched orders into a table by ``create_date``.  The job is stateless: no
+    """Enriched orders into a table by month of ``create_date`` (a backlog of years
+    would open a file per day and task).  The job is stateless: no
     watermark, so no late order is dropped; a repeated order keeps its newest row
     when read (:func:`read_orders`)."""
     prepare_streaming(spark)
@@ -192,17 +193,18 @@ def run_gmv(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trig
     orders = gmv_ops.enrich_orders(fx.v_order(t)).select(*gmv_ops.ORDER_COLUMNS)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_versions(batch.withColumn("_batch", F.lit(batch_id).cast("long")), run.table, "create_date")
+        keyed = batch.withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("month", F.substring("create_date", 1, 7))
+        append_versions(keyed, run.table, "month")
 
     q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
     return _finish(q, trigger), run
 
 
 def read_orders(spark: SparkSession, run: StreamRun, date: str | None = None) -> DataFrame:
-    """The newest row of every order, optionally of one day (its folder only)."""
-    where = None if date is None else F.col("create_date") == date
-    table = read_latest(spark, run.table, ["id"], "_batch", where=where)
-    return table.withColumn("create_date", F.col("create_date").cast("string")).select(*gmv_ops.ORDER_COLUMNS)
+    """The newest row of every order, optionally of one day: its month's folder, then
+    row groups by the date's statistics (an order's date never changes)."""
+    where = None if date is None else (F.col("month") == date[:7]) & (F.col("create_date") == date)
+    return read_latest(spark, run.table, ["id"], "_batch", where=where).select(*gmv_ops.ORDER_COLUMNS)
 
 
 # --- coupon alerts ----------------------------------------------------------------------
