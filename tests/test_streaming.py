@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import alerts, dau, sales
 from tidewater.plans import catalog
 from tidewater.session import scratch_path
+from tidewater.sinks.versioned import append_versions, read_latest
 from tidewater.sources import fixtures as fx
 from tidewater.sources.tables import Tables
 from tidewater.streaming import jobs
@@ -141,3 +142,29 @@ def test_gmv_stream_in_small_batches_equals_batch(spark, tmp_path):
     got = jobs.read_orders(spark, run).select(*want.columns)
     assert got.count() == want.count()
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_alert_outcomes_of_many_batches_equal_batch(spark, split_dir):
+    """A window's outcome is evaluated again whenever a batch touches it, also when
+    a later click takes the alert back."""
+    window, slide = "6 hours", "1 hour"
+    _, run = jobs.run_alert_counts(spark, SF_SMALL, window, slide, trigger=AVAILABLE_NOW, max_files_per_trigger=1,
+                                   lateness="3650 days", stream_dir=split_dir)
+    events = fx.v_event(Tables(spark, SF_SMALL)).select("mid", "uid", "evid", "itemid", "ts")
+    want = alerts.coupon_alerts(events, window, slide)
+    assert rows(jobs.read_alerts(spark, run).select(*want.columns)) == rows(want)
+
+
+def test_a_null_key_is_one_group_of_a_versioned_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for version in (1, 2):
+        batch = spark.createDataFrame([(None, version, "d"), ("m", version, "d")], "mid string, v long, day string")
+        append_versions(batch, path, "day")
+    got = read_latest(spark, path, ["mid"], "v", null_is_key=True).collect()
+    assert len(got) == 2 and {r["mid"]: r["v"] for r in got} == {None: 2, "m": 2}
+
+
+def test_a_null_device_is_seen(spark):
+    logs = spark.createDataFrame([(None, "d"), ("m", "d"), ("n", "d")], "mid string, logdate string")
+    seen = logs.where("mid is null or mid = 'm'")
+    assert rows(dau.drop_seen(logs, seen, null_is_key=True)) == [("n", "d")]

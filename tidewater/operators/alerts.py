@@ -92,6 +92,13 @@ def _placed_panes(panes: DataFrame, window: str, slide: str) -> DataFrame:
     )
 
 
+def touched_windows(panes: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Distinct ``(window_start, mid)`` of the windows that contain a pane."""
+    placed = _placed_panes(panes, window, slide).select("w_start_ms", "mid").distinct()
+    return placed.select(
+        F.date_format(F.timestamp_millis("w_start_ms"), "yyyy-MM-dd HH:mm:ss").alias("window_start"), "mid")
+
+
 def _window_struct(size_ms: int) -> Column:
     return F.struct(
         F.timestamp_millis("w_start_ms").alias("start"),

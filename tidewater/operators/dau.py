@@ -51,9 +51,15 @@ def seen_pairs(dated_logs: DataFrame) -> DataFrame:
     return dated_logs.select(*DAU_KEYS).distinct()
 
 
-def drop_seen(dated_logs: DataFrame, seen: DataFrame) -> DataFrame:
-    """Anti join: keep logs whose ``(mid, logdate)`` is not in ``seen``."""
-    return dated_logs.join(broadcast_if_small(seen.select(*DAU_KEYS)), list(DAU_KEYS), "left_anti")
+def drop_seen(dated_logs: DataFrame, seen: DataFrame, null_is_key: bool = False) -> DataFrame:
+    """Anti join: keep logs whose ``(mid, logdate)`` is not in ``seen``; with
+    ``null_is_key`` a null device matches a null device."""
+    pairs = broadcast_if_small(seen.select(*DAU_KEYS))
+    if not null_is_key:
+        return dated_logs.join(pairs, list(DAU_KEYS), "left_anti")
+    pairs = pairs.select(F.col("mid").alias("_mid"), F.col("logdate").alias("_logdate"))
+    return dated_logs.join(
+        pairs, F.col("mid").eqNullSafe(F.col("_mid")) & F.col("logdate").eqNullSafe(F.col("_logdate")), "left_anti")
 
 
 def dau_total(dau: DataFrame, date: str) -> DataFrame:

@@ -662,6 +662,13 @@ def q_stream_coupon_alerts(spark, sf_dir):
     return stream_jobs.read_alerts(spark, run)
 
 
+@register("stream_coupon_alerts_latest", REGISTRY["coupon_alerts_latest"].sql)
+def q_stream_coupon_alerts_latest(spark, sf_dir):
+    _, run = stream_jobs.run_alert_counts(spark, sf_dir, ALERT_WINDOW, ALERT_SLIDE, trigger=_AVAILABLE_NOW)
+    cols = q_coupon_alerts_latest(spark, sf_dir).columns
+    return stream_jobs.read_latest_alerts(spark, run).select(*cols)
+
+
 @register("stream_order_join", REGISTRY["order_detail_interval_join"].sql)
 def q_stream_order_join(spark, sf_dir):
     _, run = stream_jobs.run_order_join(spark, sf_dir, trigger=_AVAILABLE_NOW)

@@ -14,8 +14,9 @@ the checkpoint root; readers query those tables.
   partitioned by order month, keyed by order id; totals per day and hour are
   queries over the table's newest rows.
 * Alerts: per-pane aggregates ``(pane, mid, evid)`` run in the stream (update
-  mode, watermark); readers take the latest aggregate per key and assemble
-  windows and the alert rule from them.
+  mode, watermark).  Each batch evaluates the alert rule again for the windows
+  its panes belong to, and appends the outcome; readers take the newest outcome
+  of each window.
 * Sale detail: stream-stream inner join of orders and lines within the wait
   bound (watermarks on both sides), stream-static left join to users, and
   versioned appends keyed by doc id into a table partitioned by order month.
@@ -135,7 +136,7 @@ def run_dau(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trig
 
 def read_dau(spark: SparkSession, run: StreamRun, where=None) -> DataFrame:
     # A yyyy-MM-dd folder name is read back as a DATE; the column is a string.
-    table = read_latest(spark, run.table, ["mid", "logdate"], "_rank", keep="min", where=where)
+    table = read_latest(spark, run.table, ["mid", "logdate"], "_rank", keep="min", where=where, null_is_key=True)
     return table.withColumn("logdate", F.col("logdate").cast("string")).drop("_rank")
 
 
@@ -165,7 +166,7 @@ def run_dau_seen_set(spark: SparkSession, sf_dir: str, run: StreamRun | None = N
                     "mid", F.col("logdate").cast("string").alias("logdate"))
                 if len(days) <= MAX_BATCH_DAYS:
                     seen = seen.where(F.col("logdate").isin(days))
-                fresh = dau_ops.drop_seen(firsts, seen)
+                fresh = dau_ops.drop_seen(firsts, seen, null_is_key=True)
             fresh.write.mode("append").partitionBy("logdate").parquet(run.table)
         finally:
             firsts.unpersist()
@@ -212,8 +213,8 @@ def read_orders(spark: SparkSession, run: StreamRun, date: str | None = None) ->
 def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.WINDOW, slide: str = alert_ops.SLIDE,
                      run: StreamRun | None = None, trigger: dict | None = None, lateness: str = ALERT_LATENESS,
                      max_files_per_trigger: int | None = None, stream_dir: str | None = None):
-    """Keep per-pane aggregates of the event stream in a table; windows and
-    the alert rule are assembled from it by :func:`read_alerts`."""
+    """Keep per-pane aggregates of the event stream in a table, and the outcome
+    of the alert rule for every window that a batch touches in another."""
     prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-alerts")
     t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger,
@@ -228,7 +229,28 @@ def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.W
             .withColumn("evid_key", F.coalesce("evid", F.lit("")))
             .withColumn("_batch", F.lit(batch_id).cast("long"))
         )
-        append_versions(keyed, run.table, "day")
+        keyed = keyed.persist()
+        try:
+            if keyed.isEmpty():
+                return
+            append_versions(keyed, run.table, "day")
+            append_versions(outcomes(keyed).withColumn("_batch", F.lit(batch_id).cast("long")), _outcome_table(run), "day")
+        finally:
+            keyed.unpersist()
+
+    def outcomes(keyed: DataFrame) -> DataFrame:
+        """The alert, or nulls, of every window with a pane in the batch.  The panes
+        of those windows start less than a window before or after the batch's."""
+        touched = alert_ops.touched_windows(keyed, window, slide)
+        reach = F.expr(f"INTERVAL {alert_ops.duration_ms(window) // 1000} SECONDS")
+        span = keyed.agg((F.min("p_start") - reach).alias("lo"), (F.max("p_start") + reach).alias("hi"))
+        lo, hi = span.first()
+        days = (F.col("day") >= F.lit(lo).cast("date")) & (F.col("day") <= F.lit(hi).cast("date"))
+        devices = touched.select(F.col("mid").alias("_mid")).distinct()
+        near = _latest_panes(keyed.sparkSession, run, days & F.col("p_start").between(F.lit(lo), F.lit(hi)))
+        near = near.join(devices, F.col("mid").eqNullSafe(F.col("_mid")), "left_semi")
+        fired = alert_ops.alerts_from_panes(near, window, slide)
+        return _with_day(touched, fired)
 
     q = _start(spark, _trigger(panes.writeStream.outputMode("update").option("checkpointLocation", run.checkpoint)
                  .foreachBatch(write), trigger))
@@ -236,10 +258,34 @@ def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.W
     return _finish(q, trigger), run
 
 
-def read_alerts(spark: SparkSession, run: StreamRun, min_accounts: int = alert_ops.MIN_ACCOUNTS) -> DataFrame:
-    panes = read_latest(spark, run.table, ["p_start", "mid", "evid_key"], "_batch").select(
+def _outcome_table(run: StreamRun) -> str:
+    return f"{run.table}-alerts"
+
+
+def _latest_panes(spark: SparkSession, run: StreamRun, where=None) -> DataFrame:
+    return read_latest(spark, run.table, ["p_start", "mid", "evid_key"], "_batch", where=where, null_is_key=True).select(
         "p", "mid", "evid", "n", "uids", "items")
-    return alert_ops.alerts_from_panes(panes, run.window, run.slide, min_accounts)
+
+
+def _with_day(touched: DataFrame, fired: DataFrame) -> DataFrame:
+    f = fired.withColumnsRenamed({"window_start": "_start", "mid": "_mid"})
+    joined = touched.join(f, (F.col("window_start") == F.col("_start")) & F.col("mid").eqNullSafe(F.col("_mid")), "left")
+    return joined.drop("_start", "_mid").withColumn("day", F.substring("window_start", 1, 10))
+
+
+def read_alerts(spark: SparkSession, run: StreamRun, min_accounts: int | None = None, where=None) -> DataFrame:
+    """Alerts of the windows as of now; ``where`` (on ``day``, the window's start)
+    prunes folders.  Another threshold than the job's is evaluated from all panes."""
+    if min_accounts is not None:
+        return alert_ops.alerts_from_panes(_latest_panes(spark, run), run.window, run.slide, min_accounts)
+    table = read_latest(spark, _outcome_table(run), ["window_start", "mid"], "_batch", where=where, null_is_key=True)
+    return table.where(F.col("ts").isNotNull()).select(
+        "mid", "window_start", "window_end", "uids", "item_ids", "events", "ts")
+
+
+def read_latest_alerts(spark: SparkSession, run: StreamRun) -> DataFrame:
+    """One document a device and minute, the last alert wins."""
+    return alert_ops.latest_alert_per_doc(read_alerts(spark, run))
 
 
 # --- sale detail --------------------------------------------------------------------------
