@@ -181,9 +181,10 @@ def sale_detail_answer(shares: DataFrame, page: DataFrame, found: DataFrame) ->
             F.transform(s["opts"], lambda o: F.struct(o["name"].alias("name"), o["value"].alias("value"))).alias("options"),
         )).alias("stat"))
     )
-    # The page's order (score, then id) is restored from a key of its own.
+    # The page's order (score if there is one, then id) is restored from a key of its own.
+    place = -F.col("score") if "score" in page.columns else F.lit(0.0)
     row = F.struct(*[F.round(c, SCORE_DIGITS).alias(c) if c == "score" else F.col(c) for c in page.columns])
-    placed = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("place"), "doc_id", row.alias("row"))))
+    placed = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.col("doc_id"), row.alias("row"))))
     detail = page.agg(F.transform(placed, lambda x: x["row"]).alias("detail"))
     n = total(found).scalar()
     answer = stat.select(
