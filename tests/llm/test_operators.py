@@ -288,6 +288,39 @@ def test_filter_never_reads_low():
     assert (read >= top).all() and (read == top).mean() > 0.9
 
 
+def test_filter_past_the_broadcast_bound(spark):
+    import math
+    import zlib
+
+    import numpy as np
+
+    rows = [(i, " ".join(f"w{(i * 31 + j * j * 7) % (60 + i * 5)}" for j in range(60)), None, None) for i in range(400)]
+    docs = docs_of(spark, rows)
+    got = {r["doc_id"]: r["score"] for r in bloom_lm.score_texts(docs, max_bytes=4096).collect()}
+    assert got == pytest.approx({r["doc_id"]: r["score"] for r in bloom_lm.score_texts(docs).collect()})
+    words, pairs = Counter(), Counter()
+    for i, t, _, _ in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            tokens = [*t.split(), None]
+            words.update(tokens)
+            pairs.update(zip(["", *tokens], tokens, strict=False))
+    n, v, m = sum(words.values()), len(words), bloom_lm.PRIOR_WEIGHT
+
+    def count(c):
+        return float(bloom_lm.level_count(bloom_lm.levels(np.array([c])))[0])
+
+    off = []
+    for i, t, _, _ in rows:
+        tokens, score, last = [*t.split(), None], 0.0, ""
+        for w in tokens:
+            word, context = count(words[w]), count(words[last or None])
+            pair = min(count(pairs[last, w]), context, word)
+            score += math.log10((pair + m * (word + 1) / (n + v + 1)) / (context + m))
+            last = w
+        off.append(abs(got[i] - score) / len(tokens))
+    assert sum(off) / len(off) < 0.02 and max(off) < 0.1
+
+
 # --- 7 -------------------------------------------------------------------------
 
 def plain_distance(a, b):

@@ -9,9 +9,12 @@ p(w) = (c(w) + 1) / (N + V + 1), where a level stands for the middle of its rang
 
 Counting is distributed.  Tasks send their n-grams as sorted arrays, a row per
 segment (a part of the hash space); a segment's rows are merged and give the
-bits of that segment of the filter.  The filter is the only thing broadcast that grows
-with the training texts, up to ``MAX_FILTER_BYTES``; beyond, all n-grams are still in it
-and its false positive rate rises.
+bits of that segment of the filter, sized for the keys (n-gram, level) counted in it:
+``BITS_PER_KEY`` bits each, so a probe for a missing key is wrong in about 1.4 % of
+cases at every input size.  A filter of up to ``MAX_FILTER_BYTES`` is broadcast.  A
+larger one stays a table: texts are cut into chunks, a chunk's different n-grams go
+packed to the parts of the filter (up to ``PART_BYTES`` each), are read there, and
+their levels go back to the chunk, which is then scored in the same way.
 
 Exact counts of the words (for ``base_score``) are a table.  The most frequent
 ``HEAD_WORDS`` are broadcast; a document's other words are summed in the document,
@@ -32,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +44,10 @@ from tidewater.llm.hashing import U, combine, mix, slices, words_of
 from tidewater.llm.quality_classifier import held_out
 
 MAX_FILTER_BYTES = 64 << 20
-BITS_PER_TOKEN = 16
+PART_BYTES = 16 << 20
+BITS_PER_KEY = 16
+# Texts of a chunk, where the filter is read in parts.
+CHUNK_BYTES = 16 << 20
 HEAD_WORDS = 300_000
 PROBES = 2
 MAX_LEVEL = 40
@@ -139,22 +146,23 @@ def level_count(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 0.75 * np.exp2(level.astype(np.float64)), 0.0).clip(0) * (level != 1) + (level == 1)
 
 
-def places(keys: np.ndarray, level: int | np.ndarray, probe: int, size: int) -> np.ndarray:
+def places(keys: np.ndarray, level: int | np.ndarray, probe: int, size: int | np.ndarray) -> np.ndarray:
     """Bit places of 32-bit keys at a level in a segment of ``size`` bits."""
     with np.errstate(over="ignore"):
         h = mix(keys.astype(U) + (np.asarray(level).astype(U) << U(33)), 40 + probe)
-    return ((h >> U(32)) * U(size) >> U(32)).astype(np.int64)
+    return ((h >> U(32)) * np.asarray(size).astype(U) >> U(32)).astype(np.int64)
 
 
-def _filter_bits(size: int):
+def _filter_bits():
     """Rows of segments, together and sorted, to (segment, bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, counts = None, [], []
 
         def segment() -> pa.RecordBatch:
             k, c = _summed(np.concatenate(keys), np.concatenate(counts))
-            bits = np.zeros(size, np.uint8)
             top = levels(c)
+            size = -(-int(top.sum()) * BITS_PER_KEY // 64) * 64
+            bits = np.zeros(size, np.uint8)
             for level in range(1, int(top.max()) + 1):
                 own = k[top >= level]
                 for probe in range(PROBES):
@@ -179,16 +187,24 @@ def _filter_bits(size: int):
 @dataclass(frozen=True)
 class LogFrequencyFilter:
     n_bits: int  # segments: 2**n_bits
-    size: int  # bits in a segment
+    size: int | np.ndarray  # bits in a segment, or in each
     bits: np.ndarray  # all segments, packed
+    first: int = 0  # the first segment, if these are a part of the filter
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         shift = U(64 - self.n_bits)
-        segment = (keys >> shift).astype(np.int64) if self.n_bits else np.zeros(len(keys), np.int64)
+        segment = (keys >> shift).astype(np.int64) - self.first if self.n_bits else np.zeros(len(keys), np.int64)
         low = (keys >> (shift - U(32)) if self.n_bits else keys >> U(32)) & U(0xFFFFFFFF)
-        out = np.ones(len(keys), bool)
+        if np.ndim(self.size):
+            start, size = (np.cumsum(self.size) - self.size)[segment], self.size[segment]
+        else:
+            start, size = segment * self.size, self.size
+        out = np.ones(len(keys), bool) & (size > 0)
+        if not len(self.bits):
+            return out & False
         for probe in range(PROBES):
-            at = segment * self.size + places(low, level, probe, self.size)
+            # A segment without keys has no bits: any place does.
+            at = np.minimum(start + places(low, level, probe, size), len(self.bits) * 8 - 1)
             out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return out
 
@@ -204,54 +220,188 @@ class LogFrequencyFilter:
         return out
 
 
-def build_filter(train: DataFrame, n_tokens: int, max_bytes: int = MAX_FILTER_BYTES) -> LogFrequencyFilter:
-    """Filter of all words and pairs of ``train`` (text)."""
+def filter_rows(train: DataFrame, n_tokens: int) -> tuple[DataFrame, int]:
+    """The filter of all words and pairs of ``train`` (text) as a table (segment, bits),
+    and the number of its segments as a power of two; segments without keys have no row."""
     n_bits = int(min(max(np.ceil(np.log2(max(n_tokens, 1) / (1 << 17))), 4), 20))
-    total = min(max(n_tokens * BITS_PER_TOKEN, 1 << 16), max_bytes * 8)
-    size = -(-total // (8 << n_bits)) * 8
     rows = train.select("text").mapInArrow(_segments(n_bits), "segment int, keys binary, counts binary")
-    made = rows.repartition("segment").sortWithinPartitions("segment").mapInArrow(_filter_bits(size), "segment int, bits binary")
-    bits = np.zeros((size << n_bits) // 8, np.uint8)
-    for row in made.toLocalIterator():
-        at = row["segment"] * (size // 8)
-        bits[at:at + size // 8] = np.frombuffer(row["bits"], np.uint8)
-    return LogFrequencyFilter(n_bits, size, bits)
+    made = rows.repartition("segment").sortWithinPartitions("segment").mapInArrow(_filter_bits(), "segment int, bits binary")
+    return written(made, "filter"), n_bits
+
+
+def build_filter(table: DataFrame, n_bits: int) -> LogFrequencyFilter:
+    """The whole filter from its table."""
+    rows = {row["segment"]: row["bits"] for row in table.toLocalIterator()}
+    return _joined(rows, n_bits, 0, 1 << n_bits)
+
+
+def _joined(rows: dict[int, bytes], n_bits: int, first: int, n: int) -> LogFrequencyFilter:
+    parts = [rows.get(s, b"") for s in range(first, first + n)]
+    sizes = np.array([len(b) * 8 for b in parts], np.int64)
+    return LogFrequencyFilter(n_bits, sizes, np.frombuffer(b"".join(parts), np.uint8), first)
+
+
+def _ngrams(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hashes of the words, then of the pairs."""
+    return np.concatenate((mix(tokens, 30), pair_hashes(tokens, offsets)))
+
+
+def _chunk_keys(rows: pa.RecordBatch, column: int) -> np.ndarray:
+    """The different n-grams of a chunk, sorted."""
+    return np.unique(np.concatenate([np.unique(_ngrams(*tokens_of(part.column(column)))) for part in slices(rows)]))
 
 
-def _document_rows(shared):
-    """(doc_id, held_out, text) to the document's sums and its rare words."""
+_CHUNK = "chunk long, part int, keys binary, segments binary, doc_id {kind}, held_out boolean, text string, text_key long"
+
+
+def _chunks(n_bits: int, part_bits: int):
+    """(doc_id, held_out, text, text_key) to chunks of whole rows, each a number: a row
+    per text (part -1), and the chunk's different n-grams by part of the filter, as the
+    32 bits that follow the segment's and the number in each of the part's segments."""
+    n_parts, low = 1 << part_bits, U(32 - n_bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, head_counts, n, v, table = shared.value
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch):
-                tokens, offsets = tokens_of(part.column(2))
-                at = np.searchsorted(head, tokens)
-                at[at == len(head)] = 0
-                known = head[at] == tokens if len(head) else np.zeros(len(tokens), bool)
-                logs = np.where(known, np.log10(head_counts[at] + 1.0) if len(head) else 0.0, 0.0)
-                word = level_count(table.level(mix(tokens, 30)))
-                before = np.empty_like(tokens)
-                before[1:] = tokens[:-1]
-                before[offsets[:-1]] = START
-                first = np.zeros(len(tokens), bool)
-                first[offsets[:-1]] = True
-                context = np.concatenate(([0.0], word[:-1]))
-                # The start was seen once a training text, as often as the end.
-                context[first] = level_count(table.level(mix(np.array([END], U), 30)))[0]
-                pair = np.minimum(level_count(table.level(combine([before, tokens], 31))), np.minimum(context, word))
-                unigram = (word + 1) / (n + v + 1)
-                score = np.log10((pair + PRIOR_WEIGHT * unigram) / (context + PRIOR_WEIGHT))
-                sums = [np.add.reduceat(x, offsets[:-1]) for x in (logs, known.astype(np.int64), score)]
-                rare = [np.unique(tokens[a:b][~known[a:b]], return_counts=True) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum([len(r[0]) for r in rare]))), pa.int32()),
-                    pa.StructArray.from_arrays(
-                        [pa.array(np.concatenate([r[0] for r in rare]).view(np.int64)),
-                         pa.array(np.concatenate([r[1] for r in rare]).astype(np.int64))], names=["word", "n"]))
+            for rows in slices(batch, size=CHUNK_BYTES):
+                n = rows.num_rows
+                keys = _chunk_keys(rows, 2)
+                cuts = np.searchsorted(keys >> U(64 - n_bits), np.arange((1 << n_bits) + 1))
+                in_segment = np.diff(cuts).astype(np.uint32).reshape(n_parts, -1)
+                cuts = cuts[::in_segment.shape[1]]
+                lows = ((keys >> low) & U(0xFFFFFFFF)).astype(np.uint32)
+                own = [p for p in range(n_parts) if cuts[p + 1] > cuts[p]]
+                none = len(own)
+                columns = [
+                    pa.array([chunk] * (n + none), pa.int64()), pa.array([-1] * n + own, pa.int32()),
+                    pa.array([None] * n + [lows[cuts[p]:cuts[p + 1]].tobytes() for p in own], pa.binary()),
+                    pa.array([None] * n + [zlib.compress(in_segment[p].tobytes(), 1) for p in own], pa.binary()),
+                    *(pa.concat_arrays([c, pa.nulls(none, c.type)]) for c in rows.columns)]
+                yield pa.RecordBatch.from_arrays(
+                    columns, names=["chunk", "part", "keys", "segments", "doc_id", "held_out", "text", "text_key"])
+                chunk += 1
+
+    return run
+
+
+def _read_levels(n_bits: int, part_bits: int):
+    """Rows (part, segment, null, bits) of the filter, then (part, null, chunk, keys,
+    segments), by part, to (chunk, part, levels)."""
+    n = 1 << (n_bits - part_bits)
+    shift = U(64 - n_bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, table = None, {}, None
+        for batch in batches:
+            out = []
+            for i, part in enumerate(batch.column(0).to_pylist()):
+                if part != now:
+                    now, rows, table = part, {}, None
+                chunk, value = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
+                if chunk is None:
+                    rows[batch.column(1)[i].as_py()] = value
+                else:
+                    if table is None:
+                        table, rows = _joined(rows, n_bits, part * n, n), {}
+                    counts = np.frombuffer(zlib.decompress(batch.column(4)[i].as_py()), np.uint32)
+                    segment = np.repeat(np.arange(part * n, part * n + n, dtype=U), counts)
+                    keys = (segment << shift) | (np.frombuffer(value, np.uint32).astype(U) << (shift - U(32)))
+                    out.append((chunk, part, zlib.compress(table.level(keys).tobytes(), 1)))
+            if out:
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(3), pa.array(np.diff(offsets)), pa.array(sums[0]), pa.array(sums[1]),
-                     pa.array(sums[2]), lists],
-                    names=["doc_id", "held_out", "text_key", "n_tokens", "logs", "known", "score", "rare"])
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)],
+                    names=["chunk", "part", "levels"])
+
+    return run
+
+
+def _score_chunks(shared):
+    """A chunk's levels, by part, and then its rows, to what ``_document_rows`` gives."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, read, held = None, [], []
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if held:
+                rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                keys, found = _chunk_keys(rows, 2), np.frombuffer(b"".join(read), np.int8)
+                for part in slices(rows):
+                    yield _scored(part, *shared.value, lambda k: found[np.searchsorted(keys, k)])
+
+        for batch in batches:
+            chunks, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            at = 0
+            while at < batch.num_rows:
+                if chunks[at] != now:
+                    yield from finish()
+                    now, read, held = chunks[at], [], []
+                if parts[at] >= 0:
+                    read.append(zlib.decompress(batch.column(2)[at].as_py()))
+                    to = at + 1
+                else:
+                    same = (chunks[at:] == now) & (parts[at:] < 0)
+                    to = batch.num_rows if same.all() else at + int(same.argmin())
+                    held.append(batch.slice(at, to - at).select(["doc_id", "held_out", "text", "text_key"]))
+                at = to
+        yield from finish()
+
+    return run
+
+
+def scored_in_parts(texts: DataFrame, table: DataFrame, n_bits: int, n_bytes: int, part_bytes: int, shared, kind: str, schema: str) -> DataFrame:
+    """``texts`` scored with a filter that stays a table of ``n_bytes``."""
+    part_bits = int(min(max(np.ceil(np.log2(n_bytes / part_bytes)), 1), n_bits))
+    chunks = written(texts.mapInArrow(_chunks(n_bits, part_bits), _CHUNK.format(kind=kind)), "chunks")
+    bits = table.select(
+        F.shiftright("segment", n_bits - part_bits).alias("part"), "segment", F.lit(None).cast("long").alias("chunk"), F.col("bits").alias("value"),
+        F.lit(None).cast("binary").alias("segments"))
+    asked = chunks.where("part >= 0").select("part", F.lit(None).cast("int").alias("segment"), "chunk", F.col("keys").alias("value"), "segments")
+    # The filter's rows (null chunk) come first.
+    read = bits.unionByName(asked).repartition("part").sortWithinPartitions("part", "chunk").mapInArrow(
+        _read_levels(n_bits, part_bits), "chunk long, part int, levels binary")
+    back = read.select("chunk", "part", "levels", *(F.lit(None).cast(t).alias(c) for c, t in (
+        ("doc_id", kind), ("held_out", "boolean"), ("text", "string"), ("text_key", "long"))))
+    rows = chunks.where("part < 0").select(
+        "chunk", "part", F.lit(None).cast("binary").alias("levels"), "doc_id", "held_out", "text", "text_key")
+    together = back.unionByName(rows).repartition("chunk").sortWithinPartitions("chunk", F.col("part") < 0, "part")
+    return together.mapInArrow(_score_chunks(shared), schema)
+
+
+def _scored(part: pa.RecordBatch, head, head_counts, n: int, v: int, level_of) -> pa.RecordBatch:
+    """(doc_id, held_out, text, text_key) to the document's sums and its rare words;
+    ``level_of`` gives the levels of n-gram hashes."""
+    tokens, offsets = tokens_of(part.column(2))
+    at = np.searchsorted(head, tokens)
+    at[at == len(head)] = 0
+    known = head[at] == tokens if len(head) else np.zeros(len(tokens), bool)
+    logs = np.where(known, np.log10(head_counts[at] + 1.0) if len(head) else 0.0, 0.0)
+    word = level_count(level_of(mix(tokens, 30)))
+    first = np.zeros(len(tokens), bool)
+    first[offsets[:-1]] = True
+    context = np.concatenate(([0.0], word[:-1]))
+    # The start was seen once a training text, as often as the end.
+    context[first] = level_count(level_of(mix(np.array([END], U), 30)))[0]
+    pair = np.minimum(level_count(level_of(pair_hashes(tokens, offsets))), np.minimum(context, word))
+    unigram = (word + 1) / (n + v + 1)
+    score = np.log10((pair + PRIOR_WEIGHT * unigram) / (context + PRIOR_WEIGHT))
+    sums = [np.add.reduceat(x, offsets[:-1]) for x in (logs, known.astype(np.int64), score)]
+    rare = [np.unique(tokens[a:b][~known[a:b]], return_counts=True) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.concatenate(([0], np.cumsum([len(r[0]) for r in rare]))), pa.int32()),
+        pa.StructArray.from_arrays(
+            [pa.array(np.concatenate([r[0] for r in rare]).view(np.int64)),
+             pa.array(np.concatenate([r[1] for r in rare]).astype(np.int64))], names=["word", "n"]))
+    return pa.RecordBatch.from_arrays(
+        [part.column(0), part.column(1), part.column(3), pa.array(np.diff(offsets)), pa.array(sums[0]), pa.array(sums[1]),
+         pa.array(sums[2]), lists],
+        names=["doc_id", "held_out", "text_key", "n_tokens", "logs", "known", "score", "rare"])
+
+
+def _document_rows(shared, table):
+    """Texts scored with a broadcast filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield _scored(part, *shared.value, table.value.level)
 
     return run
 
@@ -277,11 +427,18 @@ def score_texts(docs: DataFrame, max_bytes: int = MAX_FILTER_BYTES, head_words:
     pdf = head.toPandas().sort_values("word")
     keys, values = pdf["word"].to_numpy(np.int64).view(U), pdf["n"].to_numpy(np.int64)
     sort = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((keys[sort], values[sort], n, v, build_filter(train, n, max_bytes)))
-    rows = written(texts.select("doc_id", "held_out", "text", "text_key").mapInArrow(
-        _document_rows(shared),
-        f"doc_id {kind}, held_out boolean, text_key long, n_tokens long, logs double, known long, score double, "
-        "rare array<struct<word:long,n:long>>"), "scored-texts")
+    context = spark.sparkContext
+    shared = context.broadcast((keys[sort], values[sort], n, v))
+    table, n_bits = filter_rows(train, n)
+    n_bytes = table.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
+    schema = (f"doc_id {kind}, held_out boolean, text_key long, n_tokens long, logs double, known long, score double, "
+              "rare array<struct<word:long,n:long>>")
+    texts = texts.select("doc_id", "held_out", "text", "text_key")
+    if n_bytes <= max_bytes:
+        scored = texts.mapInArrow(_document_rows(shared, context.broadcast(build_filter(table, n_bits))), schema)
+    else:
+        scored = scored_in_parts(texts, table, n_bits, n_bytes, min(PART_BYTES, max_bytes), shared, kind, schema)
+    rows = written(scored, "scored-texts")
 
     tail = counts if floor is None else counts.where(F.col("n") < floor)
     rare = rows.select("doc_id", "text_key", F.inline("rare").alias("rare_word", "rare_n"))
