@@ -413,6 +413,18 @@ def test_lines_against_all_pairs(spark, odd, empty):
     assert line_dedup.digest(odd).count() == odd.count() and line_dedup.digest(empty).count() == 0
 
 
+def test_lines_of_scripts_without_spaces(spark):
+    han = "我们在春天的早晨沿着河边散步，看见许多花开了。" * 4
+    thai = "ภาษาไทยเขียนโดยไม่เว้นวรรคระหว่างคำ"
+    plain = "Ils ont trouvé des œufs bleus là-bas"
+    rows = [(0, "\n".join([han, thai, plain, "好"]), None, None),
+            (1, "\n".join([han, thai, plain.replace(" ", "\u3000— "), "好"]), None, None),
+            (2, han.replace("，", "、").replace("花", "草", 1) + "\nquite another line of text", None, None)]
+    got = {r["doc_id"]: r["places"] for r in line_dedup.repeated_lines(docs_of(spark, rows)).collect()}
+    assert got[1] == [0, 1, 2] and set(got) <= {1, 2}
+    assert line_dedup.normal_form(rows[1][1].split("\n")[2]) == line_dedup.normal_form(plain) == "ils ont trouvé des œufs bleus là bas"
+
+
 # --- 8 -------------------------------------------------------------------------
 
 def test_classifier_separates_held_out_rows(spark, odd, empty):

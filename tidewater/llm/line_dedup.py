@@ -1,8 +1,9 @@
 """Fuzzy line deduplication.
 
-Lines are compared in a normal form: lower case, digits as 0, everything but letters
-and digits of any alphabet between words.  Lines of at least ``MIN_WORDS`` words take
-part; shorter ones, and lines without words, are always kept.
+Lines are compared in a normal form: ASCII letters in lower case, digits as 0, everything but
+letters, marks and numbers of any alphabet between words.  Each character of a script
+written without spaces (``NO_SPACES``) is a word.  Lines of at least ``MIN_WORDS`` words
+take part; shorter ones, and lines without words, are always kept.
 
 1. Equal normal forms are one line (two 64-bit hashes, grouped with partial sums).
 2. Each line has a 64-bit SimHash over its words and word pairs.  Two lines are near if
@@ -25,8 +26,9 @@ processed whole, in slices of an Arrow batch.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -52,14 +54,57 @@ BUCKET_BLOCK = 1024
 SMALL = 16
 GROUP_BLOCK = 128
 
-_BETWEEN = re.compile(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana, bopomofo, Han, and Yi: first, last.
+NO_SPACES = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x19E0, 0x19FF), (0x3005, 0x3007), (0x3021, 0x312F),
+    (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
 _DIGITS = str.maketrans("123456789", "000000000")
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point: 0 between words, 1 in a word, 2 a word of its own."""
+    kinds = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)], np.uint8)
+    for first, last in NO_SPACES:
+        kinds[first:last + 1] *= 2
+    return kinds
+
+
+class _Form(dict):
+    """Code points to themselves in lower case (ASCII), or a space between words."""
+
+    def __missing__(self, c: int) -> int:
+        self[c] = (c + 32 if 65 <= c <= 90 else c) if _kinds()[c] else 32
+        return self[c]
+
+
+_FORM = _Form()
+
+
 def normal_form(line: str) -> str:
     """The compared form of a line (ASCII letters in lower case, digits as 0)."""
-    line = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line) if not line.isascii() else line.lower()
-    return _BETWEEN.sub(" ", line.translate(_DIGITS)).strip()
+    return " ".join(line.translate(_FORM).translate(_DIGITS).split())
+
+
+def word_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the words of texts (UTF-8 bytes, lower-cased)."""
+    word = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57))
+    cuts = [offsets]
+    leads = np.flatnonzero(data >= 0xC0)
+    if len(leads):
+        lead = data[leads]
+        length = 2 + (lead >= 0xE0) + (lead >= 0xF0).astype(np.int64)
+        code = lead.astype(np.int64) & np.array([0x1F, 0x0F, 0x07])[length - 2]
+        for i in range(1, 4):
+            more = length > i
+            code[more] = (code[more] << 6) | (data[leads[more] + i] & 0x3F)
+        kinds = _kinds()[code]
+        for i in range(4):
+            word[leads[(kinds > 0) & (length > i)] + i] = True
+        own = kinds == 2
+        cuts += [leads[own], leads[own] + length[own]]
+    return runs(word, np.concatenate(cuts))
 
 
 def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -69,8 +114,7 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         return None
     data = lower_ascii(data)
     data = np.where((data >= 49) & (data <= 57), np.uint8(48), data)
-    word = (data >= 128) | ((data >= 97) & (data <= 122)) | (data == 48)
-    starts, ends = runs(word, offsets)
+    starts, ends = word_runs(data, offsets)
     if not len(starts):
         return None
     hashes = run_hashes(data, starts, ends)
