@@ -425,6 +425,14 @@ def test_lines_of_scripts_without_spaces(spark):
     assert line_dedup.normal_form(rows[1][1].split("\n")[2]) == line_dedup.normal_form(plain) == "ils ont trouvé des œufs bleus là bas"
 
 
+def test_lines_that_differ_in_digits(spark):
+    rows = [(0, "12 34 56 78 90\nPosted on 12 March 2020 by the admin of this site", None, None),
+            (1, "98 76 54 32 10\nPosted on 13 March 2020 by the admin of this site", None, None),
+            (2, "12 34 56 78 90\n12 34 56 78 91\n55 66 11 00 33", None, None)]
+    got = {r["doc_id"]: r["places"] for r in line_dedup.repeated_lines(docs_of(spark, rows)).collect()}
+    assert got == {1: [1], 2: [0, 1]}
+
+
 # --- 8 -------------------------------------------------------------------------
 
 def test_classifier_separates_held_out_rows(spark, odd, empty):

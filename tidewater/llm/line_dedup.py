@@ -1,12 +1,12 @@
 """Fuzzy line deduplication.
 
-Lines are compared in a normal form: ASCII letters in lower case, digits as 0, everything but
-letters, marks and numbers of any alphabet between words.  Each character of a script
+Lines are compared in a normal form: ASCII letters in lower case, everything but letters, marks and numbers of any alphabet between words.  Each character of a script
 written without spaces (``NO_SPACES``) is a word.  Lines of at least ``MIN_WORDS`` words
 take part; shorter ones, and lines without words, are always kept.
 
 1. Equal normal forms are one line (two 64-bit hashes, grouped with partial sums).
-2. Each line has a 64-bit SimHash over its words and word pairs.  Two lines are near if
+2. Each line has a 64-bit SimHash over its words and word pairs, digits as 0: lines that
+   differ in digits only are candidates as well, and no more than that.  Two lines are near if
    their SimHashes differ in at most ``MAX_BITS`` (3) bits: of 5 blocks of bits at
    least 2 are then equal (pigeonhole), so SimHashes are joined on the 10 pairs of
    blocks.  Only different SimHashes are joined; they travel packed, many to a row, and
@@ -59,7 +59,6 @@ NO_SPACES = (
     (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x19E0, 0x19FF), (0x3005, 0x3007), (0x3021, 0x312F),
     (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF),
     (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
-_DIGITS = str.maketrans("123456789", "000000000")
 
 
 @cache
@@ -83,8 +82,8 @@ _FORM = _Form()
 
 
 def normal_form(line: str) -> str:
-    """The compared form of a line (ASCII letters in lower case, digits as 0)."""
-    return " ".join(line.translate(_FORM).translate(_DIGITS).split())
+    """The compared form of a line (ASCII letters in lower case)."""
+    return " ".join(line.translate(_FORM).split())
 
 
 def word_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +112,6 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     if not len(data):
         return None
     data = lower_ascii(data)
-    data = np.where((data >= 49) & (data <= 57), np.uint8(48), data)
     starts, ends = word_runs(data, offsets)
     if not len(starts):
         return None
@@ -130,7 +128,8 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     with np.errstate(over="ignore"):
         h1 = np.add.reduceat(mix(hashes + mix(place_in_line.astype(U), 21), 3), first)
         h2 = np.add.reduceat(mix(hashes ^ mix(place_in_line.astype(U), 22), 4), first)
-    sims = simhash(hashes, first, counts)
+    folded = np.where((data >= 49) & (data <= 57), np.uint8(48), data)
+    sims = simhash(run_hashes(folded, starts, ends), first, counts)
     lines = of_line[first][big]
     doc = np.searchsorted(offsets, line_starts[lines], side="right") - 1
     # Place of a line in its text: line feeds before it.
