@@ -93,6 +93,14 @@ def test_pii_against_python(spark, odd):
     assert pii.digest(odd).count() == odd.count()
 
 
+def test_iban_ends_where_its_country_says(spark):
+    texts = ["DE89370400440532013000 BIC COBADEFFXXX", "pay DE89 3704 0044 0532 0130 00 EUR 500", "DE89370400440532013000 12 May",
+             "GB82 WEST 1234 5698 7654 32 DE89370400440532013000 NO9386011117947", "DE8937040044053201300 0X BIC"]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(docs_of(spark, [(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    ibans = [[s for s in got[i].split(",") if s.startswith("iban:")] for i in range(len(texts))]
+    assert ibans == [["iban:0:22"], ["iban:4:31"], ["iban:0:22"], ["iban:0:27", "iban:28:50", "iban:51:66"], []]
+
+
 def test_pii_empty(empty):
     assert pii.digest(empty).count() == 0
 

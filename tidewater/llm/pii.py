@@ -9,7 +9,8 @@ gaps and matches gives positions in code points.
 Kinds:
 
 * ``email``, ``ip``, ``card`` (Luhn), ``phone``: the base kinds.
-* ``iban``: 15-34 letters and digits confirmed by mod 97.
+* ``iban``: the length of its country (``IBAN_LENGTHS``), or 15-34 letters and digits
+  where the country has none, confirmed by mod 97.
 * ``local_phone``: ``NNN-NNN-NNNN`` without a country code; many other numbers have
   this shape, so these need a context word nearby.
 
@@ -46,6 +47,15 @@ class Kind:
     context: str
 
 
+# Characters of an IBAN by country (SWIFT's IBAN registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV",
+    29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU"}
+_COUNTRIES = "|".join(IBAN_LENGTHS.values())
+_IBAN = "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9_])" for n, c in IBAN_LENGTHS.items())
+
 _LOCAL = "A-Za-z0-9._%+-"
 # Fixed values of the contract: the four base patterns.  A match can only start
 # where its first run starts (or right after the last match), which the
@@ -68,7 +78,7 @@ KINDS = (
          r"\+[0-9][\x20().0-9-]+[0-9]",
          r"\+[0-9]", 60, "phone|tel|call|mobile|fax"),
     Kind("iban",
-         r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])",
+         rf"(?<![A-Za-z0-9_])(?:{_IBAN}|(?!{_COUNTRIES})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}(?![A-Za-z0-9_]))",
          r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b",
          r"[A-Z]{2}[0-9]{2}", 60, "iban|account|bank|konto|compte|cuenta"),
     Kind("local_phone",
