@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import (
-    bloom_lm, decontamination, language_id, line_dedup, mixing, ngram_join, pii, quality_classifier, quality_rules, sql, warc,
+    bloom_lm, decontamination, language_id, line_dedup, mixing, ngram_join, pii, prefix_trie, quality_classifier, quality_rules,
+    sentence_pieces, spelling, sql, warc,
 )
 from tidewater.sources.tables import read_table
 
@@ -74,3 +76,18 @@ def op9_warc(spark, sf_dir):
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
     return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling", sql.SPELLING)
+def op11_spelling(spark, sf_dir):
+    return spelling.group_variants(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_sentence_pieces")
+def op12_sentence_pieces(spark, sf_dir):
+    return sentence_pieces.digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_prefix_trie", sql.PREFIX_TRIE)
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))

@@ -177,3 +177,110 @@ def _decontamination(k: int = 5, percent: int = 80) -> str:
 
 PII, MIXING, QUALITY_RULES, WARC = _pii(), _mixing(), _quality_rules(), _warc()
 NGRAM_JOIN, DECONTAMINATION = _ngram_join(), _decontamination()
+
+# CRC-32 with its usual reversed polynomial (fixed value), a byte at a time.
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS tab
+)"""
+
+
+def _crc(codes: str) -> str:
+    """CRC-32 of a list of byte values, with crc_table in scope."""
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, ({codes})::UBIGINT[]), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) % 256 + 1)::INTEGER])), 4294967295::UBIGINT)")
+
+
+# Runs hold ASCII letters and U+00C0 to U+00FF, which are two bytes of UTF-8 each.
+_RUN_BYTES = "flatten(list_transform(string_split(key, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [195, ord(x) - 64] END))"
+
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents)
+  GROUP BY ALL
+),
+hashed AS (
+  SELECT run, n, {_crc(_RUN_BYTES)} AS h
+  FROM (SELECT run, n, coalesce(doc_id::VARCHAR, '') || ':' || run AS key FROM runs WHERE length(run) >= 7), crc_table
+),
+spelt AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, n
+  FROM hashed
+),
+vocabulary AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+places AS (SELECT word, unnest(range(length(word))) AS i FROM vocabulary),
+cut AS (SELECT word, left(word, i::INTEGER) AS a, substr(word, i::INTEGER + 2) AS b FROM places),
+near AS (
+  SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT c.word, v.word FROM cut c JOIN vocabulary v ON v.word = c.a || c.b
+  UNION SELECT v.word, c.word FROM cut c JOIN vocabulary v ON v.word = c.a || c.b
+),
+best AS (
+  SELECT near.word, count(*) AS n_near, min({{'minus_n': -v.n, 'word': near.other}}) AS top
+  FROM near JOIN vocabulary v ON v.word = near.other GROUP BY near.word
+),
+formed AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near,
+    CASE WHEN -b.top.minus_n >= 10 * v.n THEN b.top.word END AS form, CASE WHEN -b.top.minus_n >= 10 * v.n THEN -b.top.minus_n END AS form_n
+  FROM vocabulary v LEFT JOIN best b USING (word)
+),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.at WHERE formed.form IS NOT NULL
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM formed f JOIN chain c ON c.word = f.word JOIN formed l ON l.word = c.at AND l.form IS NULL
+"""
+
+PREFIX_TRIE = f"""
+WITH {_CRC_TABLE},
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT conv_id, {_crc("list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x))")} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crc_table
+),
+heads AS (
+  SELECT c.conv_id, o.role, o.text, o.pos FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.pos < c.h
+),
+lengths AS (SELECT c.conv_id, c.h, count(h.pos) AS k FROM convs c LEFT JOIN heads h USING (conv_id) GROUP BY ALL),
+turns AS (
+  SELECT * FROM heads
+  UNION ALL SELECT conv_id, role, text, pos - h + k FROM own JOIN lengths USING (conv_id) WHERE pos >= h
+),
+paths AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS words FROM convs
+  UNION ALL
+  SELECT conv_id, pos + 1, sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY pos)),
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))
+  FROM turns
+),
+lasts AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = last), '')) AS ends_sha256
+  FROM (SELECT p.*, l.depth AS last FROM paths p JOIN lasts l USING (conv_id)) GROUP BY path, depth
+),
+up AS (
+  SELECT n.path, n.depth, p.path AS above, p.depth AS above_depth
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+),
+kids AS (SELECT above AS path, above_depth AS depth, count(*) AS n_children FROM up WHERE above_depth = depth - 1 GROUP BY ALL),
+sums AS (
+  SELECT u.above AS path, u.above_depth AS depth, count(*) FILTER (WHERE k.path IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+  FROM up u JOIN nodes n USING (path, depth) LEFT JOIN kids k USING (path, depth) GROUP BY ALL
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(k.n_children, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (path, depth) LEFT JOIN kids k USING (path, depth)
+  LEFT JOIN up u ON u.path = n.path AND u.depth = n.depth AND u.above_depth = n.depth - 1
+  LEFT JOIN nodes p ON p.path = u.above AND p.depth = u.above_depth
+"""
