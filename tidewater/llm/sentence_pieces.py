@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import codecs
 import re
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -45,8 +46,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.hashing import slices
 
 SPACE_MARK = "▁"
-# Remembered parts and neighbour checks per worker; past that the memory starts afresh.
-MEMO_PARTS = 400_000
+# Remembered parts (two generations of so many) and neighbour checks per worker.
+MEMO_PARTS = 300_000
 MEMO_PAIRS = 500_000
 MAX_PART_CHARS = 64
 MAX_MODEL_BYTES = 64 << 20
@@ -79,9 +80,12 @@ class PieceModel:
             if len(name) > 1 and self.merged(name) == [name]:
                 self.automaton.add_word(name, len(name))
         self.automaton.make_automaton()
+        self.valid = set(self.automaton)
         self.part = self._part_pattern()
         self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.edges: dict[str, list[tuple[float | None, str, str]]] = {}
         self.surfaces = [self._surface(i, names[i]) for i in range(size)]
         self.controls = {i for i in range(size) if sp.is_control(i)}
         self.marked = {i for i in own if names[i].startswith(SPACE_MARK)}
@@ -111,63 +115,96 @@ class PieceModel:
 
     # --- encoding -------------------------------------------------------------------
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by merging the best neighbours, leftmost first."""
+    def merges(self, text: str) -> Iterator[tuple[float | None, list[str]]]:
+        """The states of a short text while its best neighbours merge, leftmost first, each
+        with the score of the merge that ends it (None at last)."""
         out = list(text)
         score = self.scores.get
-        while len(out) > 1:
+        while True:
             best, at = None, -1
             for i in range(len(out) - 1):
                 s = score(out[i] + out[i + 1])
                 if s is not None and (best is None or s > best):
                     best, at = s, i
+            yield best, out
             if at < 0:
-                break
+                return
             out[at:at + 2] = [out[at] + out[at + 1]]
-        return out
+
+    def merged(self, text: str) -> list[str]:
+        """The pieces of a short text by merging."""
+        for _, state in self.merges(text):
+            pass
+        return state
+
+    def _edges(self, piece: str) -> list[tuple[float | None, str, str]]:
+        """Of each state of a piece's merging: the next merge's score, first and last part."""
+        known = self.edges.get(piece)
+        if known is None:
+            known = [(score, state[0], state[-1]) for score, state in self.merges(piece)]
+            if len(self.edges) < MEMO_PAIRS:
+                self.edges[piece] = known
+        return known
 
     def compatible(self, a: str, b: str) -> bool:
+        """Whether merging ``ab`` gives ``a b``: both are merged again side by side, best
+        first, and no merge may join the last part of one and the first of the other."""
         key = (a, b)
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(a + b) == [a, b]
+            known = self.pairs[key] = self._stay_apart(self._edges(a), self._edges(b))
         return known
 
+    def _stay_apart(self, left: list, right: list) -> bool:
+        i = j = 0
+        across = self.scores.get
+        while True:
+            in_left, _, last = left[i]
+            in_right, first, _ = right[j]
+            s = across(last + first)
+            # Of equal scores the leftmost merges: in the left piece, across, in the right one.
+            if s is not None and (in_left is None or s > in_left) and (in_right is None or s >= in_right):
+                return False
+            if in_left is not None and (in_right is None or in_left >= in_right):
+                i += 1
+            elif in_right is not None:
+                j += 1
+            else:
+                return True
+
     def cut(self, text: str) -> list[str]:
         """The pieces of a text: longest first, back over failed positions."""
         n = len(text)
-        starts: list[list[int]] = [[1] for _ in range(n)]
+        longest = [1] * n
         for last, length in self.automaton.iter(text):
-            starts[last - length + 1].append(length)  # shorter ones end, and come, first
+            longest[last - length + 1] = length  # ends ascend, so the longest comes last
         failed = bytearray(n // 8 + 1)
         pieces: list[str] = []
-        tries: list[int] = []  # of each piece taken, its place in starts of its position
+        previous = None
         at = 0
-        choice = len(starts[0]) - 1 if n else 0
+        length = longest[0] if n else 0
         while at < n:
-            taken = False
-            while choice >= 0:
-                length = starts[at][choice]
+            while length:
                 to = at + length
                 if not failed[to >> 3] >> (to & 7) & 1:
                     piece = text[at:to]
-                    if not pieces or self.compatible(pieces[-1], piece):
-                        taken = True
+                    if (length == 1 or piece in self.valid) and (previous is None or self.compatible(previous, piece)):
                         break
-                choice -= 1
-            if taken:
+                length -= 1
+            if length:
                 pieces.append(piece)
-                tries.append(choice)
+                previous = piece
                 at = to
-                choice = len(starts[at]) - 1 if at < n else 0
+                length = longest[at] if at < n else 0
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 if not pieces:
                     raise ValueError("no compatible pieces")
-                at -= len(pieces.pop())
-                choice = tries.pop() - 1
+                length = len(pieces.pop()) - 1
+                at -= length + 1
+                previous = pieces[-1] if pieces else None
         return pieces
 
     def _part_ids(self, part: str) -> bytes:
@@ -180,23 +217,25 @@ class PieceModel:
                 out.extend(self.bytes_ids[b] for b in piece.encode())
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
-        return np.array(out, "<u4").tobytes()
+        return struct.pack(f"<{len(out)}I", *out)
 
     def encode(self, text: str | None) -> bytes:
         """Ids with begin and end, as little-endian unsigned 32-bit integers."""
         known = self.parts
         found = self.part.findall(self.processor.normalize(text)) if text else []
-        out = [np.array([self.begin], "<u4").tobytes()]
+        out = [struct.pack("<I", self.begin)]
         for part in found:
             ids = known.get(part)
             if ids is None:
-                ids = self._part_ids(part)
+                ids = self.old_parts.get(part) or self._part_ids(part)
                 if len(part) <= MAX_PART_CHARS:
                     if len(known) >= MEMO_PARTS:
-                        known.clear()
+                        # Parts used since the last turn stay.
+                        self.old_parts = known
+                        known = self.parts = {}
                     known[part] = ids
             out.append(ids)
-        out.append(np.array([self.end], "<u4").tobytes())
+        out.append(struct.pack("<I", self.end))
         return b"".join(out)
 
     # --- decoding -------------------------------------------------------------------
