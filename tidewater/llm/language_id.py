@@ -13,9 +13,10 @@ last character) and one of log back-off weights (of the n-gram as a context).  A
 character costs one binary search at the highest order, and one more at each
 lower order only where that finds nothing.
 
-The models are fitted on at most ``MAX_FIT_CHARS`` characters of texts per
-language (whole texts, those with the smallest hash of their id), so the model
-that is broadcast is bounded however large the table is; counting is distributed.
+Every language that has a training text is learned.  The models are fitted on about
+``MAX_FIT_CHARS`` characters of texts per language (whole texts, those with the smallest
+hash of their id and text, the first of them always), so the model that is broadcast
+grows with the languages and not with the table; counting is distributed.
 Prediction covers every document, whole, in slices of an Arrow batch: no shuffle.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; languages
@@ -26,13 +27,13 @@ same answer; extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +42,13 @@ from tidewater.llm.quality_classifier import held_out
 
 ORDER = 4
 MAX_FIT_CHARS = 4_000_000
-MAX_LANGUAGES = 200
 REJECT_QUANTILE = 0.999
 DISCOUNT = 0.75
 UNKNOWN = "und"
 SLICE_CHARS = 1 << 20
-_NOT_LETTER = re.compile(r"[\W\d_]+")
+# Marks stay with their letters; numbers of any kind are no letters.
+_NOT_LETTER = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def normalised(text: str | None) -> str:
@@ -246,13 +248,18 @@ def train(docs: DataFrame, max_chars: int = MAX_FIT_CHARS) -> Model:
     rows = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), 3, 1))
     sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).orderBy(F.desc("chars"), "lang")
-    langs = sizes.limit(MAX_LANGUAGES).collect()
+    langs = sizes.collect()
     if not langs:
         return Model([], [np.zeros(0, U)] * ORDER, [np.zeros((0, 0), np.float32)] * ORDER,
                      [np.zeros((0, 0), np.float32)] * ORDER, np.zeros(0, np.float32))
-    place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-    share = F.create_map(*[x for r in langs for x in (F.lit(r["lang"]), F.lit(min(1.0, max_chars / max(r["chars"], 1))))])
-    sample = rows.where(place < F.element_at(share, F.col("lang"))).select("lang", "text")
+    # Ids and texts, so rows without an id spread too.
+    place = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
+    placed = rows.where(F.length("text") > 0).withColumn("place", place)
+    first = {r["lang"]: r["first"] for r in placed.groupBy("lang").agg(F.min("place").alias("first")).collect()}
+    # A language's first document is always taken, however long.
+    upto = F.create_map(*[x for r in langs for x in (
+        F.lit(r["lang"]), F.lit(float(max(max_chars / max(r["chars"], 1), first.get(r["lang"], 0.0)))))])
+    sample = placed.where(F.col("place") <= F.element_at(upto, F.col("lang"))).select("lang", "text")
     grams = sample.mapInArrow(_count_batches, "lang string, gram string, n long")
     model = build(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     return _calibrated(model, sample, docs)
@@ -282,7 +289,7 @@ def predict(docs: DataFrame, model: Model, id_type: str | None = None) -> DataFr
             n = len(texts)
             lang, score = np.full(n, UNKNOWN, object), np.zeros(n)
             entropy, rejected = np.full(n, np.nan), np.zeros(n, bool)
-            some = np.array([len(t) > 2 for t in texts], bool)
+            some = np.array([_LETTER.search(t) is not None for t in texts], bool)
             if model.languages and some.any():
                 picked = [t for t, ok in zip(texts, some, strict=True) if ok]
                 bits = model.entropies(picked)
