@@ -47,7 +47,7 @@ MAX_FILTER_BYTES = 64 << 20
 PART_BYTES = 16 << 20
 BITS_PER_KEY = 16
 # Texts of a chunk, where the filter is read in parts.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 HEAD_WORDS = 300_000
 PROBES = 2
 MAX_LEVEL = 40
@@ -251,34 +251,43 @@ def _chunk_keys(rows: pa.RecordBatch, column: int) -> np.ndarray:
     return np.unique(np.concatenate([np.unique(_ngrams(*tokens_of(part.column(column)))) for part in slices(rows)]))
 
 
-_CHUNK = "chunk long, part int, keys binary, segments binary, doc_id {kind}, held_out boolean, text string, text_key long"
+_CHUNK = "chunk long, part int, keys binary, segments binary, docs binary"
+
+
+def _packed(rows: pa.RecordBatch) -> bytes:
+    """Rows as a compressed Arrow stream: half of what the texts take in a shuffle otherwise."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(docs: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(docs.as_buffer()).read_next_batch()
 
 
 def _chunks(n_bits: int, part_bits: int):
     """(doc_id, held_out, text, text_key) to chunks of whole rows, each a number: a row
-    per text (part -1), and the chunk's different n-grams by part of the filter, as the
-    32 bits that follow the segment's and the number in each of the part's segments."""
+    of the packed texts (part -1), and the chunk's different n-grams by part of the filter, as
+    the 32 bits that follow the segment's and the number in each of the part's segments."""
     n_parts, low = 1 << part_bits, U(32 - n_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             for rows in slices(batch, size=CHUNK_BYTES):
-                n = rows.num_rows
                 keys = _chunk_keys(rows, 2)
                 cuts = np.searchsorted(keys >> U(64 - n_bits), np.arange((1 << n_bits) + 1))
                 in_segment = np.diff(cuts).astype(np.uint32).reshape(n_parts, -1)
                 cuts = cuts[::in_segment.shape[1]]
                 lows = ((keys >> low) & U(0xFFFFFFFF)).astype(np.uint32)
                 own = [p for p in range(n_parts) if cuts[p + 1] > cuts[p]]
-                none = len(own)
                 columns = [
-                    pa.array([chunk] * (n + none), pa.int64()), pa.array([-1] * n + own, pa.int32()),
-                    pa.array([None] * n + [lows[cuts[p]:cuts[p + 1]].tobytes() for p in own], pa.binary()),
-                    pa.array([None] * n + [zlib.compress(in_segment[p].tobytes(), 1) for p in own], pa.binary()),
-                    *(pa.concat_arrays([c, pa.nulls(none, c.type)]) for c in rows.columns)]
-                yield pa.RecordBatch.from_arrays(
-                    columns, names=["chunk", "part", "keys", "segments", "doc_id", "held_out", "text", "text_key"])
+                    pa.array([chunk] * (1 + len(own)), pa.int64()), pa.array([-1, *own], pa.int32()),
+                    pa.array([None, *[lows[cuts[p]:cuts[p + 1]].tobytes() for p in own]], pa.binary()),
+                    pa.array([None, *[zlib.compress(in_segment[p].tobytes(), 1) for p in own]], pa.binary()),
+                    pa.array([_packed(rows), *[None] * len(own)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "part", "keys", "segments", "docs"])
                 chunk += 1
 
     return run
@@ -318,39 +327,33 @@ def _read_levels(n_bits: int, part_bits: int):
 def _score_chunks(shared):
     """A chunk's levels, by part, and then its rows, to what ``_document_rows`` gives."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, read, held = None, [], []
+        now, read, docs = None, [], None
 
         def finish() -> Iterator[pa.RecordBatch]:
-            if held:
-                rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            if docs is not None:
+                rows = _unpacked(docs)
                 keys, found = _chunk_keys(rows, 2), np.frombuffer(b"".join(read), np.int8)
                 for part in slices(rows):
                     yield _scored(part, *shared.value, lambda k: found[np.searchsorted(keys, k)])
 
         for batch in batches:
-            chunks, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            at = 0
-            while at < batch.num_rows:
-                if chunks[at] != now:
+            for i, (chunk, part) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if chunk != now:
                     yield from finish()
-                    now, read, held = chunks[at], [], []
-                if parts[at] >= 0:
-                    read.append(zlib.decompress(batch.column(2)[at].as_py()))
-                    to = at + 1
+                    now, read, docs = chunk, [], None
+                if part >= 0:
+                    read.append(zlib.decompress(batch.column(2)[i].as_py()))
                 else:
-                    same = (chunks[at:] == now) & (parts[at:] < 0)
-                    to = batch.num_rows if same.all() else at + int(same.argmin())
-                    held.append(batch.slice(at, to - at).select(["doc_id", "held_out", "text", "text_key"]))
-                at = to
+                    docs = batch.column(3)[i]
         yield from finish()
 
     return run
 
 
-def scored_in_parts(texts: DataFrame, table: DataFrame, n_bits: int, n_bytes: int, part_bytes: int, shared, kind: str, schema: str) -> DataFrame:
+def scored_in_parts(texts: DataFrame, table: DataFrame, n_bits: int, n_bytes: int, part_bytes: int, shared, schema: str) -> DataFrame:
     """``texts`` scored with a filter that stays a table of ``n_bytes``."""
     part_bits = int(min(max(np.ceil(np.log2(n_bytes / part_bytes)), 1), n_bits))
-    chunks = written(texts.mapInArrow(_chunks(n_bits, part_bits), _CHUNK.format(kind=kind)), "chunks")
+    chunks = written(texts.mapInArrow(_chunks(n_bits, part_bits), _CHUNK), "chunks")
     bits = table.select(
         F.shiftright("segment", n_bits - part_bits).alias("part"), "segment", F.lit(None).cast("long").alias("chunk"), F.col("bits").alias("value"),
         F.lit(None).cast("binary").alias("segments"))
@@ -358,10 +361,8 @@ def scored_in_parts(texts: DataFrame, table: DataFrame, n_bits: int, n_bytes: in
     # The filter's rows (null chunk) come first.
     read = bits.unionByName(asked).repartition("part").sortWithinPartitions("part", "chunk").mapInArrow(
         _read_levels(n_bits, part_bits), "chunk long, part int, levels binary")
-    back = read.select("chunk", "part", "levels", *(F.lit(None).cast(t).alias(c) for c, t in (
-        ("doc_id", kind), ("held_out", "boolean"), ("text", "string"), ("text_key", "long"))))
-    rows = chunks.where("part < 0").select(
-        "chunk", "part", F.lit(None).cast("binary").alias("levels"), "doc_id", "held_out", "text", "text_key")
+    back = read.select("chunk", "part", "levels", F.lit(None).cast("binary").alias("docs"))
+    rows = chunks.where("part < 0").select("chunk", "part", F.lit(None).cast("binary").alias("levels"), "docs")
     together = back.unionByName(rows).repartition("chunk").sortWithinPartitions("chunk", F.col("part") < 0, "part")
     return together.mapInArrow(_score_chunks(shared), schema)
 
@@ -437,7 +438,7 @@ def score_texts(docs: DataFrame, max_bytes: int = MAX_FILTER_BYTES, head_words:
     if n_bytes <= max_bytes:
         scored = texts.mapInArrow(_document_rows(shared, context.broadcast(build_filter(table, n_bits))), schema)
     else:
-        scored = scored_in_parts(texts, table, n_bits, n_bytes, min(PART_BYTES, max_bytes), shared, kind, schema)
+        scored = scored_in_parts(texts, table, n_bits, n_bytes, min(PART_BYTES, max_bytes), shared, schema)
     rows = written(scored, "scored-texts")
 
     tail = counts if floor is None else counts.where(F.col("n") < floor)
