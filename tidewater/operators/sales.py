@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import age_years, doc_id
+from tidewater.operators.asof import asof_join
 from tidewater.plans.strategy import broadcast_if_small
 
 JOIN_WAIT_SECONDS = 120  # fixed value: how long either side waits for the other
@@ -105,6 +106,19 @@ def enrich_with_users(sales: DataFrame, users: DataFrame, asof: str) -> DataFram
     return out.select(*SALE_COLUMNS, *extra)
 
 
+def enrich_with_user_versions(sales: DataFrame, history: DataFrame, asof: str) -> DataFrame:
+    """As :func:`enrich_with_users`, with the user as known when the order was placed: ``history``
+    has a user's versions (id, gender, birthday, user_level) with their ``valid_from``."""
+    versions = history.select(F.col("id").alias("user_id"), "valid_from", "gender", "birthday", "user_level")
+    placed = sales.withColumn("_placed", F.to_timestamp("create_time"))
+    joined = asof_join(placed, versions, "user_id", "_placed", "valid_from")
+    age = age_years(F.col("version.birthday"), F.lit(asof).cast("date"))
+    out = joined.withColumns({
+        "user_gender": F.col("version.gender"), "user_level": F.col("version.user_level"), "user_age": F.coalesce(age, F.lit(0))})
+    extra = [c for c in sales.columns if c not in SALE_COLUMNS]
+    return out.select(*SALE_COLUMNS, *extra)
+
+
 def with_doc_id(sales: DataFrame) -> DataFrame:
     return sales.withColumn("doc_id", doc_id("_", "order_id", "order_detail_id"))
 

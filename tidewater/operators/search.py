@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import (
@@ -27,6 +27,8 @@ GENDER_FACET_SIZE = 2
 BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DIGITS = 6
+# Parts of an answer.
+PART_TOTAL, PART_AGE, PART_GENDER, PART_HIT = "total", "age", "gender", "hit"
 
 
 def hits(sales: DataFrame, dt: str, keyword: str, text_col: str = "sku_name") -> DataFrame:
@@ -53,6 +55,36 @@ def facet_gender(found: DataFrame) -> DataFrame:
     return top_terms(found, "user_gender", GENDER_FACET_SIZE, drop_null=True)
 
 
+def facets(found: DataFrame, age_size: int = AGE_FACET_SIZE, gender_size: int = GENDER_FACET_SIZE) -> DataFrame:
+    """``(part, pos, user_age, user_gender, cnt)``: the total and both facets' buckets from one
+    pass over the hits (grouping sets, so each hit is counted under its age, its gender
+    and the total).  The counts, at most distinct ages and genders, are ranked
+    afterwards; a null gender takes no place.  No rows when nothing was found."""
+    sets = found.groupingSets([["user_age"], ["user_gender"], []], "user_age", "user_gender").agg(
+        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("cnt"))
+    # Bits of the grouping id: a column that is not grouped by.
+    part = F.when(F.col("gid") == 1, PART_AGE).when(F.col("gid") == 2, PART_GENDER).otherwise(PART_TOTAL)
+    parts = sets.withColumn("part", part).where((F.col("part") != PART_GENDER) | F.col("user_gender").isNotNull())
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("cnt"), F.asc("user_age"), F.asc("user_gender")))
+    size = F.when(F.col("part") == PART_AGE, age_size).when(F.col("part") == PART_GENDER, gender_size).otherwise(1)
+    return parts.withColumn("pos", place).where(F.col("pos") <= size).select("part", "pos", "user_age", "user_gender", "cnt")
+
+
+def answer_parts(scored: DataFrame, page: int, size: int) -> DataFrame:
+    """The whole answer of a search as rows ``(part, pos, name, value)``: total, both facets and the
+    page of hits by score.  ``scored`` should be a written frame: it is read for the counts and
+    for the page."""
+    counts = facets(scored).select(
+        "part", "pos", F.coalesce(F.col("user_age").cast("string"), "user_gender").alias("name"), F.col("cnt").cast("double").alias("value"))
+    first = (page - 1) * size
+    # At most one page of rows, so the window holds no more.
+    order = Window.orderBy(F.desc("score"), F.asc("doc_id"))
+    hits_ = ranked_page(scored, page, size).select(
+        F.lit(PART_HIT).alias("part"), (F.row_number().over(order) + first).alias("pos"), F.col("doc_id").alias("name"),
+        F.round("score", SCORE_DIGITS).alias("value"))
+    return counts.unionByName(hits_)
+
+
 def age_gender_shares(found: DataFrame) -> DataFrame:
     """The ``stat`` part of the answer as rows ``(pos, title, name, value)``.
 
@@ -62,26 +94,22 @@ def age_gender_shares(found: DataFrame) -> DataFrame:
     is the remainder, so a missing gender counts as male.  No rows when
     nothing was found.
 
-    The hits are first reduced to counts per ``(age, gender)`` (bounded by
-    distinct ages x genders); both facets are taken from these, a null gender
-    taking no place among the genders, and folded to one row.
+    Both facets and the total are one pass over the hits (:func:`facets`), folded to
+    one row.
     """
-    cells = found.groupBy("user_age", "user_gender").agg(F.count(F.lit(1)).alias("cnt"))
-    ages = cells.groupBy("user_age").agg(F.sum("cnt").alias("cnt")).orderBy(F.desc("cnt"), F.asc("user_age")).limit(AGE_FACET_SIZE)
-    genders = (
-        cells.where(F.col("user_gender").isNotNull()).groupBy("user_gender").agg(F.sum("cnt").alias("cnt"))
-        .orderBy(F.desc("cnt"), F.asc("user_gender")).limit(GENDER_FACET_SIZE)
-    )
-
-    def of(facet: DataFrame, test: Column) -> Column:
-        return F.coalesce(facet.agg(F.sum(F.when(test, F.col("cnt"))).alias("n")).scalar(), F.lit(0))
-
-    folded = cells.agg(F.sum("cnt").alias("total")).where(F.col("total") > 0).select(
-        "total",
-        of(ages, F.col("user_age") < 20).alias("under20"),
-        of(ages, (F.col("user_age") >= 20) & (F.col("user_age") < 30)).alias("from20"),
-        of(genders, F.col("user_gender") == "F").alias("female"),
-    )
+    parts = facets(found)
+    cnt, age = F.col("cnt"), F.col("user_age")
+    of_age = F.col("part") == PART_AGE
+
+    def of(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, cnt)), F.lit(0))
+
+    folded = parts.agg(
+        F.sum(F.when(F.col("part") == PART_TOTAL, cnt)).alias("total"),
+        of(of_age & (age < 20)).alias("under20"),
+        of(of_age & (age >= 20) & (age < 30)).alias("from20"),
+        of((F.col("part") == PART_GENDER) & (F.col("user_gender") == "F")).alias("female"),
+    ).where(F.col("total") > 0)
     shares = folded.select(
         truncated_percent("under20", "total").alias("a"),
         truncated_percent("from20", "total").alias("b"),

@@ -185,6 +185,52 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                      and d.arrival_ts between o.create_ts - interval 120 second and o.create_ts + interval 120 second
                     left join v_user u on o.user_id = u.id))
         where rn = 1"""),
+    "v_user_history": (("v_user",), """
+        select *, timestamp '1988-01-01' + to_seconds((cast(id as bigint) * 86413) % (2000 * 86400)) as valid_from from v_user
+        union all
+        select * replace (lower(user_level) as user_level),
+               timestamp '1994-01-01' + to_seconds((cast(id as bigint) * 86413) % (700 * 86400))
+        from v_user where cast(id as bigint) % 4 = 1
+        union all
+        select * replace ('vip ' || user_level as user_level),
+               timestamp '1996-01-01' + to_seconds((cast(id as bigint) * 86413) % (700 * 86400))
+        from v_user where cast(id as bigint) % 8 = 1"""),
+    "v_order_write": (("v_order",), """
+        select *, create_ts as written_ts from v_order
+        union all select *, create_ts + interval 90 second from v_order where o_orderkey % 3 = 0"""),
+    # A line that finds no order waits; lines that wait less than the time to live after one another are an island.
+    "v_ttl_line": (("v_order_write", "v_detail"), """
+        select d.*, w.met
+        from v_detail d left join
+             (select d.order_id, d.arrival_ts, max(w.written_ts) as met
+              from (select distinct order_id, arrival_ts from v_detail) d join v_order_write w
+                on w.id = d.order_id and w.written_ts between d.arrival_ts - interval 120 second and d.arrival_ts
+              group by d.order_id, d.arrival_ts) w
+          on w.order_id = d.order_id and w.arrival_ts = d.arrival_ts"""),
+    "v_ttl_waiting": (("v_ttl_line",), """
+        select order_id, arrival_ts, sum(fresh) over (partition by order_id order by arrival_ts) as island
+        from (select order_id, arrival_ts,
+                     case when arrival_ts - lag(arrival_ts) over (partition by order_id order by arrival_ts) <= interval 120 second
+                          then 0 else 1 end as fresh
+              from (select distinct order_id, arrival_ts from v_ttl_line where met is null))"""),
+    "v_ttl_met_later": (("v_ttl_waiting",), """
+        select order_id, arrival_ts, max(written_ts) as met
+        from (select c.order_id, c.arrival_ts, w.written_ts, max(c2.arrival_ts) as rearmed
+              from v_ttl_waiting c join v_order_write w on w.id = c.order_id and w.written_ts > c.arrival_ts
+              join v_ttl_waiting c2 on c2.order_id = c.order_id and c2.island = c.island and c2.arrival_ts < w.written_ts
+              group by c.order_id, c.arrival_ts, w.written_ts)
+        where written_ts <= rearmed + interval 120 second group by order_id, arrival_ts"""),
+    "v_sale_ttl": (("v_ttl_met_later",), """
+        select doc_id, order_detail_id, order_id, order_status, create_time, user_id, sku_id, sku_name, sku_price, dt, order_ms
+        from (select d.order_id || '_' || d.id as doc_id, d.id as order_detail_id, d.order_id, o.order_status, o.create_time,
+                     o.user_id, d.sku_id, d.sku_name, cast(d.order_price as double) as sku_price, o.create_date as dt,
+                     epoch_us(coalesce(d.met, l.met)) // 1000 as order_ms,
+                     row_number() over (partition by d.order_id, d.id order by coalesce(d.met, l.met) desc, d.l_shipdate desc,
+                                        d.l_partkey desc, d.l_suppkey desc, d.l_quantity desc, d.order_price desc) as rn
+              from v_ttl_line d left join v_ttl_met_later l on l.order_id = d.order_id and l.arrival_ts = d.arrival_ts
+              join v_order o on o.id = d.order_id
+              where coalesce(d.met, l.met) is not null)
+        where rn = 1"""),
 }
 
 

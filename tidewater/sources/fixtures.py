@@ -171,6 +171,22 @@ def v_user(t: Tables) -> DataFrame:
     )
 
 
+def v_user_history(t: Tables) -> DataFrame:
+    """Versions of the users with the time they became valid: users come to be between
+    1988 and 1993; some change their level twice later."""
+    users = v_user(t).withColumn("k", F.col("id").cast("long"))
+
+    def since(day: str, span: int) -> Column:
+        return F.timestamp_seconds(F.unix_timestamp(F.lit(day).cast("timestamp")) + (F.col("k") * 86_413) % (span * 86_400))
+
+    first = users.withColumn("valid_from", since("1988-01-01", 2000))
+    second = users.where("k % 4 = 1").withColumn("user_level", F.lower("user_level")).withColumn(
+        "valid_from", since("1994-01-01", 700))
+    third = users.where("k % 8 = 1").withColumn("user_level", F.concat(F.lit("vip "), "user_level")).withColumn(
+        "valid_from", since("1996-01-01", 700))
+    return first.unionByName(second).unionByName(third).drop("k")
+
+
 # --- change-data-capture feed -------------------------------------------------
 
 def _event_type(key: Column) -> Column:
