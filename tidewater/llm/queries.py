@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import (
@@ -85,6 +84,8 @@ def op11_spelling(spark, sf_dir):
 
 @query("op12_sentence_pieces")
 def op12_sentence_pieces(spark, sf_dir):
+    import public_tokenizers  # only this query needs the vocabulary files
+
     return sentence_pieces.digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
