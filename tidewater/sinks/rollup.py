@@ -92,7 +92,8 @@ class Rollup:
 
     def fold(self, spark: SparkSession, upto: int) -> None:
         """Adds the changes of batches up to ``upto`` (finished ones) into the folder of that batch.
-        Run by one job at a time; readers between its two steps see either state's files."""
+        Folders are replaced one after another: run it while nobody reads the aggregate.  The
+        stream may go on: its batches are later ones."""
         changes = spark.read.parquet(f"{self.path}/changes").where(F.col("batch") <= int(upto))
         sums = changes.groupBy(*self.groups).agg(*[F.sum(m).alias(m) for m in self.measures], F.sum("rows").alias("rows"))
         checkpoint_root(spark)
