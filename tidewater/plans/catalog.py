@@ -697,6 +697,23 @@ def q_stream_gmv_by_hour(spark, sf_dir):
     return out.select("create_hour", F.round("sum_amount", 2).alias("sum_amount"))
 
 
+@register("stream_order_compact", REGISTRY["order_enriched"].sql)
+def q_stream_order_compact(spark, sf_dir):
+    """Some orders come with another amount first; the first batch is compacted before the
+    stream goes on, everything afterwards."""
+    orders = Tables(spark, sf_dir).orders
+    first = orders.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") / 2)
+    folder = _in_slices(spark, sf_dir, "orders", [first])
+    _, run = stream_jobs.run_order_table(spark, sf_dir, trigger=_AVAILABLE_NOW, stream_dir=folder)
+    table = stream_jobs.order_table(run)
+    table.compact(spark, 0)
+    orders.coalesce(1).write.mode("append").parquet(f"{folder}/orders")
+    stream_jobs.run_order_table(spark, sf_dir, run=run, trigger=_AVAILABLE_NOW, stream_dir=folder)
+    table.compact(spark, 1)
+    table.drop_covered(spark)
+    return table.read(spark).select(*gmv_ops.ORDER_COLUMNS)
+
+
 @register("stream_coupon_alerts", REGISTRY["coupon_alerts"].sql)
 def q_stream_coupon_alerts(spark, sf_dir):
     _, run = stream_jobs.run_alert_counts(spark, sf_dir, ALERT_WINDOW, ALERT_SLIDE, trigger=_AVAILABLE_NOW)

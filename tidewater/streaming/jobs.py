@@ -38,6 +38,7 @@ from tidewater.operators import gmv as gmv_ops
 from tidewater.operators import ingest
 from tidewater.operators import sales as sale_ops
 from tidewater.session import prepare_streaming, scratch_path
+from tidewater.sinks.generations import GenerationTable
 from tidewater.sinks.upsert import _exists as _table_exists
 from tidewater.sinks.versioned import append_versions, read_latest
 from tidewater.sources import fixtures as fx
@@ -208,6 +209,31 @@ def read_orders(spark: SparkSession, run: StreamRun, date: str | None = None) ->
     return read_latest(spark, run.table, ["id"], "_batch", where=where).select(*gmv_ops.ORDER_COLUMNS)
 
 
+def order_table(run: StreamRun) -> GenerationTable:
+    return GenerationTable(run.table, ("id",), "total_amount")
+
+
+def run_order_table(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
+                    max_files_per_trigger: int | None = None, stream_dir: str | None = None, after_write=None):
+    """Enriched orders into a table that may be compacted while the stream goes on and holds each batch
+    once, however often it was run (:mod:`tidewater.sinks.generations`).  ``after_write`` is called with a
+    batch's number when its rows are written and its offsets are not yet committed."""
+    prepare_streaming(spark)
+    run = run or StreamRun.fresh(spark, "stream-orders")
+    t = StreamTables(spark, sf_dir, streamed=("orders",), max_files_per_trigger=max_files_per_trigger,
+                     stream_dir=stream_dir)
+    orders = gmv_ops.enrich_orders(fx.v_order(t)).select(*gmv_ops.ORDER_COLUMNS)
+    table = order_table(run)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.append(batch, batch_id)
+        if after_write:
+            after_write(batch_id)
+
+    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
+    return _finish(q, trigger), run
+
+
 # --- coupon alerts ----------------------------------------------------------------------
 
 def run_alert_counts(spark: SparkSession, sf_dir: str, window: str = alert_ops.WINDOW, slide: str = alert_ops.SLIDE,
