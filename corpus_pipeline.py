@@ -37,7 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = line_dedup.remove_lines(docs)
-    emptied = (F.col("_removed") > 0) & ~F.col("text").rlike(WORD)
+    emptied = (F.col(left.columns[-1]) > 0) & ~F.col("text").rlike(WORD)
     return left.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
 
 

@@ -38,6 +38,14 @@ def without(text: Column, chars: str) -> Column:
     return F.regexp_replace(text, f"[{chars}]++", "")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores behind it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def broadcast_if_counted(df: DataFrame, max_rows: int = FEW_ROWS) -> DataFrame:
     """Marks ``df`` for broadcast if a distributed count proves it small."""
     return F.broadcast(df) if df.count() <= max_rows else df

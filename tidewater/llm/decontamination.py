@@ -202,7 +202,8 @@ def _search(shared):
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without those that hold an item (null ids stay: they can't be named)."""
-    from tidewater.llm.common import broadcast_if_counted, written
+    from tidewater.llm.common import broadcast_if_counted, free_name, written
 
-    leaked = written(contaminated(docs, benchmark, k, percent).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return docs.join(broadcast_if_counted(leaked), F.col("doc_id") == F.col("_leaked"), "left_anti")
+    name = free_name(docs, "_leaked")
+    leaked = written(contaminated(docs, benchmark, k, percent).select(F.col("doc_id").alias(name)).distinct(), "leaked")
+    return docs.join(broadcast_if_counted(leaked), F.col("doc_id") == F.col(name), "left_anti")

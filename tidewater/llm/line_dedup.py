@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import broadcast_if_counted, written
+from tidewater.llm.common import broadcast_if_counted, free_name, written
 from tidewater.llm.graph import Forest, components, in_blocks, per_block_pair
 from tidewater.llm.hashing import U, combine, lower_ascii, mix, run_hashes, runs, slices, text_bytes
 
@@ -421,16 +421,18 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def remove_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with repeated lines taken out of the texts, and the columns ``_lines``
-    and ``_removed`` (counts)."""
-    gone = written(repeated_lines(docs, percent), "repeated-lines").select(F.col("doc_id").alias("_id"), "places")
+    """``docs`` with repeated lines taken out of the texts, and two columns of counts at the
+    end, ``_lines`` and ``_removed`` (with an underscore behind a name that ``docs`` has already)."""
+    ident, places, n_lines, n_removed = (free_name(docs, c) for c in ("_id", "places", "_lines", "_removed"))
+    gone = written(repeated_lines(docs, percent), "repeated-lines").select(
+        F.col("doc_id").alias(ident), F.col("places").alias(places))
     # One plan at every size: most inputs have too many removals to broadcast.
-    joined = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.join(gone.hint("merge"), F.col("doc_id") == F.col(ident), "left")
     parts = F.split("text", "\n")
-    left = F.filter(parts, lambda x, i: ~F.array_contains(F.col("places"), i))
-    return joined.withColumn("_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long")).withColumn(
-        "text", F.when(F.col("places").isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))).withColumn(
-        "_removed", F.coalesce(F.size("places"), F.lit(0)).cast("long")).drop("_id", "places")
+    left = F.filter(parts, lambda x, i: ~F.array_contains(F.col(places), i))
+    return joined.withColumn(n_lines, F.coalesce(F.size(parts), F.lit(0)).cast("long")).withColumn(
+        "text", F.when(F.col(places).isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))).withColumn(
+        n_removed, F.coalesce(F.size(places), F.lit(0)).cast("long")).drop(ident, places)
 
 
 def digest(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import broadcast_if_counted, word_count, written
+from tidewater.llm.common import broadcast_if_counted, free_name, word_count, written
 
 MAX_EPOCHS = 3
 # Fixed values of the contract: weights by order of the sources, repeating.
@@ -149,12 +149,13 @@ def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS) -> DataFra
 
 def mix_documents(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The documents the mix takes words of, whole and with all their columns, and
-    ``mix_size``, ``mix_target``, ``mix_copies``, ``mix_part_words``, ``mix_taken``.  Only the
-    plan, a row per source, meets the texts: they are not shuffled."""
+    ``mix_size``, ``mix_target``, ``mix_copies``, ``mix_part_words``, ``mix_taken`` (with an
+    underscore behind a name that the documents have already).  Only the plan, a row per
+    source, meets the texts: they are not shuffled."""
     rows = written(sized(docs, seed), "mix-sizes")
     targets = written(with_targets(written(source_sizes(rows), "mix-sources"), max_epochs), "mix-targets")
     whole = docs.select(
         F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col("source"),
         word_count(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed).alias("key"))
     taken = take(whole, cuts(rows, targets)).where("taken > 0")
-    return taken.select("doc.*", *[F.col(c).alias(f"mix_{c}") for c in ("size", "target", "copies", "part_words", "taken")])
+    return taken.select("doc.*", *[F.col(c).alias(free_name(docs, f"mix_{c}")) for c in ("size", "target", "copies", "part_words", "taken")])

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import broadcast_if_counted, written
+from tidewater.llm.common import broadcast_if_counted, free_name, written
 from tidewater.llm.graph import Forest, components, in_blocks, per_block_pair
 from tidewater.llm.hashing import U, mix, shingles, slices, text_shingles, words_of
 
@@ -338,5 +338,6 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest id.
     Documents with a null id stay."""
     classes = link_classes(docs, k, percent)
-    gone = classes.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(broadcast_if_counted(gone.distinct()), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = free_name(docs, "_gone")
+    gone = classes.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(name))
+    return docs.join(broadcast_if_counted(gone.distinct()), F.col("doc_id") == F.col(name), "left_anti")
