@@ -379,7 +379,6 @@ def test_near_sims_against_all_pairs(spark, limits):
 
 
 def test_lines_against_all_pairs(spark, odd, empty):
-    import numpy as np
     import pyarrow as pa
 
     base = [sentence(i, 25) for i in range(30)]
@@ -394,7 +393,7 @@ def test_lines_against_all_pairs(spark, odd, empty):
     batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["doc_id", "text"])
     found = line_dedup.line_rows(batch).to_pylist()
     for r in found:
-        lines.append((r["doc_id"], r["place"], line_dedup.normal_form(rows[r["doc_id"]][1].split("\n")[r["place"]]), np.int64(r["sim"])))
+        lines.append((r["doc_id"], r["place"], line_dedup.normal_form(rows[r["doc_id"]][1].split("\n")[r["place"]])))
     assert len(lines) == 25 * 5
     up = list(range(len(lines)))
 
@@ -405,12 +404,11 @@ def test_lines_against_all_pairs(spark, odd, empty):
 
     for x, y in combinations(range(len(lines)), 2):
         a, b = lines[x], lines[y]
-        near = bin(int(a[3]) & (2**64 - 1) ^ int(b[3]) & (2**64 - 1)).count("1") <= 3
-        if a[2] == b[2] or near and 1 - plain_distance(a[2], b[2]) / max(len(a[2]), len(b[2])) >= 0.8:
+        if 1 - plain_distance(a[2], b[2]) / max(len(a[2]), len(b[2])) >= 0.8:
             rx, ry = root(x), root(y)
             up[max(rx, ry)] = min(rx, ry)
     want = {}
-    for x, (d, p, _, _) in enumerate(lines):
+    for x, (d, p, _) in enumerate(lines):
         if min((lines[y][:2] for y in range(len(lines)) if root(y) == root(x))) != (d, p):
             want.setdefault(d, []).append(p)
     got = {r["doc_id"]: r["places"] for r in line_dedup.repeated_lines(docs).collect()}
@@ -421,6 +419,90 @@ def test_lines_against_all_pairs(spark, odd, empty):
     assert line_dedup.digest(odd).count() == odd.count() and line_dedup.digest(empty).count() == 0
 
 
+LENGTHS = (5, 6, 7, 8, 9, 10, 12, 20, 21, 40, 60, 100)
+EDITS = ("replace", "insert", "delete", "replace two", "replace three", "replace a tenth")
+
+
+def edited(words, edit, rng):
+    out = list(words)
+    new = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(len(words))]
+    if edit == "insert":
+        out.insert(rng.randint(0, len(out)), new[0])
+    elif edit == "delete":
+        del out[rng.randrange(len(out))]
+    else:
+        n = {"replace": 1, "replace two": 2, "replace three": 3}.get(edit, max(1, len(out) // 10))
+        for i in rng.sample(range(len(out)), min(n, len(out))):
+            out[i] = new[i]
+    return out
+
+
+def test_recall_of_near_lines(spark):
+    """Of planted pairs, told by edit similarity alone, the share found by length and by edit."""
+    import random
+
+    rng = random.Random(11)
+    rows, near = [], {}
+    for n in LENGTHS:
+        for edit in EDITS:
+            for _ in range(25):
+                words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n)]
+                other = edited(words, edit, rng)
+                a, b = " ".join(words), " ".join(other)
+                doc = len(rows)
+                rows += [(doc, a, None, None), (doc + 1, b, None, None)]
+                if len(other) >= line_dedup.MIN_WORDS:
+                    near[doc + 1] = (n, edit, 1 - plain_distance(a, b) / max(len(a), len(b)) >= 0.8)
+    got = {r["doc_id"] for r in line_dedup.repeated_lines(docs_of(spark, rows)).collect()}
+    assert got <= {d for d, (_, _, is_near) in near.items() if is_near}
+    shares = {}
+    for n in LENGTHS:
+        for edit in EDITS:
+            own = [d in got for d, (m, e, is_near) in near.items() if (m, e) == (n, edit) and is_near]
+            shares[n, edit] = sum(own) / len(own) if own else None
+    print({k: v for k, v in shares.items() if v is not None})
+    for n in LENGTHS:
+        for edit in EDITS[:3]:
+            assert shares[n, edit] in (1.0, None), (n, edit)
+        if n >= 10:
+            assert shares[n, "replace two"] in (1.0, None), n
+
+
+def test_word_buckets_in_pieces(spark):
+    """Parts larger than a task's bound give the same links as whole ones."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    lines = [(int(h), rng.integers(0, 40, 3).astype(np.uint64).tobytes()) for h in range(200)]
+    frame = spark.createDataFrame(lines, "h1 long, keys binary").repartition(3)
+
+    def pairs(rows):
+        groups = {}
+        for bucket, h in rows:
+            groups.setdefault(bucket, set()).add(h)
+        return {p for g in groups.values() for p in combinations(sorted(g), 2)}
+
+    want = {}
+    for h, keys in lines:
+        for k in np.frombuffer(keys, np.uint64).tolist():
+            want.setdefault(k, set()).add(h)
+    want = {p for g in want.values() for p in combinations(sorted(g), 2)}
+    for limits in ({}, {"part_keys": 200}, {"part_keys": 200, "most": 30}):
+        assert pairs(line_dedup.word_buckets(frame, 200, **limits).collect()) == want
+    assert line_dedup.word_buckets(frame.limit(0), 0).count() == 0
+
+
+def test_many_repeated_lines_in_one_text(spark):
+    """Linear in the lines of a text."""
+    import time
+
+    line = sentence(3, 8)
+    docs = docs_of(spark, [(1, "\n".join([line] * 64_000 + ["the end"]), None, None)])
+    at = time.time()
+    assert [r["text"] for r in line_dedup.remove_lines(docs).collect()] == [line + "\nthe end"]
+    assert time.time() - at < 30
+
+
 def test_lines_of_scripts_without_spaces(spark):
     han = "我们在春天的早晨沿着河边散步，看见许多花开了。" * 4
     thai = "ภาษาไทยเขียนโดยไม่เว้นวรรคระหว่างคำ"

@@ -12,9 +12,16 @@ take part; shorter ones, and lines without words, are always kept.
    blocks.  Only different SimHashes are joined; they travel packed, many to a row, and
    a bucket gives a spanning forest of its near pairs (a bucket of up to 16 its pairs).
    Buckets and parts too large for a task are dealt again as pairs of blocks.
-3. Inside the components of that, near pairs are verified: edit similarity of the
-   normal forms, 1 - distance / length of the longer, of at least ``percent``.
-4. Components of the verified links are the groups; with equal lines they make a
+3. A changed word moves most SimHashes of a line of usual length by far more bits, so
+   lines also meet by a pigeonhole on their words (``word_keys``): two lines are
+   candidates if they agree in all but one word (under ``SHORT`` words), in a half,
+   or in two neighbouring fifths (the last and the first are neighbours, too).  So
+   any one word replaced, put in or left out is found, and so are replaced words in up
+   to two fifths of a line.
+4. Inside the components of step 2 and the buckets of step 3, candidates are verified: edit
+   similarity of the normal forms, 1 - distance / length of the longer, of at least
+   ``percent``.  Buckets of the same lines are one; large ones are dealt as pairs of blocks.
+5. Components of the verified links are the groups; with equal lines they make a
    class, and the first line of a class (smallest doc_id, then place) is kept.
 
 Edge cases: a null text has no lines and stays null; a null id's lines take part in
@@ -33,12 +40,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import broadcast_if_counted, free_name, written
 from tidewater.llm.graph import Forest, components, in_blocks, per_block_pair
-from tidewater.llm.hashing import U, combine, lower_ascii, mix, run_hashes, runs, slices, text_bytes
+from tidewater.llm.hashing import _P, _P_INV, U, _power_table, combine, lower_ascii, mix, run_hashes, runs, slices, text_bytes
 
 MIN_WORDS = 5
 MAX_BITS = 3
@@ -53,6 +61,14 @@ BUCKET_BLOCK = 1024
 # Buckets of up to this many rows are compared all at once.
 SMALL = 16
 GROUP_BLOCK = 128
+# Lines of fewer words meet by all words but one, longer ones by halves and fifths.
+SHORT = 10
+# Lines of a task's packed rows of word keys; keys of a part on average, and at most.
+PACK_LINES = 100_000
+PART_KEYS = 500_000
+PART_KEYS_MOST = 8_000_000
+# Lines to fetch are broadcast up to this many: rows of an id, a place and two hashes.
+FEW_LINES = 500_000
 
 # Thai, Lao, Tibetan, Myanmar, Khmer, kana, bopomofo, Han, and Yi: first, last.
 NO_SPACES = (
@@ -106,8 +122,47 @@ def word_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return runs(word, np.concatenate(cuts))
 
 
+def word_keys(words: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pigeonhole keys of runs of words (hashes): the run's number and the key, by run.
+
+    Under ``SHORT`` words: the run, and the run without each of its words.  From one
+    word less: the first and the last half, of both sizes if the words are odd (so runs that
+    differ by a word put in share one).  From ``SHORT``: the five pairs of neighbouring
+    fifths in a ring, with the number of words; two changed fifths leave a pair.
+    """
+    n = len(words)
+    sums = np.zeros(n + 1, U)
+    powers, inverse = _power_table(_P, n + 1), _power_table(_P_INV, n + 1)
+    with np.errstate(over="ignore"):
+        np.cumsum(mix(words, 51) * powers[:n], out=sums[1:])
+
+        def span(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+            return (sums[end] - sums[start]) * inverse[start]
+
+        last = first + counts
+        short = np.flatnonzero(counts < SHORT)
+        found = [(short, mix(span(first[short], last[short]), 60))]
+        for i in range(SHORT - 1):
+            own = short[counts[short] > i]
+            at = first[own] + i
+            found.append((own, mix(span(first[own], at) + powers[i] * span(at + 1, last[own]), 60)))
+        for odd in (0, 1):
+            own = np.flatnonzero((counts >= SHORT - 1) & (counts % 2 >= odd))
+            half = (counts[own] + odd) // 2
+            found.append((own, mix(span(first[own], first[own] + half), 61)))
+            found.append((own, mix(span(last[own] - half, last[own]), 62)))
+        own = np.flatnonzero(counts >= SHORT)
+        start, size = first[own], counts[own]
+        fifths = [span(start + i * size // 5, start + (i + 1) * size // 5) for i in range(5)]
+        for i in range(5):
+            found.append((own, combine([size.astype(U), fifths[i], fifths[(i + 1) % 5]], 64 + i)))
+    own, keys = (np.concatenate(v) for v in zip(*found, strict=True))
+    order = np.argsort(own, kind="stable")
+    return own[order], keys[order]
+
+
 def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-    """doc_id, place, two hashes, SimHash of the lines that take part."""
+    """doc_id, place, two hashes, SimHash, packed word keys of the lines that take part."""
     data, offsets = text_bytes(batch.column(1))
     if not len(data):
         return None
@@ -130,6 +185,10 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         h2 = np.add.reduceat(mix(hashes ^ mix(place_in_line.astype(U), 22), 4), first)
     folded = np.where((data >= 49) & (data <= 57), np.uint8(48), data)
     sims = simhash(run_hashes(folded, starts, ends), first, counts)
+    key_line, keys = word_keys(hashes, first[big], counts[big])
+    key_cuts = np.searchsorted(key_line, np.arange(int(big.sum()) + 1)) * 8
+    packed = pa.Array.from_buffers(
+        pa.binary(), len(key_cuts) - 1, [None, pa.py_buffer(key_cuts.astype(np.int32)), pa.py_buffer(keys)])
     lines = of_line[first][big]
     doc = np.searchsorted(offsets, line_starts[lines], side="right") - 1
     # Place of a line in its text: line feeds before it.
@@ -137,8 +196,8 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     place = feeds[line_starts[lines]] - feeds[offsets[doc]]
     return pa.RecordBatch.from_arrays(
         [batch.column(0).take(pa.array(doc)), pa.array(place, pa.int32()), pa.array(h1[big].view(np.int64)),
-         pa.array(h2[big].view(np.int64)), pa.array(sims[big].view(np.int64))],
-        names=["doc_id", "place", "h1", "h2", "sim"])
+         pa.array(h2[big].view(np.int64)), pa.array(sims[big].view(np.int64)), packed],
+        names=["doc_id", "place", "h1", "h2", "sim", "keys"])
 
 
 # A byte's bits as eight bytes of 0 or 1.
@@ -315,9 +374,98 @@ def near_work(table: pa.Table) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def edit_distance(a: str, b: str) -> int:
+def _packed_keys(parts: int):
+    """(h1, keys) of lines to rows of a part: 32 bits of the different keys (with the part they
+    tell nearly all apart, and what meets by chance is verified), and their lines."""
+    def pack(h1: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+        h1, keys = _distinct(keys, h1)[::-1]
+        part = mix(keys, 32) % U(parts)
+        order = np.argsort(part, kind="stable")
+        part, keys, h1 = part[order], keys[order].astype(np.uint32), h1[order]
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        spans = list(zip(cuts, cuts[1:], strict=False))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[cuts[:-1]].astype(np.int64)), pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
+             pa.array([h1[a:b].tobytes() for a, b in spans], pa.binary())], names=["part", "keys", "lines"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = pc.binary_length(batch.column(1)).to_numpy() // 8
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), U)
+            held.append((np.repeat(batch.column(0).to_numpy().view(U), sizes), keys))
+            n += batch.num_rows
+            if n >= PACK_LINES:
+                yield pack(*(np.concatenate(v) for v in zip(*held, strict=True)))
+                held, n = [], 0
+        if n:
+            yield pack(*(np.concatenate(v) for v in zip(*held, strict=True)))
+
+    return run
+
+
+def _distinct(keys: np.ndarray, h1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different (key, line), sorted."""
+    order = np.lexsort((h1, keys))
+    keys, h1 = keys[order], h1[order]
+    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (h1[1:] != h1[:-1])))
+    return keys[new], h1[new]
+
+
+def shared_in_part(part: int, keys: np.ndarray, h1: np.ndarray, whole: bool) -> pa.RecordBatch:
+    """(bucket, h1) of the lines that share a key.  A whole part's buckets are named by their
+    lines, so that those of the same lines are one; in a piece of a part, every row is given."""
+    keys, h1 = _distinct(keys, h1)
+    if whole:
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        counts = np.diff(np.append(first, len(keys)))
+        with np.errstate(over="ignore"):
+            names = np.repeat(mix(np.add.reduceat(mix(h1, 33), first), 34), counts)
+        several = np.repeat(counts > 1, counts)
+        names, h1 = names[several], h1[several]
+    else:
+        names = combine([np.full(len(keys), part, U), keys.astype(U)], 35)
+    return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(h1.view(np.int64))], names=["bucket", "h1"])
+
+
+def word_buckets(lines: DataFrame, n: int, part_keys: int = PART_KEYS, most: int = PART_KEYS_MOST) -> DataFrame:
+    """(bucket, h1): the lines (h1, keys), about ``n`` different ones, that share a word key.
+
+    A part that turns out larger than ``most`` is passed on in pieces, with every row; buckets of
+    one line among these are for the reader to leave out.
+    """
+    parts = max(1, -(-n * 8 // part_keys))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held, over, last = [], 0, False, None
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if held:
+                yield shared_in_part(last, *(np.concatenate(v) for v in zip(*held, strict=True)), not over)
+
+        for batch in batches:
+            for part, keys, h1 in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if part != last:
+                    yield from finish()
+                    held, n_held, over, last = [], 0, False, part
+                held.append((np.frombuffer(keys, np.uint32), np.frombuffer(h1, U)))
+                n_held += len(held[-1][0])
+                if n_held > most:
+                    over = True
+                    yield from finish()
+                    held, n_held = [], 0
+        yield from finish()
+
+    dealt = lines.select("h1", "keys").mapInArrow(_packed_keys(parts), "part long, keys binary, lines binary")
+    found = dealt.repartition("part").sortWithinPartitions("part").mapInArrow(work, "bucket long, h1 long")
+    return written(found.distinct(), "word-buckets")
+
+
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
     """Levenshtein distance by bit-parallel columns (Myers, Hyyro), without the
-    common start and end."""
+    common start and end; some number above ``most`` as soon as it is above."""
     if len(a) > len(b):
         a, b = b, a
     at, end = 0, len(a)
@@ -335,6 +483,8 @@ def edit_distance(a: str, b: str) -> int:
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | (1 << i)
     plus, minus, score = full, 0, n
+    # The score falls by at most one a column.
+    above = (2 * len(b) if most is None else most) + len(b)
     for c in b:
         eq = places.get(c, 0)
         zero = (((eq & plus) + plus) ^ plus) | eq | minus
@@ -348,6 +498,9 @@ def edit_distance(a: str, b: str) -> int:
         down = (down << 1) & full
         plus = down | (full & ~(zero | up))
         minus = up & zero
+        above -= 1
+        if score > above:
+            break
     return score
 
 
@@ -355,17 +508,19 @@ def similar(a: str, b: str, percent: int) -> bool:
     """Whether the edit similarity of two strings is at least ``percent``."""
     longest = max(len(a), len(b))
     most = longest * (100 - percent) // 100
-    return abs(len(a) - len(b)) <= most and edit_distance(a, b) <= most
+    return abs(len(a) - len(b)) <= most and edit_distance(a, b, most) <= most
 
 
 def verify_work(percent: int):
-    """Of a cluster's block pair: a spanning forest of the verified near pairs."""
+    """Of a block pair of a cluster of SimHashes (``by_sim``) or of a bucket of words: a spanning
+    forest of the verified candidates."""
     def work(table: pa.Table) -> pa.RecordBatch | None:
         sims = table.column("sim").to_numpy().view(U)
         forms = [normal_form(t or "") for t in table.column("line").to_pylist()]
+        bits = MAX_BITS if table.column("by_sim")[0].as_py() else 64
         forest = Forest(len(forms))
         for x in range(len(forms) - 1):
-            for y in (np.flatnonzero(np.bitwise_count(sims[x + 1:] ^ sims[x]) <= MAX_BITS) + x + 1).tolist():
+            for y in (np.flatnonzero(np.bitwise_count(sims[x + 1:] ^ sims[x]) <= bits) + x + 1).tolist():
                 if forest.root(x) != forest.root(y) and similar(forms[x], forms[y], percent):
                     forest.join(x, y)
         if not forest.links:
@@ -381,32 +536,39 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, places): places (from 0) of each document's lines to remove."""
     kind = dict(docs.dtypes)["doc_id"]
     texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    lines = written(texts.mapInArrow(_lines, f"doc_id {kind}, place int, h1 long, h2 long, sim long"), "lines")
+    lines = written(texts.mapInArrow(_lines, f"doc_id {kind}, place int, h1 long, h2 long, sim long, keys binary"), "lines")
     forms = written(lines.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "place")).alias("first"), F.min("sim").alias("sim"), F.count(F.lit(1)).alias("n")), "line-forms")
 
     # Components of near SimHashes; a SimHash of several forms is one as well.
     sims = forms.groupBy("sim").agg(F.count(F.lit(1)).alias("n_forms"))
-    near = near_sims(sims, forms.count())
+    n_forms = forms.count()
+    near = near_sims(sims, n_forms)
     clusters = components(near)
     grouped = sims.join(clusters, F.col("sim") == F.col("node"), "left").where(
         F.col("component").isNotNull() | (F.col("n_forms") > 1)).select(
         F.col("sim").alias("near_sim"), F.coalesce("component", "sim").alias("cluster"))
 
-    # Texts of the forms in clusters, from their first places.
+    # Texts of the forms in clusters or buckets, from their first places.
+    buckets = word_buckets(lines, n_forms)
     node = F.concat(F.hex("h1"), F.lit("-"), F.hex("h2"))
+    in_cluster = forms.join(broadcast_if_counted(grouped), F.col("sim") == F.col("near_sim")).select("h1", "h2")
+    in_bucket = forms.join(buckets.select("h1").distinct(), "h1", "left_semi").select("h1", "h2")
     wanted = written(
-        forms.join(broadcast_if_counted(grouped), F.col("sim") == F.col("near_sim")).select(
-            node.alias("node"), "sim", "cluster", F.col("first.doc_id").alias("at_id"), "first.place"), "near-lines")
-    by_doc = broadcast_if_counted(wanted.groupBy("at_id").agg(F.collect_list(F.struct("node", "sim", "cluster", "place")).alias("wanted")))
-    found = (
-        texts.join(by_doc, F.col("doc_id") == F.col("at_id"))
-        .select(F.split("text", "\n").alias("parts"), F.explode("wanted").alias("w"))
-        .select("w.node", "w.sim", "w.cluster", F.get("parts", F.col("w.place")).alias("line"))
-        .dropDuplicates(["node"])
-    )
+        forms.join(in_cluster.unionByName(in_bucket).distinct(), ["h1", "h2"]).select(
+            "h1", "h2", "sim", F.col("first.doc_id").alias("at_id"), F.col("first.place").alias("at_place")), "near-lines")
+    found = written(
+        texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+        .join(broadcast_if_counted(wanted, FEW_LINES), (F.col("doc_id") == F.col("at_id")) & (F.col("place") == F.col("at_place")))
+        .select("h1", node.alias("node"), "sim", "line")
+        .dropDuplicates(["node"]), "near-texts")
+    together = found.join(grouped, F.col("sim") == F.col("near_sim")).select(
+        "node", "sim", "line", F.lit(True).alias("by_sim"), F.col("cluster").alias("near"))
+    together = together.unionByName(found.join(buckets, "h1").select(
+        "node", "sim", "line", F.lit(False).alias("by_sim"), F.col("bucket").alias("near")))
+    together = together.withColumn("near", F.struct("by_sim", "near"))
     links = per_block_pair(
-        in_blocks(found, "cluster", "node", GROUP_BLOCK).select("node", "sim", "line", "_group", "_i", "_j"),
+        in_blocks(together, "near", "node", GROUP_BLOCK).select("node", "sim", "line", "by_sim", "_group", "_i", "_j"),
         verify_work(percent), "a string, b string")
     linked = components(links)
 
@@ -423,16 +585,21 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def remove_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with repeated lines taken out of the texts, and two columns of counts at the
     end, ``_lines`` and ``_removed`` (with an underscore behind a name that ``docs`` has already)."""
-    ident, places, n_lines, n_removed = (free_name(docs, c) for c in ("_id", "places", "_lines", "_removed"))
+    ident, places, parts, n_lines, n_removed = (free_name(docs, c) for c in ("_id", "places", "_parts", "_lines", "_removed"))
     gone = written(repeated_lines(docs, percent), "repeated-lines").select(
         F.col("doc_id").alias(ident), F.col("places").alias(places))
     # One plan at every size: most inputs have too many removals to broadcast.
     joined = docs.join(gone.hint("merge"), F.col("doc_id") == F.col(ident), "left")
-    parts = F.split("text", "\n")
-    left = F.filter(parts, lambda x, i: ~F.array_contains(F.col(places), i))
+    joined = joined.withColumn(parts, F.split("text", "\n"))
+    # What is left is the lines between neighbouring places: linear in the lines, as ``parts``, read twice, is
+    # a column of its own (rows that share an id may have places past their end).
+    cuts = F.filter(places, lambda p: p < F.size(parts))
+    left = F.flatten(F.zip_with(
+        F.concat(F.array(F.lit(-1)), cuts), F.concat(cuts, F.array(F.size(parts))),
+        lambda after, until: F.slice(parts, after + 2, until - after - 1)))
     return joined.withColumn(n_lines, F.coalesce(F.size(parts), F.lit(0)).cast("long")).withColumn(
         "text", F.when(F.col(places).isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))).withColumn(
-        n_removed, F.coalesce(F.size(places), F.lit(0)).cast("long")).drop(ident, places)
+        n_removed, F.coalesce(F.size(places), F.lit(0)).cast("long")).drop(ident, places, parts)
 
 
 def digest(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
