@@ -31,6 +31,15 @@ def test_cdc_filter(spark):
     assert {r["value"] for r in out} == {'{"id":"1"}'}
 
 
+def test_order_lines(spark):
+    values = [
+        (1, '{"id":"7","order_id":"3","sku_name":"tea","sku_id":"9","order_price":"12.50","img_url":"u","sku_num":"2"}'),
+        (2, '{"id":"8","order_id":"3","order_price":"free","sku_num":"","other":"x"}'), (3, "no json"), (4, None)]
+    out = [tuple(r) for r in ingest.decode_order_lines(spark.createDataFrame(values, "seq long, value string")).orderBy("seq").collect()]
+    assert out == [
+        (1, "7", "3", "tea", "9", 12.5, "u", 2), (2, "8", "3", None, None, None, None, None), (3, *[None] * 7), (4, *[None] * 7)]
+
+
 def test_latest_per_key(spark):
     df = spark.createDataFrame([("1", "a", 10), ("1", "b", 15), ("2", "c", 1)], "id string, v string, seq long")
     out = {r["id"]: r["v"] for r in ingest.latest_per_key(df, ["id"], "seq").collect()}

@@ -31,6 +31,8 @@ CDC_ROUTES = (
 # decoding (a DOUBLE field in the JSON schema would turn "12.5" into null).
 ORDER_WIRE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in (
     "id", "user_id", "total_amount", "order_status", "consignee_tel", "create_time")])
+ORDER_LINE_WIRE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in (
+    "id", "order_id", "sku_name", "sku_id", "order_price", "img_url", "sku_num")])
 USER_WIRE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in (
     "id", "login_name", "user_level", "gender")])
 
@@ -97,6 +99,17 @@ def decode_orders(values: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def decode_order_lines(values: DataFrame, value_col: str = "value") -> DataFrame:
+    """Order-line JSON (all strings) -> typed order lines; a field that is missing, or a price
+    or quantity that is no number, is null."""
+    rec = F.from_json(F.col(value_col), ORDER_LINE_WIRE_SCHEMA)
+    keep = [c for c in values.columns if c != value_col]
+    return values.select(*keep, rec.alias("_r")).select(
+        *keep, "_r.id", "_r.order_id", "_r.sku_name", "_r.sku_id",
+        F.col("_r.order_price").try_cast("double").alias("order_price"), "_r.img_url",
+        F.col("_r.sku_num").try_cast("long").alias("sku_num"))
+
+
 def decode_users(values: DataFrame, value_col: str = "value") -> DataFrame:
     rec = F.from_json(F.col(value_col), USER_WIRE_SCHEMA)
     keep = [c for c in values.columns if c != value_col]

@@ -192,6 +192,18 @@ def q_json_decode_cast(spark, sf_dir):
     return ingest.decode_orders(orders)
 
 
+@register("json_decode_lines", with_views("v_cdc_routed") + """
+    select seq, json_extract_string(value, '$.id') as id, json_extract_string(value, '$.order_id') as order_id,
+           json_extract_string(value, '$.sku_name') as sku_name, json_extract_string(value, '$.sku_id') as sku_id,
+           try_cast(json_extract_string(value, '$.order_price') as double) as order_price,
+           json_extract_string(value, '$.img_url') as img_url,
+           try_cast(json_extract_string(value, '$.sku_num') as bigint) as sku_num
+    from v_cdc_routed where topic = 'GMALL_ORDER_DETAIL'""")
+def q_json_decode_lines(spark, sf_dir):
+    routed = ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir)))
+    return ingest.decode_order_lines(routed.where(F.col("topic") == ingest.TOPIC_ORDER_DETAIL).select("seq", "value"))
+
+
 def _user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir)))
     users = ingest.decode_users(routed.where(F.col("topic") == ingest.TOPIC_USER_INFO).select("seq", "value"))
