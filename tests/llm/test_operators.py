@@ -493,14 +493,14 @@ def test_word_buckets_in_pieces(spark):
 
 
 def test_many_repeated_lines_in_one_text(spark):
-    """Linear in the lines of a text."""
+    """Linear in the lines of a text (every pair of a line and a place would take minutes)."""
     import time
 
     line = sentence(3, 8)
-    docs = docs_of(spark, [(1, "\n".join([line] * 64_000 + ["the end"]), None, None)])
+    docs = docs_of(spark, [(1, "\n".join([line] * 250_000 + ["the end"]), None, None)])
     at = time.time()
     assert [r["text"] for r in line_dedup.remove_lines(docs).collect()] == [line + "\nthe end"]
-    assert time.time() - at < 30
+    assert time.time() - at < 150
 
 
 def test_lines_of_scripts_without_spaces(spark):
