@@ -40,6 +40,23 @@ def test_order_lines(spark):
         (1, "7", "3", "tea", "9", 12.5, "u", 2), (2, "8", "3", None, None, None, None, None), (3, *[None] * 7), (4, *[None] * 7)]
 
 
+def test_orders_with_all_fields(spark):
+    names = [f.name for f in ingest.ORDER_WIRE_SCHEMA]
+    assert len(names) == 18
+    full = json.dumps({n: "12.50" if n == "total_amount" else f"{n} text" for n in names} | {"other": "x"})
+    values = [(1, full), (2, '{"id":"7","total_amount":"much"}'), (3, "no json"), (4, None)]
+    out = ingest.decode_orders(spark.createDataFrame(values, "seq long, value string")).orderBy("seq").collect()
+    assert out[0].asDict() == {"seq": 1} | {n: 12.5 if n == "total_amount" else f"{n} text" for n in names}
+    assert out[1].asDict() == {"seq": 2} | dict.fromkeys(names) | {"id": "7"}
+    assert out[2].asDict() == {"seq": 3} | dict.fromkeys(names) and out[3].asDict() == {"seq": 4} | dict.fromkeys(names)
+
+
+def test_birthday_text_of_users(spark):
+    values = [(i, json.dumps({"id": "1", "birthday": b})) for i, b in enumerate(["1970-02-28", "1971-02-30", "unknown", "", None])]
+    out = ingest.decode_users(spark.createDataFrame(values, "seq long, value string")).orderBy("seq").collect()
+    assert [str(r["birthday"]) for r in out] == ["1970-02-28", "None", "None", "None", "None"]
+
+
 def test_latest_per_key(spark):
     df = spark.createDataFrame([("1", "a", 10), ("1", "b", 15), ("2", "c", 1)], "id string, v string, seq long")
     out = {r["id"]: r["v"] for r in ingest.latest_per_key(df, ["id"], "seq").collect()}

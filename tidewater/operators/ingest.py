@@ -30,11 +30,13 @@ CDC_ROUTES = (
 # On the change-record wire every value is a string; numbers are cast after
 # decoding (a DOUBLE field in the JSON schema would turn "12.5" into null).
 ORDER_WIRE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in (
-    "id", "user_id", "total_amount", "order_status", "consignee_tel", "create_time")])
+    "id", "province_id", "consignee", "order_comment", "consignee_tel", "order_status", "payment_way", "user_id", "img_url",
+    "total_amount", "expire_time", "delivery_address", "create_time", "operate_time", "tracking_no", "parent_order_id",
+    "out_trade_no", "trade_body")])
 ORDER_LINE_WIRE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in (
     "id", "order_id", "sku_name", "sku_id", "order_price", "img_url", "sku_num")])
 USER_WIRE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in (
-    "id", "login_name", "user_level", "gender")])
+    "id", "login_name", "user_level", "birthday", "gender")])
 
 
 def route_logs(raw: DataFrame, line_col: str = "line", received_col: str = "received_ms") -> DataFrame:
@@ -84,19 +86,13 @@ def route_changes(changes: DataFrame) -> DataFrame:
 
 
 def decode_orders(values: DataFrame, value_col: str = "value") -> DataFrame:
-    """Order JSON (all strings) -> typed order rows."""
+    """Order JSON (all strings) -> typed order rows with all fields; a field that is missing, or an
+    amount that is no number, is null."""
     rec = F.from_json(F.col(value_col), ORDER_WIRE_SCHEMA)
-    return values.select(
-        *[c for c in values.columns if c != value_col], rec.alias("_r")
-    ).select(
-        *[c for c in values.columns if c != value_col],
-        F.col("_r.id").alias("id"),
-        F.col("_r.user_id").alias("user_id"),
-        F.col("_r.total_amount").cast("double").alias("total_amount"),
-        F.col("_r.order_status").alias("order_status"),
-        F.col("_r.consignee_tel").alias("consignee_tel"),
-        F.col("_r.create_time").alias("create_time"),
-    )
+    keep = [c for c in values.columns if c != value_col]
+    typed = {"total_amount": F.col("_r.total_amount").try_cast("double").alias("total_amount")}
+    return values.select(*keep, rec.alias("_r")).select(
+        *keep, *[typed.get(f.name, F.col(f"_r.{f.name}")) for f in ORDER_WIRE_SCHEMA])
 
 
 def decode_order_lines(values: DataFrame, value_col: str = "value") -> DataFrame:
@@ -111,9 +107,12 @@ def decode_order_lines(values: DataFrame, value_col: str = "value") -> DataFrame
 
 
 def decode_users(values: DataFrame, value_col: str = "value") -> DataFrame:
+    """User JSON (all strings) -> user rows; a birthday that is no ``yyyy-MM-dd`` day is null."""
     rec = F.from_json(F.col(value_col), USER_WIRE_SCHEMA)
     keep = [c for c in values.columns if c != value_col]
-    return values.select(*keep, rec.alias("_r")).select(*keep, "_r.*")
+    return values.select(*keep, rec.alias("_r")).select(
+        *keep, "_r.id", "_r.login_name", "_r.user_level",
+        F.try_to_timestamp("_r.birthday", F.lit("yyyy-MM-dd")).cast("date").alias("birthday"), "_r.gender")
 
 
 def latest_per_key(df: DataFrame, keys, version: str, keep: str = "max") -> DataFrame:

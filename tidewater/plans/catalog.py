@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions import day_after, day_before, day_bounds_ts
+from tidewater.functions import day_after, day_before, day_bounds_ts, script_keyword_tokens, script_tokens
 from tidewater.operators import alerts as alert_ops
 from tidewater.operators import dau as dau_ops
 from tidewater.operators import gmv as gmv_ops
@@ -30,6 +30,7 @@ from tidewater.sinks import files as file_sinks
 from tidewater.sinks import postings
 from tidewater.sinks.versioned import append_versions, compact, read_latest
 from tidewater.sources import arrivals as feeds
+from tidewater.sources import change_feed
 from tidewater.sources import fixtures as fx
 from tidewater.sources.tables import Tables
 from tidewater.streaming import caches, dashboard, outer_join, stage_counts
@@ -179,13 +180,17 @@ def q_cdc_route(spark, sf_dir):
     return ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir))).select("table", "seq", "topic", "value")
 
 
-@register("json_decode_cast", with_views("v_cdc_routed") + """
-    select seq, json_extract_string(value, '$.id') as id, json_extract_string(value, '$.user_id') as user_id,
-           cast(json_extract_string(value, '$.total_amount') as double) as total_amount,
-           json_extract_string(value, '$.order_status') as order_status,
-           json_extract_string(value, '$.consignee_tel') as consignee_tel,
-           json_extract_string(value, '$.create_time') as create_time
-    from v_cdc_routed where topic = 'GMALL_ORDER_INFO'""")
+def _order_fields_sql() -> str:
+    def field(name: str) -> str:
+        text = f"json_extract_string(value, '$.{name}')"
+        return f"{f'try_cast({text} as double)' if name == 'total_amount' else text} as {name}"
+
+    return ", ".join(field(f.name) for f in ingest.ORDER_WIRE_SCHEMA)
+
+
+@register("json_decode_cast", with_views("v_cdc_routed") + f"""
+    select seq, {_order_fields_sql()}
+    from v_cdc_routed where topic = '{ingest.TOPIC_ORDER_INFO}'""")
 def q_json_decode_cast(spark, sf_dir):
     routed = ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir)))
     orders = routed.where(F.col("topic") == ingest.TOPIC_ORDER_INFO).select("seq", "value")
@@ -204,10 +209,22 @@ def q_json_decode_lines(spark, sf_dir):
     return ingest.decode_order_lines(routed.where(F.col("topic") == ingest.TOPIC_ORDER_DETAIL).select("seq", "value"))
 
 
+@register("stream_cdc_feed", REGISTRY["cdc_route"].sql)
+def q_stream_cdc_feed(spark, sf_dir):
+    """The feed grows while its reader is stopped; the reader goes on from its offset."""
+    changes = fx.v_cdc(Tables(spark, sf_dir))
+    feed = f"{scratch_path(spark, 'change-feed')}/feed"
+    run = stream_jobs.StreamRun.fresh(spark, "stream-cdc-feed")
+    for part in range(2):
+        change_feed.append_changes(changes.where(F.pmod(F.xxhash64("table", "seq"), F.lit(2)) == part), feed)
+        stream_jobs.run_cdc_feed(spark, feed, run=run, trigger=_AVAILABLE_NOW)
+    return stream_jobs.read_routed(spark, run).select("table", "seq", "topic", "value")
+
+
 def _user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = ingest.route_changes(fx.v_cdc(Tables(spark, sf_dir)))
     users = ingest.decode_users(routed.where(F.col("topic") == ingest.TOPIC_USER_INFO).select("seq", "value"))
-    return ingest.latest_per_key(users, ["id"], "seq").select("id", "login_name", "user_level", "gender", "seq")
+    return ingest.latest_per_key(users, ["id"], "seq").select("id", "login_name", "user_level", "birthday", "gender", "seq")
 
 
 @register("user_dim_latest", with_views("v_user_latest") + "select * from v_user_latest")
@@ -605,6 +622,38 @@ def q_sale_search_postings(spark, sf_dir):
     return found.select("doc_id", F.round("score", 6).alias("score"))
 
 
+HAN_KEYWORD = "红色戒"
+
+
+@register("sku_search_pairs", with_views("v_product_han") + f"""
+    , runs as (select sku_id, unnest(regexp_extract_all(sku_name, '\\p{{Han}}+|[a-z0-9]+')) as r from v_product_han)
+    , toks as (
+        select sku_id, r as term from runs where not regexp_matches(r, '\\p{{Han}}')
+        union all select sku_id, unnest(list_transform(range(1, length(r) + 1), lambda i: substr(r, i, 1)))
+        from runs where regexp_matches(r, '\\p{{Han}}')
+        union all select sku_id, unnest(list_transform(range(1, length(r)), lambda i: substr(r, i, 2)))
+        from runs where regexp_matches(r, '\\p{{Han}}'))
+    , lengths as (select sku_id, count(*) as dl from toks group by sku_id)
+    , whole as (select count(*) as n, avg(dl) as mean from lengths)
+    , q as (select unnest(list_transform(range(1, length('{HAN_KEYWORD}')), lambda i: substr('{HAN_KEYWORD}', i, 2))) as term)
+    , tfs as (select sku_id, term, count(*) as tf from toks where term in (select term from q) group by sku_id, term)
+    , dfs as (select term, count(*) as df from tfs group by term)
+    select sku_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {search_ops.BM25_K1 + 1.0}
+               / (tf + {search_ops.BM25_K1} * ({1.0 - search_ops.BM25_B} + {search_ops.BM25_B} * dl / mean))), 6) as score
+    from tfs join dfs using (term) join lengths using (sku_id), whole
+    group by sku_id having count(*) = (select count(*) from q)""")
+def q_sku_search_pairs(spark, sf_dir):
+    """Products by a keyword in a script without spaces, from an inverted index of characters and pairs."""
+    names = fx.v_product_han(Tables(spark, sf_dir))
+    path = scratch_path(spark, "pair-postings")
+    postings.append_documents(names.select(F.col("sku_id").alias("doc_id"), F.col("sku_name").alias("text"), F.lit(0).alias("version")),
+                              path, 0, analyze=script_tokens)
+    # The keyword's tokens by the same functions as the texts': one row.
+    terms = spark.range(1).select(script_keyword_tokens(F.lit(HAN_KEYWORD))).first()[0]
+    found = postings.search(spark, path, terms, search_ops.BM25_K1, search_ops.BM25_B)
+    return found.select(F.col("doc_id").alias("sku_id"), F.round("score", 6).alias("score"))
+
+
 @register("search_answer", with_views("v_sale_tokens") + _bm25_sql(SEARCH_DT, SEARCH_KEYWORD) + f"""
     select 'total' as part, 1 as pos, null as name, cast(count(*) as double) as value from hits
     union all
@@ -835,6 +884,15 @@ def q_stream_dau_dashboard(spark, sf_dir):
     return dashboard.read_dau_dashboard(spark, run)
 
 
+@register("stream_new_devices", REGISTRY["new_devices_by_day"].sql)
+def q_stream_new_devices(spark, sf_dir):
+    events = Tables(spark, sf_dir).events
+    slices = [events.where(F.col("event_id") % DASHBOARD_SLICES == i) for i in range(DASHBOARD_SLICES)]
+    folder = _in_slices(spark, sf_dir, "events", slices)
+    _, run = dashboard.run_new_devices(spark, sf_dir, trigger=_AVAILABLE_NOW, max_files_per_trigger=1, stream_dir=folder)
+    return dashboard.read_new_devices(spark, run)
+
+
 @register("stream_gmv_dashboard", with_views("v_order_enriched") + """
     select create_date, create_hour, count(*) as orders, round(sum(total_amount), 2) as sum_amount
     from v_order_enriched group by create_date, create_hour""")

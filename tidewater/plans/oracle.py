@@ -6,6 +6,8 @@ Each oracle query is ``WITH <views it needs> <select>``; the views mirror
 
 from __future__ import annotations
 
+from tidewater.sources.fixtures import HAN_WORDS
+
 # Name -> (dependencies, body).  Order of the dict is a valid definition order.
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_log": ((), """
@@ -54,6 +56,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                l_shipdate, l_partkey, l_suppkey, l_quantity, l_linenumber,
                o.create_ts + to_seconds((l_orderkey * 31 + l_linenumber * 97) % 400 - 200) as arrival_ts
         from lineitem join part on l_partkey = p_partkey join v_order o on o.o_orderkey = l_orderkey"""),
+    "v_product_han": ((), f"""
+        select cast(p_partkey as varchar) as sku_id,
+               array_to_string(list_transform(string_split(p_name, ' '),
+                   lambda w: case w {' '.join(f"when '{k}' then '{v}'" for k, v in HAN_WORDS.items())} else w end), '') as sku_name
+        from part"""),
     "v_user": ((), """
         select cast(c_custkey as varchar) as id,
                case c_custkey % 3 when 0 then 'F' when 1 then 'M' end as gender,
@@ -81,11 +88,15 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                case when o_orderkey % 17 = 0 then 'TRANSACTIONEND' else 'ROWDATA' end as entry_type,
                case o_orderkey % 5 when 3 then 'UPDATE' when 4 then 'DELETE' else 'INSERT' end as event_type,
                o_orderkey * 10 as seq,
-               map(['id', 'user_id', 'total_amount', 'order_status', 'consignee_tel', 'create_time'],
+               map(['id', 'user_id', 'total_amount', 'order_status', 'consignee_tel', 'create_time',
+                    'consignee', 'payment_way', 'out_trade_no', 'trade_body', 'expire_time'],
                    [cast(o_orderkey as varchar), cast(o_custkey as varchar),
                     cast(cast(o_totalprice as decimal(18, 2)) as varchar), o_orderstatus,
                     '138' || lpad(cast(o_custkey as varchar), 8, '0'),
-                    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')]) as after
+                    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'),
+                    'Customer ' || cast(o_custkey as varchar), cast(o_custkey % 3 as varchar),
+                    'T' || cast(o_orderkey as varchar), o_orderpriority,
+                    strftime(o_orderdate + interval 1 day, '%Y-%m-%d %H:%M:%S')]) as after
         from orders
         union all
         select 'order_detail', case when (l_orderkey * 8 + l_linenumber) % 17 = 0 then 'TRANSACTIONEND' else 'ROWDATA' end,
@@ -99,16 +110,22 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         union all
         select 'user_info', case when c_custkey % 17 = 0 then 'TRANSACTIONEND' else 'ROWDATA' end, 'INSERT',
                c_custkey * 10,
-               map(['id', 'login_name', 'user_level', 'gender'],
+               map(['id', 'login_name', 'user_level', 'gender', 'birthday'],
                    [cast(c_custkey as varchar), c_name, c_mktsegment,
-                    case c_custkey % 3 when 0 then 'F' when 1 then 'M' end])
+                    case c_custkey % 3 when 0 then 'F' when 1 then 'M' end,
+                    case when c_custkey % 10 <> 0
+                         then strftime(date '1955-01-01' + cast((c_custkey * 37) % 18000 as integer), '%Y-%m-%d')
+                         else 'unknown' end])
         from customer
         union all
         select 'user_info', 'ROWDATA', case when c_custkey % 3 = 2 then 'DELETE' else 'UPDATE' end,
                c_custkey * 10 + 5,
-               map(['id', 'login_name', 'user_level', 'gender'],
+               map(['id', 'login_name', 'user_level', 'gender', 'birthday'],
                    [cast(c_custkey as varchar), c_name, lower(c_mktsegment),
-                    case c_custkey % 3 when 0 then 'F' when 1 then 'M' end])
+                    case c_custkey % 3 when 0 then 'F' when 1 then 'M' end,
+                    case when c_custkey % 10 <> 0
+                         then strftime(date '1955-01-01' + cast((c_custkey * 37) % 18000 as integer), '%Y-%m-%d')
+                         else 'unknown' end])
         from customer where c_custkey % 4 = 1
         union all
         select 'base_province', 'ROWDATA', 'INSERT', n_nationkey * 10,
@@ -126,10 +143,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
           and ((("table" = 'order_info' or "table" = 'order_detail') and event_type = 'INSERT')
                or ("table" = 'user_info' and event_type in ('INSERT', 'UPDATE')))"""),
     "v_user_latest": (("v_cdc_routed",), """
-        select id, login_name, user_level, gender, seq
+        select id, login_name, user_level, birthday, gender, seq
         from (select json_extract_string(value, '$.id') as id,
                      json_extract_string(value, '$.login_name') as login_name,
                      json_extract_string(value, '$.user_level') as user_level,
+                     try_cast(json_extract_string(value, '$.birthday') as date) as birthday,
                      json_extract_string(value, '$.gender') as gender, seq,
                      row_number() over (partition by json_extract_string(value, '$.id') order by seq desc) as rn
               from v_cdc_routed where topic = 'GMALL_USER_INFO')

@@ -16,6 +16,7 @@ statistics, so replays change no answer.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +42,14 @@ def _dealt(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition("bucket", F.pmod(F.hash(key), F.lit(FILES_A_BUCKET)))
 
 
-def append_documents(batch: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS) -> None:
+def append_documents(batch: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS,
+                     analyze: Callable[[str], Column] = token_list) -> None:
     """Index a batch of (doc_id, text, version), one row a document; ``version`` is of any
     type with an order.  A version not newer than the indexed one changes nothing; a null
-    text has no terms; rows without an id are left out."""
+    text has no terms; rows without an id are left out.
+    ``analyze`` gives a text's tokens with repeats."""
     spark = batch.sparkSession
-    words = F.coalesce(token_list("text"), F.array().cast("array<string>"))
+    words = F.coalesce(analyze("text"), F.array().cast("array<string>"))
     new = batch.where(F.col("doc_id").isNotNull()).select(
         "doc_id", "version", words.alias("words"), bucket_of(F.col("doc_id"), buckets).alias("bucket"))
     if _exists(spark, f"{path}/docs"):

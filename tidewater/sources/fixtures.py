@@ -29,6 +29,12 @@ USER_MISS_MOD = 7            # customers with c_custkey % 7 = 0 have no user row
 BIRTHDAY_BASE = "1955-01-01"
 BIRTHDAY_MULT = 37
 BIRTHDAY_SPAN = 18000
+BIRTHDAY_BROKEN_MOD = 10     # customers whose key this divides send no date as their birthday
+# Product names in a script without spaces; words that are not here stay as they are.
+HAN_WORDS = {
+    "red": "红色", "blue": "蓝色", "small": "小号", "large": "大号", "hot": "热", "cold": "冷", "old": "旧", "new": "新",
+    "gear": "齿轮", "ring": "戒指", "plate": "盘子", "anvil": "铁砧", "bolt": "螺栓", "rod": "杆",
+}
 EVID_OF = {"purchase": "coupon", "click": "clickItem", "signup": "addFavor", "error": "addComment"}
 
 
@@ -159,6 +165,13 @@ def v_detail(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     )
 
 
+def v_product_han(t: Tables) -> DataFrame:
+    """Products with a name without spaces (``HAN_WORDS``)."""
+    han = F.create_map(*[F.lit(x) for pair in HAN_WORDS.items() for x in pair])
+    words = F.transform(F.split("p_name", " "), lambda w: F.coalesce(han[w], w))
+    return t.part.select(F.col("p_partkey").cast("string").alias("sku_id"), F.array_join(words, "").alias("sku_name"))
+
+
 def v_user(t: Tables) -> DataFrame:
     """User dimension: gender F/M/null, a birthday, level; some customers missing."""
     c = t.customer.select("c_custkey", "c_mktsegment")
@@ -225,6 +238,11 @@ def v_cdc(t: Tables) -> DataFrame:
             F.lit("order_status"), F.col("o_orderstatus"),
             F.lit("consignee_tel"), F.concat(F.lit("138"), F.lpad(_s("o_custkey"), 8, "0")),
             F.lit("create_time"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+            F.lit("consignee"), F.concat(F.lit("Customer "), _s("o_custkey")),
+            F.lit("payment_way"), _s(F.col("o_custkey") % 3),
+            F.lit("out_trade_no"), F.concat(F.lit("T"), _s(ok)),
+            F.lit("trade_body"), F.col("o_orderpriority"),
+            F.lit("expire_time"), F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss"),
         ).alias("after"),
     )
     li = t.lineitem
@@ -244,11 +262,14 @@ def v_cdc(t: Tables) -> DataFrame:
     )
     c = t.customer
     ck = F.col("c_custkey")
+    born = F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), ((ck * BIRTHDAY_MULT) % BIRTHDAY_SPAN).cast("int"))
+    birthday = F.when(ck % BIRTHDAY_BROKEN_MOD != 0, F.date_format(born, "yyyy-MM-dd")).otherwise("unknown")
     user_after = lambda level: F.create_map(
         F.lit("id"), _s(ck),
         F.lit("login_name"), F.col("c_name"),
         F.lit("user_level"), level,
         F.lit("gender"), F.when(ck % 3 == 0, "F").when(ck % 3 == 1, "M"),
+        F.lit("birthday"), birthday,
     )
     users_insert = c.select(
         F.lit("user_info").alias("table"),

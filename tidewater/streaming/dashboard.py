@@ -1,4 +1,4 @@
-"""Dashboard tables that are kept current: devices a day and hour, order amounts a day and hour.
+"""Dashboard tables that are kept current: devices a day and hour, order amounts a day and hour, new devices a day.
 
 Each micro-batch changes the tables by its difference (:mod:`tidewater.sinks.rollup`), so
 a dashboard that asks every few seconds reads a few rows and nothing is recomputed.  A device
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import dau as dau_ops
 from tidewater.operators import gmv as gmv_ops
 from tidewater.session import prepare_streaming
+from tidewater.sinks.first_seen import FirstSeen
 from tidewater.sinks.rollup import Rollup
 from tidewater.sources import fixtures as fx
 from tidewater.sources.streams import StreamTables
@@ -74,3 +75,21 @@ def run_gmv_dashboard(spark: SparkSession, sf_dir: str, run: StreamRun | None =
 def read_gmv_dashboard(spark: SparkSession, run: StreamRun, date: str | None = None) -> DataFrame:
     where = None if date is None else F.col("create_date") == date
     return gmv_rollup(run).read(spark, where).select("create_date", "create_hour", "orders", F.col("amount").cast("double").alias("sum_amount"))
+
+
+def run_new_devices(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
+                    max_files_per_trigger: int | None = None, stream_dir: str | None = None):
+    """Each device's first day; no state in the stream, so starts may come in any order."""
+    prepare_streaming(spark)
+    run = run or StreamRun.fresh(spark, "stream-new-devices")
+    t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger, stream_dir=stream_dir)
+    starts = dau_ops.with_log_time(fx.v_startup(t)).select("mid", "logdate")
+    table = FirstSeen(run.table)
+    q = _start(spark, _trigger(starts.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(table.apply), trigger))
+    return _finish(q, trigger), run
+
+
+def read_new_devices(spark: SparkSession, run: StreamRun, date: str | None = None) -> DataFrame:
+    out = FirstSeen(run.table).new_by_day(spark)
+    out = out if date is None else out.where(F.col("logdate") == date)
+    return out.select("logdate", F.col("n").alias("new_mid"))

@@ -42,6 +42,7 @@ from tidewater.sinks.generations import GenerationTable
 from tidewater.sinks.upsert import _exists as _table_exists
 from tidewater.sinks.versioned import append_versions, read_latest
 from tidewater.sources import fixtures as fx
+from tidewater.sources.change_feed import change_stream
 from tidewater.sources.streams import StreamTables
 from tidewater.sources.tables import Tables
 
@@ -406,3 +407,29 @@ def run_cdc_router(spark: SparkSession, changes: DataFrame, out_path: str, check
     q = _start(spark, _trigger(routed.writeStream.format("text").partitionBy("topic").option("path", out_path)
                  .option("checkpointLocation", checkpoint), trigger))
     return _finish(q, trigger)
+
+
+ROUTED_SCHEMA = "`table` string, seq long, topic string, value string, batch long"
+
+
+def run_cdc_feed(spark: SparkSession, feed: str, run: StreamRun | None = None, trigger: dict | None = None, after_write=None):
+    """Route the changes of a feed (:mod:`tidewater.sources.change_feed`) into ``batch=n/topic=…`` of the
+    run's table.  A batch that is run again after a failure reads the same entries and replaces
+    its folder, so every entry is there once.  ``after_write`` is called with a batch's number once
+    it is written, before its offsets are committed."""
+    prepare_streaming(spark)
+    run = run or StreamRun.fresh(spark, "stream-cdc-feed")
+    routed = ingest.route_changes(change_stream(spark, feed)).select("table", "seq", "topic", "value")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("topic").parquet(f"{run.table}/batch={int(batch_id)}")
+        if after_write:
+            after_write(int(batch_id))
+
+    q = _start(spark, _trigger(routed.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
+    return _finish(q, trigger), run
+
+
+def read_routed(spark: SparkSession, run: StreamRun, topic: str | None = None) -> DataFrame:
+    rows = spark.read.schema(ROUTED_SCHEMA).parquet(run.table)
+    return rows if topic is None else rows.where(F.col("topic") == topic)
