@@ -4,6 +4,7 @@ columns whose names clash with an operator's own."""
 
 import hashlib
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -101,6 +102,18 @@ def test_iban_ends_where_its_country_says(spark):
     assert ibans == [["iban:0:22"], ["iban:4:31"], ["iban:0:22"], ["iban:0:27", "iban:28:50", "iban:51:66"], []]
 
 
+def test_pii_of_very_many_spans_in_one_text(spark):
+    # Blocks of spans and their borders; time in proportion to the text.
+    counts = [0, 1, pii.SPAN_BLOCK - 1, pii.SPAN_BLOCK, pii.SPAN_BLOCK + 1, 64_000]
+    texts = [" ".join(f"u{i % 10}@a.de" for i in range(n)) for n in counts]
+    begin = time.monotonic()
+    got = {r["doc_id"]: r for r in pii.digest(docs_of(spark, [(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    assert time.monotonic() - begin < 60
+    for i, n in enumerate(counts):
+        want = ",".join(f"email:{8 * j}:{8 * j + 7}" for j in range(n))
+        assert got[i]["n_email"] == n and got[i]["spans"] == want
+
+
 def test_pii_empty(empty):
     assert pii.digest(empty).count() == 0
 

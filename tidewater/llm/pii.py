@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 CONTEXT_CHARS = 40
 CONTEXT_BONUS = 30
 MIN_SCORE = 50
+# Spans are gathered in blocks of so many: no bound on a text's spans.
+SPAN_BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -139,7 +141,7 @@ def kind_spans(text: Column, kind: Kind) -> Column:
     pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(both), F.lit(1)).alias("gap"),
                          F.regexp_extract_all(text, F.lit(both), F.lit(2)).alias("hit"))
     context = rf"(?i)(?:^|[^A-Za-z])(?:{kind.context})(?:[^A-Za-z]|$)"
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN_TYPE).alias("found"))
+    none = F.array().cast(SPAN_TYPE)
 
     def step(acc: Column, pair: Column) -> Column:
         gap, hit = pair["gap"], pair["hit"]
@@ -151,7 +153,20 @@ def kind_spans(text: Column, kind: Kind) -> Column:
         ok = CONFIRM[kind.name](hit) & (score >= MIN_SCORE)
         return F.struct(end.alias("at"), F.when(ok, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
-    found = F.aggregate(pairs, start, step, lambda acc: acc["found"])
+    def block(acc: Column, part: Column) -> Column:
+        # The spans of a block are gathered by themselves: adding one copies those of its block only.
+        start = F.struct(acc["at"].alias("at"), none.alias("found"))
+        return F.aggregate(part, start, step, lambda r: F.struct(
+            r["at"].alias("at"), F.concat(acc["found"], F.array(r["found"])).alias("found")))
+
+    def blocks(all_pairs: Column) -> Column:
+        last = F.floor(F.greatest(F.size(all_pairs) - 1, F.lit(0)) / SPAN_BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_pairs, i * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)))
+
+    # A lambda's argument is computed once, so the pairs are matched once and not for each block.
+    cut = F.transform(F.array(pairs), blocks)[0]
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN_TYPE}>").alias("found"))
+    found = F.flatten(F.aggregate(cut, start, block, lambda acc: acc["found"]))
     return F.when(text.rlike(kind.needs), found).otherwise(F.array().cast(SPAN_TYPE))
 
 
