@@ -39,6 +39,8 @@ from tidewater.session import scratch_path
 MIN_REVISIT_BYTES = 100
 FRAME_BYTES = 256 << 10  # records are added to a frame until it has this much
 BUNDLE_BYTES = 32 << 20  # and frames to a bundle
+# Bundles are written by as many tasks as there are bundles, up to this; a task writes its bundles one by one.
+MAX_TASKS = 20_000
 WARC_DATE = "2024-01-01T00:00:00Z"  # records carry a fixed date: reruns are byte-equal
 # Fixed values of the seekable format: skippable frame and footer magic numbers.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -228,7 +230,8 @@ def write_archives(pages: DataFrame, uri: str, bundle_bytes: int = BUNDLE_BYTES)
     rows = plan_records(pages)
     key = F.pmod(F.xxhash64(F.col("page_id"), F.col("digest")), F.lit(n)).cast("long")
     dealt = (
-        rows.withColumn("bundle_key", key).repartition("bundle_key")
+        rows.withColumn("bundle_key", key)
+        .repartition(min(MAX_TASKS, max(n, spark.sparkContext.defaultParallelism)), "bundle_key")
         .sortWithinPartitions("bundle_key", "page_id", "digest", "url")
     )
     index = dealt.select("bundle_key", *PLAN).mapInArrow(_write_bundles(f"{uri}/archives"), INDEX_SCHEMA)
