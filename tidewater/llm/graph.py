@@ -97,7 +97,7 @@ def per_block_pair(dealt: DataFrame, work: Callable[[pa.Table], pa.RecordBatch |
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            code = _codes(table.select(by))
+            code = row_codes(table.select(by))
             cuts = [0, *(np.flatnonzero(code[1:] != code[:-1]) + 1).tolist(), table.num_rows]
             for at, to in zip(cuts, cuts[1:], strict=False):
                 key = tuple(table.column(c)[at].as_py() if c != "_group" else _plain(table.column(c)[at]) for c in by)
@@ -121,7 +121,7 @@ def _plain(value: pa.Scalar):
     return tuple(out.items()) if isinstance(out, dict) else out
 
 
-def _codes(table: pa.Table) -> np.ndarray:
+def row_codes(table: pa.Table) -> np.ndarray:
     """Numbers that differ between neighbouring rows where any column does."""
     changed = np.zeros(table.num_rows, bool)
     for column in table.columns:

@@ -34,7 +34,7 @@ processed whole, in slices of an Arrow batch.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import combinations
 
@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import broadcast_if_counted, free_name, written
-from tidewater.llm.graph import Forest, components, in_blocks, per_block_pair
+from tidewater.llm.graph import Forest, components, in_blocks, per_block_pair, row_codes
 from tidewater.llm.hashing import _P, _P_INV, U, _power_table, combine, lower_ascii, mix, run_hashes, runs, slices, text_bytes
 
 MIN_WORDS = 5
@@ -463,18 +463,26 @@ def word_buckets(lines: DataFrame, n: int, part_keys: int = PART_KEYS, most: int
     return written(found.distinct(), "word-buckets")
 
 
+def _common(most: int, same: Callable[[int], bool]) -> int:
+    """The largest length up to ``most`` that is ``same``, which shorter ones are then as well."""
+    least = 0
+    while least < most:
+        n = (least + most + 1) // 2
+        if same(n):
+            least = n
+        else:
+            most = n - 1
+    return least
+
+
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
     """Levenshtein distance by bit-parallel columns (Myers, Hyyro), without the
     common start and end; some number above ``most`` as soon as it is above."""
     if len(a) > len(b):
         a, b = b, a
-    at, end = 0, len(a)
-    while at < end and a[at] == b[at]:
-        at += 1
-    shift = len(b) - end
-    while end > at and a[end - 1] == b[end + shift - 1]:
-        end -= 1
-    a, b = a[at:end], b[at:end + shift]
+    at = _common(len(a), lambda n: a[:n] == b[:n])
+    rest = _common(len(a) - at, lambda n: a[len(a) - n:] == b[len(b) - n:])
+    a, b = a[at:len(a) - rest], b[at:len(b) - rest]
     if not a:
         return len(b)
     n = len(a)
@@ -511,25 +519,65 @@ def similar(a: str, b: str, percent: int) -> bool:
     return abs(len(a) - len(b)) <= most and edit_distance(a, b, most) <= most
 
 
-def verify_work(percent: int):
-    """Of a block pair of a cluster of SimHashes (``by_sim``) or of a bucket of words: a spanning
-    forest of the verified candidates."""
-    def work(table: pa.Table) -> pa.RecordBatch | None:
-        sims = table.column("sim").to_numpy().view(U)
-        forms = [normal_form(t or "") for t in table.column("line").to_pylist()]
-        bits = MAX_BITS if table.column("by_sim")[0].as_py() else 64
-        forest = Forest(len(forms))
-        for x in range(len(forms) - 1):
-            for y in (np.flatnonzero(np.bitwise_count(sims[x + 1:] ^ sims[x]) <= bits) + x + 1).tolist():
-                if forest.root(x) != forest.root(y) and similar(forms[x], forms[y], percent):
-                    forest.join(x, y)
-        if not forest.links:
-            return None
-        ids = table.column("node").combine_chunks()
-        a, b = zip(*forest.links, strict=True)
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=["a", "b"])
+def verified_links(lines: list[str | None], sims: list[int], by_sim: bool, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the verified candidates among the lines of a block pair of a cluster of
+    SimHashes (``by_sim``) or of a bucket of words: pairs of their places."""
+    forms = [normal_form(t or "") for t in lines]
+    forest = Forest(len(forms))
+    words = np.array(sims, np.int64).view(U) if by_sim else None
+    for x in range(len(forms) - 1):
+        others = range(x + 1, len(forms))
+        if by_sim:
+            others = (np.flatnonzero(np.bitwise_count(words[x + 1:] ^ words[x]) <= MAX_BITS) + x + 1).tolist()
+        for y in others:
+            if forest.root(x) != forest.root(y) and similar(forms[x], forms[y], percent):
+                forest.join(x, y)
+    return forest.links
+
+
+def verify(dealt: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the verified candidates of each block pair of ``dealt`` (``in_blocks`` of node, sim, line,
+    by_sim).  Most block pairs have two or three rows, so a batch's rows are read as lists once."""
+    by = ["_group", "_i", "_j"]
+    together = dealt.repartition(*by).sortWithinPartitions(*by)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, ([], [], [], [])
+        found: list[tuple[str, str]] = []
+
+        def finish() -> None:
+            nodes, sims, lines, by_sim = held
+            if len(nodes) > 1:
+                found.extend((nodes[x], nodes[y]) for x, y in verified_links(lines, sims, by_sim[0], percent))
+
+        def flush() -> pa.RecordBatch:
+            a, b = zip(*found, strict=True)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
 
-    return work
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            keys = table.select(by)
+            code = row_codes(keys)
+            cuts = [0, *(np.flatnonzero(code[1:] != code[:-1]) + 1).tolist(), table.num_rows]
+            columns = [table.column(c).to_pylist() for c in ("node", "sim", "line", "by_sim")]
+            for at, to in zip(cuts, cuts[1:], strict=False):
+                # Only a batch's first rows may go on with the block pair of the batch before.
+                if at or keys.slice(0, 1).to_pylist() != last:
+                    finish()
+                    held = ([], [], [], [])
+                for own, column in zip(held, columns, strict=True):
+                    own.extend(column[at:to])
+            last = keys.slice(table.num_rows - 1, 1).to_pylist()
+            if found:
+                yield flush()
+        finish()
+        if found:
+            yield flush()
+
+    return together.mapInArrow(run, "a string, b string")
 
 
 def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -567,9 +615,8 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     together = together.unionByName(found.join(buckets, "h1").select(
         "node", "sim", "line", F.lit(False).alias("by_sim"), F.col("bucket").alias("near")))
     together = together.withColumn("near", F.struct("by_sim", "near"))
-    links = per_block_pair(
-        in_blocks(together, "near", "node", GROUP_BLOCK).select("node", "sim", "line", "by_sim", "_group", "_i", "_j"),
-        verify_work(percent), "a string, b string")
+    links = verify(
+        in_blocks(together, "near", "node", GROUP_BLOCK).select("node", "sim", "line", "by_sim", "_group", "_i", "_j"), percent)
     linked = components(links)
 
     # First place of every class of more than one line.
