@@ -622,9 +622,18 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # First place of every class of more than one line.
     classes = forms.join(
         broadcast_if_counted(linked.withColumnRenamed("node", "linked_node")), node == F.col("linked_node"), "left")
-    firsts = classes.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first").alias("class_first"))
-    several = classes.where((F.col("n") > 1) | F.col("component").isNotNull()).join(firsts, "component", "left").select(
-        "h1", "h2", F.coalesce("class_first", "first").alias("kept"))
+    firsts = written(classes.where(F.col("component").isNotNull()).groupBy("component").agg(
+        F.min("first").alias("class_first"), F.count(F.lit(1)).alias("size")), "class-firsts")
+    # Classes of more than a thousandth of the forms, so under a thousand rows: their lines stay where they are, and
+    # neither they nor lines without a class meet in one task.
+    hot = firsts.where(F.col("size") * 1000 > n_forms).select(
+        F.col("component").alias("hot_component"), F.col("class_first").alias("hot_first"))
+    told = classes.where((F.col("n") > 1) | F.col("component").isNotNull()).join(
+        F.broadcast(hot), F.col("component") == F.col("hot_component"), "left").withColumn(
+        "class_key", F.coalesce(F.when(F.col("hot_component").isNull(), F.col("component")), node))
+    several = told.join(
+        firsts.select(F.col("component").alias("class_key"), "class_first"), "class_key", "left").select(
+        "h1", "h2", F.coalesce("hot_first", "class_first", "first").alias("kept"))
     gone = lines.join(several, ["h1", "h2"]).where(F.struct("doc_id", "place") != F.col("kept"))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
