@@ -8,6 +8,7 @@ import time
 from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -391,6 +392,44 @@ def test_near_sims_against_all_pairs(spark, limits):
     assert line_dedup.near_sims(sims.limit(0), 0, **limits).count() == 0
 
 
+def test_similar_against_plain_distance():
+    import random
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    rng = random.Random(8)
+    found = Counter()
+    for _ in range(3000):
+        words = [rng.choice(["a", "tea", "lamp", "seven", "7", "of"]) for _ in range(rng.randrange(0, 9))]
+        other = list(words)
+        for _ in range(rng.randrange(0, 3)):
+            at = rng.randrange(len(other) + 1)
+            other[at:at + rng.randrange(2)] = [rng.choice(["tee", "lamb", "x", "seventy"])] * rng.randrange(2)
+        a, b = " ".join(words), " ".join(other)
+        d, longest = distance(a, b), max(len(a), len(b))
+        assert line_dedup.edit_distance(a, b) == d
+        want = d <= longest * 20 // 100
+        assert line_dedup.similar(a, b, 80) == want, (a, b)
+        found[want] += 1
+    assert min(found.values()) > 500
+
+
+def test_folded_hashes_are_those_of_the_folded_text():
+    from tidewater.llm.hashing import run_hashes, text_bytes
+
+    for text in ("tea 12 a7b 9", "no digits here", "7", "0 00 x0y é5 9é"):
+        data, offsets = text_bytes(pa.array([text]))
+        starts, ends = line_dedup.word_runs(data, offsets)
+        folded, at = text_bytes(pa.array([re.sub("[1-9]", "0", text)]))
+        assert (line_dedup.folded_hashes(data, starts, ends, run_hashes(data, starts, ends)) == run_hashes(folded, starts, ends)).all()
+
+
 def test_lines_against_all_pairs(spark, odd, empty):
     import pyarrow as pa
 

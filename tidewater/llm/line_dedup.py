@@ -37,6 +37,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import combinations
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -183,8 +184,7 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     with np.errstate(over="ignore"):
         h1 = np.add.reduceat(mix(hashes + mix(place_in_line.astype(U), 21), 3), first)
         h2 = np.add.reduceat(mix(hashes ^ mix(place_in_line.astype(U), 22), 4), first)
-    folded = np.where((data >= 49) & (data <= 57), np.uint8(48), data)
-    sims = simhash(run_hashes(folded, starts, ends), first, counts)
+    sims = simhash(folded_hashes(data, starts, ends, hashes), first, counts)
     key_line, keys = word_keys(hashes, first[big], counts[big])
     key_cuts = np.searchsorted(key_line, np.arange(int(big.sum()) + 1)) * 8
     packed = pa.Array.from_buffers(
@@ -200,6 +200,24 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         names=["doc_id", "place", "h1", "h2", "sim", "keys"])
 
 
+def folded_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the words with every digit as 0, from ``hashes`` of the words as they are: only words
+    with a digit are hashed again."""
+    digits = np.flatnonzero((data >= 49) & (data <= 57))
+    if not len(digits):
+        return hashes
+    own = np.searchsorted(starts, digits, side="right") - 1
+    own = own[np.concatenate(([True], own[1:] != own[:-1]))]
+    sizes = ends[own] - starts[own]
+    new_ends = np.cumsum(sizes)
+    new_starts = new_ends - sizes
+    part = data[np.arange(new_ends[-1]) + np.repeat(starts[own] - new_starts, sizes)]
+    part[(part >= 49) & (part <= 57)] = 48
+    out = hashes.copy()
+    out[own] = run_hashes(part, new_starts, new_ends)
+    return out
+
+
 # A byte's bits as eight bytes of 0 or 1.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(U).ravel()
 
@@ -516,7 +534,15 @@ def similar(a: str, b: str, percent: int) -> bool:
     """Whether the edit similarity of two strings is at least ``percent``."""
     longest = max(len(a), len(b))
     most = longest * (100 - percent) // 100
-    return abs(len(a) - len(b)) <= most and edit_distance(a, b, most) <= most
+    if abs(len(a) - len(b)) > most:
+        return False
+    # Bounds from above decide most near pairs: changed characters, then changed words, each at its place.
+    if len(a) == len(b) and sum(map(ne, a, b)) <= most:
+        return True
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most:
+        return True
+    return edit_distance(a, b, most) <= most
 
 
 def verified_links(lines: list[str | None], sims: list[int], by_sim: bool, percent: int) -> list[tuple[int, int]]:
