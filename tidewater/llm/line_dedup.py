@@ -68,6 +68,8 @@ SHORT = 10
 PACK_LINES = 100_000
 PART_KEYS = 500_000
 PART_KEYS_MOST = 8_000_000
+# Bytes of text whose words are worked on at once: arrays of eight bytes a byte stay near the processor.
+LINE_SLICE = 1 << 19
 # Lines to fetch are broadcast up to this many: rows of an id, a place and two hashes.
 FEW_LINES = 500_000
 
@@ -252,7 +254,7 @@ def simhash(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.nda
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, size=LINE_SLICE):
             out = line_rows(part)
             if out is not None:
                 yield out
