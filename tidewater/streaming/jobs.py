@@ -77,14 +77,19 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**trig)
 
 
-def _start(spark: SparkSession, writer, state_partitions: int | None = None):
+def _start(spark: SparkSession, writer, state_partitions: int | None = None, stateful: bool = True):
     """Start a stream with a deliberate number of state partitions.
 
+    A stream without state (``stateful=False``) keeps the session's shuffle partitions: its batches
+    are joined and grouped like any table, in partitions that fit a task.
+
     A stateful stream fixes its partition count at its first start (it is
     recorded in the checkpoint), taking it from ``spark.sql.shuffle.partitions``.
     The default is one partition per core of the cluster; the session setting
     is restored right after ``start()`` (the stream runs on a cloned session).
     """
+    if not stateful:
+        return writer.start()
     n = state_partitions or spark.sparkContext.defaultParallelism
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
