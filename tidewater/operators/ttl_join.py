@@ -9,11 +9,11 @@ bounds each pair by itself.
 
 Nothing of one order affects what comes after a silence longer than the time to
 live, so the rows of an order between two silences are a session: the session window's
-gap is the re-armed timer, kept in the engine's own state store (RocksDB) and dropped when
-the watermark passes it.  Its rows, in order of arrival, are folded with the
-cache rules.  A stream's answer does not depend on how its input is cut into
-micro-batches, nor on the order inside the lateness allowed; pairs are given when their
-session closes.  The same function runs on a batch frame.
+gap is the re-armed timer, and a session is over when the watermark passes it.  Its rows, in
+order of arrival, are folded with the cache rules.  A stream gives the pairs of the sessions
+that are over and keeps the rows of the others (:func:`open_rows`) for its next batch, so its
+answer does not depend on how its input is cut into micro-batches, nor on the order inside the
+lateness allowed.
 """
 
 from __future__ import annotations
@@ -24,22 +24,45 @@ from pyspark.sql import functions as F
 from tidewater.operators.sales import JOIN_WAIT_SECONDS
 
 
-def ttl_join(arrivals: DataFrame, ttl_seconds: int = JOIN_WAIT_SECONDS) -> DataFrame:
+def gap_ms(ttl_seconds: int) -> int:
+    """A millisecond more than the bound, which is inclusive; the fold compares exactly."""
+    return ttl_seconds * 1000 + 1
+
+
+def _lives(arrivals: DataFrame, ttl_seconds: int) -> DataFrame:
+    """The sessions of every order with their rows in order of arrival and the time when they are over (a value
+    of its own: a test of the window would be pushed down to single rows, which are not yet merged).
+    Rows without an order id, or without a time, meet nothing."""
+    row = F.struct(F.unix_millis("ts").alias("ms"), F.col("o").isNull().cast("int").alias("side"), "o", "d", "ts")
+    session = F.session_window("ts", f"{gap_ms(ttl_seconds)} milliseconds")
+    known = arrivals.where("order_id is not null")
+    return known.groupBy("order_id", session).agg(
+        F.array_sort(F.collect_list(row)).alias("rows"), (F.unix_millis(F.max("ts")) + gap_ms(ttl_seconds)).alias("over_ms"))
+
+
+def open_rows(arrivals: DataFrame, upto: int, ttl_seconds: int = JOIN_WAIT_SECONDS) -> DataFrame:
+    """The arrivals of sessions that are not over at ``upto`` (milliseconds)."""
+    recent = arrivals.where(F.unix_millis("ts") + gap_ms(ttl_seconds) > upto).select(F.col("order_id").alias("_id")).distinct()
+    near = arrivals.join(recent, F.col("order_id") == F.col("_id"), "left_semi")
+    left = _lives(near, ttl_seconds).where(F.col("over_ms") > upto)
+    return left.select("order_id", F.inline("rows")).select(*arrivals.columns)
+
+
+def ttl_join(arrivals: DataFrame, ttl_seconds: int = JOIN_WAIT_SECONDS, upto: int | None = None) -> DataFrame:
     """(order_id, order_ms, o, d): every pair the caches bring together.
 
     ``arrivals``: order_id, ts, and the record as a struct, ``o`` of an order's write or ``d``
     of a line (the other is null).  An order written again meets the lines still waiting
     again, so a pair may appear once a write: ``order_ms``, the write's time, orders
     them.  At the same time an order comes before a line.  Rows without an order id meet
-    nothing.
+    nothing.  With ``upto`` (milliseconds) only pairs of sessions that are over by then.
     """
     ttl = ttl_seconds * 1000
-    row = F.struct(F.unix_millis("ts").alias("ms"), F.col("o").isNull().cast("int").alias("side"), "o", "d")
-    # A millisecond more than the bound, which is inclusive; the fold compares exactly.
-    session = F.session_window("ts", f"{ttl + 1} milliseconds")
-    lives = arrivals.groupBy("order_id", session).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    lives = _lives(arrivals, ttl_seconds)
+    if upto is not None:
+        lives = lives.where(F.col("over_ms") <= upto)
     types = {c: arrivals.schema[c].dataType.simpleString() for c in ("o", "d")}
-    return lives.where(F.col("order_id").isNotNull()).select("order_id", F.inline(_folded(F.col("rows"), ttl, types)))
+    return lives.select("order_id", F.inline(_folded(F.col("rows"), ttl, types)))
 
 
 def _folded(rows: Column, ttl: int, types: dict[str, str]) -> Column:

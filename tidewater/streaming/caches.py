@@ -2,7 +2,8 @@
 
 The stream's pairs (:func:`tidewater.operators.ttl_join.ttl_join`) are appended to
 a table by month, keyed by document id; an order written again gives its pairs
-again, and readers keep those of its last write.
+again, and readers keep those of its last write.  Only the rows of caches that still live are kept
+between micro-batches (:mod:`tidewater.streaming.waiting`): the others never reach a state store.
 """
 
 from __future__ import annotations
@@ -11,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import doc_id
+from tidewater.operators.alerts import duration_ms
 from tidewater.operators.sales import JOIN_WAIT_SECONDS
-from tidewater.operators.ttl_join import ttl_join
+from tidewater.operators.ttl_join import gap_ms, open_rows, ttl_join
 from tidewater.session import prepare_streaming
 from tidewater.sinks.versioned import append_versions, read_latest
 from tidewater.sources.arrivals import feed_stream
 from tidewater.streaming.jobs import JOIN_LATENESS, SALE_VERSION, StreamRun, _finish, _start, _trigger
+from tidewater.streaming.waiting import Waiting
 
 PAIR_COLUMNS = (
     "doc_id", "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "sku_name",
@@ -24,9 +27,9 @@ PAIR_COLUMNS = (
 )
 
 
-def sale_pairs(arrivals: DataFrame, ttl_seconds: int = JOIN_WAIT_SECONDS) -> DataFrame:
-    """The pairs as sale-detail rows, with their version."""
-    pairs = ttl_join(arrivals, ttl_seconds).select(
+def sale_pairs(arrivals: DataFrame, ttl_seconds: int = JOIN_WAIT_SECONDS, upto: int | None = None) -> DataFrame:
+    """The pairs (of caches that are over at ``upto``) as sale-detail rows, with their version."""
+    pairs = ttl_join(arrivals, ttl_seconds, upto).select(
         "order_id", "order_ms", "o.order_status", "o.create_time", "o.user_id", "o.dt", "d.*")
     version = F.struct("order_ms", *SALE_VERSION, "sku_price").alias("_version")
     return pairs.select(doc_id("_", "order_id", "order_detail_id").alias("doc_id"), *PAIR_COLUMNS[1:], version,
@@ -38,13 +41,28 @@ def run_ttl_join(spark: SparkSession, feed: str, run: StreamRun | None = None, t
     """Pairs of the feed at ``feed`` into ``run.table``."""
     prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-ttl-join")
-    arrivals = feed_stream(spark, feed, max_files_per_trigger).withWatermark("ts", lateness)
+    waiting = Waiting(f"{run.table}-waiting")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_versions(batch, run.table, "dt_month")
+        s = batch.sparkSession
+        last = waiting.last(s, batch_id)
+        marks, held = waiting.marks(s, last), waiting.rows(s, last, "rows")
+        after = marks.advanced({"rows": batch.agg(F.unix_millis(F.max("ts"))).first()[0]}, duration_ms(lateness))
+        rows = batch.where("order_id is not null and ts is not null")
+        if marks.watermark is not None:
+            # Older rows than any cache that may still live are late, as in a windowed aggregate.
+            rows = rows.where(F.unix_millis("ts") + gap_ms(JOIN_WAIT_SECONDS) > marks.watermark)
+        rows = rows if held is None else rows.unionByName(held)
+        if after.watermark is None:
+            waiting.keep(rows, batch_id, "rows")
+        else:
+            append_versions(sale_pairs(rows, upto=after.watermark), run.table, "dt_month")
+            waiting.keep(open_rows(rows, after.watermark), batch_id, "rows")
+        waiting.finish(s, batch_id, after, ("rows",))
 
-    q = _start(spark, _trigger(sale_pairs(arrivals).writeStream.outputMode("append").option("checkpointLocation", run.checkpoint)
-                 .foreachBatch(write), trigger))
+    arrivals = feed_stream(spark, feed, max_files_per_trigger)
+    q = _start(spark, _trigger(arrivals.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 
