@@ -8,9 +8,11 @@ Scale notes
   key; AQE splits a skewed order id's partition on the line side.  The full
   outer join is rewritten so that this splitting still applies.
 * The user dimension is broadcast only when its estimated size is proven
-  small; otherwise it is a shuffled left join.
-* The upsert keeps the newest row per document id with a grouped ``max_by``
-  (partial aggregation), not a sort of every group.
+  small; otherwise it is a shuffled left join.  :func:`with_user_fields` also takes
+  orders, so that the users cross a shuffle with them and not with each of their lines.
+* The upsert keeps the newest row per document id with a grouped ``max_by``.  A document is a
+  line of one order, so it is grouped by order id and document id: rows that were joined on the
+  order id are where the grouping needs them and are not shuffled again.
 """
 
 from __future__ import annotations
@@ -30,10 +32,13 @@ SALE_COLUMNS = (
 )
 
 
-def _order_side(orders: DataFrame) -> DataFrame:
+USER_COLUMNS = ("user_gender", "user_age", "user_level")
+
+
+def _order_side(orders: DataFrame, extra=()) -> DataFrame:
     return orders.select(
         F.col("id").alias("o_id"), "order_status", "create_time", "user_id",
-        F.col("create_date").alias("dt"), F.col("create_ts").alias("o_ts"),
+        F.col("create_date").alias("dt"), F.col("create_ts").alias("o_ts"), *extra,
     )
 
 
@@ -51,23 +56,25 @@ def _wide(joined: DataFrame, extra=()) -> DataFrame:
     )
 
 
-def interval_join(orders: DataFrame, details: DataFrame, wait_seconds: int = JOIN_WAIT_SECONDS, extra=()) -> DataFrame:
+def interval_join(orders: DataFrame, details: DataFrame, wait_seconds: int = JOIN_WAIT_SECONDS, extra=(),
+                  order_extra=()) -> DataFrame:
     """Pairs of an order and a line of it that arrived within ``wait_seconds``
-    of each other (either may come first); unmatched rows are dropped."""
-    o, d = _order_side(orders), _detail_side(details, extra)
+    of each other (either may come first); unmatched rows are dropped.  ``extra`` columns of the
+    line and ``order_extra`` columns of the order are kept."""
+    o, d = _order_side(orders, order_extra), _detail_side(details, extra)
     bound = F.expr(f"INTERVAL {int(wait_seconds)} SECONDS")
     cond = (
         (o.o_id == d.d_order_id)
         & (d.d_ts >= o.o_ts - bound)
         & (d.d_ts <= o.o_ts + bound)
     )
-    return _wide(o.join(d, cond, "inner"), extra)
+    return _wide(o.join(d, cond, "inner"), (*order_extra, *extra))
 
 
-def inner_join(orders: DataFrame, details: DataFrame, extra=()) -> DataFrame:
+def inner_join(orders: DataFrame, details: DataFrame, extra=(), order_extra=()) -> DataFrame:
     """Every line with its order (no time bound: all records have arrived)."""
-    o, d = _order_side(orders), _detail_side(details, extra)
-    return _wide(o.join(d, o.o_id == d.d_order_id, "inner"), extra)
+    o, d = _order_side(orders, order_extra), _detail_side(details, extra)
+    return _wide(o.join(d, o.o_id == d.d_order_id, "inner"), (*order_extra, *extra))
 
 
 def full_outer_join(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -93,17 +100,21 @@ def full_outer_join(orders: DataFrame, details: DataFrame) -> DataFrame:
     return left_part.unionByName(right_part)
 
 
-def enrich_with_users(sales: DataFrame, users: DataFrame, asof: str) -> DataFrame:
-    """Overlay user fields when the user exists; a miss keeps the row with
+def with_user_fields(rows: DataFrame, users: DataFrame, asof: str) -> DataFrame:
+    """Rows with a ``user_id`` and the fields of their user; a miss keeps the row with
     age 0 and null gender/level (the reference's defaults)."""
     u = users.select(
         F.col("id").alias("u_id"), F.col("gender").alias("user_gender"),
         age_years("birthday", F.lit(asof).cast("date")).alias("u_age"), F.col("user_level"),
     )
-    joined = sales.join(broadcast_if_small(u), sales.user_id == u.u_id, "left")
-    out = joined.withColumn("user_age", F.coalesce(F.col("u_age"), F.lit(0)))
+    joined = rows.join(broadcast_if_small(u), rows.user_id == u.u_id, "left")
+    return joined.withColumn("user_age", F.coalesce(F.col("u_age"), F.lit(0))).drop("u_id", "u_age")
+
+
+def enrich_with_users(sales: DataFrame, users: DataFrame, asof: str) -> DataFrame:
+    """Overlay user fields when the user exists (:func:`with_user_fields`)."""
     extra = [c for c in sales.columns if c not in SALE_COLUMNS]
-    return out.select(*SALE_COLUMNS, *extra)
+    return with_user_fields(sales, users, asof).select(*SALE_COLUMNS, *extra)
 
 
 def enrich_with_user_versions(sales: DataFrame, history: DataFrame, asof: str) -> DataFrame:
@@ -126,7 +137,8 @@ def with_doc_id(sales: DataFrame) -> DataFrame:
 def latest_per_doc(sales: DataFrame, version_cols) -> DataFrame:
     """One row per ``doc_id``: the newest by ``version_cols`` (descending)."""
     keyed = with_doc_id(sales)
-    rest = [c for c in keyed.columns if c != "doc_id"]
+    rest = [c for c in keyed.columns if c not in ("doc_id", "order_id")]
     version = F.struct(*[F.col(c) for c in version_cols])
-    last = keyed.groupBy("doc_id").agg(F.max_by(F.struct(*rest), version).alias("_s"))
-    return last.select("doc_id", *[F.col(f"_s.{c}").alias(c) for c in rest])
+    last = keyed.groupBy("order_id", "doc_id").agg(F.max_by(F.struct(*rest), version).alias("_s"))
+    return last.select(*[c if c in ("doc_id", "order_id") else F.col(f"_s.{c}").alias(c) for c in ("doc_id", *[
+        c for c in keyed.columns if c != "doc_id"])])

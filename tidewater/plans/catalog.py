@@ -801,7 +801,7 @@ def q_stream_coupon_alerts_latest(spark, sf_dir):
 def q_stream_order_join(spark, sf_dir):
     _, run = stream_jobs.run_order_join(spark, sf_dir, trigger=_AVAILABLE_NOW)
     cols = q_order_detail_interval_join(spark, sf_dir).columns
-    return spark.read.parquet(run.table).select(*cols)
+    return stream_jobs.read_order_join(spark, run).select(*cols)
 
 
 @register("stream_upsert", with_views("v_sale_stream_table") + "select * from v_sale_stream_table")

@@ -35,6 +35,9 @@ HAN_WORDS = {
     "red": "红色", "blue": "蓝色", "small": "小号", "large": "大号", "hot": "热", "cold": "冷", "old": "旧", "new": "新",
     "gear": "齿轮", "ring": "戒指", "plate": "盘子", "anvil": "铁砧", "bolt": "螺栓", "rod": "杆",
 }
+# Columns that the views of orders and of lines read.
+ORDER_SOURCE = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+LINE_SOURCE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
 EVID_OF = {"purchase": "coupon", "click": "clickItem", "signup": "addFavor", "error": "addComment"}
 
 
@@ -105,7 +108,7 @@ def v_order(t: Tables, date_from: str | None = None, date_to: str | None = None)
     date, so ``o_orderdate`` in ``(date_from - 1 day, date_to)`` is a safe
     predicate that the parquet reader can use.
     """
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = t.orders.select(*ORDER_SOURCE)
     if date_from is not None:
         lo, _ = day_bounds_ts(date_from)
         o = o.where(F.col("o_orderdate") > F.lit(lo - _dt.timedelta(days=1)))
@@ -138,9 +141,7 @@ def v_order(t: Tables, date_from: str | None = None, date_to: str | None = None)
 
 def v_detail(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Order lines with a sku name and an arrival time near their order's."""
-    li = t.lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
-    )
+    li = t.lineitem.select(*LINE_SOURCE)
     p = t.part.select("p_partkey", "p_name")
     # Joined on the string order id, the key the sale-detail join uses as
     # well: the lines come out of this join already hash-partitioned by it,

@@ -80,6 +80,18 @@ class StreamTables:
         raise AttributeError(name)
 
 
+class BatchTables:
+    """Same interface, with the rows of a micro-batch in place of some tables."""
+
+    def __init__(self, static, **batch: DataFrame):
+        self.static, self.batch = static, batch
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in TABLES:
+            return self.batch[name] if name in self.batch else getattr(self.static, name)
+        raise AttributeError(name)
+
+
 def union_topics(*streams: DataFrame) -> DataFrame:
     """One stream out of several subscriptions (columns matched by name;
     a column missing in one input is null there)."""

@@ -68,7 +68,8 @@ def run_gmv_dashboard(spark: SparkSession, sf_dir: str, run: StreamRun | None =
         newest = rows.groupBy("id").agg(F.max(F.struct("amount", "create_date", "create_hour", "orders", "month")).alias("x"))
         table.apply(newest.select("id", "x.*"), batch_id)
 
-    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
+    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 
@@ -85,7 +86,8 @@ def run_new_devices(spark: SparkSession, sf_dir: str, run: StreamRun | None = No
     t = StreamTables(spark, sf_dir, streamed=("events",), max_files_per_trigger=max_files_per_trigger, stream_dir=stream_dir)
     starts = dau_ops.with_log_time(fx.v_startup(t)).select("mid", "logdate")
     table = FirstSeen(run.table)
-    q = _start(spark, _trigger(starts.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(table.apply), trigger))
+    q = _start(spark, _trigger(starts.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(table.apply), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 

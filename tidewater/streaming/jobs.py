@@ -17,9 +17,11 @@ the checkpoint root; readers query those tables.
   mode, watermark).  Each batch evaluates the alert rule again for the windows
   its panes belong to, and appends the outcome; readers take the newest outcome
   of each window.
-* Sale detail: stream-stream inner join of orders and lines within the wait
-  bound (watermarks on both sides), stream-static left join to users, and
-  versioned appends keyed by doc id into a table partitioned by order month.
+* Sale detail: inner join of the streams of orders and lines within the wait
+  bound (a watermark over both sides; each batch is joined with the rows of
+  earlier ones that still wait, :mod:`tidewater.streaming.waiting`), left join
+  to users, and versioned appends keyed by doc id into a table partitioned by
+  order month.
 
 A micro-batch writes only its own rows (O(batch), one write job); folding
 versions (``versioned.compact``) is a separate, periodic job.
@@ -43,8 +45,9 @@ from tidewater.sinks.upsert import _exists as _table_exists
 from tidewater.sinks.versioned import append_versions, read_latest
 from tidewater.sources import fixtures as fx
 from tidewater.sources.change_feed import change_stream
-from tidewater.sources.streams import StreamTables
+from tidewater.sources.streams import BatchTables, StreamTables
 from tidewater.sources.tables import Tables
+from tidewater.streaming.waiting import Waiting, read_finished
 
 # The reference's micro-batch interval (fixed value).
 BATCH_INTERVAL = "5 seconds"
@@ -178,7 +181,8 @@ def run_dau_seen_set(spark: SparkSession, sf_dir: str, run: StreamRun | None = N
         finally:
             firsts.unpersist()
 
-    q = _start(spark, _trigger(logs.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
+    q = _start(spark, _trigger(logs.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 
@@ -204,7 +208,8 @@ def run_gmv(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trig
         keyed = batch.withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("month", F.substring("create_date", 1, 7))
         append_versions(keyed, run.table, "month")
 
-    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
+    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 
@@ -236,7 +241,8 @@ def run_order_table(spark: SparkSession, sf_dir: str, run: StreamRun | None = No
         if after_write:
             after_write(batch_id)
 
-    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger))
+    q = _start(spark, _trigger(orders.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 
@@ -325,56 +331,124 @@ def read_latest_alerts(spark: SparkSession, run: StreamRun) -> DataFrame:
 SALE_VERSION = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
 
 
-def order_line_stream(spark: SparkSession, sf_dir: str, wait_seconds: int = sale_ops.JOIN_WAIT_SECONDS,
-                      lateness: str = JOIN_LATENESS, max_files_per_trigger: int | None = None,
-                      extra=(), stream_dir: str | None = None) -> DataFrame:
-    """Orders and lines as two streams joined within the wait bound."""
-    static = Tables(spark, sf_dir)
-    orders = fx.v_order(StreamTables(spark, sf_dir, streamed=("orders",), max_files_per_trigger=max_files_per_trigger,
-                                     stream_dir=stream_dir))
-    details = fx.v_detail(
-        StreamTables(spark, sf_dir, streamed=("lineitem",), max_files_per_trigger=max_files_per_trigger,
-                     stream_dir=stream_dir),
-        orders=fx.v_order(static),
-    )
-    return sale_ops.interval_join(
-        orders.withWatermark("create_ts", lateness), details.withWatermark("arrival_ts", lateness),
-        wait_seconds, extra=extra,
-    )
+def order_line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None,
+                      stream_dir: str | None = None) -> DataFrame:
+    """Rows of the streams of orders and lines as they come: ``o`` or ``d``, the other is null."""
+    t = StreamTables(spark, sf_dir, streamed=("orders", "lineitem"), max_files_per_trigger=max_files_per_trigger,
+                     stream_dir=stream_dir)
+    orders = t.orders.select(F.struct(*fx.ORDER_SOURCE).alias("o"))
+    lines = t.lineitem.select(F.struct(*fx.LINE_SOURCE).alias("d"))
+    return orders.unionByName(lines, allowMissingColumns=True)
+
+
+@dataclass(frozen=True)
+class OrderLines:
+    """The join of orders and lines within the wait bound, a micro-batch at a time.
+
+    A batch's rows are kept as they came for the next batch, and of older rows those within the wait
+    of a row that would not be late then.  As in the engine's own join a row is late if it is not
+    newer than the watermark that the batch before the last one left.
+    """
+
+    sf_dir: str
+    waiting: Waiting
+    wait_seconds: int = sale_ops.JOIN_WAIT_SECONDS
+    lateness: str = JOIN_LATENESS
+
+    def _sides(self, spark: SparkSession, number: int) -> tuple[DataFrame, DataFrame]:
+        """Orders and lines of the rows that a batch brought."""
+        static, rows = Tables(spark, self.sf_dir), self.waiting.rows(spark, number, "arrived")
+        orders = BatchTables(static, orders=rows.where("o is not null").select("o.*"))
+        lines = BatchTables(static, lineitem=rows.where("d is not null").select("d.*"))
+        return fx.v_order(orders), fx.v_detail(lines, orders=fx.v_order(static))
+
+    def _held(self, spark: SparkSession, last: int, number: int, late: int | None) -> tuple[DataFrame, DataFrame]:
+        """Orders and lines of earlier batches that a row of this batch may meet; written once."""
+        out = []
+        for name, ts, fresh in zip(("orders", "lines"), ("create_ts", "arrival_ts"), self._sides(spark, last), strict=True):
+            older = self.waiting.rows(spark, last, name)
+            rows = fresh if older is None else fresh.unionByName(older)
+            if late is not None:
+                rows = rows.where(F.unix_millis(ts) + self.wait_seconds * 1000 >= late)
+            self.waiting.keep(rows, number, name)
+            out.append(self.waiting.rows(spark, number, name))
+        return out[0], out[1]
+
+    def apply(self, batch: DataFrame, number: int, write, extra=(), order_extra=(), placed=lambda orders: orders) -> None:
+        """Takes in a batch of :func:`order_line_stream`; ``write`` gets its pairs.  ``placed`` adds the
+        columns ``order_extra`` to the orders."""
+        spark = batch.sparkSession
+        last = self.waiting.last(spark, number)
+        marks = self.waiting.marks(spark, last)
+        self.waiting.keep(batch, number, "arrived")
+        orders, lines = self._sides(spark, number)
+        seen = {
+            "orders": orders.agg(F.unix_millis(F.max("create_ts"))).first()[0],
+            "lines": lines.agg(F.unix_millis(F.max("arrival_ts"))).first()[0]}
+        if marks.before is not None:
+            orders = orders.where(F.unix_millis("create_ts") > marks.before)
+            lines = lines.where(F.unix_millis("arrival_ts") > marks.before)
+
+        def pairs(o: DataFrame, d: DataFrame) -> DataFrame:
+            return sale_ops.interval_join(placed(o), d, self.wait_seconds, extra, order_extra)
+
+        if last is None:
+            write(pairs(orders, lines))
+        else:
+            held_orders, held_lines = self._held(spark, last, number, marks.before)
+            write(pairs(orders.unionByName(held_orders), lines).unionByName(pairs(orders, held_lines)))
+        self.waiting.finish(spark, number, marks.advanced(seen, alert_ops.duration_ms(self.lateness)), ("arrived", "orders", "lines"))
+
+
+def _order_lines(run: StreamRun, sf_dir: str) -> OrderLines:
+    return OrderLines(sf_dir, Waiting(f"{run.table}-waiting"))
 
 
 def run_order_join(spark: SparkSession, sf_dir: str, run: StreamRun | None = None, trigger: dict | None = None,
                    max_files_per_trigger: int | None = None, stream_dir: str | None = None):
     prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-order-join")
-    joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, stream_dir=stream_dir)
-    q = _start(spark, _trigger(joined.writeStream.format("parquet").outputMode("append")
-                 .option("checkpointLocation", run.checkpoint).option("path", run.table), trigger))
+    rows = order_line_stream(spark, sf_dir, max_files_per_trigger, stream_dir)
+    join = _order_lines(run, sf_dir)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        join.apply(batch, batch_id, lambda pairs: pairs.write.mode("overwrite").parquet(f"{run.table}/batch={int(batch_id)}"))
+
+    q = _start(spark, _trigger(rows.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 
+def read_order_join(spark: SparkSession, run: StreamRun) -> DataFrame:
+    return read_finished(spark, run.table, Waiting(f"{run.table}-waiting"))
+
+
 def run_sale_upsert(spark: SparkSession, sf_dir: str, asof: str, run: StreamRun | None = None,
                     trigger: dict | None = None, max_files_per_trigger: int | None = None,
                     stream_dir: str | None = None):
     prepare_streaming(spark)
     run = run or StreamRun.fresh(spark, "stream-sale-upsert")
-    joined = order_line_stream(spark, sf_dir, max_files_per_trigger=max_files_per_trigger, extra=SALE_VERSION,
-                               stream_dir=stream_dir)
-    enriched = sale_ops.enrich_with_users(joined, fx.v_user(Tables(spark, sf_dir)), asof)
-    docs = (
-        sale_ops.with_doc_id(enriched)
-        .withColumn("_version", F.struct(*[F.col(c) for c in SALE_VERSION + ("sku_price",)]))
-        .withColumn("dt_month", F.substring("dt", 1, 7))
-    )
-
-    def write(batch: DataFrame, batch_id: int) -> None:
+    rows = order_line_stream(spark, sf_dir, max_files_per_trigger, stream_dir)
+    join = _order_lines(run, sf_dir)
+
+    def append(pairs: DataFrame) -> None:
+        docs = (
+            sale_ops.with_doc_id(pairs)
+            .withColumn("_version", F.struct(*[F.col(c) for c in SALE_VERSION + ("sku_price",)]))
+            .withColumn("dt_month", F.substring("dt", 1, 7))
+        )
         # Month folders (the order day never changes for a document, so its
         # month does not either); a day query prunes to one folder and then
         # skips row groups by the dt statistics.
-        append_versions(batch, run.table, "dt_month")
+        append_versions(docs, run.table, "dt_month")
 
-    q = _start(spark, _trigger(docs.writeStream.outputMode("append").option("checkpointLocation", run.checkpoint)
-                 .foreachBatch(write), trigger))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        users = fx.v_user(Tables(batch.sparkSession, sf_dir))
+        join.apply(batch, batch_id, append, SALE_VERSION, sale_ops.USER_COLUMNS,
+                   lambda orders: sale_ops.with_user_fields(orders, users, asof))
+
+    q = _start(spark, _trigger(rows.writeStream.option("checkpointLocation", run.checkpoint).foreachBatch(write), trigger),
+               stateful=False)
     return _finish(q, trigger), run
 
 
