@@ -439,8 +439,9 @@ def _sale_table(spark: SparkSession, sf_dir: str, dt: str | None = None) -> Data
     """
     t = Tables(spark, sf_dir)
     orders, details = _order_and_details(spark, sf_dir, dt, t)
-    wide = sale_ops.inner_join(orders, details, extra=_SALE_VERSION)
-    enriched = sale_ops.enrich_with_users(wide, fx.v_user(t), AGE_ASOF)
+    # An order meets its user once, before its lines do.
+    placed = sale_ops.with_user_fields(orders, fx.v_user(t), AGE_ASOF)
+    enriched = sale_ops.inner_join(placed, details, extra=_SALE_VERSION, order_extra=sale_ops.USER_COLUMNS)
     latest = sale_ops.latest_per_doc(enriched, _SALE_VERSION + ("sku_price",))
     return latest.select(*_SALE_OUT)
 
