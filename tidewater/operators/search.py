@@ -74,15 +74,18 @@ def answer_parts(scored: DataFrame, page: int, size: int) -> DataFrame:
     """The whole answer of a search as rows ``(part, pos, name, value)``: total, both facets and the
     page of hits by score.  ``scored`` should be a written frame: it is read for the counts and
     for the page."""
-    counts = facets(scored).select(
+    counts = facets(scored).where(F.col("part") != PART_TOTAL).select(
         "part", "pos", F.coalesce(F.col("user_age").cast("string"), "user_gender").alias("name"), F.col("cnt").cast("double").alias("value"))
+    # Grouping sets give no total of no rows.
+    whole = total(scored).select(F.lit(PART_TOTAL).alias("part"), F.lit(1).alias("pos"), F.lit(None).cast("string").alias("name"),
+                                 F.col("total").cast("double").alias("value"))
     first = (page - 1) * size
     # At most one page of rows, so the window holds no more.
     order = Window.orderBy(F.desc("score"), F.asc("doc_id"))
     hits_ = ranked_page(scored, page, size).select(
         F.lit(PART_HIT).alias("part"), (F.row_number().over(order) + first).alias("pos"), F.col("doc_id").alias("name"),
         F.round("score", SCORE_DIGITS).alias("value"))
-    return counts.unionByName(hits_)
+    return whole.unionByName(counts).unionByName(hits_)
 
 
 def age_gender_shares(found: DataFrame) -> DataFrame:
