@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import sales, search, ttl_join
 from tidewater.plans import catalog
 from tidewater.session import scratch_path
+from tidewater.sinks import postings
 from tidewater.sources import fixtures as fx
 from tidewater.sources.streams import table_stream
 from tidewater.sources.tables import Tables
@@ -156,3 +157,17 @@ def test_documents_are_not_shuffled_again_after_the_order_join(spark):
 def test_an_answer_without_hits_has_its_total(spark):
     none = spark.createDataFrame([], "doc_id string, user_age int, user_gender string, score double")
     assert [tuple(r) for r in search.answer_parts(none, 1, 5).collect()] == [("total", 1, None, 0.0)]
+
+
+def test_postings_of_a_large_batch_are_in_more_files(spark, monkeypatch):
+    """The files of a term that all documents have grow in number with the batch, not in size."""
+    monkeypatch.setattr(postings, "DOCS_A_FILE", 10)
+    path = scratch_path(spark, "index")
+    batch = spark.range(200).select(F.concat(F.lit("d"), "id").alias("doc_id"), F.lit("red red ring").alias("text"), F.lit(1).alias("version"))
+    postings.append_documents(batch.unionByName(batch.where("doc_id = 'd7'")), path, 0)
+    found = postings.postings(spark, path, ["red"])
+    assert found.count() == 200 and {r["tf"] for r in found.where("doc_id <> 'd7'").collect()} == {2}
+    assert spark.read.parquet(f"{path}/terms").where("term = 'red'").count() == 200
+    assert postings._files(0) == postings.FILES_A_BUCKET and postings._files(201) == 21
+    dealt = postings._dealt(batch.withColumn("bucket", F.lit(0)), "doc_id", 21)
+    assert dealt.select("slot").distinct().count() == 21

@@ -25,8 +25,10 @@ from tidewater.functions import token_list
 from tidewater.sinks.upsert import _exists
 
 BUCKETS = 64
-# Rows of a batch go to each bucket in about this many files.
+# Rows of a batch go to each bucket in about this many files, more if the batch has more documents than
+# a file should have rows of one term.
 FILES_A_BUCKET = 2
+DOCS_A_FILE = 500_000
 
 
 def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
@@ -37,9 +39,13 @@ def _bucket(term: str, buckets: int) -> int:
     return zlib.crc32(term.encode()) % buckets
 
 
-def _dealt(rows: DataFrame, key: str) -> DataFrame:
-    """A bucket's rows in few files; a term that most documents have is split by document."""
-    return rows.repartition("bucket", F.pmod(F.hash(key), F.lit(FILES_A_BUCKET)))
+def _files(docs: int) -> int:
+    return max(FILES_A_BUCKET, -(-docs // DOCS_A_FILE))
+
+
+def _dealt(rows: DataFrame, key: str, files: int) -> DataFrame:
+    """A bucket's rows in few files (``slot``); a term that most documents have is split by document."""
+    return rows.withColumn("slot", F.pmod(F.hash(key), F.lit(files))).repartition("bucket", "slot")
 
 
 def append_documents(batch: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS,
@@ -59,16 +65,18 @@ def append_documents(batch: DataFrame, path: str, batch_id: int, buckets: int =
         new = new.select("*", F.lit(None).cast("array<string>").alias("old_terms"), F.lit(None).cast("int").alias("old_length"))
     new = new.persist()
     try:
-        if new.isEmpty():
+        count = new.count()
+        if not count:
             return
-        _write_postings(new, path, batch_id, buckets)
+        files = _files(count)
+        _write_postings(new, path, files, buckets)
         docs = new.select("doc_id", "version", F.array_distinct("words").alias("terms"), F.size("words").alias("length"),
                           F.lit(batch_id).cast("long").alias("batch"), "bucket")
         stats = new.agg(
             F.count(F.when(F.col("old_length").isNull(), 1)).alias("docs"),
             F.sum(F.size("words") - F.coalesce("old_length", F.lit(0))).cast("long").alias("length"))
         stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats/batch={int(batch_id)}")
-        _dealt(docs, "doc_id").write.mode("append").partitionBy("bucket").parquet(f"{path}/docs")
+        _dealt(docs, "doc_id", files).drop("slot").write.mode("append").partitionBy("bucket").parquet(f"{path}/docs")
     finally:
         new.unpersist()
 
@@ -82,15 +90,18 @@ def _known(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
         F.col("x.length").alias("old_length"))
 
 
-def _write_postings(new: DataFrame, path: str, batch_id: int, buckets: int) -> None:
-    words = new.select("doc_id", "version", F.size("words").alias("length"), F.explode("words").alias("term"))
-    held = words.groupBy("term", "doc_id", "version", "length").agg(F.count(F.lit(1)).alias("tf"))
+def _write_postings(new: DataFrame, path: str, files: int, buckets: int) -> None:
+    words = new.select("doc_id", "version", F.size("words").alias("length"), "words", F.explode(F.array_distinct("words")).alias("term"))
+    held = words.select("term", "doc_id", "version", "length",
+                        F.size(F.filter("words", lambda w: w == F.col("term"))).cast("long").alias("tf"))
     gone = new.where("old_terms is not null").select(
         F.explode(F.array_except("old_terms", "words")).alias("term"), "doc_id", "version", F.size("words").alias("length"),
         F.lit(0).cast("long").alias("tf"))
-    rows = held.unionByName(gone).select(
-        "term", "doc_id", F.col("tf").cast("int").alias("tf"), "length", "version", bucket_of(F.col("term"), buckets).alias("bucket"))
-    _dealt(rows, "doc_id").sortWithinPartitions("bucket", "term").write.mode("append").partitionBy("bucket").parquet(f"{path}/terms")
+    # A row a term and document crosses one shuffle, that of its bucket's files; equal ones are added up there.
+    dealt = _dealt(held.unionByName(gone).withColumn("bucket", bucket_of(F.col("term"), buckets)), "doc_id", files)
+    rows = dealt.groupBy("bucket", "slot", "term", "doc_id", "version", "length").agg(F.sum("tf").cast("int").alias("tf"))
+    rows.select("term", "doc_id", "tf", "length", "version", "bucket").sortWithinPartitions("bucket", "term").write.mode(
+        "append").partitionBy("bucket").parquet(f"{path}/terms")
 
 
 def postings(spark: SparkSession, path: str, terms: list[str], buckets: int = BUCKETS) -> DataFrame:
