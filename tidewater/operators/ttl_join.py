@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.sales import JOIN_WAIT_SECONDS
+from tidewater.plans.strategy import broadcast_if_few
 
 
 def gap_ms(ttl_seconds: int) -> int:
@@ -43,7 +44,8 @@ def _lives(arrivals: DataFrame, ttl_seconds: int) -> DataFrame:
 def open_rows(arrivals: DataFrame, upto: int, ttl_seconds: int = JOIN_WAIT_SECONDS) -> DataFrame:
     """The arrivals of sessions that are not over at ``upto`` (milliseconds)."""
     recent = arrivals.where(F.unix_millis("ts") + gap_ms(ttl_seconds) > upto).select(F.col("order_id").alias("_id")).distinct()
-    near = arrivals.join(recent, F.col("order_id") == F.col("_id"), "left_semi")
+    # Usually the orders of the last minutes: then the arrivals are not shuffled to find theirs.
+    near = arrivals.join(broadcast_if_few(recent), F.col("order_id") == F.col("_id"), "left_semi")
     left = _lives(near, ttl_seconds).where(F.col("over_ms") > upto)
     return left.select("order_id", F.inline("rows")).select(*arrivals.columns)
 

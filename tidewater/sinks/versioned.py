@@ -32,21 +32,23 @@ def append_versions(batch: DataFrame, path: str, partition_col: str) -> None:
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], version: str, keep: str = "max",
-                where=None, null_is_key: bool = False) -> DataFrame:
+                where=None, null_is_key: bool = False, columns=None) -> DataFrame:
     """The table as of now: newest (``keep="min"``: oldest) row per key.
 
     ``where`` (a Column on the partition column) prunes partitions before
     the dedup.  Rows with a null key are kept, equal ones once; with
-    ``null_is_key`` null is a key value like any other (an unknown device).
+    ``null_is_key`` null is a key value like any other (an unknown device).  ``columns``: those of
+    the result (all), keys among them; the version crosses the shuffle once more if it is one.
     """
     table = spark.read.parquet(path)
     if where is not None:
         table = table.where(where)
+    columns = list(columns or table.columns)
     if null_is_key:
-        return latest_per_key(table, keys, version, keep).select(*table.columns)
+        return latest_per_key(table, keys, version, keep, columns).select(*columns)
     keyed = table.where(~_any_null(keys))
-    resolved = latest_per_key(keyed, keys, version, keep).select(*table.columns)
-    return resolved.unionByName(table.where(_any_null(keys)).distinct())
+    resolved = latest_per_key(keyed, keys, version, keep, columns).select(*columns)
+    return resolved.unionByName(table.where(_any_null(keys)).distinct().select(*columns))
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], version: str, partition_col: str,

@@ -68,4 +68,4 @@ def run_ttl_join(spark: SparkSession, feed: str, run: StreamRun | None = None, t
 
 def read_pairs(spark: SparkSession, run: StreamRun, where=None) -> DataFrame:
     """One row a document, of its order's last write."""
-    return read_latest(spark, run.table, ["doc_id"], "_version", where=where).select(*PAIR_COLUMNS)
+    return read_latest(spark, run.table, ["doc_id"], "_version", where=where, columns=PAIR_COLUMNS)

@@ -453,8 +453,7 @@ def run_sale_upsert(spark: SparkSession, sf_dir: str, asof: str, run: StreamRun
 
 
 def read_sale_table(spark: SparkSession, run: StreamRun, where=None) -> DataFrame:
-    table = read_latest(spark, run.table, ["doc_id"], "_version", where=where)
-    return table.select("doc_id", *sale_ops.SALE_COLUMNS)
+    return read_latest(spark, run.table, ["doc_id"], "_version", where=where, columns=("doc_id", *sale_ops.SALE_COLUMNS))
 
 
 # --- intake ---------------------------------------------------------------------------------
