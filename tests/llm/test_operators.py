@@ -343,6 +343,35 @@ def test_filter_past_the_broadcast_bound(spark):
     assert sum(off) / len(off) < 0.02 and max(off) < 0.1
 
 
+def test_packed_numbers():
+    import numpy as np
+
+    for values in ([], [0], [7, 7, 300], [5, 1 << 40, (1 << 63) + 9], range(0, 1 << 52, 1 << 42)):
+        values = np.array(values, np.uint64)
+        assert (bloom_lm.unpacked_sorted(bloom_lm.packed_sorted(values)) == values).all()
+        assert (bloom_lm.unpacked_ints(bloom_lm.packed_ints(values[::-1])) == values[::-1]).all()
+
+
+def test_filter_in_parts_moves_texts_once(spark, monkeypatch):
+    """Texts are not written again, and are dealt only by chunk."""
+    import zlib
+
+    rows = [(i, " ".join(f"w{(i * 31 + j * j * 7) % 999}" for j in range(60)), None, None) for i in range(400)]
+    plans, written = {}, bloom_lm.written
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(bloom_lm, "written", noted)
+    got = {r["doc_id"]: r for r in bloom_lm.score_texts(docs_of(spark, rows), max_bytes=2048).collect()}
+    assert set(plans) == {"word-counts", "filter", "scored-texts"}
+    assert "FlatMapCoGroupsInArrow" in plans["scored-texts"]
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 7 == 2) for i, r in got.items()) and len(got) == 400
+    whole = {r["doc_id"]: r["score"] for r in bloom_lm.score_texts(docs_of(spark, rows)).collect()}
+    assert {i: r["score"] for i, r in got.items()} == pytest.approx(whole)
+
+
 # --- 7 -------------------------------------------------------------------------
 
 def plain_distance(a, b):

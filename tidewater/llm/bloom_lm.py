@@ -12,9 +12,10 @@ segment (a part of the hash space); a segment's rows are merged and give the
 bits of that segment of the filter, sized for the keys (n-gram, level) counted in it:
 ``BITS_PER_KEY`` bits each, so a probe for a missing key is wrong in about 1.4 % of
 cases at every input size.  A filter of up to ``MAX_FILTER_BYTES`` is broadcast.  A
-larger one stays a table: texts are cut into chunks, a chunk's different n-grams go
-packed to the parts of the filter (up to ``PART_BYTES`` each), are read there, and
-their levels go back to the chunk, which is then scored in the same way.
+larger one stays a table: texts are packed into chunks and cross one shuffle, by chunk;
+a chunk's different n-grams go packed to the parts of the filter (up to ``PART_BYTES``
+each), are read there, and their levels go back to the chunk, which is then scored in
+the same way.
 
 Exact counts of the words (for ``base_score``) are a table.  The most frequent
 ``HEAD_WORDS`` are broadcast; a document's other words are summed in the document,
@@ -29,8 +30,8 @@ are ignored.
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,14 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import written
-from tidewater.llm.hashing import U, combine, mix, slices, words_of
+from tidewater.llm.hashing import U, combine, mix, slices, sorted_distinct, words_of
 from tidewater.llm.quality_classifier import held_out
 
-MAX_FILTER_BYTES = 64 << 20
-PART_BYTES = 16 << 20
+MAX_FILTER_BYTES = 1 << 20
+PART_BYTES = 4 << 20
 BITS_PER_KEY = 16
 # Texts of a chunk, where the filter is read in parts.
 CHUNK_BYTES = 8 << 20
+# Bytes of text whose tokens are worked on at once.
+TOKEN_SLICE = 1 << 20
 HEAD_WORDS = 300_000
 PROBES = 2
 MAX_LEVEL = 40
@@ -56,6 +59,8 @@ END = U(0x51ED270B0A1F39C1)  # the end's hash, in place of a word's
 START = U(0x2545F4914F6CDD1D)
 # A task's counts are sent on when they have this many different n-grams.
 FLUSH = 3_000_000
+# N-grams that are read from a part of the filter at once.
+READ_AT_ONCE = 1_000_000
 
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,59 +84,80 @@ def pair_hashes(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, where = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(where, weights=counts, minlength=len(unique)).astype(np.int64)
+    """The different keys, sorted, and the sums of their counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(counts[order], first).astype(np.int64) if len(first) else np.zeros(0, np.int64)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to (word, n): token hashes and counts, summed over parts of a task."""
-    keys, counts = np.zeros(0, U), np.zeros(0, np.int64)
+def packed_ints(values: np.ndarray) -> bytes:
+    """Numbers from 0, compressed byte by byte: all lowest bytes, then all next ones."""
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<BI", width, len(values)) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_ints(data: bytes) -> np.ndarray:
+    width, n = struct.unpack_from("<BI", data)
+    out = np.zeros((n, 8), np.uint8)
+    planes = pa.decompress(data[5:], decompressed_size=width * n, codec="zstd", asbytes=True)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def packed_sorted(values: np.ndarray) -> bytes:
+    """Sorted numbers as their differences."""
+    return packed_ints(np.diff(values, prepend=U(0)))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_ints(data), dtype=U)
 
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
+def _counted(
+    batches: Iterator[pa.RecordBatch], keys_of: Callable[[pa.Array], np.ndarray],
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Different keys of a task's texts and their counts, in one lot or, past ``FLUSH`` keys, several."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
     for batch in batches:
-        for part in slices(batch):
-            own, n = np.unique(tokens_of(part.column(0))[0], return_counts=True)
-            keys, counts = _summed(np.concatenate((keys, own)), np.concatenate((counts, n)))
-            if len(keys) > FLUSH:
-                yield rows()
-                keys, counts = np.zeros(0, U), np.zeros(0, np.int64)
-    if len(keys):
-        yield rows()
+        for part in slices(batch, size=TOKEN_SLICE):
+            parts.append(np.unique(keys_of(part.column(0)), return_counts=True))
+            size += len(parts[-1][0])
+            if size > FLUSH:
+                parts = [_summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                size = len(parts[0][0])
+                if size > FLUSH // 2:
+                    yield parts[0]
+                    parts, size = [], 0
+    if parts:
+        yield _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to (word, n): token hashes and counts, summed over parts of a task."""
+    for keys, counts in _counted(batches, lambda texts: tokens_of(texts)[0]):
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
 
 def _segments(n_bits: int):
     """Texts to (segment, keys, counts): n-grams by segment, packed."""
     shift = U(64 - n_bits)
 
-    def pack(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cuts = np.searchsorted(keys >> shift, np.arange((1 << n_bits) + 1)) if n_bits else np.array([0, len(keys)])
-        rows = [(s, keys[a:b], counts[a:b]) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-        for at in range(0, len(rows), 64):
-            part = rows[at:at + 64]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([s for s, _, _ in part], pa.int32()),
-                # 32 bits after the segment's: together they tell n-grams apart.
-                pa.array([((k >> (shift - U(32))) & U(0xFFFFFFFF)).astype(np.uint32).tobytes() for _, k, _ in part], pa.binary()),
-                pa.array([zlib.compress(np.minimum(c, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1) for _, _, c in part], pa.binary()),
-            ], names=["segment", "keys", "counts"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-        for batch in batches:
-            for part in slices(batch):
-                tokens, offsets = tokens_of(part.column(0))
-                keys, counts = np.unique(
-                    np.concatenate((mix(tokens, 30), pair_hashes(tokens, offsets))), return_counts=True)
-                parts.append((keys, counts))
-                size += len(keys)
-                if size > FLUSH:
-                    yield from pack(*_summed(*(np.concatenate(x) for x in zip(*parts, strict=True))))
-                    parts, size = [], 0
-        if parts:
-            yield from pack(*_summed(*(np.concatenate(x) for x in zip(*parts, strict=True))))
+        for keys, counts in _counted(batches, lambda texts: _ngrams(*tokens_of(texts))):
+            cuts = np.searchsorted(keys >> shift, np.arange((1 << n_bits) + 1)) if n_bits else np.array([0, len(keys)])
+            # 32 bits after the segment's: together they tell n-grams apart.
+            keys, counts = (keys >> (shift - U(32))) & U(0xFFFFFFFF), np.minimum(counts, 0xFFFFFFFF)
+            rows = [(s, a, b) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            for at in range(0, len(rows), 64):
+                part = rows[at:at + 64]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([s for s, _, _ in part], pa.int32()),
+                    pa.array([packed_sorted(keys[a:b]) for _, a, b in part], pa.binary()),
+                    pa.array([packed_ints(counts[a:b]) for _, a, b in part], pa.binary()),
+                ], names=["segment", "keys", "counts"])
 
     return run
 
@@ -176,8 +202,8 @@ def _filter_bits():
                     yield segment()
                     keys, counts = [], []
                 now = s
-                keys.append(np.frombuffer(k, np.uint32))
-                counts.append(np.frombuffer(zlib.decompress(c), np.uint32))
+                keys.append(unpacked_sorted(k))
+                counts.append(unpacked_ints(c))
         if keys:
             yield segment()
 
@@ -248,10 +274,8 @@ def _ngrams(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _chunk_keys(rows: pa.RecordBatch, column: int) -> np.ndarray:
     """The different n-grams of a chunk, sorted."""
-    return np.unique(np.concatenate([np.unique(_ngrams(*tokens_of(part.column(column)))) for part in slices(rows)]))
-
-
-_CHUNK = "chunk long, part int, keys binary, segments binary, docs binary"
+    return sorted_distinct(np.concatenate(
+        [sorted_distinct(_ngrams(*tokens_of(part.column(column)))) for part in slices(rows, size=TOKEN_SLICE)]))
 
 
 def _packed(rows: pa.RecordBatch) -> bytes:
@@ -266,86 +290,90 @@ def _unpacked(docs: pa.Scalar) -> pa.RecordBatch:
     return pa.ipc.open_stream(docs.as_buffer()).read_next_batch()
 
 
-def _chunks(n_bits: int, part_bits: int):
-    """(doc_id, held_out, text, text_key) to chunks of whole rows, each a number: a row
-    of the packed texts (part -1), and the chunk's different n-grams by part of the filter, as
-    the 32 bits that follow the segment's and the number in each of the part's segments."""
-    n_parts, low = 1 << part_bits, U(32 - n_bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for rows in slices(batch, size=CHUNK_BYTES):
-                keys = _chunk_keys(rows, 2)
-                cuts = np.searchsorted(keys >> U(64 - n_bits), np.arange((1 << n_bits) + 1))
-                in_segment = np.diff(cuts).astype(np.uint32).reshape(n_parts, -1)
-                cuts = cuts[::in_segment.shape[1]]
-                lows = ((keys >> low) & U(0xFFFFFFFF)).astype(np.uint32)
-                own = [p for p in range(n_parts) if cuts[p + 1] > cuts[p]]
-                columns = [
-                    pa.array([chunk] * (1 + len(own)), pa.int64()), pa.array([-1, *own], pa.int32()),
-                    pa.array([None, *[lows[cuts[p]:cuts[p + 1]].tobytes() for p in own]], pa.binary()),
-                    pa.array([None, *[zlib.compress(in_segment[p].tobytes(), 1) for p in own]], pa.binary()),
-                    pa.array([_packed(rows), *[None] * len(own)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "part", "keys", "segments", "docs"])
-                chunk += 1
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, held_out, text, text_key) to chunks of whole rows, each a number and the packed rows."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for rows in slices(batch, size=CHUNK_BYTES):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([_packed(rows)], pa.binary())], names=["chunk", "docs"])
+            chunk += 1
+
+
+def _asked(n_bits: int, part_bits: int):
+    """A chunk (chunk, docs) to its different n-grams by part of the filter: (part, chunk, keys),
+    of each n-gram the bits of the segment in the part and the 32 that follow."""
+    low, in_part = U(32 - n_bits), U(32 + n_bits - part_bits)
+
+    def run(chunk: pa.Table) -> pa.Table:
+        keys = _chunk_keys(_unpacked(chunk.column("docs")[0]), 2) >> low
+        part = keys >> in_part
+        own = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        keys &= (U(1) << in_part) - U(1)
+        cuts = [*own.tolist(), len(keys)]
+        return pa.table([
+            pa.array(part[own].astype(np.int32)), pa.array([chunk.column("chunk")[0].as_py()] * len(own), pa.int64()),
+            pa.array([packed_sorted(keys[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+            names=["part", "chunk", "value"])
 
     return run
 
 
 def _read_levels(n_bits: int, part_bits: int):
-    """Rows (part, segment, null, bits) of the filter, then (part, null, chunk, keys,
-    segments), by part, to (chunk, part, levels)."""
+    """Rows (part, segment, null, bits) of the filter, then (part, null, chunk, keys), by
+    part, to (chunk, part, levels)."""
     n = 1 << (n_bits - part_bits)
-    shift = U(64 - n_bits)
+    low, in_part = U(32 - n_bits), U(32 + n_bits - part_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows, table = None, {}, None
+        held: list[tuple[int, np.ndarray]] = []
+
+        def read() -> Iterator[pa.RecordBatch]:
+            """The levels of a part's n-grams, of several chunks at once."""
+            nonlocal table, rows
+            if not held:
+                return
+            if table is None:
+                table, rows = _joined(rows, n_bits, now * n, n), {}
+            keys = np.concatenate([k for _, k in held])
+            found = table.level((keys | (U(now) << in_part)) << low)
+            cuts = np.cumsum([0, *(len(k) for _, k in held)]).tolist()
+            yield pa.RecordBatch.from_arrays([
+                pa.array([c for c, _ in held], pa.int64()), pa.array([now] * len(held), pa.int32()),
+                pa.array([packed_ints(found[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+                names=["chunk", "part", "levels"])
+            held.clear()
+
         for batch in batches:
-            out = []
+            size = 0
             for i, part in enumerate(batch.column(0).to_pylist()):
                 if part != now:
-                    now, rows, table = part, {}, None
+                    yield from read()
+                    now, rows, table, size = part, {}, None, 0
                 chunk, value = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
                 if chunk is None:
                     rows[batch.column(1)[i].as_py()] = value
                 else:
-                    if table is None:
-                        table, rows = _joined(rows, n_bits, part * n, n), {}
-                    counts = np.frombuffer(zlib.decompress(batch.column(4)[i].as_py()), np.uint32)
-                    segment = np.repeat(np.arange(part * n, part * n + n, dtype=U), counts)
-                    keys = (segment << shift) | (np.frombuffer(value, np.uint32).astype(U) << (shift - U(32)))
-                    out.append((chunk, part, zlib.compress(table.level(keys).tobytes(), 1)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                    names=["chunk", "part", "levels"])
+                    held.append((chunk, unpacked_sorted(value)))
+                    size += len(held[-1][1])
+                    if size > READ_AT_ONCE:
+                        yield from read()
+                        size = 0
+            yield from read()
 
     return run
 
 
-def _score_chunks(shared):
-    """A chunk's levels, by part, and then its rows, to what ``_document_rows`` gives."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, read, docs = None, [], None
-
-        def finish() -> Iterator[pa.RecordBatch]:
-            if docs is not None:
-                rows = _unpacked(docs)
-                keys, found = _chunk_keys(rows, 2), np.frombuffer(b"".join(read), np.int8)
-                for part in slices(rows):
-                    yield _scored(part, *shared.value, lambda k: found[np.searchsorted(keys, k)])
-
-        for batch in batches:
-            for i, (chunk, part) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                if chunk != now:
-                    yield from finish()
-                    now, read, docs = chunk, [], None
-                if part >= 0:
-                    read.append(zlib.decompress(batch.column(2)[i].as_py()))
-                else:
-                    docs = batch.column(3)[i]
-        yield from finish()
+def _score_chunk(shared):
+    """A chunk (chunk, docs) and its levels (chunk, part, levels) to what ``_document_rows`` gives."""
+    def run(chunk: pa.Table, levels: pa.Table) -> pa.Table:
+        rows = _unpacked(chunk.column("docs")[0])
+        read = levels.column("levels").to_pylist()
+        found = np.concatenate([unpacked_ints(read[i]).astype(np.int8) for i in np.argsort(levels.column("part").to_numpy())])
+        keys = _chunk_keys(rows, 2)
+        return pa.Table.from_batches([
+            _scored(part, *shared.value, lambda k: found[np.searchsorted(keys, k)]) for part in slices(rows, size=TOKEN_SLICE)])
 
     return run
 
@@ -353,18 +381,16 @@ def _score_chunks(shared):
 def scored_in_parts(texts: DataFrame, table: DataFrame, n_bits: int, n_bytes: int, part_bytes: int, shared, schema: str) -> DataFrame:
     """``texts`` scored with a filter that stays a table of ``n_bytes``."""
     part_bits = int(min(max(np.ceil(np.log2(n_bytes / part_bytes)), 1), n_bits))
-    chunks = written(texts.mapInArrow(_chunks(n_bits, part_bits), _CHUNK), "chunks")
+    # The texts' one shuffle, by chunk: n-grams are taken behind it, and it is read again to score.
+    chunks = texts.mapInArrow(_chunks, "chunk long, docs binary").groupBy("chunk")
+    asked = chunks.applyInArrow(_asked(n_bits, part_bits), "part int, chunk long, value binary")
     bits = table.select(
-        F.shiftright("segment", n_bits - part_bits).alias("part"), "segment", F.lit(None).cast("long").alias("chunk"), F.col("bits").alias("value"),
-        F.lit(None).cast("binary").alias("segments"))
-    asked = chunks.where("part >= 0").select("part", F.lit(None).cast("int").alias("segment"), "chunk", F.col("keys").alias("value"), "segments")
+        F.shiftright("segment", n_bits - part_bits).alias("part"), "segment", F.lit(None).cast("long").alias("chunk"), F.col("bits").alias("value"))
     # The filter's rows (null chunk) come first.
-    read = bits.unionByName(asked).repartition("part").sortWithinPartitions("part", "chunk").mapInArrow(
+    together = bits.unionByName(asked.select("part", F.lit(None).cast("int").alias("segment"), "chunk", "value"))
+    read = together.repartition("part").sortWithinPartitions("part", "chunk").mapInArrow(
         _read_levels(n_bits, part_bits), "chunk long, part int, levels binary")
-    back = read.select("chunk", "part", "levels", F.lit(None).cast("binary").alias("docs"))
-    rows = chunks.where("part < 0").select("chunk", "part", F.lit(None).cast("binary").alias("levels"), "docs")
-    together = back.unionByName(rows).repartition("chunk").sortWithinPartitions("chunk", F.col("part") < 0, "part")
-    return together.mapInArrow(_score_chunks(shared), schema)
+    return chunks.cogroup(read.groupBy("chunk")).applyInArrow(_score_chunk(shared), schema)
 
 
 def _scored(part: pa.RecordBatch, head, head_counts, n: int, v: int, level_of) -> pa.RecordBatch:
@@ -401,7 +427,7 @@ def _document_rows(shared, table):
     """Texts scored with a broadcast filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=TOKEN_SLICE):
                 yield _scored(part, *shared.value, table.value.level)
 
     return run
