@@ -157,6 +157,23 @@ def test_ngram_join_against_all_pairs(spark, k, percent):
     assert got == brute_classes(rows, k, percent)
 
 
+def test_ngram_join_deals_tokens_once(spark, monkeypatch):
+    """Prefix tokens cross one shuffle, and what is left of them is written."""
+    plans, written = {}, ngram_join.written
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(ngram_join, "written", noted)
+    base = sentence(5, 60)
+    # Sets of the same tokens in part, of sizes that can and can't link; more than 64 copies that differ at the end.
+    rows = [(i, base + f" end{i}", None, None) for i in range(80)] + [(80, base[:60], None, None), (81, sentence(6, 9), None, None)]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link_classes(docs_of(spark, rows), 3, 90).collect()}
+    assert got == {i: 0 if i < 80 else i for i in range(82)}
+    assert plans["shared-tokens"].count("hashpartitioning(token") == 1
+
+
 def test_ngram_join_odd_rows(odd, empty):
     got = ngram_join.link_classes(odd, 3, 90).collect()
     assert len(got) == odd.count()

@@ -53,7 +53,6 @@ MIN_SKETCH_BITS, MAX_SKETCH_BITS = 12, 25
 # A sketch cell this many times as full as the average marks frequent tokens.
 FREQUENT = 3
 CELLS_PER_BLOCK = 1 << 12
-SMALL_GROUP = 64
 GROUP_BLOCK = 512
 CLUSTER_BLOCK = 192
 MAX_ODD_BITS = 1 << 14
@@ -298,17 +297,14 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             F.min("doc_id").alias("rep"), F.min_by("prefix", "doc_id").alias("prefix"), F.min_by("sketch", "doc_id").alias("sketch")),
         "shingle-classes")
 
-    # Tokens that stand in the prefixes of several representatives.
-    token_rows = classes.select(F.explode("prefix").alias("token"), F.col("rep").alias("doc_id"), "n")
-    groups = token_rows.groupBy(F.col("token").alias("shared")).agg(F.count(F.lit(1)).alias("n_reps")).where("n_reps > 1")
-    # In a small group, rows without a neighbour of a size that could link go.
+    # Prefix tokens with a neighbour of a size that could link in their token's group: the others link nothing through it.
+    # One shuffle and one sort of the tokens; few are left, which are kept.
     by_size = Window.partitionBy("token").orderBy("n")
-    small = token_rows.join(groups.where(F.col("n_reps") <= SMALL_GROUP), F.col("token") == F.col("shared"))
+    token_rows = classes.select(F.explode("prefix").alias("token"), F.col("rep").alias("doc_id"), "n")
     close = (F.coalesce(F.lag("n").over(by_size) * 100 >= F.col("n") * percent, F.lit(False))
              | F.coalesce(F.col("n") * 100 >= F.lead("n").over(by_size) * percent, F.lit(False)))
-    small = small.withColumn("_close", close).where("_close").select("token", "doc_id")
-    large = token_rows.join(groups.where(F.col("n_reps") > SMALL_GROUP), F.col("token") == F.col("shared")).select("token", "doc_id")
-    dealt = in_blocks(small.unionByName(large), "token", "doc_id", GROUP_BLOCK)
+    shared = written(token_rows.withColumn("_close", close).where("_close").select("token", "doc_id"), "shared-tokens")
+    dealt = in_blocks(shared, "token", "doc_id", GROUP_BLOCK)
     rows = dealt.join(classes.select(F.col("rep"), "n", "sketch"), F.col("doc_id") == F.col("rep"))
     links_schema = f"a {kind}, b {kind}"
     forest = per_block_pair(
