@@ -406,6 +406,28 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == plain_distance(a, b)
 
 
+def test_simhash_and_places_plainly():
+    """Of lines around the 127 words whose votes one byte counts, and of empty lines and texts."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidewater.llm.hashing import mix, sorted_distinct
+
+    texts = ["", "\n" + " ".join(["same"] * 400) + "\n\n", None, sentence(3, 126) + "\n" + sentence(4, 127) + "\nshort\n" + sentence(5, 255)]
+    found = line_dedup.line_rows(pa.record_batch([pa.array([1, 2, 3, 4]), pa.array(texts)], names=["doc_id", "text"])).to_pylist()
+    assert [(r["doc_id"], r["place"]) for r in found] == [(2, 1), (4, 0), (4, 1), (4, 3)]
+    hashes = mix(np.arange(700, dtype=np.uint64), 5)
+    counts = np.array([1, 126, 127, 128, 318])
+    first = np.cumsum(counts) - counts
+    for got, at, n in zip(line_dedup.simhash(hashes, first, counts), first, counts, strict=True):
+        own = hashes[at:at + n]
+        grams = [int(h) for h in mix(own, 11)] + [int(h) for h in line_dedup.combine([own[:-1], own[1:]], 12)]
+        assert int(got) == sum(1 << b for b in range(64) if 2 * sum(g >> b & 1 for g in grams) > len(grams))
+    # Sorting names the same values as np.unique, without a hash table.
+    values = np.concatenate((hashes, hashes[::3]))
+    assert (sorted_distinct(values) == np.unique(values)).all() and not len(sorted_distinct(values[:0]))
+
+
 @pytest.mark.parametrize("limits", [{}, {"part_rows": 50, "most": 40}, {"part_rows": 50, "block": 20}])
 def test_near_sims_against_all_pairs(spark, limits):
     import random

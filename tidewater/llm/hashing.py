@@ -39,9 +39,12 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """Finaliser of splitmix64: spreads every input bit over the output."""
     with np.errstate(over="ignore"):
         x = x + U((0x9E3779B97F4A7C15 * (2 * salt + 1)) & 0xFFFFFFFFFFFFFFFF)
-        x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-        return x ^ (x >> U(31))
+        x ^= x >> U(30)
+        x *= U(0xBF58476D1CE4E5B9)
+        x ^= x >> U(27)
+        x *= U(0x94D049BB133111EB)
+        x ^= x >> U(31)
+        return x
 
 
 def sorted_distinct(x: np.ndarray) -> np.ndarray:
@@ -144,7 +147,9 @@ def combine(parts: list[np.ndarray], salt: int = 0) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = mix(parts[0], salt)
         for p in parts[1:]:
-            out = mix(out * U(0xD6E8FEB86659FD93) + p, salt)
+            out *= U(0xD6E8FEB86659FD93)
+            out += p
+            out = mix(out, salt)
         return out
 
 

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import broadcast_if_counted, free_name, written
 from tidewater.llm.graph import Forest, components, in_blocks, per_block_pair, row_codes
-from tidewater.llm.hashing import _P, _P_INV, U, _power_table, combine, lower_ascii, mix, run_hashes, runs, slices, text_bytes
+from tidewater.llm.hashing import _P, _P_INV, U, _power_table, combine, lower_ascii, mix, run_hashes, runs, slices, sorted_distinct, text_bytes
 
 MIN_WORDS = 5
 MAX_BITS = 3
@@ -175,7 +175,7 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         return None
     hashes = run_hashes(data, starts, ends)
     # Lines: cut after each line feed and at each text's start.
-    line_starts = np.unique(np.concatenate((offsets[:-1], np.flatnonzero(data == 10) + 1)))
+    line_starts = sorted_distinct(np.concatenate((offsets[:-1], np.flatnonzero(data == 10) + 1)))
     of_line = np.searchsorted(line_starts, starts, side="right") - 1
     first = np.flatnonzero(np.concatenate(([True], of_line[1:] != of_line[:-1])))
     counts = np.diff(np.append(first, len(starts)))
@@ -193,9 +193,8 @@ def line_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         pa.binary(), len(key_cuts) - 1, [None, pa.py_buffer(key_cuts.astype(np.int32)), pa.py_buffer(keys)])
     lines = of_line[first][big]
     doc = np.searchsorted(offsets, line_starts[lines], side="right") - 1
-    # Place of a line in its text: line feeds before it.
-    feeds = np.concatenate(([0], np.cumsum(data == 10)))
-    place = feeds[line_starts[lines]] - feeds[offsets[doc]]
+    # Place of a line in its text: the text's lines before it.
+    place = lines - np.searchsorted(line_starts, offsets[doc])
     return pa.RecordBatch.from_arrays(
         [batch.column(0).take(pa.array(doc)), pa.array(place, pa.int32()), pa.array(h1[big].view(np.int64)),
          pa.array(h2[big].view(np.int64)), pa.array(sims[big].view(np.int64)), packed],
@@ -227,28 +226,21 @@ _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder
 def simhash(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """64-bit SimHash of each run of words: a bit is set if it is set in more than
     half of the hashes of the run's words and word pairs."""
-    # Runs are summed in parts of up to 255 words: eight counters of a byte each in
-    # one 64-bit sum per byte of the hashes.
-    parts = np.flatnonzero((np.arange(len(hashes)) - np.repeat(first, counts)) % 255 == 0)
-    run_parts = np.searchsorted(parts, first)
-
-    def votes(h: np.ndarray) -> np.ndarray:
-        columns = h.view(np.uint8).reshape(-1, 8)
-        sums = np.empty((len(parts), 64), np.uint8)
-        for b in range(8):
-            lanes = np.add.reduceat(_LANES[columns[:, b]], parts)
-            sums[:, 8 * b:8 * b + 8] = lanes.view(np.uint8).reshape(-1, 8)
-        return np.add.reduceat(sums.astype(np.int32), run_parts, axis=0)
-
-    total = votes(mix(hashes, 11))
     pairs = np.zeros_like(hashes)
     if len(hashes) > 1:
         pairs[:-1] = combine([hashes[:-1], hashes[1:]], 12)
-    last = first + counts - 1
-    pair_votes = votes(pairs)
-    # The last word's pair crosses into the next line: take its votes back.
-    pair_votes -= np.unpackbits(pairs[last].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    total += pair_votes
+    # The last word's pair would cross into the next line.
+    pairs[first + counts - 1] = 0
+    # Runs are summed in parts of up to 127 words and as many pairs: eight counters of a byte each in
+    # one 64-bit sum per byte of the hashes.
+    parts = np.flatnonzero((np.arange(len(hashes)) - np.repeat(first, counts)) % 127 == 0)
+    run_parts = np.searchsorted(parts, first)
+    words, pairs = (h.view(np.uint8).reshape(-1, 8) for h in (mix(hashes, 11), pairs))
+    sums = np.empty((len(parts), 64), np.uint8)
+    for b in range(8):
+        lanes = np.add.reduceat(_LANES[words[:, b]] + _LANES[pairs[:, b]], parts)
+        sums[:, 8 * b:8 * b + 8] = lanes.view(np.uint8).reshape(-1, 8)
+    total = np.add.reduceat(sums.astype(np.int32), run_parts, axis=0)
     return np.packbits(total * 2 > (2 * counts - 1)[:, None], axis=1, bitorder="little").reshape(-1).view(U)
 
 
@@ -387,7 +379,7 @@ def near_sims(sims: DataFrame, n: int, part_rows: int = PART_ROWS, most: int = P
 
 def near_work(table: pa.Table) -> pa.RecordBatch | None:
     """Of a bucket's block pair: a spanning forest of the near SimHashes."""
-    links = forest_links(np.unique(table.column("sim").to_numpy().view(U)))
+    links = forest_links(sorted_distinct(table.column("sim").to_numpy().view(U)))
     if links is None:
         return None
     a, b = (v.view(np.int64) for v in links)
