@@ -94,6 +94,25 @@ def test_ttl_join_over_slices_equals_sql(spark, slices):
     assert rows(got) == sorted(tuple(r[i] for i in order) for r in want.fetchall())
 
 
+def test_a_batch_writes_a_line_once(spark):
+    feed = f"{scratch_path(spark, 'feed')}/feed"
+    feeds.write_feed(feeds.order_arrivals(Tables(spark, SF_SMALL)), feed)
+    _, run = caches.run_ttl_join(spark, feed, trigger=AVAILABLE_NOW)
+    table = spark.read.parquet(run.table)
+    assert table.count() == table.select("order_id", "order_detail_id").distinct().count() == caches.read_pairs(spark, run).count()
+    # What follows from other columns is not written.
+    assert not {"doc_id", "_version"} & set(table.columns)
+
+
+def test_arrivals_cross_the_shuffle_as_they_are(spark):
+    # In as many partitions as asked for, and not in lists of one row.
+    joined = ttl_join.ttl_join(feed_of(spark, [("a", 0, "d", 1), ("a", 10, "o", 2)]), 10, partitions=3)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_id") == 1 and "3), REPARTITION_BY_NUM" in plan
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+    assert joined.count() == 1
+
+
 def outer_feed(spark, slices):
     feed = f"{scratch_path(spark, 'feed')}/feed"
     feeds.write_feed(feeds.order_arrivals(Tables(spark, SF_SMALL), rewrites=False), feed, slices)

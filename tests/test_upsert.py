@@ -1,3 +1,5 @@
+import pytest
+
 from tidewater.session import scratch_path
 from tidewater.sinks.upsert import upsert
 
@@ -42,6 +44,25 @@ def test_versioned_appends_read_latest_and_compact(spark):
     assert spark.read.parquet(path).count() == 2
 
 
+@pytest.mark.parametrize("max_rows", [0, 100])
+def test_only_repeated_keys_are_grouped(spark, max_rows):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.ingest import latest_per_key
+    from tidewater.sinks.versioned import latest_if_repeated
+
+    rows = [(f"k{n}", str(v), v) for n in range(40) for v in range(1 + (n % 5 == 0) * 2)]
+    table = spark.createDataFrame(rows, "id string, v string, version long")
+    got = latest_if_repeated(table, ["id"], F.col("version"), ("v", "id"), max_rows)
+    assert got.columns == ["v", "id"]
+    assert sorted(map(tuple, got.select("id", "v").collect())) == sorted((f"k{n}", "2" if n % 5 == 0 else "0") for n in range(40))
+    assert sorted(map(tuple, latest_per_key(table, ["id"], "version").select("v", "id").collect())) == sorted(map(tuple, got.collect()))
+    # Rows of the other keys are not shuffled.
+    assert ("LeftAnti" in got._jdf.queryExecution().executedPlan().toString()) == (max_rows > 0)
+    once = latest_if_repeated(table.where("version = 0"), ["id"], F.col("version"), ("id",), max_rows)
+    assert once.count() == 40
+
+
 def test_compacting_twice_keeps_rows_without_a_key_once(spark):
     from tidewater.sinks.versioned import append_versions, compact, read_latest
 

@@ -115,12 +115,12 @@ def decode_users(values: DataFrame, value_col: str = "value") -> DataFrame:
         F.try_to_timestamp("_r.birthday", F.lit("yyyy-MM-dd")).cast("date").alias("birthday"), "_r.gender")
 
 
-def latest_per_key(df: DataFrame, keys, version: str, keep: str = "max", columns=None) -> DataFrame:
+def latest_per_key(df: DataFrame, keys, version: str | Column, keep: str = "max", columns=None) -> DataFrame:
     """Newest row per key by ``version`` (a grouped ``max_by``: partial
     aggregation on the map side, no sort of the whole group).  ``keep="min"``
     keeps the oldest instead.  ``columns``: those of the result, so that no others are shuffled."""
     keys = list(keys)
     rest = [c for c in (df.columns if columns is None else columns) if c not in keys]
     pick = F.max_by if keep == "max" else F.min_by
-    out = df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(version)).alias("_last"))
+    out = df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(version) if isinstance(version, str) else version).alias("_last"))
     return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])

@@ -12,11 +12,12 @@ pick one of identical rows, so replays are harmless.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.ingest import latest_per_key
-from tidewater.session import checkpoint_root
+from tidewater.plans.strategy import DEFAULT_BROADCAST_ROWS
+from tidewater.session import checkpoint_root, scratch_path
 from tidewater.sinks.upsert import _any_null, _exists, write_partitions
 
 
@@ -28,7 +29,7 @@ def append_versions(batch: DataFrame, path: str, partition_col: str) -> None:
     extra pass re-executes the micro-batch's plan.  The small files this
     leaves are folded by :func:`compact`.
     """
-    batch.write.mode("append").partitionBy(partition_col).parquet(path)
+    batch.write.mode("append").option("compression", "zstd").partitionBy(partition_col).parquet(path)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], version: str, keep: str = "max",
@@ -51,6 +52,25 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], version: str, k
     return resolved.unionByName(table.where(_any_null(keys)).distinct().select(*columns))
 
 
+def latest_if_repeated(table: DataFrame, keys: list[str], version: Column, columns, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Newest row per key (no null in it) of a table whose keys seldom have a second row.
+
+    Rows are first counted by an 8-byte hash of their key; only rows of a hash that comes again
+    cross a shuffle whole, the others are their key's only row.  With more than ``max_rows`` such hashes
+    all rows are grouped.
+    """
+    spark, mark, columns = table.sparkSession, F.xxhash64(*keys), list(columns)
+    again = table.groupBy(mark.alias("_mark")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_mark")
+    path = f"{scratch_path(spark, 'repeated')}/marks"
+    again.write.parquet(path)
+    again = spark.read.parquet(path)
+    if again.count() > max_rows:
+        return latest_per_key(table, keys, version, columns=columns).select(*columns)
+    met, marks = mark == F.col("_mark"), F.broadcast(again)
+    once = table.join(marks, met, "left_anti").select(*columns)
+    return once.unionByName(latest_per_key(table.join(marks, met, "left_semi"), keys, version, columns=columns).select(*columns))
+
+
 def compact(spark: SparkSession, path: str, keys: list[str], version: str, partition_col: str,
             keep: str = "max", partitions: list[str] | None = None) -> None:
     """Rewrite partitions (all, or the listed ones) with one row per key.

@@ -41,7 +41,7 @@ def write_feed(arrivals: DataFrame, path: str, slices: int = 1, close: bool = Tr
     one more row, a day after the last: an order without lines that lets the watermark pass
     everything before it (a live feed goes on by itself)."""
     if slices == 1:
-        arrivals.write.mode("append").parquet(path)
+        arrivals.write.mode("append").option("compression", "zstd").parquet(path)
     else:
         at = F.col("ts").cast("double")
         cuts = arrivals.agg(F.percentile_approx(at, [i / slices for i in range(1, slices)], 10_000)).first()[0]
