@@ -1,6 +1,7 @@
 """The inverted index against scores over the whole table, over batches and replays."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,43 @@ def test_null_ids_and_empty_batches(spark):
     postings.append_documents(spark.createDataFrame([(None, "red", 1), ("a", "red red", 1), ("b", None, 1)], schema), path, 1)
     assert set(answer(spark, path, "red")) == {"a"}
     assert tuple(postings.totals(spark, path).first()) == (2, 2)
+
+
+def test_a_replayed_batch_replaces_its_documents(spark, batches):
+    once, again = index(spark, batches), index(spark, batches, replay=(0, 2, 3))
+    docs = [spark.read.parquet(f"{p}/docs").groupBy("batch").count().collect() for p in (once, again)]
+    assert sorted(map(tuple, docs[0])) == sorted(map(tuple, docs[1])) and len(docs[0]) == 4
+    # What orders postings is the batch, not a version in each of them.
+    assert set(spark.read.parquet(f"{once}/terms").columns) == {"term", "doc_id", "tf", "length", "batch", "bucket"}
+
+
+def test_documents_cross_one_shuffle_each(spark, batches, monkeypatch):
+    """Those of a first batch none, and those of a later one are not sorted or grouped for it."""
+    path = index(spark, batches[:2])
+    plan = postings._known(spark, path, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1 and "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+    assert postings._known(spark, path, 0) is None
+    # All of a document's postings of a query are where they are added up.
+    found = postings.search(spark, path, ["red"], search.BM25_K1, search.BM25_B)
+    assert not re.search(r"hashpartitioning\(term#\d+, doc_id", found._jdf.queryExecution().executedPlan().toString())
+    # Tasks grow in number with the postings.
+    monkeypatch.setattr(postings, "POSTINGS_A_TASK", 20)
+    many = index(spark, batches)
+    for keyword in ("red", "red ring"):
+        assert answer(spark, many, keyword) == expected(spark, batches, keyword)
+
+
+def test_documents_of_an_unfinished_batch_are_not_known(spark, batches):
+    path = index(spark, batches[:1])
+    unfinished = spark.createDataFrame([("d0", 99, ["zebra"], 1)], "doc_id string, version int, terms array<string>, length int")
+    unfinished.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/docs/batch=1")
+    postings.append_documents(spark.createDataFrame(batches[1], "doc_id string, text string, version int"), path, 2)
+    assert answer(spark, path, "red") == expected(spark, batches[:2], "red")
+
+
+def test_equal_documents_of_a_batch_are_added_up(spark):
+    path = scratch_path(spark, "index")
+    postings.append_documents(spark.createDataFrame([("a", "red red ring", 1)] * 2 + [("b", "red", 1)], "doc_id string, text string, version int"), path, 0)
+    got = sorted(tuple(r) for r in postings.postings(spark, path, ["red", "ring"]).collect())
+    assert got == [("red", "a", 4, 3), ("red", "b", 1, 1), ("ring", "a", 2, 3)]
+    assert tuple(postings.totals(spark, path).first()) == (3, 7)

@@ -1,16 +1,18 @@
 """Inverted index of a table of texts: term -> document, in bucketed folders.
 
-``terms/bucket=b`` holds postings (term, doc_id, tf, length) with the document's version;
+``terms/bucket=b`` holds postings (term, doc_id, tf, length) with the batch that wrote them;
 a term's bucket follows from the term, so a query reads the buckets of its terms and
-nothing else.  ``docs/bucket=b`` holds each document's terms, which a later version
-needs to take back the postings of terms it no longer has (a posting with tf 0).
+nothing else.  ``docs/batch=n`` holds the documents of a batch with their version and terms, which a later
+version needs to take back the postings of terms it no longer has (a posting with tf 0).
 ``stats/batch=n`` holds what a batch adds to the number of documents and to their length,
 one row a batch.
 
 A micro-batch is appended as it comes, whatever is there already: readers resolve the
-newest posting of each (term, document).  A batch that is replayed looks at earlier
-batches only, writes equal postings again (resolved away) and replaces its own
-statistics, so replays change no answer.
+newest posting of each (term, document), which is that of the last batch that has the document, as a batch leaves out
+versions that are not newer than those before it.  The documents are written first and
+the postings are made from what was written, so the batch is worked out once and not kept elsewhere.  A batch that is
+replayed looks at earlier batches only, replaces its documents, writes equal postings again (resolved away) and
+replaces its own statistics, so replays change no answer.
 """
 
 from __future__ import annotations
@@ -22,13 +24,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import token_list
-from tidewater.sinks.upsert import _exists
+from tidewater.sinks.generations import _numbers
 
 BUCKETS = 64
 # Rows of a batch go to each bucket in about this many files, more if the batch has more documents than
 # a file should have rows of one term.
 FILES_A_BUCKET = 2
 DOCS_A_FILE = 500_000
+# Postings that a task groups and sorts in memory.
+POSTINGS_A_TASK = 300_000
 
 
 def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
@@ -43,9 +47,10 @@ def _files(docs: int) -> int:
     return max(FILES_A_BUCKET, -(-docs // DOCS_A_FILE))
 
 
-def _dealt(rows: DataFrame, key: str, files: int) -> DataFrame:
+def _dealt(rows: DataFrame, key: str, files: int, partitions: int | None = None) -> DataFrame:
     """A bucket's rows in few files (``slot``); a term that most documents have is split by document."""
-    return rows.withColumn("slot", F.pmod(F.hash(key), F.lit(files))).repartition("bucket", "slot")
+    to = ("bucket", "slot") if partitions is None else (partitions, "bucket", "slot")
+    return rows.withColumn("slot", F.pmod(F.hash(key), F.lit(files))).repartition(*to)
 
 
 def append_documents(batch: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS,
@@ -55,60 +60,58 @@ def append_documents(batch: DataFrame, path: str, batch_id: int, buckets: int =
     text has no terms; rows without an id are left out.
     ``analyze`` gives a text's tokens with repeats."""
     spark = batch.sparkSession
-    words = F.coalesce(analyze("text"), F.array().cast("array<string>"))
-    new = batch.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", "version", words.alias("words"), bucket_of(F.col("doc_id"), buckets).alias("bucket"))
-    if _exists(spark, f"{path}/docs"):
-        old = _known(spark, path, batch_id)
-        new = new.join(old, ["bucket", "doc_id"], "left").where("old_version is null or version > old_version")
-    else:
+    new = batch.where(F.col("doc_id").isNotNull()).select("doc_id", "version", "text")
+    old = _known(spark, path, batch_id)
+    if old is None:
         new = new.select("*", F.lit(None).cast("array<string>").alias("old_terms"), F.lit(None).cast("int").alias("old_length"))
-    new = new.persist()
-    try:
-        count = new.count()
-        if not count:
-            return
-        files = _files(count)
-        _write_postings(new, path, files, buckets)
-        docs = new.select("doc_id", "version", F.array_distinct("words").alias("terms"), F.size("words").alias("length"),
-                          F.lit(batch_id).cast("long").alias("batch"), "bucket")
-        stats = new.agg(
-            F.count(F.when(F.col("old_length").isNull(), 1)).alias("docs"),
-            F.sum(F.size("words") - F.coalesce("old_length", F.lit(0))).cast("long").alias("length"))
-        stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats/batch={int(batch_id)}")
-        _dealt(docs, "doc_id", files).drop("slot").write.mode("append").partitionBy("bucket").parquet(f"{path}/docs")
-    finally:
-        new.unpersist()
-
-
-def _known(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    else:
+        new = new.join(old, "doc_id", "left").where("old_version is null or version > old_version")
+    # Tokens after the join: a text crosses its shuffle in less than its words do.
+    words = new.withColumn("words", F.coalesce(analyze("text"), F.array().cast("array<string>"))).withColumn("terms", F.array_distinct("words"))
+    tfs = F.transform("terms", lambda t: F.size(F.filter("words", lambda w: w == t)))
+    docs = words.select("doc_id", "version", "terms", tfs.alias("tfs"), F.size("words").alias("length"), "old_length",
+                        F.coalesce(F.array_except("old_terms", "words"), F.array().cast("array<string>")).alias("gone"))
+    docs.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/docs/batch={int(batch_id)}")
+    _write_postings(spark, path, int(batch_id), buckets)
+
+
+def _known(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """Newest version, terms and length of the documents of earlier batches."""
-    docs = spark.read.parquet(f"{path}/docs").where(F.col("batch") < batch_id)
-    last = docs.groupBy("bucket", "doc_id").agg(F.max(F.struct("version", "terms", "length")).alias("x"))
-    return last.select(
-        "bucket", "doc_id", F.col("x.version").alias("old_version"), F.col("x.terms").alias("old_terms"),
-        F.col("x.length").alias("old_length"))
-
-
-def _write_postings(new: DataFrame, path: str, files: int, buckets: int) -> None:
-    words = new.select("doc_id", "version", F.size("words").alias("length"), "words", F.explode(F.array_distinct("words")).alias("term"))
-    held = words.select("term", "doc_id", "version", "length",
-                        F.size(F.filter("words", lambda w: w == F.col("term"))).cast("long").alias("tf"))
-    gone = new.where("old_terms is not null").select(
-        F.explode(F.array_except("old_terms", "words")).alias("term"), "doc_id", "version", F.size("words").alias("length"),
-        F.lit(0).cast("long").alias("tf"))
+    earlier = [f"{path}/docs/batch={n}" for n in _numbers(spark, f"{path}/docs", "batch", True) if n < batch_id]
+    if not earlier:
+        return None
+    docs = spark.read.parquet(*earlier).select("doc_id", "version", "terms", "length")
+    # Few documents are there twice: they are shuffled as they are, without sorting them for it.
+    last = docs.repartition("doc_id").groupBy("doc_id").agg(F.max(F.struct("version", "terms", "length")).alias("x"))
+    return last.select("doc_id", F.col("x.version").alias("old_version"), F.col("x.terms").alias("old_terms"),
+                       F.col("x.length").alias("old_length"))
+
+
+def _write_postings(spark: SparkSession, path: str, batch_id: int, buckets: int) -> None:
+    """The postings and the statistics of a batch whose documents are written."""
+    docs = spark.read.parquet(f"{path}/docs/batch={batch_id}")
+    count, known, length, rows = docs.agg(
+        F.count(F.lit(1)), F.count("old_length"), F.sum(F.col("length") - F.coalesce("old_length", F.lit(0))),
+        F.sum(F.size("terms") + F.size("gone"))).first()
+    if not count:
+        return
+    gone = F.transform("gone", lambda t: F.struct(t.alias("terms"), F.lit(0).alias("tfs")))
+    held = docs.select("doc_id", "length", F.inline(F.concat(F.arrays_zip("terms", "tfs"), gone)).alias("term", "tf"))
     # A row a term and document crosses one shuffle, that of its bucket's files; equal ones are added up there.
-    dealt = _dealt(held.unionByName(gone).withColumn("bucket", bucket_of(F.col("term"), buckets)), "doc_id", files)
-    rows = dealt.groupBy("bucket", "slot", "term", "doc_id", "version", "length").agg(F.sum("tf").cast("int").alias("tf"))
-    rows.select("term", "doc_id", "tf", "length", "version", "bucket").sortWithinPartitions("bucket", "term").write.mode(
-        "append").partitionBy("bucket").parquet(f"{path}/terms")
+    dealt = _dealt(held.withColumn("bucket", bucket_of(F.col("term"), buckets)), "doc_id", _files(count), 1 + rows // POSTINGS_A_TASK)
+    added = dealt.groupBy("bucket", "slot", "term", "doc_id", "length").agg(F.sum("tf").cast("int").alias("tf"))
+    added.select("term", "doc_id", "tf", "length", F.lit(batch_id).cast("long").alias("batch"), "bucket").sortWithinPartitions(
+        "bucket", "term").write.mode("append").option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/terms")
+    stats = spark.range(1, numPartitions=1).select(F.lit(count - known).cast("long").alias("docs"), F.lit(length).cast("long").alias("length"))
+    stats.write.mode("overwrite").parquet(f"{path}/stats/batch={batch_id}")
 
 
 def postings(spark: SparkSession, path: str, terms: list[str], buckets: int = BUCKETS) -> DataFrame:
     """(term, doc_id, tf, length) of the terms as of now, from their buckets only."""
     wanted = sorted({_bucket(t, buckets) for t in terms})
     rows = spark.read.parquet(f"{path}/terms").where(F.col("bucket").isin(wanted) & F.col("term").isin(list(terms)))
-    last = rows.groupBy("term", "doc_id").agg(F.max(F.struct("version", "tf", "length")).alias("x"))
+    # Dealt by document, as the query adds up each document's terms next.
+    last = rows.repartition("doc_id").groupBy("term", "doc_id").agg(F.max(F.struct("batch", "tf", "length")).alias("x"))
     return last.select("term", "doc_id", "x.tf", "x.length").where("tf > 0")
 
 
