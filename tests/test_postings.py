@@ -99,7 +99,7 @@ def test_a_replayed_batch_replaces_its_documents(spark, batches):
 
 
 def test_documents_cross_one_shuffle_each(spark, batches, monkeypatch):
-    """Those of a first batch none, and those of a later one are not sorted or grouped for it."""
+    """Known ones are not sorted or grouped for it."""
     path = index(spark, batches[:2])
     plan = postings._known(spark, path, 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(doc_id") == 1 and "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
@@ -128,3 +128,12 @@ def test_equal_documents_of_a_batch_are_added_up(spark):
     got = sorted(tuple(r) for r in postings.postings(spark, path, ["red", "ring"]).collect())
     assert got == [("red", "a", 4, 3), ("red", "b", 1, 1), ("ring", "a", 2, 3)]
     assert tuple(postings.totals(spark, path).first()) == (3, 7)
+
+
+def test_the_newest_version_in_a_batch_counts(spark):
+    path = scratch_path(spark, "index")
+    rows = [("a", "red red ring", 1), ("a", "red box", 2), ("b", "red", None), ("b", "ring", 0)]
+    postings.append_documents(spark.createDataFrame(rows, "doc_id string, text string, version int"), path, 0)
+    got = sorted(tuple(r) for r in postings.postings(spark, path, ["red", "ring", "box"]).collect())
+    assert got == [("box", "a", 1, 2), ("red", "a", 1, 2), ("ring", "b", 1, 1)]
+    assert tuple(postings.totals(spark, path).first()) == (2, 3)

@@ -20,7 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import token_list
@@ -56,11 +56,13 @@ def _dealt(rows: DataFrame, key: str, files: int, partitions: int | None = None)
 def append_documents(batch: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS,
                      analyze: Callable[[str], Column] = token_list) -> None:
     """Index a batch of (doc_id, text, version), one row a document; ``version`` is of any
-    type with an order.  A version not newer than the indexed one changes nothing; a null
-    text has no terms; rows without an id are left out.
+    type with an order.  If a document comes more than once its newest version counts, and equal ones are added up.
+    A version not newer than the indexed one changes nothing; a null text has no terms; rows without an id are left out.
     ``analyze`` gives a text's tokens with repeats."""
     spark = batch.sparkSession
-    new = batch.where(F.col("doc_id").isNotNull()).select("doc_id", "version", "text")
+    new = batch.where(F.col("doc_id").isNotNull()).select("doc_id", "version", "text").repartition("doc_id")
+    newest = F.max("version").over(Window.partitionBy("doc_id"))
+    new = new.withColumn("newest", newest).where(F.col("version").eqNullSafe(F.col("newest"))).drop("newest")
     old = _known(spark, path, batch_id)
     if old is None:
         new = new.select("*", F.lit(None).cast("array<string>").alias("old_terms"), F.lit(None).cast("int").alias("old_length"))
